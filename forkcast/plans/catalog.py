@@ -9,68 +9,7 @@ where the limit is the operator (top-k, head).
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from forkcast.plans import q_geo, q_profile, q_clean, q_explore  # noqa: F401  (registration)
+from forkcast.plans.registry import ORACLE, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from forkcast.operators import geo
-from forkcast.plans.oracle_views import fold, strip, with_views
-from forkcast.sources.tables import boundaries_view, read_table, venue_view
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLE[name] = sql
-        return fn
-    return deco
-
-
-# The cuisines asked about (one, then the list of eight),
-# mixed case on purpose to exercise the case-insensitive match.
-FLAGSHIP_CUISINE = "Widget"
-CUISINE_LIST = ["Widget", "Gear", "Bolt", "Ring", "Plate", "Rod", "Anvil", "Gizmo"]
-
-# SQL: the long (subzone, cuisine) table of the venue view
-_LONG_SQL = f"""
-long AS (
-  SELECT lower({strip('subzone')}) AS subzone, {strip('item')} AS cuisine
-  FROM (SELECT subzone, unnest(string_split(replace(replace(cuisine, '[' || chr(39), ''), chr(39) || ']', ''),
-                                            chr(39) || ', ' || chr(39))) AS item FROM venue)
-  WHERE subzone IS NOT NULL AND item IS NOT NULL)
-"""
-
-
-@register("cuisine_counts", with_views(f""", {_LONG_SQL}
-SELECT b.region_id, b.min_x, b.max_x, b.min_y, b.max_y, {strip('b.region_name')} AS region_name,
-       CAST(coalesce(c.venue_count, 0) AS BIGINT) AS venue_count
-FROM boundaries b
-LEFT JOIN (SELECT subzone, count(*) AS venue_count FROM long
-           WHERE {fold('cuisine')} = {fold(repr(FLAGSHIP_CUISINE))} GROUP BY subzone) c
-  ON lower({strip('b.region_name')}) = c.subzone
-"""))
-def q_cuisine_counts(spark, d):
-    return geo.cuisine_counts(venue_view(spark, d), boundaries_view(spark, d), FLAGSHIP_CUISINE)
-
-
-_CUISINE_VALUES = ", ".join(f"('{c}')" for c in CUISINE_LIST)
-
-
-@register("cuisine_counts_all", with_views(f""", {_LONG_SQL},
-counts AS (SELECT subzone, {fold('cuisine')} AS f, count(*) AS venue_count FROM long
-           WHERE {fold('cuisine')} IN ({", ".join(fold(repr(c)) for c in CUISINE_LIST)})
-           GROUP BY 1, 2),
-names(cuisine) AS (VALUES {_CUISINE_VALUES})
-SELECT b.region_id, b.min_x, b.max_x, b.min_y, b.max_y, {strip('b.region_name')} AS region_name,
-       n.cuisine, CAST(coalesce(c.venue_count, 0) AS BIGINT) AS venue_count,
-       CAST(greatest(1, coalesce((SELECT max(venue_count) FROM counts), 0)) AS BIGINT) AS global_max
-FROM boundaries b CROSS JOIN names n
-LEFT JOIN counts c ON lower({strip('b.region_name')}) = c.subzone AND {fold('n.cuisine')} = c.f
-"""))
-def q_cuisine_counts_all(spark, d):
-    return geo.cuisine_counts_many(venue_view(spark, d), boundaries_view(spark, d), CUISINE_LIST)
+__all__ = ["QUERIES", "ORACLE"]
