@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from forkcast.functions.scalars import (bin_right_closed, flag_at_least_keep_null, flag_greater,
                                         rating_binary, rating_ordinal)
-from forkcast.functions.text import as_text, list_column, nan_to_null
+from forkcast.functions.text import as_text, list_column, nan_to_null, normalise_key
 from forkcast.operators.stats import exact_median
 
 # Beyond this many categories a wide 0/1 column per category is refused:
@@ -138,6 +138,8 @@ def build_features(clean: DataFrame, parity: bool = False, wide_subzone: bool =
     frequency and one-hot, diversity, cost bin, votes intensity, suburb
     density; raw categorical columns dropped at the end."""
     df = add_rating_ordinal(clean)
+    if "subzone" in df.columns:
+        df = df.withColumn("subzone", normalise_key("subzone", parity))
     if "cuisine" in df.columns:
         df = multi_hot(df, "cuisine", parity=parity)
     if "type" in df.columns:
@@ -155,3 +157,19 @@ def build_features(clean: DataFrame, parity: bool = False, wide_subzone: bool =
     if "subzone_freq" in df.columns:
         df = suburb_density(df)
     return df.drop(*[c for c in ("rating_text", "cuisine", "type", "subzone") if c in df.columns])
+
+
+def standardise(df: DataFrame, cols: list[str], ddof: int = 1, prefix: str = "z_",
+                keep: list[str] | None = None, places: int | None = None) -> DataFrame:
+    """(x - mean) / std per column; ``ddof=0`` is the population std of
+    scikit-learn's scaler (FE13), ``ddof=1`` the sample std of Spark's
+    (FE14).  A constant column maps to 0.  Means and stds are one
+    aggregate pass read as scalar subqueries."""
+    std_fn = F.stddev_pop if ddof == 0 else F.stddev_samp
+    stats = df.agg(*[F.avg(c).alias(f"m_{c}") for c in cols], *[std_fn(c).alias(f"s_{c}") for c in cols])
+    out = [F.col(k) for k in (keep or [])]
+    for c in cols:
+        m, s = stats.select(f"m_{c}").scalar(), stats.select(f"s_{c}").scalar()
+        z = F.when(s == 0, F.lit(0.0)).otherwise((nan_to_null(F.col(c)) - m) / s)
+        out.append((F.round(z, places) if places is not None else z).alias(prefix + c))
+    return df.select(*out)
