@@ -44,7 +44,6 @@ import itertools
 import math
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -77,7 +76,6 @@ def knn_impute(df: DataFrame, targets=TARGETS, predictors=PREDICTORS, k: int = N
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     work = df.select(F.col(id_col).alias("_id"), *[nan_to_null(F.col(c)).cast("double").alias(c) for c in cols])
-    work = work.persist(StorageLevel.MEMORY_AND_DISK)
     fills = []
     for t in targets:
         imputed = _impute_target(work, cols, t, k, cell_target, max_levels)
@@ -158,7 +156,7 @@ def _impute_target(work: DataFrame, cols: list[str], t: str, k: int, cell_target
     wpt = Window.partitionBy("_pair", *s_names).orderBy("_did")
     d_all = (d_all.select("_did", "_v", *pair_meta, *s_names, *b_names)
                   .withColumn("_rn", F.row_number().over(wpt)).where(F.col("_rn") <= k).drop("_rn"))
-    d_all = d_all.persist(StorageLevel.MEMORY_AND_DISK)
+    d_all = d_all.checkpoint()
     n_pair = {r["_pair"]: r["n"] for r in d_all.groupBy("_pair").agg(F.count(F.lit(1)).alias("n")).collect()}
     npair_map = F.create_map(*[x for p, n in n_pair.items() for x in (F.lit(p), F.lit(n))])
     # receivers: distinct points per pair

@@ -48,6 +48,8 @@ def exact_quantiles(df: DataFrame, cols: list[str], qs: list[float], accuracy: i
             if n == 0:
                 continue
             pos = q * (n - 1)
+            if abs(pos - round(pos)) < 1e-9:       # an exact rank asked for as a ratio
+                pos = float(round(pos))
             k1, k2 = int(math.floor(pos)), int(math.ceil(pos))
             targets.append(dict(col=c, qi=qi, pos=pos, k1=k1, k2=k2, a=None, b=None,
                                 below=0, m=n, margin=3.0 / accuracy, vals=None))
@@ -144,3 +146,15 @@ def exact_median(df: DataFrame, col: str, **kw) -> float | None:
 def median_literal(df: DataFrame, col: str) -> Column:
     """The exact median as a DOUBLE literal column (NULL for no values)."""
     return _lit_double(exact_median(df, col))
+
+
+def order_statistic(df: DataFrame, col: str, rank: int, **kw) -> float | None:
+    """The value at 0-based ``rank`` in ascending order (exact)."""
+    n = df.where(nan_to_null(F.col(col)).isNotNull()).count()
+    if n == 0 or rank >= n:
+        return None
+    q = rank / (n - 1) if n > 1 else 0.0
+    kw.setdefault("max_exact", 50000)
+    # q*(n-1) may miss the integer by an ulp; snap the interpolation back
+    vals = exact_quantiles(df, [col], [q], **kw)[col][0]
+    return vals

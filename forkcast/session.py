@@ -34,9 +34,11 @@ def build_session(master: str | None = None, app: str = "forkcast",
     (roughly input bytes / 128 MB) on a cluster; AQE coalesces from there.
     """
     b = SparkSession.builder.appName(app)
+    conf = dict(DEFAULT_CONF)
     if master:
         b = b.master(master)
-    conf = dict(DEFAULT_CONF)
+        if master.startswith("local"):
+            conf["spark.driver.memory"] = os.environ.get("FORKCAST_DRIVER_MEMORY", "12g")
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
