@@ -9,7 +9,7 @@ where the limit is the operator (top-k, head).
 
 from __future__ import annotations
 
-from forkcast.plans import q_geo, q_profile, q_clean, q_explore, q_features, q_impute, q_models  # noqa: F401  (registration)
+from forkcast.plans import q_geo, q_profile, q_clean, q_explore, q_features, q_impute, q_models, q_io  # noqa: F401  (registration)
 from forkcast.plans.registry import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]

@@ -39,7 +39,8 @@ def read_venue_csv(spark: SparkSession, path: str, schema: T.StructType = VENUE_
     doubled quotes inside fields; pandas' NA texts become NULL in string
     columns and NaN becomes NULL in numeric ones."""
     df = (spark.read.schema(schema)
-          .options(header=True, multiLine=True, escape='"', quote='"', nanValue="NaN", mode="PERMISSIVE")
+          .options(header=True, multiLine=True, escape='"', quote='"', nanValue="NaN", mode="PERMISSIVE",
+                   ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
           .csv(path))
     out = []
     for f in schema.fields:
@@ -56,7 +57,8 @@ def read_venue_csv(spark: SparkSession, path: str, schema: T.StructType = VENUE_
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with header; ARRAY columns as JSON text (CSV cannot hold arrays)."""
     cols = [F.to_json(F.col(c)).alias(c) if t.startswith("array") else F.col(c) for c, t in df.dtypes]
-    df.select(*cols).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    (df.select(*cols).write.mode("overwrite")
+       .options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path))
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
