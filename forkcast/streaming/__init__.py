@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference reads one CSV or one parquet file per run and has no
+stream source, sink, watermark, window or state.  Its cleaning stage needs
+whole-table statistics (medians, the mode, k-NN donors over all rows), so
+it is a batch job, not a stateless micro-batch transform.
+"""
