@@ -21,26 +21,29 @@ pair is a plain Euclidean k-NN problem, solved by a multi-level grid:
 1. donors keep at most k rows per distinct point on S (smallest ids; a
    duplicate-heavy point cannot blow up the join) and receivers are
    reduced to distinct points on S (their answers are identical);
-2. at level L, cells of width w_L = w_0 * 2^L over up to three blocking
-   columns of S; every open receiver point is equi-joined with the donors
+2. at level L, cells of width w_L = w_0 * g^L (g = 1.5) over up to four blocking
+   columns of S (the widest); every open receiver point is equi-joined with the donors
    of its own and neighbouring cells (3^b cells);
 3. a donor outside those cells is farther than sqrt(D/|S|) * w_L, so a
    receiver point whose k-th candidate is within that bound (or that has
    seen every donor of the pair) is final; the rest go to level L+1.
-   w_0 targets a few donors per cell; the top level spans the data;
+   w_0 is the radius whose ball would hold ~2.5k donors if they were
+   spread evenly, so most receivers finish at level 0 or 1; the top level
+   spans the data;
 4. per receiver the pair results are merged, the k nearest kept
    (``row_number`` with WindowGroupLimit, so each task ships at most k
    rows per key) and the weighted mean computed; a left join writes it
    back into the missing cells only.
 
 Every level is one shuffle join; the open set and the finished batches
-are checkpointed to the session's reliable checkpoint folder, so a lost
-executor recomputes at most one level.
+are written as tables under the session's reliable checkpoint folder, so
+a lost executor recomputes at most one level.
 """
 
 from __future__ import annotations
 
 import itertools
+import os
 import math
 from functools import reduce
 
@@ -48,24 +51,25 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from forkcast.functions.text import nan_to_null
-from forkcast.session import ensure_checkpoint_dir
+from forkcast.session import ensure_checkpoint_dir, materialize
 
 # The reference's target and predictor columns and k.
 TARGETS = ("rating_number", "votes")
 PREDICTORS = ("cost", "cost_2", "lat", "lng")
 N_NEIGHBORS = 5
 
-_MAX_BLOCK_DIMS = 3
+_MAX_BLOCK_DIMS = 4
+_DEBUG = bool(os.environ.get("FORKCAST_KNN_DEBUG"))
 
 
-def _offsets(nb: int) -> list[tuple[int, int, int]]:
+def _offsets(nb: int) -> list[tuple[int, ...]]:
     """Neighbour cell offsets over the first nb blocking dims."""
     rng = [(-1, 0, 1)] * nb + [(0,)] * (_MAX_BLOCK_DIMS - nb)
     return list(itertools.product(*rng))
 
 
 def knn_impute(df: DataFrame, targets=TARGETS, predictors=PREDICTORS, k: int = N_NEIGHBORS,
-               id_col: str = "id", cell_target: float = 4.0, max_levels: int = 64,
+               id_col: str = "id", ball_target: float = 4, growth: float = 1.5, max_levels: int = 200,
                require_predictors: bool = False) -> DataFrame:
     """Fill missing cells of ``targets`` from the k nearest rows."""
     targets = [c for c in targets if c in df.columns]
@@ -76,18 +80,18 @@ def knn_impute(df: DataFrame, targets=TARGETS, predictors=PREDICTORS, k: int = N
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     work = df.select(F.col(id_col).alias("_id"), *[nan_to_null(F.col(c)).cast("double").alias(c) for c in cols])
-    fills = []
-    for t in targets:
-        imputed = _impute_target(work, cols, t, k, cell_target, max_levels)
-        if imputed is not None:
-            fills.append((t, imputed))
-    out = df
-    for t, imp in fills:
-        imp = imp.withColumnRenamed("_id", "__rid").withColumnRenamed("_value", f"__imp_{t}")
-        out = (out.join(imp, out[id_col] == imp["__rid"], "left")
-                  .withColumn(t, F.coalesce(nan_to_null(F.col(t)), F.col(f"__imp_{t}")))
-                  .drop("__rid", f"__imp_{t}"))
-    return out
+    work = materialize(work, "knn-work")        # read many times below: compute once
+    plans = [p for p in (_plan_target(work, cols, t, k, ball_target, growth) for t in targets) if p is not None]
+    if not plans:
+        return df
+    found = _search_and_weigh(plans, len(cols), k, max_levels, growth)
+    # one row per receiver with a value per target, then ONE left join back
+    ts = [p["t"] for p in plans]
+    imp = found.groupBy(F.col("_id").alias("__rid")).agg(
+        *[F.max(F.when(F.col("_t") == t, F.col("_value"))).alias(f"__imp_{t}") for t in ts])
+    out = df.join(imp, df[id_col] == imp["__rid"], "left")
+    out = out.withColumns({t: F.coalesce(nan_to_null(F.col(t)), F.col(f"__imp_{t}")) for t in ts})
+    return out.drop("__rid", *[f"__imp_{t}" for t in ts])
 
 
 def _pattern(cols: list[str]):
@@ -95,29 +99,42 @@ def _pattern(cols: list[str]):
                   [F.when(F.col(c).isNotNull(), F.lit(1 << i)).otherwise(F.lit(0)) for i, c in enumerate(cols)])
 
 
-def _impute_target(work: DataFrame, cols: list[str], t: str, k: int, cell_target: float,
-                   max_levels: int) -> DataFrame | None:
-    D = len(cols)
+def _first_width(ranges: list[float], n: int, want: float, span: float) -> float:
+    """Level-0 cell width: the radius whose ball in the shared-column space
+    holds about ``want`` donors if they were spread evenly over their
+    bounding box (zero-range columns do not spread them)."""
+    live = [r for r in ranges if r > 0]
+    if not live or span <= 0:
+        return 1.0
+    m = len(live)
+    vol = 1.0
+    for r in live:
+        vol *= r
+    density = max(n, 1) / vol
+    unit_ball = math.pi ** (m / 2) / math.gamma(m / 2 + 1)
+    w0 = (want / (density * unit_ball)) ** (1.0 / m)
+    return max(w0, span / float(2 ** 40), 1e-12)
+
+
+def _plan_target(work: DataFrame, cols: list[str], t: str, k: int, ball_target: float,
+                 growth: float) -> dict | None:
+    """Receivers, donors and the (receiver pattern, donor pattern) pairs of
+    one target column, each pair with its shared columns, blocking columns,
+    level-0 width and top level."""
     others = [c for c in cols if c != t]
     pat = _pattern(others).alias("_pat")
     recv = work.where(F.col(t).isNull()).select("_id", *others, pat)
     donors = work.where(F.col(t).isNotNull()).select(F.col("_id").alias("_did"), F.col(t).alias("_v"), *others, pat)
-
-    # pattern statistics (at most 2^(D-1) rows each)
-    def stats(frame):
-        aggs = [F.count(F.lit(1)).alias("n")]
-        for c in others:
-            aggs += [F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}")]
-        return {r["_pat"]: r.asDict() for r in frame.groupBy("_pat").agg(*aggs).collect()}
-
-    rstat, dstat = stats(recv), stats(donors)
-    if not rstat:
-        return None
-    n_donors = sum(s["n"] for s in dstat.values())
-    if n_donors == 0:
-        return None
-    mean_v = donors.select(F.avg("_v")).scalar()
-
+    # pattern statistics of both sides in one job (at most 2^D rows)
+    aggs = [F.count(F.lit(1)).alias("n")]
+    for c in others:
+        aggs += [F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}")]
+    rows = (work.select(F.col(t).isNotNull().alias("_is_donor"), *others, pat)
+                .groupBy("_is_donor", "_pat").agg(*aggs).collect())
+    rstat = {r["_pat"]: r.asDict() for r in rows if not r["_is_donor"]}
+    dstat = {r["_pat"]: r.asDict() for r in rows if r["_is_donor"]}
+    if not rstat or not dstat:
+        return None                                        # nothing missing, or nothing to learn from
     pairs = []
     for rp, rs in rstat.items():
         for dp, ds in dstat.items():
@@ -127,88 +144,104 @@ def _impute_target(work: DataFrame, cols: list[str], t: str, k: int, cell_target
             rngs = {c: (ds[f"hi_{c}"] - ds[f"lo_{c}"]) for c in S}
             B = sorted(S, key=lambda c: -rngs[c])[:_MAX_BLOCK_DIMS]
             span = max(max(ds[f"hi_{c}"], rs[f"hi_{c}"]) - min(ds[f"lo_{c}"], rs[f"lo_{c}"]) for c in B)
-            vol = 1.0
-            for c in B:
-                vol *= max(rngs[c], 1e-9)
-            w0 = (vol * cell_target / max(ds["n"], 1)) ** (1.0 / len(B))
-            w0 = max(w0, span / float(2 ** 40), 1e-12)
-            top = 0 if span <= 0 else max(0, math.ceil(math.log2(max(span / w0, 1.0)))) + 1
-            pairs.append(dict(pid=len(pairs), rp=rp, dp=dp, S=S, B=B, w0=w0, top=top))
-    if not pairs:
-        return recv.select("_id", F.lit(mean_v).cast("double").alias("_value"))
-
-    def side(frame, key, pdict):
-        s_cols = [F.col(c) for c in pdict["S"]] + [F.lit(0.0)] * (len(others) - len(pdict["S"]))
+            w0 = _first_width([rngs[c] for c in S], ds["n"], ball_target * k, span)
+            top = 0 if span <= 0 else max(0, math.ceil(math.log(max(span / w0, 1.0)) / math.log(growth))) + 1
+            pairs.append(dict(rp=rp, dp=dp, S=S, B=B, w0=w0, top=top))
+    return dict(t=t, others=others, recv=recv, donors=donors, pairs=pairs,
+                mean=donors.select(F.avg("_v")).scalar())
+
+
+def _search_and_weigh(plans: list[dict], D: int, k: int, max_levels: int, growth: float) -> DataFrame:
+    """Grid search over all pairs of all targets at once; returns
+    (_t, _id, _value) for every receiver cell."""
+    n_s = D - 1
+    s_names = [f"_s{j}" for j in range(n_s)]
+    b_names = [f"_b{j}" for j in range(_MAX_BLOCK_DIMS)]
+    pair_meta = ["_pair", "_m", "_nb", "_w0", "_top"]
+
+    def side(frame, key, pid, pdict):
+        s_cols = [F.col(c) for c in pdict["S"]] + [F.lit(0.0)] * (n_s - len(pdict["S"]))
         b_cols = [F.col(c) for c in pdict["B"]] + [F.lit(0.0)] * (_MAX_BLOCK_DIMS - len(pdict["B"]))
         return frame.where(F.col("_pat") == pdict[key]).select(
-            "*", F.lit(pdict["pid"]).alias("_pair"), F.lit(len(pdict["S"])).alias("_m"),
+            "*", F.lit(pid).alias("_pair"), F.lit(len(pdict["S"])).alias("_m"),
             F.lit(len(pdict["B"])).alias("_nb"), F.lit(pdict["w0"]).alias("_w0"),
             F.lit(pdict["top"]).alias("_top"),
             *[c.cast("double").alias(f"_s{j}") for j, c in enumerate(s_cols)],
             *[c.cast("double").alias(f"_b{j}") for j, c in enumerate(b_cols)])
 
-    s_names = [f"_s{j}" for j in range(len(others))]
-    b_names = [f"_b{j}" for j in range(_MAX_BLOCK_DIMS)]
-    pair_meta = ["_pair", "_m", "_nb", "_w0", "_top"]
-    r_all = reduce(DataFrame.unionByName, [side(recv, "rp", p) for p in pairs])
-    d_all = reduce(DataFrame.unionByName, [side(donors, "dp", p) for p in pairs])
-    # donors: at most k per distinct point of a pair (ids ascending)
-    wpt = Window.partitionBy("_pair", *s_names).orderBy("_did")
-    d_all = (d_all.select("_did", "_v", *pair_meta, *s_names, *b_names)
-                  .withColumn("_rn", F.row_number().over(wpt)).where(F.col("_rn") <= k).drop("_rn"))
-    d_all = d_all.checkpoint()
-    n_pair = {r["_pair"]: r["n"] for r in d_all.groupBy("_pair").agg(F.count(F.lit(1)).alias("n")).collect()}
-    npair_map = F.create_map(*[x for p, n in n_pair.items() for x in (F.lit(p), F.lit(n))])
-    # receivers: distinct points per pair
-    r_pts = r_all.select(*pair_meta, *s_names, *b_names).distinct()
-    r_pts = r_pts.checkpoint()
-
-    offs = {nb: F.array(*[F.struct(*[F.lit(o[j]).alias(f"o{j}") for j in range(_MAX_BLOCK_DIMS)])
-                          for o in _offsets(nb)]) for nb in range(1, _MAX_BLOCK_DIMS + 1)}
-    off_expr = F.when(F.col("_nb") == 1, offs[1]).when(F.col("_nb") == 2, offs[2]).otherwise(offs[3])
+    r_parts, d_parts, pid = [], [], 0
+    for p in plans:
+        for pdict in p["pairs"]:
+            r_parts.append(side(p["recv"], "rp", pid, pdict).select(
+                F.lit(p["t"]).alias("_t"), "_id", *pair_meta, *s_names, *b_names))
+            d_parts.append(side(p["donors"], "dp", pid, pdict).select("_did", "_v", *pair_meta, *s_names, *b_names))
+            pid += 1
     key_cols = ["_pair", *s_names]
     finished = []
-    open_pts = r_pts
-    for level in range(max_levels + 1):
-        width = F.col("_w0") * F.lit(float(2 ** level))
-        cells = [F.floor(F.col(b) / width).alias(f"_c{j}") for j, b in enumerate(b_names)]
-        d_lv = d_all.select("_did", "_v", "_pair", *[F.col(s).alias("d" + s) for s in s_names], *cells)
-        r_lv = (open_pts.select("*", *[F.floor(F.col(b) / width).alias(f"_rc{j}") for j, b in enumerate(b_names)])
-                        .withColumn("_o", F.explode(off_expr))
-                        .select(*key_cols, "_m", "_top", "_w0",
-                                *[(F.col(f"_rc{j}") + F.col(f"_o.o{j}")).alias(f"_c{j}")
-                                  for j in range(_MAX_BLOCK_DIMS)]))
-        cand = r_lv.join(d_lv, ["_pair", *[f"_c{j}" for j in range(_MAX_BLOCK_DIMS)]])
-        sq = reduce(lambda a, b: a + b, [F.pow(F.col(s) - F.col("d" + s), 2) for s in s_names])
-        cand = cand.select(*key_cols, "_m", "_top", "_w0", "_did", "_v",
-                           F.sqrt(F.lit(float(D)) / F.col("_m") * sq).alias("_dist"))
-        wk = Window.partitionBy(*key_cols).orderBy("_dist", "_did")
-        top = cand.withColumn("_rn", F.row_number().over(wk)).where(F.col("_rn") <= k)
-        wkey = Window.partitionBy(*key_cols)
-        top = (top.withColumn("_cnt", F.count(F.lit(1)).over(wkey))
-                  .withColumn("_kth", F.max("_dist").over(wkey)))
-        bound = F.sqrt(F.lit(float(D)) / F.col("_m")) * F.col("_w0") * F.lit(float(2 ** level))
-        need = F.least(F.lit(k), npair_map[F.col("_pair")])
-        done = ((F.col("_cnt") >= need) & (F.col("_kth") <= bound)) | \
-               (F.col("_cnt") >= npair_map[F.col("_pair")]) | (F.lit(level) >= F.col("_top"))
-        top = top.withColumn("_done", done).checkpoint()
-        finished.append(top.where("_done").select(*key_cols, "_did", "_v", "_dist"))
-        done_keys = top.where("_done").select(*key_cols).distinct()
-        open_pts = open_pts.join(done_keys, key_cols, "left_anti").checkpoint()
-        if open_pts.isEmpty():
-            break
+    if r_parts:
+        r_all = reduce(DataFrame.unionByName, r_parts)
+        d_all = reduce(DataFrame.unionByName, d_parts)
+        # donors: at most k per distinct point of a pair (ids ascending)
+        wpt = Window.partitionBy("_pair", *s_names).orderBy("_did")
+        d_all = d_all.withColumn("_rn", F.row_number().over(wpt)).where(F.col("_rn") <= k).drop("_rn")
+        d_all = materialize(d_all, "knn-donors")
+        n_pair = {r["_pair"]: r["n"] for r in d_all.groupBy("_pair").agg(F.count(F.lit(1)).alias("n")).collect()}
+        npair_map = F.create_map(*[x for q, n in n_pair.items() for x in (F.lit(q), F.lit(n))])
+        # receivers: distinct points per pair
+        open_pts = materialize(r_all.select(*pair_meta, *s_names, *b_names).distinct(), "knn-receivers")
+        offs = {nb: F.array(*[F.struct(*[F.lit(o[j]).alias(f"o{j}") for j in range(_MAX_BLOCK_DIMS)])
+                              for o in _offsets(nb)]) for nb in range(1, _MAX_BLOCK_DIMS + 1)}
+        off_expr = F.when(F.col("_nb") == 1, offs[1])
+        for nb in range(2, _MAX_BLOCK_DIMS):
+            off_expr = off_expr.when(F.col("_nb") == nb, offs[nb])
+        off_expr = off_expr.otherwise(offs[_MAX_BLOCK_DIMS])
+        for level in range(max_levels + 1):
+            width = F.col("_w0") * F.lit(float(growth ** level))
+            cells = [F.floor(F.col(b) / width).alias(f"_c{j}") for j, b in enumerate(b_names)]
+            d_lv = d_all.select("_did", "_v", "_pair", *[F.col(s).alias("d" + s) for s in s_names], *cells)
+            r_lv = (open_pts.select("*", *[F.floor(F.col(b) / width).alias(f"_rc{j}") for j, b in enumerate(b_names)])
+                            .withColumn("_o", F.explode(off_expr))
+                            .select(*key_cols, "_m", "_top", "_w0",
+                                    *[(F.col(f"_rc{j}") + F.col(f"_o.o{j}")).alias(f"_c{j}")
+                                      for j in range(_MAX_BLOCK_DIMS)]))
+            cand = r_lv.join(d_lv, ["_pair", *[f"_c{j}" for j in range(_MAX_BLOCK_DIMS)]])
+            sq = reduce(lambda a, b: a + b, [F.pow(F.col(s) - F.col("d" + s), 2) for s in s_names])
+            cand = cand.select(*key_cols, "_m", "_top", "_w0", "_did", "_v",
+                               F.sqrt(F.lit(float(D)) / F.col("_m") * sq).alias("_dist"))
+            wk = Window.partitionBy(*key_cols).orderBy("_dist", "_did")
+            top = cand.withColumn("_rn", F.row_number().over(wk)).where(F.col("_rn") <= k)
+            wkey = Window.partitionBy(*key_cols)
+            top = (top.withColumn("_cnt", F.count(F.lit(1)).over(wkey))
+                      .withColumn("_kth", F.max("_dist").over(wkey)))
+            bound = F.sqrt(F.lit(float(D)) / F.col("_m")) * width
+            need = F.least(F.lit(k), npair_map[F.col("_pair")])
+            done = ((F.col("_cnt") >= need) & (F.col("_kth") <= bound)) | \
+                   (F.col("_cnt") >= npair_map[F.col("_pair")]) | (F.lit(level) >= F.col("_top"))
+            top = materialize(top.withColumn("_done", done), f"knn-level{level}")
+            finished.append(top.where("_done").select(*key_cols, "_did", "_v", "_dist"))
+            # still open: not finished here (incl. points with no candidate at this level)
+            open_pts = open_pts.join(top.where("_done").select(*key_cols).distinct(), key_cols, "left_anti")
+            if _DEBUG:
+                print(f"[knn] level={level} open={open_pts.count()}", flush=True)  # noqa: T201
+            if open_pts.isEmpty():
+                break
+    spark = plans[0]["recv"].sparkSession
+    recv_all = reduce(DataFrame.unionByName, [p["recv"].select(F.lit(p["t"]).alias("_t"), "_id") for p in plans])
+    means = F.create_map(*[x for p in plans for x in (F.lit(p["t"]), F.lit(p["mean"]).cast("double"))])
+    if not finished:
+        return recv_all.select("_t", "_id", means[F.col("_t")].alias("_value"))
     res = reduce(DataFrame.unionByName, finished)
     # back to receivers, merge pairs, keep k nearest, weighted mean
-    r_map = r_all.select("_id", *key_cols)
-    cand = r_map.join(res, key_cols).select("_id", "_did", "_v", "_dist")
-    wid = Window.partitionBy("_id").orderBy("_dist", "_did")
+    cand = r_all.select("_t", "_id", *key_cols).join(res, key_cols).select("_t", "_id", "_did", "_v", "_dist")
+    wid = Window.partitionBy("_t", "_id").orderBy("_dist", "_did")
     best = cand.withColumn("_rn", F.row_number().over(wid)).where(F.col("_rn") <= k)
-    agg = best.groupBy("_id").agg(
+    agg = best.groupBy("_t", "_id").agg(
         F.count_if(F.col("_dist") == 0).alias("_nz"),
         F.avg(F.when(F.col("_dist") == 0, F.col("_v"))).alias("_zero_mean"),
         F.sum(F.when(F.col("_dist") > 0, F.col("_v") / F.col("_dist"))).alias("_num"),
         F.sum(F.when(F.col("_dist") > 0, F.lit(1.0) / F.col("_dist"))).alias("_den"))
     val = F.when(F.col("_nz") > 0, F.col("_zero_mean")).otherwise(F.col("_num") / F.col("_den"))
-    found = agg.select("_id", val.alias("_value"))
-    all_r = recv.select("_id").join(found, "_id", "left")
-    return all_r.select("_id", F.coalesce(F.col("_value"), F.lit(mean_v).cast("double")).alias("_value"))
+    found = agg.select("_t", "_id", val.alias("_value"))
+    del spark
+    all_r = recv_all.join(found, ["_t", "_id"], "left")
+    return all_r.select("_t", "_id", F.coalesce(F.col("_value"), means[F.col("_t")]).alias("_value"))

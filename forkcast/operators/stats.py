@@ -23,6 +23,7 @@ definition used by pandas ``quantile``/``median`` and SQL
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,71 +37,77 @@ def _lit_double(v):
 
 def exact_quantiles(df: DataFrame, cols: list[str], qs: list[float], accuracy: int = 20000,
                     max_exact: int = 50000, max_rounds: int = 12) -> dict[str, list[float | None]]:
-    """{column: [quantile value per q]} over non-null, non-NaN values."""
+    """{column: [quantile value per q]} over non-null, non-NaN values.
+
+    Jobs: one pass for the counts and the first sketches, one exact-count
+    check per narrowing round, and one grouped read that finishes every
+    (column, quantile) at once."""
     base = df.select(*[nan_to_null(F.col(c)).alias(c) for c in cols])
-    n_row = base.agg(*[F.count(c).alias(c) for c in cols]).first()
-    counts = {c: int(n_row[c]) for c in cols}
-    # one target per (column, q): the two order statistics around q*(n-1)
+    margin0 = 3.0 / accuracy
+    first = [F.count(c).alias(f"n_{i}") for i, c in enumerate(cols)]
+    first += [F.percentile_approx(c, [p for q in qs for p in (max(0.0, q - margin0), min(1.0, q + margin0))],
+                                  accuracy).alias(f"a_{i}") for i, c in enumerate(cols)]
+    r0 = base.agg(*first).first()
     targets = []
-    for c in cols:
+    for ci, c in enumerate(cols):
+        n = int(r0[f"n_{ci}"])
         for qi, q in enumerate(qs):
-            n = counts[c]
             if n == 0:
                 continue
             pos = q * (n - 1)
             if abs(pos - round(pos)) < 1e-9:       # an exact rank asked for as a ratio
                 pos = float(round(pos))
             k1, k2 = int(math.floor(pos)), int(math.ceil(pos))
-            targets.append(dict(col=c, qi=qi, pos=pos, k1=k1, k2=k2, a=None, b=None,
-                                below=0, m=n, margin=3.0 / accuracy, vals=None))
+            approx = r0[f"a_{ci}"]
+            targets.append(dict(col=c, qi=qi, pos=pos, k1=k1, k2=k2, a=None, b=None, below=0, m=n,
+                                margin=margin0, vals=None,
+                                prop=(approx[2 * qi], approx[2 * qi + 1]) if approx else None))
     for _ in range(max_rounds):
-        open_t = [t for t in targets if t["vals"] is None]
-        if not open_t:
-            break
-        small = [t for t in open_t if t["m"] <= max_exact]
-        for t in small:
-            _finish_exact(base, t)
-        refine = [t for t in open_t if t["vals"] is None]
+        _finish_exact(base, [t for t in targets if t["vals"] is None and (t["m"] <= max_exact or t.get("force"))])
+        refine = [t for t in targets if t["vals"] is None]
         if not refine:
             break
-        # propose narrower brackets from sketches inside the current brackets
-        exprs = []
-        for i, t in enumerate(refine):
-            x = F.col(t["col"])
-            inside = _inside(x, t["a"], t["b"])
-            lo_q = max(0.0, (t["k1"] - t["below"]) / max(t["m"] - 1, 1) - t["margin"])
-            hi_q = min(1.0, (t["k2"] - t["below"]) / max(t["m"] - 1, 1) + t["margin"])
-            exprs.append(F.percentile_approx(F.when(inside, x), [lo_q, hi_q], accuracy).alias(f"p{i}"))
-        prop = base.agg(*exprs).first()
-        # verify each proposal with exact counts (one pass for all targets)
+        need = [t for t in refine if t["prop"] is None]
+        if need:                                   # new sketches inside the current brackets
+            exprs = []
+            for i, t in enumerate(need):
+                x = F.col(t["col"])
+                lo_q = max(0.0, (t["k1"] - t["below"]) / max(t["m"] - 1, 1) - t["margin"])
+                hi_q = min(1.0, (t["k2"] - t["below"]) / max(t["m"] - 1, 1) + t["margin"])
+                exprs.append(F.percentile_approx(F.when(_inside(x, t["a"], t["b"]), x), [lo_q, hi_q],
+                                                 accuracy).alias(f"p{i}"))
+            prop = base.agg(*exprs).first()
+            for i, t in enumerate(need):
+                t["prop"] = tuple(prop[f"p{i}"])
+        # check every proposal with exact counts, one pass for all
         checks = []
         for i, t in enumerate(refine):
-            pa, pb = prop[f"p{i}"]
-            t["pa"], t["pb"] = pa, pb
+            pa, pb = t["prop"]
             x = F.col(t["col"])
             inside = _inside(x, t["a"], t["b"])
             checks.append(F.count_if(inside & (x < F.lit(pa))).alias(f"lt{i}"))
             checks.append(F.count_if(inside & (x >= F.lit(pa)) & (x <= F.lit(pb))).alias(f"in{i}"))
         chk = base.agg(*checks).first()
         for i, t in enumerate(refine):
+            pa, pb = t.pop("prop")
+            t["prop"] = None
             below = t["below"] + int(chk[f"lt{i}"])
             m = int(chk[f"in{i}"])
             if below <= t["k1"] and below + m > t["k2"]:
-                if t["pa"] == t["pb"]:
-                    t["vals"] = (float(t["pa"]), float(t["pa"]))
+                if pa == pb:
+                    t["vals"] = (float(pa), float(pa))
                     continue
                 if m == t["m"]:          # no progress: few distinct values, heavy counts
-                    t["force_exact"] = True
-                t["a"], t["b"], t["below"], t["m"] = t["pa"], t["pb"], below, m
+                    t["force"] = True
+                t["a"], t["b"], t["below"], t["m"] = pa, pb, below, m
             else:                        # the sketch missed: widen and retry
                 t["margin"] *= 4
-        for t in refine:
-            if t.get("force_exact") and t["vals"] is None:
-                _finish_exact(base, t, allow_over=True)
+    left = [t for t in targets if t["vals"] is None]
+    for t in left:
+        t["force"] = True
+    _finish_exact(base, left, check_size=True)
     out = {c: [None] * len(qs) for c in cols}
     for t in targets:
-        if t["vals"] is None:
-            _finish_exact(base, t, allow_over=True)
         v1, v2 = t["vals"]
         out[t["col"]][t["qi"]] = v1 + (t["pos"] - t["k1"]) * (v2 - v1)
     return out
@@ -118,25 +125,34 @@ def _inside(x: Column, a, b) -> Column:
 _MAX_DISTINCT = 1_000_000
 
 
-def _finish_exact(base: DataFrame, t: dict, allow_over: bool = False) -> None:
-    """Read the order statistics from value counts inside the bracket."""
-    x = F.col(t["col"])
-    grouped = (base.where(_inside(x, t["a"], t["b"])).groupBy(x.alias("v"))
-               .agg(F.count(F.lit(1)).alias("n")))
-    if allow_over and grouped.limit(_MAX_DISTINCT + 1).count() > _MAX_DISTINCT:
-        raise RuntimeError(f"quantile bracket of {t['col']} did not narrow; raise max_rounds")
-    rows = grouped.orderBy("v").collect()
-    r1, r2 = t["k1"] - t["below"], t["k2"] - t["below"]
-    seen, v1, v2 = 0, None, None
-    for row in rows:
-        nxt = seen + int(row["n"])
-        if v1 is None and r1 < nxt:
-            v1 = float(row["v"])
-        if v2 is None and r2 < nxt:
-            v2 = float(row["v"])
-            break
-        seen = nxt
-    t["vals"] = (v1, v2)
+def _finish_exact(base: DataFrame, targets: list[dict], check_size: bool = False) -> None:
+    """Read the order statistics of many targets from ONE grouped count of
+    their brackets: rows (target, value, n), bounded by the brackets'
+    sizes (<= max_exact each) or their few distinct values."""
+    if not targets:
+        return
+    parts = []
+    for i, t in enumerate(targets):
+        x = F.col(t["col"])
+        parts.append(base.where(_inside(x, t["a"], t["b"])).select(F.lit(i).alias("t"), x.cast("double").alias("v")))
+    grouped = reduce(DataFrame.unionByName, parts).groupBy("t", "v").agg(F.count(F.lit(1)).alias("n"))
+    if check_size and grouped.limit(_MAX_DISTINCT + 1).count() > _MAX_DISTINCT:
+        raise RuntimeError("quantile brackets did not narrow; raise max_rounds")
+    by_t: dict[int, list] = {}
+    for row in grouped.collect():
+        by_t.setdefault(row["t"], []).append((row["v"], int(row["n"])))
+    for i, t in enumerate(targets):
+        r1, r2 = t["k1"] - t["below"], t["k2"] - t["below"]
+        seen, v1, v2 = 0, None, None
+        for v, n in sorted(by_t.get(i, [])):
+            nxt = seen + n
+            if v1 is None and r1 < nxt:
+                v1 = float(v)
+            if v2 is None and r2 < nxt:
+                v2 = float(v)
+                break
+            seen = nxt
+        t["vals"] = (v1, v2)
 
 
 def exact_median(df: DataFrame, col: str, **kw) -> float | None:

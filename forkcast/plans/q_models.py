@@ -10,7 +10,7 @@ from forkcast.operators.split import hash_split, stratified_split
 from forkcast.plans import jobs
 from forkcast.plans.oracle_views import with_views
 from forkcast.plans.registry import register
-from forkcast.session import ensure_checkpoint_dir
+from forkcast.session import materialize
 from forkcast.sources.tables import read_table, venue_view
 
 _BIN = ("CAST(CASE WHEN rating_text IN ('Poor', 'Average') THEN 0 "
@@ -111,8 +111,7 @@ def q_approx_median_label(spark, d):
 def _features(spark, d):
     """Feature table, written to the reliable checkpoint folder once so the
     fits and scorers below do not recompute cleaning (as the DAG's files)."""
-    ensure_checkpoint_dir(spark)
-    return jobs.feature_stage(jobs.clean_stage(venue_view(spark, d))).checkpoint()
+    return materialize(jobs.feature_stage(jobs.clean_stage(venue_view(spark, d))), "features")
 
 
 @register("clean_table")

@@ -21,6 +21,7 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -68,3 +69,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="forkcast-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return path
+
+
+def materialize(df, name: str = "stage"):
+    """Cut lineage by writing ``df`` as parquet under the reliable
+    checkpoint folder and reading it back.
+
+    One computation (``Dataset.checkpoint`` runs the plan twice unless it
+    is cached first); the files sit in the shared folder the cluster names,
+    so a lost executor re-reads them instead of recomputing the lineage.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/forkcast-tables/{name}-{uuid.uuid4().hex[:12]}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

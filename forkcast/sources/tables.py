@@ -15,9 +15,21 @@ from pyspark.sql import functions as F
 from forkcast.functions.text import nan_to_null
 
 
+_SCANS: dict = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table; column pruning and filters reach the parquet scan."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One driver table; column pruning and filters reach the parquet scan.
+
+    The scan DataFrame is reused per session and path (the inputs are
+    read-only), which saves the footer/schema read on every query build."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _SCANS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(path)
+        _SCANS[key] = df
+    return df
 
 
 def _null_when(cond: Column, value: Column) -> Column:
