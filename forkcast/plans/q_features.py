@@ -84,3 +84,52 @@ def q_standardise_pop(spark, d):
 def q_standardise_sample(spark, d):
     return features.standardise(read_table(spark, d, "lineitem"), _LI, ddof=1,
                                 keep=["l_orderkey", "l_linenumber"], places=6)
+
+
+def _feature_sql():
+    from forkcast.plans.q_impute import CLEAN_SQL
+    items = "string_split(replace(replace({c}, '[' || chr(39), ''), chr(39) || ']', ''), chr(39) || ', ' || chr(39))"
+    clean_body = CLEAN_SQL[CLEAN_SQL.index("w0 AS ("):]
+    head, final_select = clean_body.rsplit("SELECT id, subzone, cuisine,", 1)
+    return f"""WITH venue AS ({_venue_sql()}), {head.rstrip()},
+cl AS (SELECT id, subzone, cuisine,{final_select}),
+f AS (SELECT *, lower({strip('subzone')}) AS sz, {items.format(c='cuisine')} AS c_items,
+             {items.format(c='type')} AS t_items FROM cl),
+fq AS (SELECT sz, count(*) AS subzone_freq FROM f GROUP BY sz),
+base AS (
+  SELECT f.id, f.cost, f.cost_2, f.lat, f.lng, f.rating_number, f.votes,
+    CAST(CASE f.rating_text WHEN 'Poor' THEN 1 WHEN 'Average' THEN 2 WHEN 'Good' THEN 3 WHEN 'Very Good' THEN 4
+         WHEN 'Excellent' THEN 5 END AS INTEGER) AS rating_text_ord,
+    CAST(fq.subzone_freq AS BIGINT) AS subzone_freq,
+    CAST(len(list_distinct(f.c_items)) AS INTEGER) AS cuisine_diversity,
+    CASE WHEN f.cost >= 0 AND f.cost <= 50 THEN 'Low' WHEN f.cost > 50 AND f.cost <= 100 THEN 'Medium'
+         WHEN f.cost > 100 AND f.cost <= 200 THEN 'High' WHEN f.cost > 200 AND f.cost <= 500 THEN 'Luxury' END AS cost_bin,
+    CAST(coalesce(f.votes > (SELECT median(votes) FROM f), false) AS INTEGER) AS votes_intensity,
+    CAST(fq.subzone_freq AS BIGINT) AS suburb_density,
+    CAST(fq.subzone_freq * (1 + (SELECT sum(q.subzone_freq) FROM f JOIN fq q USING (sz))) AS BIGINT)
+      AS suburb_density_parity
+  FROM f JOIN fq USING (sz))
+SELECT * FROM base
+JOIN (SELECT * FROM (PIVOT (SELECT f.id, 'cuisine_' || c.item AS name,
+                                   CAST(list_contains(f.c_items, c.item) AS INTEGER) AS flag
+                            FROM f CROSS JOIN (SELECT DISTINCT unnest(c_items) AS item FROM f) c)
+                     ON name USING max(flag) GROUP BY id)) USING (id)
+JOIN (SELECT * FROM (PIVOT (SELECT f.id, 'type_' || c.item AS name,
+                                   CAST(list_contains(f.t_items, c.item) AS INTEGER) AS flag
+                            FROM f CROSS JOIN (SELECT DISTINCT unnest(t_items) AS item FROM f) c)
+                     ON name USING max(flag) GROUP BY id)) USING (id)
+JOIN (SELECT * FROM (PIVOT (SELECT f.id, 'subzone_' || s.sz AS name, f.sz = s.sz AS flag
+                            FROM f CROSS JOIN (SELECT DISTINCT sz FROM f) s)
+                     ON name USING bool_or(flag) GROUP BY id)) USING (id)"""
+
+
+def _venue_sql():
+    from forkcast.plans.oracle_views import VENUE_SQL
+    return VENUE_SQL
+
+
+@register("feature_stage", _feature_sql())
+def q_feature_stage(spark, d):
+    from forkcast.plans import jobs
+    feats = jobs.feature_stage(jobs.clean_stage(venue_view(spark, d)))
+    return feats.withColumns({"rating_number": F.round("rating_number", 6), "votes": F.round("votes", 6)})

@@ -43,3 +43,34 @@ def q_impute_knn(spark, d):
     out = knn.knn_impute(v, require_predictors=True)
     return out.select("id", F.round("rating_number", 4).alias("rating_number"),
                       F.round("votes", 4).alias("votes"), "cost", "cost_2", "lat", "lng")
+
+
+def _band_sql(x: str) -> str:
+    return (f"CASE WHEN {x} IS NULL THEN NULL WHEN {x} >= 4.5 THEN 'Excellent' WHEN {x} >= 4.0 THEN 'Very Good' "
+            f"WHEN {x} >= 3.5 THEN 'Good' WHEN {x} >= 2.5 THEN 'Average' ELSE 'Poor' END")
+
+
+CLEAN_SQL = with_views(f""",
+w0 AS (SELECT id, subzone, cuisine, type, coalesce(cost, (SELECT median(cost) FROM venue)) AS cost,
+              coalesce(cost_2, (SELECT median(cost_2) FROM venue)) AS cost_2, lat, lng, rating_number, votes,
+              rating_text FROM venue),
+w AS (SELECT id, rating_number, votes, cost, cost_2, lat, lng FROM w0),
+{_knn_sql('rating_number')},
+{_knn_sql('votes')},
+imp AS (SELECT w0.* EXCLUDE (rating_number, votes),
+               coalesce(w0.rating_number, a_rating_number.val) AS rating_number,
+               coalesce(w0.votes, a_votes.val) AS votes
+        FROM w0 LEFT JOIN a_rating_number ON w0.id = a_rating_number.rid LEFT JOIN a_votes ON w0.id = a_votes.rid),
+kept AS (SELECT * FROM imp WHERE lat IS NOT NULL AND lng IS NOT NULL),
+md AS (SELECT type FROM kept WHERE type IS NOT NULL GROUP BY type ORDER BY count(*) DESC, type LIMIT 1)
+SELECT id, subzone, cuisine, coalesce(type, (SELECT type FROM md)) AS type, cost, cost_2, lat, lng,
+       round(rating_number, 6) AS rating_number, round(votes, 6) AS votes,
+       coalesce(rating_text, {_band_sql('rating_number')}) AS rating_text
+FROM kept""")
+
+
+@register("clean_stage", CLEAN_SQL)
+def q_clean_stage(spark, d):
+    from forkcast.plans import jobs
+    out = jobs.clean_stage(venue_view(spark, d))
+    return out.withColumns({"rating_number": F.round("rating_number", 6), "votes": F.round("votes", 6)})
