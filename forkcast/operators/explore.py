@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forkcast.functions.text import nan_to_null, parse_list, trim_ws
+from forkcast.session import materialize
 
 
 def mean_by(df: DataFrame, key: str, col: str, alias: str | None = None) -> DataFrame:
@@ -45,7 +46,7 @@ def list_value_counts(df: DataFrame, col: str, count_col: str = "n") -> DataFram
     """Item frequencies of a list-literal column, plus ``n_categories``
     (distinct items) and ``n_distinct_counts`` (what the reference prints
     as "unique": the number of distinct frequencies)."""
-    counts = value_counts(explode_list(df, col, "item"), "item", count_col)
+    counts = materialize(value_counts(explode_list(df, col, "item"), "item", count_col), "list-counts")
     n_cat = counts.select(F.count(F.lit(1))).scalar()
     n_freq = counts.select(F.count_distinct(count_col)).scalar()
     return counts.withColumns({"n_categories": n_cat, "n_distinct_counts": n_freq})
@@ -107,9 +108,9 @@ def kde_curve(df: DataFrame, value: str, gridsize: int = 200) -> DataFrame:
     partial sums per task.  Columns: grid, x, density."""
     x = nan_to_null(F.col(value))
     base = df.select(x.alias("x")).where(F.col("x").isNotNull())
-    stats = base.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("s"),
-                     F.min("x").alias("lo"), F.max("x").alias("hi"))
-    n_, s_, lo_, hi_ = (stats.select(c).scalar() for c in ("n", "s", "lo", "hi"))
+    st = base.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("s"),
+                  F.min("x").alias("lo"), F.max("x").alias("hi")).first()     # fitted scalars, one pass
+    n_, s_, lo_, hi_ = (F.lit(st[c]).cast("double") for c in ("n", "s", "lo", "hi"))
     h = s_ * F.pow(n_.cast("double"), F.lit(-0.2))
     distinct = base.groupBy("x").agg(F.count(F.lit(1)).alias("w"))
     step = (hi_ - lo_) / F.lit(gridsize - 1)

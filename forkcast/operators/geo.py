@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forkcast.functions.text import casefold, normalise_key, parse_list, trim_ws
+from forkcast.session import materialize
 
 EARTH_RADIUS_M = 6378137.0  # fixed value: WGS84 / web-mercator sphere radius
 
@@ -62,6 +63,9 @@ def cuisine_counts_many(venue: DataFrame, boundaries: DataFrame, cuisines: list[
               .withColumn("_fold", casefold("cuisine"))
               .where(F.col("_fold").isin(folded))
               .groupBy("subzone", "_fold").agg(F.count(F.lit(1)).alias("venue_count")))
+    # counts are tiny (suburbs x listed cuisines) and read twice (join and
+    # shared maximum): write them once so the venue table is scanned once
+    counts = materialize(counts, "cuisine-counts")
     # the cuisine list is a fixed literal: expand regions by explode, no join
     pairs = F.array(*[F.struct(F.lit(c).alias("cuisine"), F.lit(f).alias("_fold"))
                       for c, f in zip(cuisines, folded)])
