@@ -95,6 +95,11 @@ def has_min_rows(df: DataFrame, n: int = 5) -> bool:
     return df.limit(n).count() >= n
 
 
+def columns_with_prefix(df: DataFrame, prefix: str) -> list[str]:
+    """Prefix column selection (PRJ6), in schema order."""
+    return [c for c in df.columns if c.startswith(prefix)]
+
+
 def drop_columns(df: DataFrame, cols) -> DataFrame:
     """Missing names are ignored (PRJ4)."""
     return df.drop(*present(df, cols))

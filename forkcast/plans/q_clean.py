@@ -194,3 +194,28 @@ def q_format_metrics(spark, d):
                  S.fmt_percent(miss("cost")).alias("cost_missing_pct"),
                  F.round(miss("votes"), 4).alias("votes_missing_pct"),
                  S.fmt_fixed(F.count("lat").cast("double") / n).alias("lat_present_ratio"))
+
+
+_PREDICATES = [
+    ("in", "rating_text IN ('Excellent', 'Poor')"),
+    ("equals", "rating_text = 'Excellent'"),
+    ("casefold", f"{fold(strip('subzone'))} = {fold(repr('NATION_3'))}"),
+    ("drop_null_subset", "rating_number IS NOT NULL AND votes IS NOT NULL"),
+    ("drop_null_any", " AND ".join(f"{c} IS NOT NULL" for c in VENUE_COLS)),
+]
+
+
+@register("filter_predicates", with_views("\nUNION ALL\n".join(
+    f"SELECT '{name}' AS predicate, * FROM venue WHERE {cond}" for name, cond in _PREDICATES)))
+def q_filter_predicates(spark, d):
+    v = venue_view(spark, d)
+    parts = [("in", clean.where_in(v, "rating_text", ["Excellent", "Poor"])),
+             ("equals", clean.where_equals(v, "rating_text", "Excellent")),
+             ("casefold", v.where(T.casefold(T.trim_ws("subzone")) == T.casefold(F.lit("NATION_3")))),
+             ("drop_null_subset", clean.drop_missing(v, ["rating_number", "votes"])),
+             ("drop_null_any", clean.drop_any_null(v))]
+    out = None
+    for name, df in parts:
+        one = df.select(F.lit(name).alias("predicate"), *VENUE_COLS)
+        out = one if out is None else out.unionByName(one)
+    return out

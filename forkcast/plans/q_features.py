@@ -133,3 +133,17 @@ def q_feature_stage(spark, d):
     from forkcast.plans import jobs
     feats = jobs.feature_stage(jobs.clean_stage(venue_view(spark, d)))
     return feats.withColumns({"rating_number": F.round("rating_number", 6), "votes": F.round("votes", 6)})
+
+
+@register("cuisine_totals", with_views(f"""
+SELECT * FROM (PIVOT (SELECT 'cuisine_' || item AS name, CAST(count(*) AS BIGINT) AS n
+                      FROM (SELECT DISTINCT id, unnest({_SPLIT.format(c='cuisine')}) AS item FROM venue)
+                      GROUP BY item)
+               ON name USING max(n))"""))
+def q_cuisine_totals(spark, d):
+    from forkcast.operators.clean import columns_with_prefix
+    from forkcast.operators.explore import column_totals
+    mh = features.multi_hot(venue_view(spark, d).select("id", "cuisine"), "cuisine", keep_list=False)
+    cols = columns_with_prefix(mh, "cuisine_")                        # PRJ6
+    tot = column_totals(mh, cols)                                       # AGG13
+    return tot.select(*[F.col(c).cast("bigint").alias(c) for c in cols])
