@@ -95,9 +95,25 @@ def histogram_by_group(df: DataFrame, value: str, group: str, bins: int = 20,
 
 
 def histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
-    """Equal-width histogram of one column over [min, max]."""
-    return (histogram_by_group(df.withColumn("__all", F.lit("all")), value, "__all", bins)
-            .drop("__all"))
+    """Equal-width histogram of one column over [min, max] (last bin
+    closed); the range is a fitted pair of scalars (one pass), then one
+    grouped count; every bin listed.  Columns: bin, bin_lo, bin_hi, n."""
+    x = nan_to_null(F.col(value))
+    base = df.select(x.alias("x")).where(F.col("x").isNotNull())
+    mn, mx = base.agg(F.min("x"), F.max("x")).first()
+    spark = df.sparkSession
+    if mn is None:
+        return spark.createDataFrame([], "bin int, bin_lo double, bin_hi double, n bigint")
+    lo, hi = (mn - 0.5, mx + 0.5) if mn == mx else (mn, mx)
+    lo_c, hi_c = F.lit(float(lo)), F.lit(float(hi))
+    idx = F.least(F.floor((F.col("x") - lo_c) * F.lit(bins) / (hi_c - lo_c)), F.lit(bins - 1)).cast("int")
+    counts = base.groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    grid = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
+    w = (hi_c - lo_c) / F.lit(bins)
+    return (grid.join(counts, "bin", "left")
+                .select("bin", F.round(lo_c + F.col("bin") * w, 4).alias("bin_lo"),
+                        F.round(lo_c + (F.col("bin") + 1) * w, 4).alias("bin_hi"),
+                        F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n")))
 
 
 def kde_curve(df: DataFrame, value: str, gridsize: int = 200) -> DataFrame:
