@@ -29,7 +29,10 @@ pair is a plain Euclidean k-NN problem, solved by a multi-level grid:
    seen every donor of the pair) is final; the rest go to level L+1.
    w_0 is the radius whose ball would hold ~2.5k donors if they were
    spread evenly, so most receivers finish at level 0 or 1; the top level
-   spans the data;
+   spans the data.  Receivers near a crowded level-0 cell (a dense cluster
+   of distinct points) start at a negative level whose cells split that
+   crowd into pieces of ~64 donors, so a hot region never pairs all its
+   receivers with all its donors;
 4. per receiver the pair results are merged, the k nearest kept
    (``row_number`` with WindowGroupLimit, so each task ships at most k
    rows per key) and the weighted mean computed; a left join writes it
@@ -151,7 +154,8 @@ def _plan_target(work: DataFrame, cols: list[str], t: str, k: int, ball_target:
                 mean=donors.select(F.avg("_v")).scalar())
 
 
-def _search_and_weigh(plans: list[dict], D: int, k: int, max_levels: int, growth: float) -> DataFrame:
+def _search_and_weigh(plans: list[dict], D: int, k: int, max_levels: int, growth: float,
+                      crowd: int = 64) -> DataFrame:
     """Grid search over all pairs of all targets at once; returns
     (_t, _id, _value) for every receiver cell."""
     n_s = D - 1
@@ -188,18 +192,36 @@ def _search_and_weigh(plans: list[dict], D: int, k: int, max_levels: int, growth
         n_pair = {r["_pair"]: r["n"] for r in d_all.groupBy("_pair").agg(F.count(F.lit(1)).alias("n")).collect()}
         npair_map = F.create_map(*[x for q, n in n_pair.items() for x in (F.lit(q), F.lit(n))])
         # receivers: distinct points per pair
-        open_pts = materialize(r_all.select(*pair_meta, *s_names, *b_names).distinct(), "knn-receivers")
+        r_pts = r_all.select(*pair_meta, *s_names, *b_names).distinct()
         offs = {nb: F.array(*[F.struct(*[F.lit(o[j]).alias(f"o{j}") for j in range(_MAX_BLOCK_DIMS)])
                               for o in _offsets(nb)]) for nb in range(1, _MAX_BLOCK_DIMS + 1)}
         off_expr = F.when(F.col("_nb") == 1, offs[1])
         for nb in range(2, _MAX_BLOCK_DIMS):
             off_expr = off_expr.when(F.col("_nb") == nb, offs[nb])
         off_expr = off_expr.otherwise(offs[_MAX_BLOCK_DIMS])
-        for level in range(max_levels + 1):
+        # Dense regions start finer: a receiver whose level-0 neighbourhood
+        # holds a crowded cell (> crowd donors) starts at the level where
+        # that cell splits into ~crowd-sized cells.  Only crowded cells are
+        # expanded to their neighbours, so this side stays small.
+        k0 = [f"_k{j}" for j in range(_MAX_BLOCK_DIMS)]
+        cells0 = [F.floor(F.col(b) / F.col("_w0")).alias(f"_k{j}") for j, b in enumerate(b_names)]
+        crowded = (d_all.select("_pair", "_nb", *cells0).groupBy("_pair", "_nb", *k0)
+                        .agg(F.count(F.lit(1)).alias("_crowd")).where(F.col("_crowd") > F.lit(crowd)))
+        near = (crowded.withColumn("_o", F.explode(off_expr))
+                       .select("_pair", *[(F.col(f"_k{j}") + F.col(f"_o.o{j}")).alias(f"_k{j}")
+                                          for j in range(_MAX_BLOCK_DIMS)], "_crowd", "_nb")
+                       .groupBy("_pair", *k0).agg(F.max("_crowd").alias("_crowd"), F.max("_nb").alias("_nbc")))
+        finer = F.ceil(F.log(F.col("_crowd") / F.lit(float(crowd))) / (F.col("_nbc") * F.lit(math.log(growth))))
+        start = F.when(F.col("_crowd").isNull(), F.lit(0)).otherwise(-F.least(finer, F.lit(60))).cast("int")
+        open_pts = materialize(r_pts.select("*", *cells0).join(near, ["_pair", *k0], "left")
+                                    .select(*pair_meta, *s_names, *b_names, start.alias("_start")), "knn-receivers")
+        first_level = open_pts.agg(F.min("_start")).first()[0] or 0
+        for level in range(first_level, max_levels + 1):
             width = F.col("_w0") * F.lit(float(growth ** level))
             cells = [F.floor(F.col(b) / width).alias(f"_c{j}") for j, b in enumerate(b_names)]
             d_lv = d_all.select("_did", "_v", "_pair", *[F.col(s).alias("d" + s) for s in s_names], *cells)
-            r_lv = (open_pts.select("*", *[F.floor(F.col(b) / width).alias(f"_rc{j}") for j, b in enumerate(b_names)])
+            active = open_pts.where(F.col("_start") <= F.lit(level))
+            r_lv = (active.select("*", *[F.floor(F.col(b) / width).alias(f"_rc{j}") for j, b in enumerate(b_names)])
                             .withColumn("_o", F.explode(off_expr))
                             .select(*key_cols, "_m", "_top", "_w0",
                                     *[(F.col(f"_rc{j}") + F.col(f"_o.o{j}")).alias(f"_c{j}")
@@ -223,7 +245,7 @@ def _search_and_weigh(plans: list[dict], D: int, k: int, max_levels: int, growth
             open_pts = open_pts.join(top.where("_done").select(*key_cols).distinct(), key_cols, "left_anti")
             if _DEBUG:
                 print(f"[knn] level={level} open={open_pts.count()}", flush=True)  # noqa: T201
-            if open_pts.isEmpty():
+            if level >= 0 and open_pts.isEmpty():
                 break
     spark = plans[0]["recv"].sparkSession
     recv_all = reduce(DataFrame.unionByName, [p["recv"].select(F.lit(p["t"]).alias("_t"), "_id") for p in plans])

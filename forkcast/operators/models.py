@@ -200,8 +200,8 @@ def sgd_regression(train: DataFrame, valid: DataFrame, x_cols: list[str], label:
 
 
 def pca_components_for(df: DataFrame, cols: list[str], variance: float = 0.95):
-    """Standardise, fit PCA with k = d once, keep the first k whose
-    cumulative explained variance exceeds ``variance``.  Returns (k,
+    """Standardise, fit PCA with k = d once, keep the smallest k whose
+    cumulative explained variance is strictly above ``variance``.  Returns (k,
     ratios, fitted scaler+PCA pipeline)."""
     d = len(cols)
     pipe = Pipeline(stages=[assembler(cols, "features_raw", "skip"),
@@ -211,9 +211,9 @@ def pca_components_for(df: DataFrame, cols: list[str], variance: float = 0.95):
     model = pipe.fit(df)
     ratios = [float(x) for x in model.stages[-1].explainedVariance.toArray()]
     cum, k = 0.0, d
-    for i, r in enumerate(ratios):
+    for i, r in enumerate(ratios):          # first count whose cumulative share is strictly above
         cum += r
-        if cum >= variance - 1e-12:
+        if cum > variance:
             k = i + 1
             break
     return k, ratios, model

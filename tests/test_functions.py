@@ -72,3 +72,12 @@ def test_flags(spark):
     got = [tuple(r) for r in df.orderBy("i").select(S.flag_greater("x", F.lit(2.0)),
                                                    S.flag_at_least_keep_null("x", F.lit(2.0))).collect()]
     assert got == [(0, 0), (1, 1), (0, None)]
+
+
+def test_strict_parse_fails_on_bad_text(spark):
+    import pytest
+    ok = _col(spark, ["['a']", None], "string").select(T.parse_list_strict("x").alias("v"))
+    assert [r.v for r in ok.orderBy(F.col("v").isNull()).collect()] == [["a"], None]
+    bad = _col(spark, ["['a']", "[bad"], "string").select(T.parse_list_strict("x"))
+    with pytest.raises(Exception):
+        bad.collect()

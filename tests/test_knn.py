@@ -90,3 +90,24 @@ def test_present_cells_unchanged_and_all_null_target(spark):
     got = run(spark, rows)
     assert all(got[i][0] is None for i in got)       # nothing to learn from
     assert all(got[i][1] == float(i) for i in got)
+
+
+def test_dense_cluster_starts_finer(spark):
+    """A third-plus of the rows crowd one tiny region: still exact."""
+    rng = np.random.default_rng(7)
+    rows = []
+    for i in range(300):                                    # dense cluster of distinct points
+        vals = [float(rng.integers(0, 5)), float(rng.integers(0, 9)),
+                float(rng.random()), float(rng.random()), float(rng.random())]
+        if i % 3 == 0:
+            vals[0] = None
+        rows.append((i, *vals))
+    for i in range(300, 360):                               # sparse background
+        vals = [float(rng.integers(0, 5)), float(rng.integers(0, 9)),
+                float(rng.integers(0, 1000)), float(rng.integers(0, 1000)), float(rng.integers(0, 1000))]
+        if i % 4 == 0:
+            vals[0] = None
+        rows.append((i, *vals))
+    got, want = run(spark, rows), brute(rows)
+    for i in want:
+        assert close(want[i][0], got[i][0]) and close(want[i][1], got[i][1]), (i, want[i], got[i])
