@@ -22,13 +22,27 @@ from forkcast.operators.stats import exact_median
 MAX_WIDE_CATEGORIES = 2000
 
 
+class TooManyCategories(ValueError):
+    """More categories than wide 0/1 columns allow."""
+
+
+def one_hot_vector(df: DataFrame, col: str, out_col: str) -> DataFrame:
+    """Sparse one-hot for many categories: StringIndexer (alphabetical)
+    + OneHotEncoder(dropLast=False)."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import OneHotEncoder, StringIndexer
+    idx = StringIndexer(inputCol=col, outputCol=f"{col}__idx", stringOrderType="alphabetAsc", handleInvalid="keep")
+    enc = OneHotEncoder(inputCol=f"{col}__idx", outputCol=out_col, dropLast=False)
+    return Pipeline(stages=[idx, enc]).fit(df).transform(df).drop(f"{col}__idx")
+
+
 def list_categories(df: DataFrame, col: str, parity: bool = False) -> list[str]:
     """Fit of a multi-hot encoder: sorted distinct items (bounded by the
     number of categories, checked)."""
     items = (df.select(F.explode(list_column(col, parity)).alias("v")).distinct()
                .orderBy("v").limit(MAX_WIDE_CATEGORIES + 1).collect())
     if len(items) > MAX_WIDE_CATEGORIES:
-        raise ValueError(f"{col}: more than {MAX_WIDE_CATEGORIES} categories; use multi_hot_vector")
+        raise TooManyCategories(f"{col}: more than {MAX_WIDE_CATEGORIES} categories; use multi_hot_vector")
     return [r["v"] for r in items]
 
 
@@ -80,7 +94,7 @@ def one_hot_bool(df: DataFrame, col: str, prefix: str | None = None, categories:
         rows = (df.select(key.alias("v")).where(F.col("v").isNotNull()).distinct().orderBy("v")
                   .limit(MAX_WIDE_CATEGORIES + 1).collect())
         if len(rows) > MAX_WIDE_CATEGORIES:
-            raise ValueError(f"{col}: too many categories for wide one-hot columns")
+            raise TooManyCategories(f"{col}: too many categories for wide one-hot columns")
         categories = [r["v"] for r in rows]
     return df.withColumns({f"{prefix}_{v}": F.coalesce(key == F.lit(v), F.lit(False)) for v in categories})
 
@@ -140,14 +154,20 @@ def build_features(clean: DataFrame, parity: bool = False, wide_subzone: bool =
     df = add_rating_ordinal(clean)
     if "subzone" in df.columns:
         df = df.withColumn("subzone", normalise_key("subzone", parity))
-    if "cuisine" in df.columns:
-        df = multi_hot(df, "cuisine", parity=parity)
-    if "type" in df.columns:
-        df = multi_hot(df, "type", parity=parity)
+    for col in ("cuisine", "type"):
+        if col in df.columns:
+            try:
+                df = multi_hot(df, col, parity=parity)
+            except TooManyCategories:             # wide data: one sparse vector column instead
+                vec, _ = multi_hot_vector(df, col, f"{col}_vec", parity)
+                df = vec
     if "subzone" in df.columns:
         df = group_frequency(df, "subzone", "subzone_freq")
         if wide_subzone:
-            df = one_hot_bool(df, "subzone", parity=parity)
+            try:
+                df = one_hot_bool(df, "subzone", parity=parity)
+            except TooManyCategories:
+                df = one_hot_vector(df, "subzone", "subzone_vec")
     if "cuisine" in df.columns:
         df = diversity(df, "cuisine")
     if "cost" in df.columns:

@@ -30,10 +30,12 @@ LEAKY_FOR_REGRESSION = ("rating_text_ord", "rating_binary")
 LEAKY_FOR_CLASSIFICATION = ("rating_text_ord",)
 
 
-def feature_columns(df: DataFrame, exclude=()) -> list[str]:
+def feature_columns(df: DataFrame, exclude=(), vectors: bool = False) -> list[str]:
     """Numeric columns (bool and decimal excluded, as the reference's
-    numeric whitelist does) minus ``exclude``."""
-    return [c for c, t in df.dtypes if t in NUMERIC_TYPES and c not in set(exclude)]
+    numeric whitelist does) minus ``exclude``; with ``vectors`` also the
+    sparse vector columns the feature stage emits for wide category sets."""
+    ok = set(NUMERIC_TYPES) | ({"vector"} if vectors else set())
+    return [c for c, t in df.dtypes if t in ok and c not in set(exclude)]
 
 
 def assembler(cols: list[str], out: str = "features_raw", handle_invalid: str = "error") -> VectorAssembler:
@@ -64,7 +66,7 @@ def spark_regression(df: DataFrame, label: str = "rating_number", key: str = "id
     mse, r2, train_time_s, infer_time_s (NULLs under ``min_rows``)."""
     spark = df.sparkSession
     excl = {label, key} | (set() if parity else set(LEAKY_FOR_REGRESSION))
-    cols = feature_columns(df, excl)
+    cols = feature_columns(df, excl, vectors=True)
     data = df.select(key, *cols, label).dropna(subset=[label])
     empty = spark.createDataFrame([("spark_ols", None, None, None, None)],
                                   "model string, mse double, r2 double, train_time_s double, infer_time_s double")
@@ -92,7 +94,7 @@ def spark_classification(df: DataFrame, label: str = "rating_binary", key: str =
     metrics row with accuracy, precision, recall, f1 and timings."""
     spark = df.sparkSession
     excl = {label, key, "rating_number"} | (set() if parity else set(LEAKY_FOR_CLASSIFICATION))
-    cols = feature_columns(df, excl)
+    cols = feature_columns(df, excl, vectors=True)
     data = df.select(key, *cols, label).dropna(subset=[label])
     if not cols or data.limit(min_rows).count() < min_rows:
         return spark.createDataFrame([("spark_logistic", None, None, None)],

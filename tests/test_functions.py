@@ -81,3 +81,14 @@ def test_strict_parse_fails_on_bad_text(spark):
     bad = _col(spark, ["['a']", "[bad"], "string").select(T.parse_list_strict("x"))
     with pytest.raises(Exception):
         bad.collect()
+
+
+def test_wide_categories_fall_back_to_vectors(spark, monkeypatch):
+    from forkcast.operators import features
+    monkeypatch.setattr(features, "MAX_WIDE_CATEGORIES", 3)
+    df = spark.createDataFrame([(1, "['a', 'b']", "x", 1.0, 2.0, "Good"), (2, "['c', 'd']", "y", 3.0, 4.0, "Poor"),
+                                (3, "['a']", "z", 5.0, 6.0, "Good"), (4, "['e']", "w", 7.0, 8.0, "Poor")],
+                               "id long, cuisine string, subzone string, cost double, votes double, rating_text string")
+    out = features.build_features(df)
+    assert "cuisine_vec" in out.columns and "subzone_vec" in out.columns
+    assert out.where("subzone_freq = 1").count() == 4
