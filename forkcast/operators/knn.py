@@ -84,7 +84,9 @@ def knn_impute(df: DataFrame, targets=TARGETS, predictors=PREDICTORS, k: int = N
     ensure_checkpoint_dir(spark)
     work = df.select(F.col(id_col).alias("_id"), *[nan_to_null(F.col(c)).cast("double").alias(c) for c in cols])
     work = materialize(work, "knn-work")        # read many times below: compute once
-    plans = [p for p in (_plan_target(work, cols, t, k, ball_target, growth) for t in targets) if p is not None]
+    stats = _pattern_stats(work, cols, targets)
+    plans = [p for p in (_plan_target(work, cols, t, k, ball_target, growth, stats[t]) for t in targets)
+             if p is not None]
     if not plans:
         return df
     found = _search_and_weigh(plans, len(cols), k, max_levels, growth)
@@ -119,25 +121,46 @@ def _first_width(ranges: list[float], n: int, want: float, span: float) -> float
     return max(w0, span / float(2 ** 40), 1e-12)
 
 
+def _pattern_stats(work: DataFrame, cols: list[str], targets: list[str]) -> dict:
+    """Per target, per side (receiver / donor) and presence pattern: row
+    count, min / max of every other column and the donors' sum of the
+    target.  ONE aggregate job for all targets (at most 2^D rows each)."""
+    parts = []
+    for t in targets:
+        others = [c for c in cols if c != t]
+        parts.append(work.select(
+            F.lit(t).alias("_t"), F.col(t).isNotNull().alias("_is_donor"), _pattern(others).alias("_pat"),
+            F.col(t).alias("_v"), *[F.col(c).alias(f"x{i}") for i, c in enumerate(others)]))
+    n_o = len(cols) - 1
+    aggs = [F.count(F.lit(1)).alias("n"), F.sum("_v").alias("sum_v")]
+    for i in range(n_o):
+        aggs += [F.min(f"x{i}").alias(f"lo{i}"), F.max(f"x{i}").alias(f"hi{i}")]
+    rows = reduce(DataFrame.unionByName, parts).groupBy("_t", "_is_donor", "_pat").agg(*aggs).collect()
+    out = {t: {"r": {}, "d": {}} for t in targets}
+    for r in rows:
+        t = r["_t"]
+        others = [c for c in cols if c != t]
+        rec = {"n": r["n"], "sum_v": r["sum_v"]}
+        for i, c in enumerate(others):
+            rec[f"lo_{c}"], rec[f"hi_{c}"] = r[f"lo{i}"], r[f"hi{i}"]
+        out[t]["d" if r["_is_donor"] else "r"][r["_pat"]] = rec
+    return out
+
+
 def _plan_target(work: DataFrame, cols: list[str], t: str, k: int, ball_target: float,
-                 growth: float) -> dict | None:
+                 growth: float, stats: dict) -> dict | None:
     """Receivers, donors and the (receiver pattern, donor pattern) pairs of
     one target column, each pair with its shared columns, blocking columns,
-    level-0 width and top level."""
+    level-0 width, top level and donor count."""
     others = [c for c in cols if c != t]
     pat = _pattern(others).alias("_pat")
     recv = work.where(F.col(t).isNull()).select("_id", *others, pat)
     donors = work.where(F.col(t).isNotNull()).select(F.col("_id").alias("_did"), F.col(t).alias("_v"), *others, pat)
-    # pattern statistics of both sides in one job (at most 2^D rows)
-    aggs = [F.count(F.lit(1)).alias("n")]
-    for c in others:
-        aggs += [F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}")]
-    rows = (work.select(F.col(t).isNotNull().alias("_is_donor"), *others, pat)
-                .groupBy("_is_donor", "_pat").agg(*aggs).collect())
-    rstat = {r["_pat"]: r.asDict() for r in rows if not r["_is_donor"]}
-    dstat = {r["_pat"]: r.asDict() for r in rows if r["_is_donor"]}
+    rstat, dstat = stats["r"], stats["d"]
     if not rstat or not dstat:
         return None                                        # nothing missing, or nothing to learn from
+    n_d = sum(s["n"] for s in dstat.values())
+    mean = sum(s["sum_v"] for s in dstat.values()) / n_d
     pairs = []
     for rp, rs in rstat.items():
         for dp, ds in dstat.items():
@@ -149,9 +172,8 @@ def _plan_target(work: DataFrame, cols: list[str], t: str, k: int, ball_target:
             span = max(max(ds[f"hi_{c}"], rs[f"hi_{c}"]) - min(ds[f"lo_{c}"], rs[f"lo_{c}"]) for c in B)
             w0 = _first_width([rngs[c] for c in S], ds["n"], ball_target * k, span)
             top = 0 if span <= 0 else max(0, math.ceil(math.log(max(span / w0, 1.0)) / math.log(growth))) + 1
-            pairs.append(dict(rp=rp, dp=dp, S=S, B=B, w0=w0, top=top))
-    return dict(t=t, others=others, recv=recv, donors=donors, pairs=pairs,
-                mean=donors.select(F.avg("_v")).scalar())
+            pairs.append(dict(rp=rp, dp=dp, S=S, B=B, w0=w0, top=top, n=ds["n"]))
+    return dict(t=t, others=others, recv=recv, donors=donors, pairs=pairs, mean=mean)
 
 
 def _search_and_weigh(plans: list[dict], D: int, k: int, max_levels: int, growth: float,
@@ -173,9 +195,10 @@ def _search_and_weigh(plans: list[dict], D: int, k: int, max_levels: int, growth
             *[c.cast("double").alias(f"_s{j}") for j, c in enumerate(s_cols)],
             *[c.cast("double").alias(f"_b{j}") for j, c in enumerate(b_cols)])
 
-    r_parts, d_parts, pid = [], [], 0
+    r_parts, d_parts, pid, pair_n = [], [], 0, []
     for p in plans:
         for pdict in p["pairs"]:
+            pair_n.append((pid, pdict["n"]))
             r_parts.append(side(p["recv"], "rp", pid, pdict).select(
                 F.lit(p["t"]).alias("_t"), "_id", *pair_meta, *s_names, *b_names))
             d_parts.append(side(p["donors"], "dp", pid, pdict).select("_did", "_v", *pair_meta, *s_names, *b_names))
@@ -189,7 +212,9 @@ def _search_and_weigh(plans: list[dict], D: int, k: int, max_levels: int, growth
         wpt = Window.partitionBy("_pair", *s_names).orderBy("_did")
         d_all = d_all.withColumn("_rn", F.row_number().over(wpt)).where(F.col("_rn") <= k).drop("_rn")
         d_all = materialize(d_all, "knn-donors")
-        n_pair = {r["_pair"]: r["n"] for r in d_all.groupBy("_pair").agg(F.count(F.lit(1)).alias("n")).collect()}
+        # donors per pair before the k-per-point cap: "has seen them all" is
+        # then a stricter (still sound) test, and no extra job is needed
+        n_pair = dict(pair_n)
         npair_map = F.create_map(*[x for q, n in n_pair.items() for x in (F.lit(q), F.lit(n))])
         # receivers: distinct points per pair
         r_pts = r_all.select(*pair_meta, *s_names, *b_names).distinct()
