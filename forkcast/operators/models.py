@@ -152,8 +152,9 @@ def gram_statistics(df: DataFrame, x_cols: list[str], label: str) -> dict:
 def sgd_regression(train: DataFrame, valid: DataFrame, x_cols: list[str], label: str, eta0: float = 1e-5,
                    alpha: float = 1e-4, max_iter: int = 20000, tol: float = 1e-7, n_iter_no_change: int = 20):
     """Linear regression by gradient descent on standardised features with
-    L2 penalty, constant step, averaged weights and early stopping on a
-    validation split.  Squared loss only needs (X'X, X'y, y'y) of each
+    L2 penalty, constant step (the epoch equivalent of per-sample steps of
+    ``eta0``, capped for stability), averaged weights and early stopping on
+    a validation split.  Squared loss only needs (X'X, X'y, y'y) of each
     split, so every epoch runs on d x d summaries from one pass each; the
     result is the batch-gradient form of the update, not the per-sample
     order of a single-machine solver.  Returns (coef, intercept, mean, scale)."""
@@ -185,10 +186,17 @@ def sgd_regression(train: DataFrame, valid: DataFrame, x_cols: list[str], label:
     w, b = np.zeros(d), 0.0
     wa, ba, best, stall = np.zeros(d), 0.0, float("inf"), 0
     m, xx, sz, zy, sy, yy = tr
+    # One epoch of per-sample steps of size eta0 moves the weights by about
+    # eta0 * n mean gradients; take that step on the mean gradient, capped
+    # by 1 / (largest curvature) so the batch form stays stable for any n.
+    hess = np.zeros((d + 1, d + 1))
+    hess[:d, :d], hess[:d, d], hess[d, :d], hess[d, d] = xx / m, sz / m, sz / m, 1.0
+    lam_max = float(np.linalg.eigvalsh(hess)[-1]) + alpha
+    step = min(eta0 * m, 1.0 / lam_max)
     for it in range(1, max_iter + 1):
         grad_w = (xx @ w + b * sz - zy) / m + alpha * w
         grad_b = (w @ sz + m * b - sy) / m
-        w, b = w - eta0 * grad_w, b - eta0 * grad_b
+        w, b = w - step * grad_w, b - step * grad_b
         wa += (w - wa) / it
         ba += (b - ba) / it
         score = mse(va, wa, ba)
