@@ -92,3 +92,19 @@ def test_wide_categories_fall_back_to_vectors(spark, monkeypatch):
     out = features.build_features(df)
     assert "cuisine_vec" in out.columns and "subzone_vec" in out.columns
     assert out.where("subzone_freq = 1").count() == 4
+
+
+def test_kde_matches_direct_sum_with_gaps(spark):
+    import math
+
+    import numpy as np
+    from forkcast.operators.explore import kde_curve
+    vals = [0.0, 0.1, 0.2, 0.15, 100.0, 100.2, 99.9] * 50          # two clusters, empty middle
+    df = spark.createDataFrame([(float(v),) for v in vals], "c double")
+    got = sorted((r.grid, r.density) for r in kde_curve(df, "c", 50).collect())
+    x = np.array(vals)
+    n, h = len(x), np.std(x, ddof=1) * len(x) ** -0.2
+    grid = np.linspace(x.min(), x.max(), 50)
+    want = [np.exp(-0.5 * ((g - x) / h) ** 2).sum() / (n * h * math.sqrt(2 * math.pi)) for g in grid]
+    assert len(got) == 50
+    assert all(abs(d - round(w, 8)) < 2e-8 for (_, d), w in zip(got, want))
