@@ -73,3 +73,13 @@ def compare(frames: list[DataFrame]) -> DataFrame:
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
     return out
+
+
+def compare_wide(frames: list[DataFrame], metrics: list[str], model_col: str = "model") -> DataFrame:
+    """Side-by-side table (EV8): one row per metric, one column per model.
+    Metric rows are unpivoted to (model, metric, value) and pivoted on the
+    model names (explicit values: no extra distinct job)."""
+    long = compare(frames).unpivot(model_col, metrics, "metric", "value")
+    models_ = [r[0] for r in compare(frames).select(model_col).collect()]      # one row per frame
+    return (long.groupBy("metric").pivot(model_col, models_).agg(F.first("value"))
+                .select("metric", *models_))

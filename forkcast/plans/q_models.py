@@ -184,3 +184,24 @@ def _clf(kind):
 for _kind, _name in (("logistic", "logreg"), ("random_forest", "random_forest"), ("rff_svm", "rff_svm"),
                      ("mlp", "mlp")):
     register(_name)(_clf(_kind))
+
+
+_WIDE_METRICS = ["accuracy", "precision", "recall", "f1"]
+
+
+def _wide_sql():
+    clf = with_views(_clf_sql("votes > 500", "votes_gt_500") + "\nUNION ALL\n" + _clf_sql("cost > 200", "cost_gt_200"))
+    body = clf[clf.index("SELECT 'votes_gt_500'"):]
+    head = clf[:clf.index("SELECT 'votes_gt_500'")]
+    longs = "\nUNION ALL\n".join(f"SELECT model, '{m}' AS metric, {m} AS value FROM m" for m in _WIDE_METRICS)
+    return (f"{head.rstrip()}, m AS ({body}),\nl AS ({longs})\n"
+            "SELECT metric, max(CASE WHEN model = 'votes_gt_500' THEN value END) AS votes_gt_500, "
+            "max(CASE WHEN model = 'cost_gt_200' THEN value END) AS cost_gt_200 FROM l GROUP BY metric")
+
+
+@register("model_comparison_wide", _wide_sql())
+def q_model_comparison_wide(spark, d):
+    s = _scored(spark, d)
+    a = _round_metrics(evaluate.classification_metrics(s, "rating_binary", "pred_votes", model="votes_gt_500"))
+    b = _round_metrics(evaluate.classification_metrics(s, "rating_binary", "pred_cost", model="cost_gt_200"))
+    return evaluate.compare_wide([a, b], _WIDE_METRICS)
