@@ -21,13 +21,13 @@ pair is a plain Euclidean k-NN problem, solved by a multi-level grid:
 1. donors keep at most k rows per distinct point on S (smallest ids; a
    duplicate-heavy point cannot blow up the join) and receivers are
    reduced to distinct points on S (their answers are identical);
-2. at level L, cells of width w_L = w_0 * g^L (g = 1.5) over up to four blocking
-   columns of S (the widest); every open receiver point is equi-joined with the donors
-   of its own and neighbouring cells (3^b cells);
+2. at level L, cells of width w_L = w_0 * g^L (g = 1.5) over up to four
+   blocking columns of S (the widest); every open receiver point is
+   equi-joined with the donors of its own and neighbouring cells (3^b);
 3. a donor outside those cells is farther than sqrt(D/|S|) * w_L, so a
    receiver point whose k-th candidate is within that bound (or that has
    seen every donor of the pair) is final; the rest go to level L+1.
-   w_0 is the radius whose ball would hold ~2.5k donors if they were
+   w_0 is the radius whose ball would hold ~4k donors if they were
    spread evenly, so most receivers finish at level 0 or 1; the top level
    spans the data.  Receivers near a crowded level-0 cell (a dense cluster
    of distinct points) start at a negative level whose cells split that
@@ -38,16 +38,18 @@ pair is a plain Euclidean k-NN problem, solved by a multi-level grid:
    rows per key) and the weighted mean computed; a left join writes it
    back into the missing cells only.
 
-Every level is one shuffle join; the open set and the finished batches
-are written as tables under the session's reliable checkpoint folder, so
-a lost executor recomputes at most one level.
+Every level is one shuffle join (AQE broadcasts the donor side when it is
+small at run time).  The working table, the capped donors, the receiver
+points and every level's result are written as tables under the
+session's reliable checkpoint folder, so a lost executor recomputes at
+most one level.
 """
 
 from __future__ import annotations
 
 import itertools
-import os
 import math
+import os
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
