@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forkcast.functions.text import nan_to_null
-from forkcast.operators.stats import exact_quantiles
+from forkcast.operators.stats import exact_quantiles, grouped_exact_quantiles
 
 # Fixed value: the numeric types models may use (decimal and boolean excluded).
 NUMERIC_TYPES = ("double", "float", "int", "bigint", "smallint", "tinyint")
@@ -75,38 +75,22 @@ def describe(df: DataFrame, cols: list[str] | None = None, places: int | None =
     return one.select(F.explode(rows).alias("r")).select("r.*")
 
 
-MAX_EXACT_GROUPS = 256
-
-
 def describe_by_group(df: DataFrame, key: str, col: str, places: int | None = 4) -> DataFrame:
     """``groupby(key)[col].describe()``: one row per non-null key.
 
-    Up to ``MAX_EXACT_GROUPS`` groups, the quartiles come from the bounded
-    exact-quantile search (each group is one target in the same shared
-    passes, so a group holding most rows never lands in one task); above
-    that, Spark's exact ``percentile`` per group is used (memory per group
-    then grows with the group's distinct values)."""
+    Moments are one grouped aggregate; the quartiles come from the
+    grouped bounded exact-quantile search (any number of groups, a
+    dominant group never in one task), joined on the key."""
     x = nan_to_null(F.col(col))
     r = (lambda e: F.round(e, places)) if places is not None else (lambda e: e)
     base = df.where(F.col(key).isNotNull())
-    moments = [F.count(x).cast("bigint").alias("count"), r(F.avg(x)).alias("mean"),
-               r(F.stddev_samp(x)).alias("std"), r(F.min(x)).alias("min"), r(F.max(x)).alias("max")]
-    keys = [row[0] for row in base.select(key).distinct().limit(MAX_EXACT_GROUPS + 1).collect()]
-    if len(keys) > MAX_EXACT_GROUPS:
-        out = base.groupBy(key).agg(*moments, r(F.percentile(x, 0.25)).alias("p25"),
-                                    r(F.percentile(x, 0.5)).alias("p50"), r(F.percentile(x, 0.75)).alias("p75"))
-    else:
-        names = [f"__g{i}" for i in range(len(keys))]
-        per_group = base.select(*[F.when(F.col(key) == F.lit(k), x).alias(n) for k, n in zip(keys, names)])
-        qv = exact_quantiles(per_group, names, [0.25, 0.5, 0.75]) if keys else {}
-        lookup = {i: F.create_map(*[v for k, n in zip(keys, names)
-                                    for v in (F.lit(k), F.lit(qv[n][i]).cast("double"))]) for i in range(3)}
-        out = base.groupBy(key).agg(*moments)
-        if keys:
-            out = out.withColumns({nm: r(lookup[i][F.col(key)]) for i, nm in enumerate(("p25", "p50", "p75"))})
-        else:
-            out = out.withColumns({nm: F.lit(None).cast("double") for nm in ("p25", "p50", "p75")})
-    return out.select(key, "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+    moments = base.groupBy(key).agg(F.count(x).cast("bigint").alias("count"), r(F.avg(x)).alias("mean"),
+                                    r(F.stddev_samp(x)).alias("std"), r(F.min(x)).alias("min"),
+                                    r(F.max(x)).alias("max"))
+    q = grouped_exact_quantiles(base, key, col, [0.25, 0.5, 0.75])
+    out = moments.join(q, key, "left")
+    return out.select(key, "count", "mean", "std", "min", r(F.col("q0")).alias("p25"),
+                      r(F.col("q1")).alias("p50"), r(F.col("q2")).alias("p75"), "max")
 
 
 def shape(df: DataFrame) -> DataFrame:

@@ -174,3 +174,103 @@ def order_statistic(df: DataFrame, col: str, rank: int, **kw) -> float | None:
     # q*(n-1) may miss the integer by an ulp; snap the interpolation back
     vals = exact_quantiles(df, [col], [q], **kw)[col][0]
     return vals
+
+
+_GRID = 1000          # sketch grid inside a bracket: narrows ~500x per round
+
+
+def grouped_exact_quantiles(df: DataFrame, key: str, col: str, qs: list[float], accuracy: int = 20000,
+                            max_exact: int = 50000, max_rounds: int = 16) -> DataFrame:
+    """Exact interpolated quantiles of ``col`` per value of ``key``, for any
+    number of groups, as a DataFrame (key, q0, q1, ...).
+
+    Same bracketing as ``exact_quantiles`` but carried as tables: per
+    (group, quantile) a bracket, the count below it and inside it.  Each
+    round sketches a fixed grid of percentiles inside every open bracket
+    (``percentile_approx`` needs constant percentages), takes the grid
+    points around the remaining rank, and checks them with exact counts;
+    brackets small enough are finished from grouped value counts with a
+    window per (group, quantile) bounded by ``max_exact``.  No per-group
+    data reaches the driver and a dominant group never sits in one task."""
+    from forkcast.session import materialize
+
+    base = materialize(df.select(F.col(key).alias("_g"), nan_to_null(F.col(col)).alias("_x"))
+                         .where(F.col("_g").isNotNull() & F.col("_x").isNotNull()), "gq-base")
+    grid = [i / _GRID for i in range(_GRID + 1)]
+    qarr = F.array(*[F.struct(F.lit(i).alias("qi"), F.lit(float(q)).alias("q")) for i, q in enumerate(qs)])
+    counts = base.groupBy("_g").agg(F.count(F.lit(1)).alias("n"))
+    t0 = counts.select("_g", "n", F.explode(qarr).alias("_q"))
+    pos = F.col("_q.q") * (F.col("n") - 1)
+    pos = F.when(F.abs(pos - F.round(pos)) < 1e-9, F.round(pos)).otherwise(pos)
+    t0 = t0.select("_g", F.col("_q.qi").alias("qi"), pos.alias("pos"), "n")
+    state = materialize(t0.select(
+        "_g", "qi", "pos", F.floor("pos").cast("long").alias("k1"), F.ceil("pos").cast("long").alias("k2"),
+        F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi"),
+        F.lit(0).cast("long").alias("below"), F.col("n").cast("long").alias("m"), F.lit(1).alias("widen")),
+        "gq-state")
+    results = []
+
+    def inside():
+        return ((F.col("lo").isNull() | (F.col("_x") >= F.col("lo")))
+                & (F.col("hi").isNull() | (F.col("_x") <= F.col("hi"))))
+
+    for _ in range(max_rounds):
+        results.append(_grouped_finish(base, state.where(F.col("m") <= max_exact)))
+        state = state.where(F.col("m") > max_exact)
+        if state.isEmpty():
+            break
+        # sketch the grid inside every open bracket (one row per target)
+        sk = (base.join(state, "_g").where(inside())
+                  .groupBy("_g", "qi").agg(F.percentile_approx("_x", grid, accuracy).alias("sk")))
+        span = F.greatest(F.col("m") - 1, F.lit(1)).cast("double")
+        i_lo = F.greatest(F.lit(0), F.floor((F.col("k1") - F.col("below")) / span * _GRID).cast("int") - F.col("widen"))
+        i_hi = F.least(F.lit(_GRID), F.ceil((F.col("k2") - F.col("below")) / span * _GRID).cast("int") + F.col("widen"))
+        prop = materialize(state.join(sk, ["_g", "qi"]).select(
+            "*", F.element_at("sk", i_lo + 1).alias("pa"), F.element_at("sk", i_hi + 1).alias("pb")).drop("sk"),
+            "gq-prop")
+        # check the proposals with exact counts
+        chk = (base.join(prop, "_g").where(inside())
+                   .groupBy("_g", "qi").agg(
+                       F.count_if(F.col("_x") < F.col("pa")).alias("lt"),
+                       F.count_if((F.col("_x") >= F.col("pa")) & (F.col("_x") <= F.col("pb"))).alias("inn")))
+        p2 = prop.join(chk, ["_g", "qi"], "left").fillna(0, ["lt", "inn"])
+        ok = (((F.col("below") + F.col("lt")) <= F.col("k1"))
+              & ((F.col("below") + F.col("lt") + F.col("inn")) > F.col("k2")))
+        p2 = materialize(p2.withColumn("ok", ok), "gq-check")
+        # both ranks inside one repeated value: that value is the answer
+        single = p2.where(F.col("ok") & (F.col("pa") == F.col("pb")))
+        results.append(single.select("_g", "qi", F.col("pa").alias("val")))
+        rest = p2.where(~(F.col("ok") & (F.col("pa") == F.col("pb"))))
+        state = materialize(rest.select(
+            "_g", "qi", "pos", "k1", "k2",
+            F.when(F.col("ok"), F.col("pa")).otherwise(F.col("lo")).alias("lo"),
+            F.when(F.col("ok"), F.col("pb")).otherwise(F.col("hi")).alias("hi"),
+            F.when(F.col("ok"), F.col("below") + F.col("lt")).otherwise(F.col("below")).alias("below"),
+            F.when(F.col("ok"), F.col("inn")).otherwise(F.col("m")).alias("m"),
+            F.when(F.col("ok"), F.lit(1)).otherwise(F.col("widen") * 8).alias("widen")), "gq-state")
+    else:
+        raise RuntimeError("grouped quantiles did not converge; raise max_rounds")
+    res = reduce(DataFrame.unionByName, results)
+    return (res.groupBy(F.col("_g").alias(key))
+               .pivot("qi", list(range(len(qs)))).agg(F.first("val"))
+               .select(key, *[F.col(str(i)).alias(f"q{i}") for i in range(len(qs))]))
+
+
+def _grouped_finish(base: DataFrame, targets: DataFrame) -> DataFrame:
+    """(_g, qi, val) from value counts inside each target's bracket: a
+    running count per (group, quantile) over at most max_exact values
+    (or few distinct ones)."""
+    from pyspark.sql import Window
+
+    t = targets.select("_g", "qi", "pos", "k1", "k2", "lo", "hi", "below")
+    j = base.join(t, "_g").where((F.col("lo").isNull() | (F.col("_x") >= F.col("lo")))
+                                 & (F.col("hi").isNull() | (F.col("_x") <= F.col("hi"))))
+    vc = j.groupBy("_g", "qi", "pos", "k1", "k2", "below", "_x").agg(F.count(F.lit(1)).alias("c"))
+    w = Window.partitionBy("_g", "qi").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    vc = vc.withColumn("upto", F.sum("c").over(w) + F.col("below")).withColumn("from", F.col("upto") - F.col("c"))
+    r1 = (F.col("from") <= F.col("k1")) & (F.col("k1") < F.col("upto"))
+    r2 = (F.col("from") <= F.col("k2")) & (F.col("k2") < F.col("upto"))
+    picked = vc.groupBy("_g", "qi", "pos", "k1").agg(F.max(F.when(r1, F.col("_x"))).alias("v1"),
+                                                     F.max(F.when(r2, F.col("_x"))).alias("v2"))
+    return picked.select("_g", "qi", (F.col("v1") + (F.col("pos") - F.col("k1")) * (F.col("v2") - F.col("v1")))
+                         .alias("val"))

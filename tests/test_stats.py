@@ -19,3 +19,20 @@ def test_quantiles_nulls_and_empty(spark):
     df = spark.createDataFrame([(1.0, None), (None, None), (3.0, None), (2.0, None)], "x double, y double")
     got = exact_quantiles(df, ["x", "y"], [0.5])
     assert got["x"] == [2.0] and got["y"] == [None]
+
+
+def test_grouped_quantiles_match_numpy(spark):
+    from forkcast.operators.stats import grouped_exact_quantiles
+    rng = np.random.default_rng(5)
+    rows = [("big", float(v)) for v in rng.normal(size=6000)]                 # dominant group
+    rows += [("big", 0.5)] * 3000                                              # heavy repeated value
+    rows += [("small", float(v)) for v in rng.integers(0, 10, 37)]
+    rows += [("one", 4.0), ("nulls", None)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    qs = [0.25, 0.5, 0.75]
+    got = {r.g: [r.q0, r.q1, r.q2] for r in grouped_exact_quantiles(df, "g", "x", qs, accuracy=100,
+                                                                     max_exact=40).collect()}
+    for g in ("big", "small", "one"):
+        vals = np.array([v for k, v in rows if k == g and v is not None])
+        assert np.allclose(got[g], np.quantile(vals, qs), rtol=0, atol=1e-12), g
+    assert "nulls" not in got
