@@ -29,7 +29,7 @@ def main() -> None:
     names = [n for n in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if n]
     from forkcast.session import build_session
     from forkcast.plans.catalog import QUERIES
-    spark = build_session(f"local[{cpus}]", app="forkcast-bench", shuffle_partitions=cpus * 2)
+    spark = build_session(f"local[{cpus}]", app="forkcast-bench", shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus * 2)))
     times = {}
     for name in names:
         run = QUERIES[name]

@@ -274,7 +274,6 @@ def _search_and_weigh(plans: list[dict], D: int, k: int, max_levels: int, growth
                 print(f"[knn] level={level} open={open_pts.count()}", flush=True)  # noqa: T201
             if level >= 0 and open_pts.isEmpty():
                 break
-    spark = plans[0]["recv"].sparkSession
     recv_all = reduce(DataFrame.unionByName, [p["recv"].select(F.lit(p["t"]).alias("_t"), "_id") for p in plans])
     means = F.create_map(*[x for p in plans for x in (F.lit(p["t"]), F.lit(p["mean"]).cast("double"))])
     if not finished:
@@ -291,6 +290,5 @@ def _search_and_weigh(plans: list[dict], D: int, k: int, max_levels: int, growth
         F.sum(F.when(F.col("_dist") > 0, F.lit(1.0) / F.col("_dist"))).alias("_den"))
     val = F.when(F.col("_nz") > 0, F.col("_zero_mean")).otherwise(F.col("_num") / F.col("_den"))
     found = agg.select("_t", "_id", val.alias("_value"))
-    del spark
     all_r = recv_all.join(found, ["_t", "_id"], "left")
     return all_r.select("_t", "_id", F.coalesce(F.col("_value"), means[F.col("_t")]).alias("_value"))

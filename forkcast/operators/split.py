@@ -32,7 +32,6 @@ def stratified_split(df: DataFrame, label: str, key: str = "id", test_fraction:
     base = df.withColumn("_h", h)
     counts = {r[label]: int(r["n"]) for r in
               base.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
-    cut = F.lit(None).cast("double")
     expr = None
     for y, n in counts.items():
         n_test = int(round(test_fraction * n))
@@ -49,5 +48,4 @@ def stratified_split(df: DataFrame, label: str, key: str = "id", test_fraction:
         val = F.lit(False) if thr is None else (F.col("_h") <= F.lit(thr))
         expr = F.when(cond, val) if expr is None else expr.when(cond, val)
     is_test = (expr.otherwise(F.lit(False)) if expr is not None else F.lit(False))
-    del cut
     return base.withColumn("is_test", is_test).drop("_h")
