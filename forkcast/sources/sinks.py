@@ -34,23 +34,37 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/forkcast-out/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def read_venue_csv(spark: SparkSession, path: str, schema: T.StructType = VENUE_SCHEMA) -> DataFrame:
-    """Venue CSV with header and a declared schema (no inference pass);
-    doubled quotes inside fields; pandas' NA texts become NULL in string
-    columns and NaN becomes NULL in numeric ones."""
-    df = (spark.read.schema(schema)
-          .options(header=True, multiLine=True, escape='"', quote='"', nanValue="NaN", mode="PERMISSIVE",
-                   ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
-          .csv(path))
+def read_venue_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Venue CSV with a header, doubled quotes inside fields and pandas'
+    missing-value texts.
+
+    Without ``schema`` the columns are taken by NAME from the header, read
+    as text (no inference pass over the data), and the known venue columns
+    are cast to their types; unknown columns pass through as text, in file
+    order.  With ``schema`` the file is read positionally with that schema.
+    NA texts become NULL in string columns, NaN becomes NULL in numeric
+    ones, and a value that does not parse as a number becomes NULL."""
+    opts = dict(header=True, multiLine=True, escape='"', quote='"', mode="PERMISSIVE",
+                ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    if schema is not None:
+        df = spark.read.schema(schema).options(nanValue="NaN", **opts).csv(path)
+        fields = schema.fields
+    else:
+        df = spark.read.options(inferSchema=False, **opts).csv(path)
+        known = {f.name: f.dataType for f in VENUE_SCHEMA.fields}
+        fields = [T.StructField(c, known.get(c, T.StringType())) for c in df.columns]
     out = []
-    for f in schema.fields:
-        c = F.col(f.name)
+    for f in fields:
+        c = F.col(f"`{f.name}`")
+        if schema is None and not isinstance(f.dataType, T.StringType):
+            text = F.when(c.isin(NA_TOKENS), F.lit(None).cast("string")).otherwise(c)
+            c = text.try_cast(f.dataType)
         if isinstance(f.dataType, T.StringType):
             out.append(F.when(c.isin(NA_TOKENS), F.lit(None).cast("string")).otherwise(c).alias(f.name))
         elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             out.append(F.nanvl(c, F.lit(None).cast("double")).alias(f.name))
         else:
-            out.append(c)
+            out.append(c.alias(f.name))
     return df.select(*out)
 
 

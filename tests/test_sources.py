@@ -106,3 +106,20 @@ def test_geojson_lines_roundtrip(spark):
     back = geojson.read_feature_lines(spark, path)
     assert sorted((r.name, r.min_x, r.max_y) for r in back.collect()) == [("A", 0.0, 1.0), ("B", 2.0, 0.0)]
     assert back.where(F.col("geometry_type") != "Polygon").count() == 0
+
+
+def test_csv_extra_columns_any_order(spark):
+    text = ('votes,name,id,cost,subzone\n'
+            '3,"Cafe, One",1,12.5,CBD\n'
+            'NA,Two,2,oops,None\n')
+    d = tempfile.mkdtemp(prefix="forkcast-test-")
+    p = os.path.join(d, "v.csv")
+    with open(p, "w") as f:
+        f.write(text)
+    df = sinks.read_venue_csv(spark, p)
+    assert df.columns == ["votes", "name", "id", "cost", "subzone"]
+    types = dict(df.dtypes)
+    assert types["votes"] == "double" and types["id"] == "bigint" and types["name"] == "string"
+    rows = sorted(df.collect(), key=lambda r: r.id)
+    assert rows[0].name == "Cafe, One" and rows[0].cost == 12.5 and rows[0].votes == 3.0
+    assert rows[1].votes is None and rows[1].cost is None and rows[1].subzone is None
