@@ -205,3 +205,13 @@ def q_model_comparison_wide(spark, d):
     a = _round_metrics(evaluate.classification_metrics(s, "rating_binary", "pred_votes", model="votes_gt_500"))
     b = _round_metrics(evaluate.classification_metrics(s, "rating_binary", "pred_cost", model="cost_gt_200"))
     return evaluate.compare_wide([a, b], _WIDE_METRICS)
+
+
+@register("split_random")
+def q_split_random(spark, d):
+    """ML3 as the reference does it: ``randomSplit([0.8, 0.2], 42)``
+    (membership depends on the partition layout; the catalogue's other
+    splits are layout-independent)."""
+    v = venue_view(spark, d).select("id", "rating_text")
+    train, test = models.split(v, "random", "id", seed=42)
+    return train.withColumn("is_test", F.lit(False)).unionByName(test.withColumn("is_test", F.lit(True)))
