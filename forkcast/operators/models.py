@@ -129,24 +129,37 @@ def ols_fit(df: DataFrame, x_cols: list[str], label: str) -> tuple[PipelineModel
 
 
 def gram_statistics(df: DataFrame, x_cols: list[str], label: str) -> dict:
-    """n, X'X, X'y, y'y, column sums in ONE aggregate pass (d^2 sums)."""
-    xs = [F.col(c).cast("double") for c in x_cols]
-    y = F.col(label).cast("double")
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum(y).alias("sy"), F.sum(y * y).alias("yy")]
+    """n, X'X, X'y, y'y and column sums in ONE pass.
+
+    Each task reduces its rows to one flattened partial (numpy, O(d^2)
+    memory per task, Arrow batches in), and the partials are summed
+    element-wise by ``Summarizer`` (a tree aggregation): no d^2 SQL
+    expressions and no rows on the driver."""
+    from pyspark.ml.stat import Summarizer
+
     d = len(x_cols)
-    for i in range(d):
-        aggs.append(F.sum(xs[i]).alias(f"s{i}"))
-        aggs.append(F.sum(xs[i] * y).alias(f"xy{i}"))
-        for j in range(i, d):
-            aggs.append(F.sum(xs[i] * xs[j]).alias(f"xx{i}_{j}"))
-    r = df.agg(*aggs).first()
-    xx = np.zeros((d, d))
-    for i in range(d):
-        for j in range(i, d):
-            xx[i, j] = xx[j, i] = r[f"xx{i}_{j}"] or 0.0
-    return dict(n=int(r["n"]), sy=r["sy"] or 0.0, yy=r["yy"] or 0.0,
-                sx=np.array([r[f"s{i}"] or 0.0 for i in range(d)]),
-                xy=np.array([r[f"xy{i}"] or 0.0 for i in range(d)]), xx=xx)
+    width = d * d + 2 * d + 3
+
+    def partial(batches):
+        acc = np.zeros(width)
+        for pdf in batches:
+            X = pdf[x_cols].to_numpy(dtype=float)
+            y = pdf[label].to_numpy(dtype=float)
+            ok = ~(np.isnan(X).any(axis=1) | np.isnan(y))
+            X, y = X[ok], y[ok]
+            acc[:d * d] += (X.T @ X).ravel()
+            acc[d * d:d * d + d] += X.T @ y
+            acc[d * d + d:d * d + 2 * d] += X.sum(axis=0)
+            acc[-3:] += (len(y), y.sum(), y @ y)
+        yield pd.DataFrame({"p": [acc.tolist()]})
+
+    sel = df.select(*[F.col(c).cast("double").alias(c) for c in x_cols], F.col(label).cast("double").alias(label))
+    parts = sel.mapInPandas(partial, "p array<double>")
+    summed = parts.select(array_to_vector("p").alias("v")).select(Summarizer.sum(F.col("v")).alias("s")).first()
+    total = summed["s"].toArray() if summed is not None and summed["s"] is not None else np.zeros(width)
+    xx = total[:d * d].reshape(d, d)
+    return dict(n=int(round(total[-3])), sy=float(total[-2]), yy=float(total[-1]),
+                sx=total[d * d + d:d * d + 2 * d], xy=total[d * d:d * d + d], xx=xx)
 
 
 def sgd_regression(train: DataFrame, valid: DataFrame, x_cols: list[str], label: str, eta0: float = 1e-5,
