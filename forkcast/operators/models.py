@@ -327,12 +327,15 @@ def evaluate_classifier(kind: str, train: DataFrame, test: DataFrame, cols: list
     if not scaled:
         tr_f = tr_f.withColumnRenamed("features_raw", "features")
         te_f = te_f.withColumnRenamed("features_raw", "features")
+    # input width = assembled vector size (vector columns count their entries)
+    first = tr_f.select("features").first()
+    d = int(first["features"].size) if first is not None else len(cols)
     if kind == "rff_svm":
-        tr_f = random_fourier_features(tr_f, "features", "rff", len(cols), seed=seed)
-        te_f = random_fourier_features(te_f, "features", "rff", len(cols), seed=seed)
+        tr_f = random_fourier_features(tr_f, "features", "rff", d, seed=seed)
+        te_f = random_fourier_features(te_f, "features", "rff", d, seed=seed)
     n_train = tr_f.count()
     tr_f = tr_f.persist(StorageLevel.MEMORY_AND_DISK)
-    est = classifier(kind, len(cols), seed, n_train)
+    est = classifier(kind, d, seed, n_train)
     model, t_fit = timed(est.fit, tr_f)
     pred, t_inf = _score(model, te_f)
     m = classification_metrics(pred, "label", "prediction", model=kind)

@@ -174,7 +174,7 @@ def q_pca_variance(spark, d):
 def _clf(kind):
     def run(spark, d):
         f = features.add_rating_binary(_features(spark, d).withColumn("rating_text", S.rating_band("rating_number")))
-        cols = models.feature_columns(f, {"id", "rating_number", "rating_binary", "rating_text_ord"})
+        cols = models.feature_columns(f, {"id", "rating_number", "rating_binary", "rating_text_ord"}, vectors=True)
         f = f.select("id", *cols, "rating_binary").where(F.col("rating_binary").isNotNull())
         train, test = models.split(f, "stratified", "id", label="rating_binary")
         return models.evaluate_classifier(kind, train, test, cols, "rating_binary")
