@@ -57,3 +57,37 @@ def test_leakage_flag(spark):
     safe = models.spark_regression(df).first()
     leaky = models.spark_regression(df, parity=True).first()
     assert leaky.r2 > 0.99 and safe.r2 < 0.5
+
+
+def _venue_like(spark, n, label=lambda i: i % 2):
+    rows = [(i, float(i % 7), float(i % 11), None if label(i) is None else int(label(i)), 1.0 + (i % 40) / 10.0)
+            for i in range(n)]
+    return spark.createDataFrame(rows, "id long, cost double, votes double, rating_binary int, rating_number double")
+
+
+def test_fewer_than_five_rows_gives_null_metrics(spark):
+    df = _venue_like(spark, 4)
+    assert models.spark_classification(df).first().accuracy is None
+    assert models.spark_regression(df).first().mse is None
+
+
+def test_all_null_label_gives_null_metrics(spark):
+    df = _venue_like(spark, 50, label=lambda i: None)
+    assert models.spark_classification(df).first().accuracy is None
+
+
+def test_single_class_still_scores(spark):
+    df = _venue_like(spark, 200, label=lambda i: 1)
+    m = models.spark_classification(df).first()
+    assert m.accuracy == pytest.approx(1.0)
+
+
+def test_ensure_rating_binary_cascade(spark):
+    df = spark.createDataFrame([(1, 4.5), (2, 2.0), (3, None), (4, 3.0)], "id long, rating_number double")
+    got = {r.id: r.rating_binary for r in features.ensure_rating_binary(df).collect()}
+    assert got == {1: 1, 2: 0, 3: None, 4: 1}          # >= approximate median (3.0); NULL stays NULL
+    ordf = spark.createDataFrame([(1, 3), (2, 2), (3, None)], "id long, rating_text_ord int")
+    got = {r.id: r.rating_binary for r in features.ensure_rating_binary(ordf).collect()}
+    assert got == {1: 1, 2: 0, 3: None}
+    nothing = spark.createDataFrame([(1,)], "id long")
+    assert features.ensure_rating_binary(nothing).first().rating_binary is None
