@@ -44,7 +44,9 @@ def spark_ml_stage(feats: DataFrame, parity: bool = False, split_how: str = "has
 
 def run_dag(spark: SparkSession, venue: DataFrame, out_dir: str) -> DataFrame:
     """Whole pipeline with written stage outputs (lineage cut per stage)."""
+    from forkcast.session import release, scratch_mark
     from forkcast.sources import sinks
+    mark = scratch_mark()
     cleaned = clean_stage(venue)
     sinks.write_csv(cleaned, f"{out_dir}/interim/clean.csv")
     cleaned = sinks.read_venue_csv(spark, f"{out_dir}/interim/clean.csv")
@@ -53,4 +55,5 @@ def run_dag(spark: SparkSession, venue: DataFrame, out_dir: str) -> DataFrame:
     feats = spark.read.parquet(f"{out_dir}/processed/features.parquet")
     metrics = spark_ml_stage(feats)
     sinks.write_metrics_json(metrics, f"{out_dir}/metrics/pyspark.json")
-    return metrics
+    release(spark, mark)                      # intermediate tables are no longer read
+    return spark.read.schema(metrics.schema).json(f"{out_dir}/metrics/pyspark.json")

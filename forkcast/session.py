@@ -85,4 +85,29 @@ def materialize(df, name: str = "stage"):
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/forkcast-tables/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
+    _WRITTEN.append(path)
     return spark.read.parquet(path)
+
+
+_WRITTEN: list[str] = []
+
+
+def scratch_mark() -> int:
+    """Position in the list of written intermediate tables (see ``release``)."""
+    return len(_WRITTEN)
+
+
+def release(spark: SparkSession, since: int = 0) -> int:
+    """Delete the intermediate tables written since ``since`` (a
+    ``scratch_mark()``), through the cluster's file system API.  Call it
+    once the job's own outputs are written: DataFrames that still read
+    those tables must not be used afterwards.  Returns the count deleted."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    done = 0
+    while len(_WRITTEN) > since:
+        path = _WRITTEN.pop()
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        if p.getFileSystem(conf).delete(p, True):
+            done += 1
+    return done

@@ -29,3 +29,15 @@ def test_run_dag_writes_every_stage(spark):
     feats = spark.read.parquet(f"{out}/processed/features.parquet")
     assert "suburb_density" in feats.columns and "cuisine_diversity" in feats.columns
     assert spark.read.json(f"{out}/metrics/pyspark.json").count() == 1
+
+
+def test_release_deletes_intermediate_tables(spark):
+    import os
+
+    from forkcast.session import materialize, release, scratch_mark
+    mark = scratch_mark()
+    t = materialize(spark.range(10), "t-release")
+    path = t.inputFiles()[0].split("/part-")[0].replace("file:", "")
+    assert os.path.isdir(path)
+    assert release(spark, mark) == 1
+    assert not os.path.exists(path)
