@@ -215,3 +215,17 @@ def q_split_random(spark, d):
     v = venue_view(spark, d).select("id", "rating_text")
     train, test = models.split(v, "random", "id", seed=42)
     return train.withColumn("is_test", F.lit(False)).unionByName(test.withColumn("is_test", F.lit(True)))
+
+
+@register("feature_profile")
+def q_feature_profile(spark, d):
+    """PRF2-PRF5 on the finished feature table (the reference re-profiles it)."""
+    from forkcast.operators import profile
+    return profile.null_profile(_features(spark, d))
+
+
+@register("feature_describe")
+def q_feature_describe(spark, d):
+    """PRF6 on every numeric feature column (quantiles batched per pass)."""
+    from forkcast.operators import profile
+    return profile.describe(_features(spark, d))
