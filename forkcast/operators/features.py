@@ -22,6 +22,12 @@ from forkcast.operators.stats import exact_median
 MAX_WIDE_CATEGORIES = 2000
 
 
+def column_name(prefix: str, value: str) -> str:
+    """``<prefix>_<value>`` as a column name; a dot or backtick (which Spark
+    would read as struct access / quoting) becomes ``_``."""
+    return f"{prefix}_{value}".replace(".", "_").replace("`", "_")
+
+
 class TooManyCategories(ValueError):
     """More categories than wide 0/1 columns allow."""
 
@@ -55,8 +61,12 @@ def multi_hot(df: DataFrame, col: str, prefix: str | None = None, categories: li
     cats = categories if categories is not None else list_categories(df, col, parity)
     lst = list_column(col, parity)
     tmp = df.withColumn(col, lst)
-    cols = {f"{prefix}_{c}": F.coalesce(F.array_contains(F.col(col), F.lit(c)), F.lit(False)).cast("int")
-            for c in cats}
+    cols = {}
+    for c in cats:                          # two values may share a sanitised name: OR them
+        flag = F.coalesce(F.array_contains(F.col(col), F.lit(c)), F.lit(False))
+        name = column_name(prefix, c)
+        cols[name] = (cols[name] | flag) if name in cols else flag
+    cols = {k: v.cast("int") for k, v in cols.items()}
     out = tmp.withColumns(cols)
     return out if keep_list else out.drop(col)
 
@@ -96,7 +106,12 @@ def one_hot_bool(df: DataFrame, col: str, prefix: str | None = None, categories:
         if len(rows) > MAX_WIDE_CATEGORIES:
             raise TooManyCategories(f"{col}: too many categories for wide one-hot columns")
         categories = [r["v"] for r in rows]
-    return df.withColumns({f"{prefix}_{v}": F.coalesce(key == F.lit(v), F.lit(False)) for v in categories})
+    cols = {}
+    for v in categories:
+        flag = F.coalesce(key == F.lit(v), F.lit(False))
+        name = column_name(prefix, v)
+        cols[name] = (cols[name] | flag) if name in cols else flag
+    return df.withColumns(cols)
 
 
 def cost_bin(df: DataFrame, col: str = "cost", out: str = "cost_bin") -> DataFrame:

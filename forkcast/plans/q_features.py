@@ -17,7 +17,7 @@ _SPLIT = ("string_split(replace(replace({c}, '[' || chr(39), ''), chr(39) || ']'
 def _pivot_sql(col, prefix, flag="CAST(coalesce(list_contains(l.items, c.item), false) AS INTEGER)",
                agg="max(flag)"):
     return f"""(SELECT * FROM (PIVOT (
-      SELECT l.id, '{prefix}_' || c.item AS name, {flag} AS flag
+      SELECT l.id, replace(replace('{prefix}_' || c.item, '.', '_'), '`', '_') AS name, {flag} AS flag
       FROM (SELECT id, {_SPLIT.format(c=col)} AS items FROM venue) l
       CROSS JOIN (SELECT DISTINCT unnest({_SPLIT.format(c=col)}) AS item FROM venue WHERE {col} IS NOT NULL) c)
     ON name USING {agg} GROUP BY id))"""
@@ -45,7 +45,7 @@ SELECT vf.id, vf.subzone_freq, vf.subzone_freq AS suburb_density,
        CAST(vf.subzone_freq * (1 + (SELECT sum(subzone_freq) FROM vf)) AS BIGINT) AS suburb_density_parity,
        hot.* EXCLUDE (id)
 FROM vf JOIN (SELECT * FROM (PIVOT (
-    SELECT x.id, 'subzone_' || s.subzone AS name, x.subzone = s.subzone AS flag
+    SELECT x.id, replace(replace('subzone_' || s.subzone, '.', '_'), '`', '_') AS name, x.subzone = s.subzone AS flag
     FROM (SELECT id, lower({strip('subzone')}) AS subzone FROM venue) x
     CROSS JOIN (SELECT DISTINCT lower({strip('subzone')}) AS subzone FROM venue) s)
   ON name USING bool_or(flag) GROUP BY id)) hot USING (id)"""))
@@ -110,15 +110,15 @@ base AS (
       AS suburb_density_parity
   FROM f JOIN fq USING (sz))
 SELECT * FROM base
-JOIN (SELECT * FROM (PIVOT (SELECT f.id, 'cuisine_' || c.item AS name,
+JOIN (SELECT * FROM (PIVOT (SELECT f.id, replace(replace('cuisine_' || c.item, '.', '_'), '`', '_') AS name,
                                    CAST(list_contains(f.c_items, c.item) AS INTEGER) AS flag
                             FROM f CROSS JOIN (SELECT DISTINCT unnest(c_items) AS item FROM f) c)
                      ON name USING max(flag) GROUP BY id)) USING (id)
-JOIN (SELECT * FROM (PIVOT (SELECT f.id, 'type_' || c.item AS name,
+JOIN (SELECT * FROM (PIVOT (SELECT f.id, replace(replace('type_' || c.item, '.', '_'), '`', '_') AS name,
                                    CAST(list_contains(f.t_items, c.item) AS INTEGER) AS flag
                             FROM f CROSS JOIN (SELECT DISTINCT unnest(t_items) AS item FROM f) c)
                      ON name USING max(flag) GROUP BY id)) USING (id)
-JOIN (SELECT * FROM (PIVOT (SELECT f.id, 'subzone_' || s.sz AS name, f.sz = s.sz AS flag
+JOIN (SELECT * FROM (PIVOT (SELECT f.id, replace(replace('subzone_' || s.sz, '.', '_'), '`', '_') AS name, f.sz = s.sz AS flag
                             FROM f CROSS JOIN (SELECT DISTINCT sz FROM f) s)
                      ON name USING bool_or(flag) GROUP BY id)) USING (id)"""
 
@@ -136,7 +136,7 @@ def q_feature_stage(spark, d):
 
 
 @register("cuisine_totals", with_views(f"""
-SELECT * FROM (PIVOT (SELECT 'cuisine_' || item AS name, CAST(count(*) AS BIGINT) AS n
+SELECT * FROM (PIVOT (SELECT replace(replace('cuisine_' || item, '.', '_'), '`', '_') AS name, CAST(count(*) AS BIGINT) AS n
                       FROM (SELECT DISTINCT id, unnest({_SPLIT.format(c='cuisine')}) AS item FROM venue)
                       GROUP BY item)
                ON name USING max(n))"""))

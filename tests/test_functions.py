@@ -108,3 +108,15 @@ def test_kde_matches_direct_sum_with_gaps(spark):
     want = [np.exp(-0.5 * ((g - x) / h) ** 2).sum() / (n * h * math.sqrt(2 * math.pi)) for g in grid]
     assert len(got) == 50
     assert all(abs(d - round(w, 8)) < 2e-8 for (_, d), w in zip(got, want))
+
+
+def test_dotted_categories_make_usable_columns(spark):
+    from forkcast.operators import features, models
+    df = spark.createDataFrame([(1, "['St. Kilda', 'Thai']", " St. Kilda", 2.0, 5.0, 3.1, "Good"),
+                                (2, "['Cafe']", "CBD", 3.0, 6.0, 2.1, "Poor")] * 4,
+                               "id long, cuisine string, subzone string, cost double, votes double, "
+                               "rating_number double, rating_text string")
+    out = features.build_features(df)
+    assert "cuisine_St_ Kilda" in out.columns and "subzone_st_ kilda" in out.columns
+    cols = models.feature_columns(out, {"id", "rating_number"})
+    assert out.select(*cols).count() == 8                       # every name resolves
