@@ -25,8 +25,10 @@ pair is a plain Euclidean k-NN problem, solved by a multi-level grid:
    blocking columns of S (the widest); every open receiver point is
    equi-joined with the donors of its own and neighbouring cells (3^b);
 3. a donor outside those cells is farther than sqrt(D/|S|) * w_L, so a
-   receiver point whose k-th candidate is within that bound (or that has
-   seen every donor of the pair) is final; the rest go to level L+1.
+   receiver point with k candidates within that bound is final; candidates
+   beyond the bound are dropped right after the join (they cannot be part
+   of a final answer at this level), so only near pairs are shuffled; the
+   rest go to level L+1.
    w_0 is the radius whose ball would hold ~4k donors if they were
    spread evenly, so most receivers finish at level 0 or 1; the top level
    spans the data.  Receivers near a crowded level-0 cell (a dense cluster
@@ -255,17 +257,21 @@ def _search_and_weigh(plans: list[dict], D: int, k: int, max_levels: int, growth
                                       for j in range(_MAX_BLOCK_DIMS)]))
             cand = r_lv.join(d_lv, ["_pair", *[f"_c{j}" for j in range(_MAX_BLOCK_DIMS)]])
             sq = reduce(lambda a, b: a + b, [F.pow(F.col(s) - F.col("d" + s), 2) for s in s_names])
+            bound = F.sqrt(F.lit(float(D)) / F.col("_m")) * width
             cand = cand.select(*key_cols, "_m", "_top", "_w0", "_did", "_v",
                                F.sqrt(F.lit(float(D)) / F.col("_m") * sq).alias("_dist"))
+            # Every donor within `bound` of a receiver is in its neighbourhood,
+            # and a receiver can only finish here with its k nearest inside
+            # `bound`: farther candidates are dropped before the shuffle
+            # (except at the top level, where everything is final).
+            cand = cand.where((F.col("_dist") <= bound) | (F.lit(level) >= F.col("_top")))
             wk = Window.partitionBy(*key_cols).orderBy("_dist", "_did")
             top = cand.withColumn("_rn", F.row_number().over(wk)).where(F.col("_rn") <= k)
             wkey = Window.partitionBy(*key_cols)
-            top = (top.withColumn("_cnt", F.count(F.lit(1)).over(wkey))
-                      .withColumn("_kth", F.max("_dist").over(wkey)))
-            bound = F.sqrt(F.lit(float(D)) / F.col("_m")) * width
+            top = top.withColumn("_cnt", F.count(F.lit(1)).over(wkey))
+            # k within the bound (or every donor of the pair, if fewer): final
             need = F.least(F.lit(k), npair_map[F.col("_pair")])
-            done = ((F.col("_cnt") >= need) & (F.col("_kth") <= bound)) | \
-                   (F.col("_cnt") >= npair_map[F.col("_pair")]) | (F.lit(level) >= F.col("_top"))
+            done = (F.col("_cnt") >= need) | (F.lit(level) >= F.col("_top"))
             top = materialize(top.withColumn("_done", done), f"knn-level{level}")
             finished.append(top.where("_done").select(*key_cols, "_did", "_v", "_dist"))
             # still open: not finished here (incl. points with no candidate at this level)
