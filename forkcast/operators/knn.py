@@ -257,7 +257,10 @@ def _search_and_weigh(plans: list[dict], D: int, k: int, max_levels: int, growth
                                       for j in range(_MAX_BLOCK_DIMS)]))
             cand = r_lv.join(d_lv, ["_pair", *[f"_c{j}" for j in range(_MAX_BLOCK_DIMS)]])
             sq = reduce(lambda a, b: a + b, [F.pow(F.col(s) - F.col("d" + s), 2) for s in s_names])
-            bound = F.sqrt(F.lit(float(D)) / F.col("_m")) * width
+            # shrunk by 1e-9 (relative): a point an ulp from a cell edge may be
+            # floored into the next cell; the margin keeps "outside the
+            # neighbourhood => farther than the bound" strict in floating point
+            bound = F.sqrt(F.lit(float(D)) / F.col("_m")) * width * F.lit(1.0 - 1e-9)
             cand = cand.select(*key_cols, "_m", "_top", "_w0", "_did", "_v",
                                F.sqrt(F.lit(float(D)) / F.col("_m") * sq).alias("_dist"))
             # Every donor within `bound` of a receiver is in its neighbourhood,
