@@ -147,3 +147,21 @@ FROM cats c LEFT JOIN (SELECT rating_text, count(*) AS n FROM venue GROUP BY rat
   ON c.rating_text = v.rating_text"""))
 def q_rating_distribution(spark, d):
     return explore.ordered_counts(venue_view(spark, d), "rating_text", S.RATING_ORDER)
+
+
+_BAND_SQL = ("CASE WHEN rating_number IS NULL THEN NULL WHEN rating_number >= 4.5 THEN 'Excellent' "
+             "WHEN rating_number >= 4.0 THEN 'Very Good' WHEN rating_number >= 3.5 THEN 'Good' "
+             "WHEN rating_number >= 2.5 THEN 'Average' ELSE 'Poor' END")
+
+
+@register("mean_by_label_banded", with_views(f"""
+SELECT rating_text, round(avg(rating_number), 4) AS mean_rating_number
+FROM (SELECT {_BAND_SQL} AS rating_text, rating_number FROM venue)
+WHERE rating_text IS NOT NULL GROUP BY rating_text"""))
+def q_mean_by_label_banded(spark, d):
+    """AGG1 after every label is re-derived from the number (IMP6): the
+    reference's check that labels and numbers agree."""
+    from forkcast.operators import clean
+    v = clean.rating_band_fill(venue_view(spark, d), overwrite=True)
+    m = explore.mean_by(v, "rating_text", "rating_number")
+    return m.withColumn("mean_rating_number", F.round("mean_rating_number", 4))
