@@ -7,7 +7,9 @@ hash a stable key instead.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from forkcast.operators.stats import exact_quantiles
@@ -21,31 +23,68 @@ def hash_split(df: DataFrame, key: str = "id", test_fraction: float = 0.2, seed:
 
 
 def stratified_split(df: DataFrame, label: str, key: str = "id", test_fraction: float = 0.2,
-                     seed: int = 42) -> DataFrame:
+                     seed: int = 42, hash_col=None) -> DataFrame:
     """Adds ``is_test`` with round(fraction * n_y) rows of every class y:
     the rows with the smallest xxhash64(key, seed) in that class.
 
     The per-class cut-off is an exact order statistic found by the
     bounded bracketing search, not a window over the class (a class can
-    hold most of the rows)."""
-    h = F.xxhash64(F.col(key), F.lit(seed)).cast("double")
+    hold most of the rows).  ``key`` must be unique: two rows with the same
+    key hash alike.  Distinct keys whose hashes meet as doubles are ordered
+    by key at the cut-off, so the sizes stay exact.  ``hash_col`` replaces
+    the hash (tests)."""
+    h = (hash_col if hash_col is not None else F.xxhash64(F.col(key), F.lit(seed))).cast("double")
     base = df.withColumn("_h", h)
     counts = {r[label]: int(r["n"]) for r in
               base.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
-    expr = None
-    for y, n in counts.items():
-        n_test = int(round(test_fraction * n))
+    # one column per class (its hashes), each with its own rank: all
+    # classes share the same few passes of the bounded quantile search
+    classes = sorted(counts, key=str)
+    names = {y: f"_h{i}" for i, y in enumerate(classes)}
+    want, thr = {}, {}
+    for y in classes:
+        n, n_test = counts[y], int(round(test_fraction * counts[y]))
         if n_test <= 0:
-            thr = None
+            thr[y] = None
         elif n_test >= n:
-            thr = float("inf")
+            thr[y] = float("inf")
+        else:                                   # the n_test-th smallest hash: rank n_test - 1
+            want[names[y]] = [(n_test - 1) / (n - 1)]
+    if want:
+        per_class = base.select(*[F.when(F.col(label) == F.lit(y), F.col("_h")).alias(names[y])
+                                  for y in classes if names[y] in want])
+        got = exact_quantiles(per_class, list(want), want)
+        for y in classes:
+            if names[y] in want:
+                thr[y] = got[names[y]][0]
+    finite = [y for y in classes if thr[y] is not None and thr[y] != float("inf")]
+    # ties: distinct 64-bit hashes can share a double; rows strictly below
+    # the cut-off are in, and the missing ones come from the rows AT the
+    # cut-off in key order (a tiny set; one aggregate pass counts "below")
+    need_at = {}
+    if finite:
+        below = base.agg(*[F.count_if((F.col(label) == F.lit(y)) & (F.col("_h") < F.lit(thr[y]))).alias(names[y])
+                           for y in finite]).first()
+        need_at = {y: int(round(test_fraction * counts[y])) - int(below[names[y]]) for y in finite}
+    expr = None
+    for y in classes:
+        cond = F.col(label) == F.lit(y)
+        if thr[y] is None:
+            val = F.lit(False)
+        elif thr[y] == float("inf"):
+            val = F.lit(True)
         else:
-            # the n_test-th smallest hash: quantile at rank n_test-1 exactly
-            part = base.where(F.col(label) == F.lit(y))
-            q = (n_test - 1) / (n - 1)
-            thr = exact_quantiles(part, ["_h"], [q])["_h"][0]
-        cond = (F.col(label) == F.lit(y))
-        val = F.lit(False) if thr is None else (F.col("_h") <= F.lit(thr))
+            val = F.col("_h") < F.lit(thr[y])
         expr = F.when(cond, val) if expr is None else expr.when(cond, val)
-    is_test = (expr.otherwise(F.lit(False)) if expr is not None else F.lit(False))
-    return base.withColumn("is_test", is_test).drop("_h")
+    is_test = expr.otherwise(F.lit(False)) if expr is not None else F.lit(False)
+    out = base.withColumn("is_test", is_test)
+    if finite:
+        # rows exactly at a cut-off (hash collisions: a handful) take the
+        # remaining places in key order; all other rows are decided above
+        at = reduce(lambda a, b: a | b, [(F.col(label) == F.lit(y)) & (F.col("_h") == F.lit(thr[y]))
+                                         for y in finite])
+        quota = F.create_map(*[x for y in finite for x in (F.lit(y), F.lit(need_at[y]))])
+        w = Window.partitionBy(label).orderBy(key)
+        tied = (out.where(at).withColumn("is_test", F.row_number().over(w) <= quota[F.col(label)]))
+        out = out.where(~at | at.isNull()).unionByName(tied)
+    return out.drop("_h")

@@ -35,23 +35,26 @@ def _lit_double(v):
     return F.lit(v).cast("double") if v is not None else F.lit(None).cast("double")
 
 
-def exact_quantiles(df: DataFrame, cols: list[str], qs: list[float], accuracy: int = 20000,
-                    max_exact: int = 50000, max_rounds: int = 12) -> dict[str, list[float | None]]:
+def exact_quantiles(df: DataFrame, cols: list[str], qs: list[float] | dict[str, list[float]],
+                    accuracy: int = 20000, max_exact: int = 50000,
+                    max_rounds: int = 12) -> dict[str, list[float | None]]:
     """{column: [quantile value per q]} over non-null, non-NaN values.
+    ``qs`` is one list for every column, or a dict of lists per column.
 
     Jobs: one pass for the counts and the first sketches, one exact-count
     check per narrowing round, and one grouped read that finishes every
     (column, quantile) at once."""
+    qmap = qs if isinstance(qs, dict) else {c: list(qs) for c in cols}
     base = df.select(*[nan_to_null(F.col(c)).alias(c) for c in cols])
     margin0 = 3.0 / accuracy
     first = [F.count(c).alias(f"n_{i}") for i, c in enumerate(cols)]
-    first += [F.percentile_approx(c, [p for q in qs for p in (max(0.0, q - margin0), min(1.0, q + margin0))],
+    first += [F.percentile_approx(c, [p for q in qmap[c] for p in (max(0.0, q - margin0), min(1.0, q + margin0))],
                                   accuracy).alias(f"a_{i}") for i, c in enumerate(cols)]
     r0 = base.agg(*first).first()
     targets = []
     for ci, c in enumerate(cols):
         n = int(r0[f"n_{ci}"])
-        for qi, q in enumerate(qs):
+        for qi, q in enumerate(qmap[c]):
             if n == 0:
                 continue
             pos = q * (n - 1)
@@ -106,7 +109,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], qs: list[float], accuracy: i
     for t in left:
         t["force"] = True
     _finish_exact(base, left, check_size=True)
-    out = {c: [None] * len(qs) for c in cols}
+    out = {c: [None] * len(qmap[c]) for c in cols}
     for t in targets:
         v1, v2 = t["vals"]
         out[t["col"]][t["qi"]] = v1 + (t["pos"] - t["k1"]) * (v2 - v1)

@@ -27,3 +27,13 @@ def test_never_predicts_positive(spark):
     assert m.precision == 0.0 and m.recall == 0.0 and m.f1 == 0.0 and m.accuracy == 0.5
     cells = {(r.truth, r.predicted): r.n for r in confusion_matrix(df, "y", "p").collect()}
     assert cells == {(0, 0): 2, (0, 1): 0, (1, 0): 2, (1, 1): 0}
+
+
+def test_stratified_exact_with_hash_ties(spark):
+    """Distinct keys whose hashes collide (forced by a coarse hash) still
+    give exact per-class sizes."""
+    df = spark.range(600).select("id", (F.col("id") % 3 == 0).cast("int").alias("y"))
+    out = stratified_split(df, "y", hash_col=F.col("id") % 7)
+    sizes = {r.y: r.n for r in out.where("is_test").groupBy("y").agg(F.count("*").alias("n")).collect()}
+    assert sizes == {1: 40, 0: 80}
+    assert out.count() == 600 and out.select("id").distinct().count() == 600
