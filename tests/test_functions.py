@@ -120,3 +120,16 @@ def test_dotted_categories_make_usable_columns(spark):
     assert "cuisine_St_ Kilda" in out.columns and "subzone_st_ kilda" in out.columns
     cols = models.feature_columns(out, {"id", "rating_number"})
     assert out.select(*cols).count() == 8                       # every name resolves
+
+
+def test_feature_parity_for_missing_suburb(spark):
+    from forkcast.operators import features
+    df = spark.createDataFrame([(1, "['A']", None, 10.0, 1.0, "Good"), (2, "['B']", None, 20.0, 2.0, "Poor"),
+                                (3, "['A']", "X", 30.0, 3.0, "Good")],
+                               "id long, cuisine string, subzone string, cost double, votes double, rating_text string")
+    default = {r.id: r for r in features.build_features(df).collect()}
+    parity = {r.id: r for r in features.build_features(df, parity=True).collect()}
+    assert "subzone_nan" not in features.build_features(df).columns
+    assert parity[1]["subzone_nan"] is True and parity[3]["subzone_nan"] is False
+    assert default[1].subzone_freq == 2 and parity[1].subzone_freq == 2      # NULLs form one group
+    assert default[3].suburb_density == 1
