@@ -33,6 +33,18 @@ def long_cuisines(venue: DataFrame, parity: bool = False) -> DataFrame:
             .select("subzone", trim_ws("cuisine").alias("cuisine")))
 
 
+def _may_mention(text: Column, names: list[str]) -> Column:
+    """Cheap superset test run before parsing: the folded list text contains
+    a folded name, or holds a backslash escape (where the raw text can
+    differ from the parsed item).  Rows failing it cannot match, so only
+    candidate rows are parsed and exploded."""
+    folded = casefold(text)
+    hit = F.lit(False)
+    for n in names:
+        hit = hit | folded.contains(F.lit(n.casefold()))
+    return hit | text.contains("\\")
+
+
 def _region_key(boundaries: DataFrame, name_col: str) -> Column:
     return normalise_key(name_col)
 
@@ -43,7 +55,7 @@ def cuisine_counts(venue: DataFrame, boundaries: DataFrame, cuisine: str,
     zero for regions without any; every boundary row is kept (duplicates
     included).  Columns: boundary columns with ``name_col`` stripped, plus
     ``venue_count`` BIGINT."""
-    counts = (long_cuisines(venue, parity)
+    counts = (long_cuisines(venue.where(_may_mention(F.col("cuisine"), [cuisine])), parity)
               .where(casefold("cuisine") == casefold(F.lit(cuisine)))
               .groupBy("subzone").agg(F.count(F.lit(1)).alias("venue_count")))
     regions = boundaries.withColumn("_key", _region_key(boundaries, name_col))
@@ -59,7 +71,7 @@ def cuisine_counts_many(venue: DataFrame, boundaries: DataFrame, cuisines: list[
     form (one row per region x cuisine), plus ``global_max`` =
     max(1, largest count) shared by all rows (a scalar subquery)."""
     folded = [c.casefold() for c in cuisines]
-    counts = (long_cuisines(venue, parity)
+    counts = (long_cuisines(venue.where(_may_mention(F.col("cuisine"), cuisines)), parity)
               .withColumn("_fold", casefold("cuisine"))
               .where(F.col("_fold").isin(folded))
               .groupBy("subzone", "_fold").agg(F.count(F.lit(1)).alias("venue_count")))

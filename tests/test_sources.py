@@ -123,3 +123,20 @@ def test_csv_extra_columns_any_order(spark):
     rows = sorted(df.collect(), key=lambda r: r.id)
     assert rows[0].name == "Cafe, One" and rows[0].cost == 12.5 and rows[0].votes == 3.0
     assert rows[1].votes is None and rows[1].cost is None and rows[1].subzone is None
+
+
+def test_cuisine_counts_tricky_texts(spark):
+    from forkcast.operators import geo
+    venue = spark.createDataFrame([
+        (1, "a", "['Straße', 'Thai']"), (2, "a", "['STRASSE']"), (3, "A ", "['it\\'s']"),
+        (4, "b", '["it\'s", None]'), (5, "b", "[' Thai ']"), (6, None, "['Thai']"), (7, "c", "[bad")],
+        "id long, subzone string, cuisine string")
+    regions = spark.createDataFrame([(1, "A"), (2, " B"), (3, "C"), (4, "A")], "region_id int, region_name string")
+    def counts(name):
+        return {r.region_id: r.venue_count for r in geo.cuisine_counts(venue, regions, name).collect()}
+    assert counts("strasse") == {1: 2, 2: 0, 3: 0, 4: 2}          # ß folds to ss
+    assert counts("it's") == {1: 1, 2: 1, 3: 0, 4: 1}            # escaped and double-quoted forms
+    assert counts("thai") == {1: 1, 2: 1, 3: 0, 4: 1}            # stripped item; NULL suburb dropped
+    many = geo.cuisine_counts_many(venue, regions, ["Thai", "Strasse"]).collect()
+    assert {(r.region_id, r.cuisine): r.venue_count for r in many}[(1, "Strasse")] == 2
+    assert {r.global_max for r in many} == {2}
