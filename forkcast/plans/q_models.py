@@ -111,7 +111,8 @@ def q_approx_median_label(spark, d):
 def _features(spark, d):
     """Feature table, written to the reliable checkpoint folder once so the
     fits and scorers below do not recompute cleaning (as the DAG's files)."""
-    return materialize(jobs.feature_stage(jobs.clean_stage(venue_view(spark, d))), "features")
+    cleaned = materialize(jobs.clean_stage(venue_view(spark, d)), "clean")   # read by every feature fit
+    return materialize(jobs.feature_stage(cleaned), "features")
 
 
 @register("clean_table")
