@@ -50,3 +50,14 @@ def test_entry_smoke(spark):
 
 def test_every_oracle_has_a_query():
     assert set(E.oracle_sql()) <= set(E.queries())
+
+
+PLAN_CHECKED = ["cuisine_counts_all", "cost_histogram", "histogram_by_label", "describe_by_group", "impute_knn",
+                "suburb_features", "cost_density", "rating_distribution", "confusion_matrix", "min_rows_guard"]
+
+
+@pytest.mark.parametrize("name", PLAN_CHECKED)
+def test_no_cartesian_or_nested_loop(spark, name):
+    plan = E.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+        assert bad not in plan, (name, bad)
