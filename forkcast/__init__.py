@@ -9,9 +9,10 @@ the work.  Sub-packages:
 ``functions``  column expressions (text cleaning, list parsing, banding)
 ``operators``  DataFrame -> DataFrame operators (profile, clean, explore,
                geo, features, models, evaluation)
-``plans``      end-to-end jobs (cleaning stage, feature stage, model stage)
-               and the query catalogue used by ``__spark_entry__``
-``streaming``  incremental form of the row-local cleaning steps
+``plans``      end-to-end jobs (cleaning stage, feature stage, model stage,
+               the whole DAG) and the query catalogue used by
+               ``__spark_entry__``
+``streaming``  intentionally empty: the reference has no streaming
 """
 
 __version__ = "0.1.0"
