@@ -2,7 +2,9 @@
 
 The reference loops over cuisines, re-filtering the exploded table and
 re-joining the boundaries for each; here one grouped pass over the long
-table feeds a single left join.  Counts per (suburb, cuisine) are at most
+table feeds a single left join, and only rows whose list text may mention
+a requested cuisine are parsed and exploded (an exact superset test on
+the raw text).  Counts per (suburb, cuisine) are at most
 the number of distinct suburbs x requested cuisines, and the boundary
 table is one row per region: AQE broadcasts whichever side is under the
 broadcast threshold at run time and falls back to a shuffle join above it.

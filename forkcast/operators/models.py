@@ -2,7 +2,9 @@
 
 Training data are whole DataFrames; MLlib's estimators aggregate on the
 executors (treeAggregate) and only d-sized or d x d summaries reach the
-driver.  Inputs of iterative fits are persisted and released after.
+driver (the SGD Gram matrices come from per-task numpy partials summed by
+``Summarizer``).  Inputs of iterative fits are persisted and released
+after.
 """
 
 from __future__ import annotations
