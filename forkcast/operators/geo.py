@@ -71,7 +71,8 @@ def cuisine_counts_many(venue: DataFrame, boundaries: DataFrame, cuisines: list[
                         name_col: str = "region_name", parity: bool = False) -> DataFrame:
     """``cuisine_counts`` for a list of cuisines in one grouped pass, long
     form (one row per region x cuisine), plus ``global_max`` =
-    max(1, largest count) shared by all rows (a scalar subquery)."""
+    max(1, largest count among the region rows) shared by all rows (a
+    scalar subquery over the small joined table)."""
     folded = [c.casefold() for c in cuisines]
     counts = (long_cuisines(venue.where(_may_mention(F.col("cuisine"), cuisines)), parity)
               .withColumn("_fold", casefold("cuisine"))
@@ -91,8 +92,10 @@ def cuisine_counts_many(venue: DataFrame, boundaries: DataFrame, cuisines: list[
     keep = [F.col(c) for c in boundaries.columns if c != name_col]
     long = j.select(*keep, trim_ws(F.col(name_col)).alias(name_col), F.col("cuisine"),
                     F.coalesce(F.col("venue_count"), F.lit(0)).cast("bigint").alias("venue_count"))
-    global_max = counts.select(F.greatest(F.lit(1).cast("bigint"),
-                                          F.coalesce(F.max("venue_count"), F.lit(0)).cast("bigint"))).scalar()
+    # the shared colour scale: max(1, largest count over the JOINED rows),
+    # so a suburb missing from the boundaries never sets it
+    global_max = long.select(F.greatest(F.lit(1).cast("bigint"),
+                                        F.coalesce(F.max("venue_count"), F.lit(0)).cast("bigint"))).scalar()
     return long.withColumn("global_max", global_max)
 
 

@@ -42,12 +42,14 @@ _CUISINE_VALUES = ", ".join(f"('{c}')" for c in CUISINE_LIST)
 counts AS (SELECT subzone, {fold('cuisine')} AS f, count(*) AS venue_count FROM long
            WHERE {fold('cuisine')} IN ({", ".join(fold(repr(c)) for c in CUISINE_LIST)})
            GROUP BY 1, 2),
-names(cuisine) AS (VALUES {_CUISINE_VALUES})
-SELECT b.region_id, b.min_x, b.max_x, b.min_y, b.max_y, {strip('b.region_name')} AS region_name,
-       n.cuisine, CAST(coalesce(c.venue_count, 0) AS BIGINT) AS venue_count,
-       CAST(greatest(1, coalesce((SELECT max(venue_count) FROM counts), 0)) AS BIGINT) AS global_max
-FROM boundaries b CROSS JOIN names n
-LEFT JOIN counts c ON lower({strip('b.region_name')}) = c.subzone AND {fold('n.cuisine')} = c.f
+names(cuisine) AS (VALUES {_CUISINE_VALUES}),
+joined AS (
+  SELECT b.region_id, b.min_x, b.max_x, b.min_y, b.max_y, {strip('b.region_name')} AS region_name,
+         n.cuisine, CAST(coalesce(c.venue_count, 0) AS BIGINT) AS venue_count
+  FROM boundaries b CROSS JOIN names n
+  LEFT JOIN counts c ON lower({strip('b.region_name')}) = c.subzone AND {fold('n.cuisine')} = c.f)
+SELECT *, CAST(greatest(1, coalesce((SELECT max(venue_count) FROM joined), 0)) AS BIGINT) AS global_max
+FROM joined
 """))
 def q_cuisine_counts_all(spark, d):
     return geo.cuisine_counts_many(venue_view(spark, d), boundaries_view(spark, d), CUISINE_LIST)

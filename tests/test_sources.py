@@ -140,3 +140,12 @@ def test_cuisine_counts_tricky_texts(spark):
     many = geo.cuisine_counts_many(venue, regions, ["Thai", "Strasse"]).collect()
     assert {(r.region_id, r.cuisine): r.venue_count for r in many}[(1, "Strasse")] == 2
     assert {r.global_max for r in many} == {2}
+
+
+def test_shared_maximum_ignores_suburbs_without_boundary(spark):
+    from forkcast.operators import geo
+    venue = spark.createDataFrame([(i, "elsewhere", "['Thai']") for i in range(5)] + [(9, "a", "['Thai']")],
+                                  "id long, subzone string, cuisine string")
+    regions = spark.createDataFrame([(1, "A")], "region_id int, region_name string")
+    rows = geo.cuisine_counts_many(venue, regions, ["Thai"]).collect()
+    assert [(r.venue_count, r.global_max) for r in rows] == [(1, 1)]
