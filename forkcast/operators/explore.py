@@ -119,13 +119,15 @@ def histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
 KDE_REACH = 10.0
 
 
-def kde_curve(df: DataFrame, value: str, gridsize: int = 200) -> DataFrame:
+def kde_curve(df: DataFrame, value: str, gridsize: int = 200, hist_bins: int | None = None) -> DataFrame:
     """Gaussian kernel density on an even grid over [min, max] with Scott's
     bandwidth h = std * n^(-1/5): f(g) = sum_i exp(-((g-x_i)/h)^2 / 2) /
     (n h sqrt(2 pi)).  Data are first reduced to (value, count) pairs; each
     distinct value then adds to the grid points within 10 h of it (terms
     beyond are < 2e-22 of the peak, far under the 8-decimal output), with
-    partial sums per task.  Columns: grid, x, density."""
+    partial sums per task.  Columns: grid, x, density, and with
+    ``hist_bins`` also ``count_curve`` = density * n * bin width, the
+    curve drawn over a ``hist_bins``-bin count histogram."""
     x = nan_to_null(F.col(value))
     base = df.select(x.alias("x")).where(F.col("x").isNotNull())
     st = base.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("s"),
@@ -148,8 +150,11 @@ def kde_curve(df: DataFrame, value: str, gridsize: int = 200) -> DataFrame:
     dens = pts.groupBy("grid").agg(F.sum(contrib).alias("k"))
     grid = df.sparkSession.range(gridsize).select(F.col("id").cast("int").alias("grid"))   # every point listed
     out = grid.join(dens, "grid", "left").withColumn("k", F.coalesce(F.col("k"), F.lit(0.0)))
-    return out.select("grid", F.round(lo_ + F.col("grid") * step, 4).alias("x"),
-                      F.round(F.col("k") / (n_ * h * F.lit(math.sqrt(2 * math.pi))), 8).alias("density"))
+    dens_expr = F.col("k") / (n_ * h * F.lit(math.sqrt(2 * math.pi)))
+    cols = [F.col("grid"), F.round(lo_ + F.col("grid") * step, 4).alias("x"), F.round(dens_expr, 8).alias("density")]
+    if hist_bins:
+        cols.append(F.round(dens_expr * n_ * ((hi_ - lo_) / F.lit(hist_bins)), 6).alias("count_curve"))
+    return out.select(*cols)
 
 
 def ordered_counts(df: DataFrame, col: str, order: list[str]) -> DataFrame:

@@ -134,10 +134,12 @@ par AS (SELECT n, lo, hi, s * pow(CAST(n AS DOUBLE), -0.2) AS h, (hi - lo) / 199
 dist AS (SELECT x, count(*) AS w FROM base GROUP BY x),
 grid AS (SELECT CAST(unnest(range(0, 200)) AS INTEGER) AS grid)
 SELECT grid.grid, round(lo + grid.grid * step, 4) AS x,
-       round(sum(w * exp(-0.5 * pow(((lo + grid.grid * step) - dist.x) / h, 2))) / (n * h * sqrt(2 * pi())), 8) AS density
-FROM grid CROSS JOIN dist CROSS JOIN par GROUP BY grid.grid, lo, step, n, h"""))
+       round(sum(w * exp(-0.5 * pow(((lo + grid.grid * step) - dist.x) / h, 2))) / (n * h * sqrt(2 * pi())), 8) AS density,
+       round(sum(w * exp(-0.5 * pow(((lo + grid.grid * step) - dist.x) / h, 2))) / (n * h * sqrt(2 * pi()))
+             * n * ((hi - lo) / 30), 6) AS count_curve
+FROM grid CROSS JOIN dist CROSS JOIN par GROUP BY grid.grid, lo, hi, step, n, h"""))
 def q_cost_density(spark, d):
-    return explore.kde_curve(venue_view(spark, d), "cost", 200)
+    return explore.kde_curve(venue_view(spark, d), "cost", 200, hist_bins=30)
 
 
 @register("rating_distribution", with_views("""
