@@ -133,6 +133,12 @@ def kde_curve(df: DataFrame, value: str, gridsize: int = 200, hist_bins: int | N
     st = base.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("s"),
                   F.min("x").alias("lo"), F.max("x").alias("hi")).first()     # fitted scalars, one pass
     n_, s_, lo_, hi_ = (F.lit(st[c]).cast("double") for c in ("n", "s", "lo", "hi"))
+    if not st["s"]:                        # no spread (or < 2 values): no density, as the plot skips it
+        grid = df.sparkSession.range(gridsize).select(F.col("id").cast("int").alias("grid"))
+        cols = [F.col("grid"), F.lit(st["lo"]).cast("double").alias("x"), F.lit(None).cast("double").alias("density")]
+        if hist_bins:
+            cols.append(F.lit(None).cast("double").alias("count_curve"))
+        return grid.select(*cols)
     h = s_ * F.pow(n_.cast("double"), F.lit(-0.2))
     distinct = base.groupBy("x").agg(F.count(F.lit(1)).alias("w"))
     step = (hi_ - lo_) / F.lit(gridsize - 1)

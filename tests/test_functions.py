@@ -133,3 +133,10 @@ def test_feature_parity_for_missing_suburb(spark):
     assert parity[1]["subzone_nan"] is True and parity[3]["subzone_nan"] is False
     assert default[1].subzone_freq == 2 and parity[1].subzone_freq == 2      # NULLs form one group
     assert default[3].suburb_density == 1
+
+
+def test_kde_without_spread_has_no_density(spark):
+    from forkcast.operators.explore import kde_curve
+    df = spark.createDataFrame([(5.0,), (5.0,), (None,)], "c double")
+    rows = kde_curve(df, "c", 10, hist_bins=3).collect()
+    assert len(rows) == 10 and all(r.density is None and r.count_curve is None for r in rows)
