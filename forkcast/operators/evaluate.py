@@ -17,9 +17,10 @@ def regression_metrics(pred: DataFrame, label: str, prediction: str = "predictio
     y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
     base = pred.where(y.isNotNull() & p.isNotNull())
     ybar = F.lit(base.agg(F.avg(y)).first()[0]).cast("double")   # fitted scalar
-    return base.agg(F.avg(F.pow(y - p, 2)).alias("mse"),
-                    (F.lit(1.0) - F.sum(F.pow(y - p, 2)) / F.sum(F.pow(y - ybar, 2))).alias("r2"),
-                    F.count(F.lit(1)).cast("bigint").alias("n"))
+    sse, sst = F.sum(F.pow(y - p, 2)), F.sum(F.pow(y - ybar, 2))
+    # constant labels (SST = 0): 1.0 for a perfect fit, else 0.0 (finite R^2)
+    r2 = F.when(sst == 0, F.when(sse == 0, F.lit(1.0)).otherwise(F.lit(0.0))).otherwise(F.lit(1.0) - sse / sst)
+    return base.agg(F.avg(F.pow(y - p, 2)).alias("mse"), r2.alias("r2"), F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
 def confusion_matrix(pred: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:

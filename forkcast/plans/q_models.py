@@ -31,7 +31,9 @@ def _scored(spark, d):
 @register("regression_metrics", with_views("""
 , s AS (SELECT rating_number AS y, 2.5 + votes / 1000.0 AS p FROM venue WHERE rating_number IS NOT NULL AND votes IS NOT NULL)
 SELECT round(avg(pow(y - p, 2)), 6) AS mse,
-       round(1.0 - sum(pow(y - p, 2)) / sum(pow(y - (SELECT avg(y) FROM s), 2)), 6) AS r2,
+       round(CASE WHEN sum(pow(y - (SELECT avg(y) FROM s), 2)) = 0
+                  THEN CASE WHEN sum(pow(y - p, 2)) = 0 THEN 1.0 ELSE 0.0 END
+                  ELSE 1.0 - sum(pow(y - p, 2)) / sum(pow(y - (SELECT avg(y) FROM s), 2)) END, 6) AS r2,
        CAST(count(*) AS BIGINT) AS n FROM s"""))
 def q_regression_metrics(spark, d):
     m = evaluate.regression_metrics(_scored(spark, d), "rating_number", "prediction")

@@ -91,3 +91,10 @@ def test_ensure_rating_binary_cascade(spark):
     assert got == {1: 1, 2: 0, 3: None}
     nothing = spark.createDataFrame([(1,)], "id long")
     assert features.ensure_rating_binary(nothing).first().rating_binary is None
+
+
+def test_r2_with_constant_labels(spark):
+    same = spark.createDataFrame([(2.0, 2.0), (2.0, 2.0)], "y double, prediction double")
+    off = spark.createDataFrame([(2.0, 1.0), (2.0, 3.0)], "y double, prediction double")
+    assert evaluate.regression_metrics(same, "y").first().r2 == 1.0
+    assert evaluate.regression_metrics(off, "y").first().r2 == 0.0
