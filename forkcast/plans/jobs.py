@@ -57,3 +57,55 @@ def run_dag(spark: SparkSession, venue: DataFrame, out_dir: str) -> DataFrame:
     sinks.write_metrics_json(metrics, f"{out_dir}/metrics/pyspark.json")
     release(spark, mark)                      # intermediate tables are no longer read
     return spark.read.schema(metrics.schema).json(f"{out_dir}/metrics/pyspark.json")
+
+
+def analysis_outputs(venue: DataFrame, boundaries: DataFrame, cuisines: list[str],
+                     models_too: bool = False) -> dict[str, DataFrame]:
+    """The analysis script's flow on one session, in its order: clean
+    (labels re-derived from every rating number), then the exploratory
+    tables on the CLEANED rows, the per-region counts, the feature table
+    and (optionally) the model comparison.  Returns named DataFrames; the
+    cleaned table is written once because everything reads it."""
+    from forkcast.functions import scalars as S
+    from forkcast.operators import explore, geo, profile
+    from forkcast.session import materialize
+
+    cleaned = materialize(clean_stage(venue, overwrite_band=True), "analysis-clean")
+    out = {
+        "head": profile.head_rows(cleaned),
+        "null_profile": profile.null_profile(cleaned),
+        "describe": profile.describe(cleaned, ["cost", "cost_2", "lat", "lng", "rating_number", "votes"]),
+        "mean_by_label": explore.mean_by(cleaned, "rating_text", "rating_number"),
+        "top_cuisines": explore.top_n(explore.value_counts(explore.explode_list(cleaned, "cuisine", "item"), "item"),
+                                      "item", 10),
+        "cuisine_counts": explore.list_value_counts(cleaned, "cuisine"),
+        "top_suburbs": explore.top_n(explore.value_counts(cleaned, "subzone"), "subzone", 3),
+        "cost_by_rating": profile.describe_by_group(cleaned, "rating_text", "cost"),
+        "cost_histogram_by_label": explore.histogram_by_group(cleaned, "cost", "rating_text", 20,
+                                                              ["Excellent", "Poor"]),
+        "cost_rating_crosstab": explore.crosstab(
+            cleaned.select(S.bin_left_closed("cost").alias("cost_bin"), "rating_text"),
+            "cost_bin", "rating_text", ["Excellent", "Poor"]),
+        "cost_histogram": explore.histogram(cleaned, "cost", 30),
+        "cost_density": explore.kde_curve(cleaned, "cost", 200, hist_bins=30),
+        "rating_distribution": explore.ordered_counts(cleaned, "rating_text", S.RATING_ORDER),
+        "type_counts": explore.list_value_counts(cleaned, "type"),
+        "corr_cost_votes": explore.correlation(cleaned, "cost", "votes"),
+        "corr_cost_rating": explore.correlation(cleaned, "cost", "rating_number"),
+        "region_counts": geo.cuisine_counts_many(cleaned, boundaries, cuisines),
+        "region_bounds": geo.bounding_box(boundaries),
+    }
+    feats = materialize(feature_stage(cleaned), "analysis-features")
+    out["features"] = feats
+    if models_too:
+        from forkcast.operators import evaluate, models
+        from forkcast.operators.features import add_rating_binary
+        df = add_rating_binary(feats.join(cleaned.select("id", "rating_text"), "id"))
+        cols = models.feature_columns(df, {"id", "rating_number", "rating_binary", "rating_text_ord"}, vectors=True)
+        data = df.select("id", *cols, "rating_binary").where("rating_binary IS NOT NULL")
+        train, test = models.split(data, "stratified", "id", label="rating_binary")
+        frames = [models.evaluate_classifier(k, train, test, cols, "rating_binary")
+                  for k in ("logistic", "random_forest", "rff_svm", "mlp")]
+        out["classifier_comparison"] = evaluate.compare(frames)
+        out["spark_ml_metrics"] = spark_ml_stage(feats)
+    return out

@@ -41,3 +41,14 @@ def test_release_deletes_intermediate_tables(spark):
     assert os.path.isdir(path)
     assert release(spark, mark) == 1
     assert not os.path.exists(path)
+
+
+def test_analysis_outputs_in_script_order(spark):
+    from forkcast.sources.tables import boundaries_view
+    out = jobs.analysis_outputs(venue_view(spark, SF), boundaries_view(spark, SF), ["Widget", "Gear"])
+    assert {"describe", "region_counts", "features", "cost_density", "rating_distribution"} <= set(out)
+    # labels were re-derived from every (imputed) number: no missing label remains
+    dist = {r.rating_text: r.n for r in out["rating_distribution"].collect()}
+    assert sum(dist.values()) == out["features"].count()
+    for name, df in out.items():
+        df.limit(1).collect()                                 # every output plans and runs
