@@ -140,3 +140,21 @@ def test_kde_without_spread_has_no_density(spark):
     df = spark.createDataFrame([(5.0,), (5.0,), (None,)], "c double")
     rows = kde_curve(df, "c", 10, hist_bins=3).collect()
     assert len(rows) == 10 and all(r.density is None and r.count_curve is None for r in rows)
+
+
+def test_format_and_coerce(spark):
+    df = spark.createDataFrame([(0, 33.3333333, "12"), (1, 5.0, "x"), (2, None, None)], "i int, v double, s string")
+    got = [tuple(r) for r in df.orderBy("i").select(S.fmt_percent("v"), S.fmt_fixed("v"),
+                                                   S.to_int_or_zero("s")).collect()]
+    assert got[0] == ("33.33%", "33.3333", 12)
+    assert got[1] == ("5.00%", "5.0000", 0)
+    assert got[2][2] == 0
+
+
+def test_bin_index_orders_bins(spark):
+    vals = [0.0, 19.99, 20.0, 499.99, 500.0, None]
+    df = _col(spark, vals)
+    left = [r[0] for r in df.orderBy("i").select(S.bin_index("x", S.EDA_COST_EDGES)).collect()]
+    right = [r[0] for r in df.orderBy("i").select(S.bin_index("x", S.FEATURE_COST_EDGES, right=True)).collect()]
+    assert left == [0, 0, 1, 4, None, None]
+    assert right == [0, 0, 0, 3, 3, None]
