@@ -46,13 +46,16 @@ def assembler(cols: list[str], out: str = "features_raw", handle_invalid: str =
 
 def split(df: DataFrame, how: str = "hash", key: str = "id", label: str | None = None, seed: int = 42,
           test_fraction: float = 0.2):
-    """(train, test).  ``hash``: stable hash of ``key``; ``stratified``:
+    """(train, test).  ``hash``: stable hash of ``key`` (approximate sizes);
+    ``hash_exact``: exactly ceil(fraction * n) test rows; ``stratified``:
     per-class exact sizes; ``random``: ``randomSplit`` as the reference
     (membership depends on partitioning)."""
     if how == "random":
         return tuple(df.randomSplit([1 - test_fraction, test_fraction], seed=seed))
-    marked = (stratified_split(df, label, key, test_fraction, seed) if how == "stratified"
-              else hash_split(df, key, test_fraction, seed))
+    if how == "stratified":
+        marked = stratified_split(df, label, key, test_fraction, seed)
+    else:
+        marked = hash_split(df, key, test_fraction, seed, exact=(how == "hash_exact"))
     return marked.where(~F.col("is_test")).drop("is_test"), marked.where(F.col("is_test")).drop("is_test")
 
 

@@ -7,6 +7,7 @@ hash a stable key instead.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -16,15 +17,23 @@ from forkcast.operators.stats import exact_quantiles
 
 
 def hash_split(df: DataFrame, key: str = "id", test_fraction: float = 0.2, seed: int = 42,
-               buckets: int = 1000) -> DataFrame:
-    """Adds ``is_test``: pmod(xxhash64(key, seed), buckets) < fraction * buckets."""
+               buckets: int = 1000, exact: bool = False) -> DataFrame:
+    """Adds ``is_test``: pmod(xxhash64(key, seed), buckets) < fraction * buckets
+    (one projection, sizes approximate).  ``exact=True`` puts exactly
+    ceil(fraction * n) rows in the test side, as ``train_test_split`` does:
+    the rows with the smallest hashes, found by the bounded quantile search."""
+    if exact:
+        marked = stratified_split(df.withColumn("_one", F.lit(1)), "_one", key, test_fraction, seed,
+                                  size_rule="ceil")
+        return marked.drop("_one")
     h = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(buckets))
     return df.withColumn("is_test", h < F.lit(int(round(test_fraction * buckets))))
 
 
 def stratified_split(df: DataFrame, label: str, key: str = "id", test_fraction: float = 0.2,
-                     seed: int = 42, hash_col=None) -> DataFrame:
-    """Adds ``is_test`` with round(fraction * n_y) rows of every class y:
+                     seed: int = 42, hash_col=None, size_rule: str = "round") -> DataFrame:
+    """Adds ``is_test`` with round(fraction * n_y) rows of every class y
+    (``size_rule="ceil"``: ceil):
     the rows with the smallest xxhash64(key, seed) in that class.
 
     The per-class cut-off is an exact order statistic found by the
@@ -41,9 +50,11 @@ def stratified_split(df: DataFrame, label: str, key: str = "id", test_fraction:
     # classes share the same few passes of the bounded quantile search
     classes = sorted(counts, key=str)
     names = {y: f"_h{i}" for i, y in enumerate(classes)}
+    size = (lambda n: int(math.ceil(test_fraction * n - 1e-9))) if size_rule == "ceil" \
+        else (lambda n: int(round(test_fraction * n)))
     want, thr = {}, {}
     for y in classes:
-        n, n_test = counts[y], int(round(test_fraction * counts[y]))
+        n, n_test = counts[y], size(counts[y])
         if n_test <= 0:
             thr[y] = None
         elif n_test >= n:
@@ -65,7 +76,7 @@ def stratified_split(df: DataFrame, label: str, key: str = "id", test_fraction:
     if finite:
         below = base.agg(*[F.count_if((F.col(label) == F.lit(y)) & (F.col("_h") < F.lit(thr[y]))).alias(names[y])
                            for y in finite]).first()
-        need_at = {y: int(round(test_fraction * counts[y])) - int(below[names[y]]) for y in finite}
+        need_at = {y: size(counts[y]) - int(below[names[y]]) for y in finite}
     expr = None
     for y in classes:
         cond = F.col(label) == F.lit(y)

@@ -98,6 +98,12 @@ def q_split_hash(spark, d):
     return hash_split(venue_view(spark, d).select("id", "rating_text"), "id", 0.2, 42)
 
 
+@register("split_hash_exact")
+def q_split_hash_exact(spark, d):
+    """ML1 with exact sizes: ceil(0.2 n) test rows, smallest hashes."""
+    return hash_split(venue_view(spark, d).select("id", "rating_text"), "id", 0.2, 42, exact=True)
+
+
 @register("split_stratified")
 def q_split_stratified(spark, d):
     v = venue_view(spark, d).select("id", S.rating_binary("rating_text").alias("rating_binary"))
@@ -152,7 +158,7 @@ def _reg_data(spark, d):
 def q_sgd_fit(spark, d):
     f, cols = _reg_data(spark, d)
     f = f.select("id", *cols, "rating_number").dropna()
-    train, test = models.split(f, "hash", "id")
+    train, test = models.split(f, "hash_exact", "id")          # exact 80/20, as train_test_split
     fit, valid = models.split(train, "hash", "id", seed=7, test_fraction=0.1)
     w, b, mu, sd = models.sgd_regression(fit, valid, cols, "rating_number")
     pred = sum(((F.col(c) - float(mu[i])) / float(sd[i])) * float(w[i]) for i, c in enumerate(cols)) + F.lit(b)
@@ -164,7 +170,7 @@ def q_sgd_fit(spark, d):
 def q_pca_ols(spark, d):
     f, cols = _reg_data(spark, d)
     f = f.select("id", *cols, "rating_number").dropna()
-    train, test = models.split(f, "hash", "id")
+    train, test = models.split(f, "hash_exact", "id")          # exact 80/20, as train_test_split
     _, k, pred = models.pca_ols(train, test, cols, "rating_number")
     return evaluate.regression_metrics(pred, "rating_number").withColumn("n_components", F.lit(k))
 

@@ -37,3 +37,11 @@ def test_stratified_exact_with_hash_ties(spark):
     sizes = {r.y: r.n for r in out.where("is_test").groupBy("y").agg(F.count("*").alias("n")).collect()}
     assert sizes == {1: 40, 0: 80}
     assert out.count() == 600 and out.select("id").distinct().count() == 600
+
+
+def test_exact_hash_split_sizes(spark):
+    for n in (10, 999, 1001):
+        df = spark.range(n)
+        out = hash_split(df, "id", 0.2, exact=True)
+        assert out.where("is_test").count() == -(-n * 2 // 10)          # ceil(0.2 n)
+        assert out.count() == n
