@@ -216,8 +216,9 @@ def _search_and_weigh(plans: list[dict], D: int, k: int, max_levels: int, growth
         wpt = Window.partitionBy("_pair", *s_names).orderBy("_did")
         d_all = d_all.withColumn("_rn", F.row_number().over(wpt)).where(F.col("_rn") <= k).drop("_rn")
         d_all = materialize(d_all, "knn-donors")
-        # donors per pair before the k-per-point cap: "has seen them all" is
-        # then a stricter (still sound) test, and no extra job is needed
+        # donors per pair, counted before the k-per-point cap (from the
+        # statistics job, no extra pass): a receiver needs min(k, n) of them,
+        # and the capped set always still holds at least min(k, n)
         n_pair = dict(pair_n)
         npair_map = F.create_map(*[x for q, n in n_pair.items() for x in (F.lit(q), F.lit(n))])
         # receivers: distinct points per pair
