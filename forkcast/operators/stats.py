@@ -129,16 +129,19 @@ _MAX_DISTINCT = 1_000_000
 
 
 def _finish_exact(base: DataFrame, targets: list[dict], check_size: bool = False) -> None:
-    """Read the order statistics of many targets from ONE grouped count of
-    their brackets: rows (target, value, n), bounded by the brackets'
-    sizes (<= max_exact each) or their few distinct values."""
+    """Read the order statistics of many targets from ONE scan and ONE
+    grouped count of their brackets: rows (target, value, n), bounded by
+    the brackets' sizes (<= max_exact each) or their few distinct values."""
     if not targets:
         return
-    parts = []
-    for i, t in enumerate(targets):
-        x = F.col(t["col"])
-        parts.append(base.where(_inside(x, t["a"], t["b"])).select(F.lit(i).alias("t"), x.cast("double").alias("v")))
-    grouped = reduce(DataFrame.unionByName, parts).groupBy("t", "v").agg(F.count(F.lit(1)).alias("n"))
+    # ONE scan: each row emits (target, value) only for the brackets that
+    # contain it (a filtered array, exploded), then one grouped count
+    hits = F.array(*[F.when(_inside(F.col(t["col"]), t["a"], t["b"]),
+                            F.struct(F.lit(i).alias("t"), F.col(t["col"]).cast("double").alias("v")))
+                     for i, t in enumerate(targets)])
+    pairs = (base.select(F.explode(F.filter(hits, lambda h: h.isNotNull())).alias("h"))
+                 .select("h.t", "h.v"))
+    grouped = pairs.groupBy("t", "v").agg(F.count(F.lit(1)).alias("n"))
     if check_size and grouped.limit(_MAX_DISTINCT + 1).count() > _MAX_DISTINCT:
         raise RuntimeError("quantile brackets did not narrow; raise max_rounds")
     by_t: dict[int, list] = {}
