@@ -189,24 +189,35 @@ def _search_and_weigh(plans: list[dict], D: int, k: int, max_levels: int, growth
     b_names = [f"_b{j}" for j in range(_MAX_BLOCK_DIMS)]
     pair_meta = ["_pair", "_m", "_nb", "_w0", "_top"]
 
-    def side(frame, key, pid, pdict):
+    def pair_struct(pid, pdict):
         s_cols = [F.col(c) for c in pdict["S"]] + [F.lit(0.0)] * (n_s - len(pdict["S"]))
         b_cols = [F.col(c) for c in pdict["B"]] + [F.lit(0.0)] * (_MAX_BLOCK_DIMS - len(pdict["B"]))
-        return frame.where(F.col("_pat") == pdict[key]).select(
-            "*", F.lit(pid).alias("_pair"), F.lit(len(pdict["S"])).alias("_m"),
-            F.lit(len(pdict["B"])).alias("_nb"), F.lit(pdict["w0"]).alias("_w0"),
-            F.lit(pdict["top"]).alias("_top"),
+        return F.struct(
+            F.lit(pid).alias("_pair"), F.lit(len(pdict["S"])).alias("_m"), F.lit(len(pdict["B"])).alias("_nb"),
+            F.lit(float(pdict["w0"])).alias("_w0"), F.lit(pdict["top"]).alias("_top"),
             *[c.cast("double").alias(f"_s{j}") for j, c in enumerate(s_cols)],
             *[c.cast("double").alias(f"_b{j}") for j, c in enumerate(b_cols)])
 
+    def side(frame, key, entries, keep):
+        """ONE scan of a side: every row emits the pairs its presence
+        pattern belongs to (filtered array, exploded)."""
+        arr = F.array(*[F.when(F.col("_pat") == F.lit(pdict[key]), pair_struct(pid, pdict))
+                        for pid, pdict in entries])
+        return (frame.select(*keep, F.explode(F.filter(arr, lambda x: x.isNotNull())).alias("_q"))
+                     .select(*keep, "_q.*"))
+
     r_parts, d_parts, pid, pair_n = [], [], 0, []
     for p in plans:
+        entries = []
         for pdict in p["pairs"]:
             pair_n.append((pid, pdict["n"]))
-            r_parts.append(side(p["recv"], "rp", pid, pdict).select(
-                F.lit(p["t"]).alias("_t"), "_id", *pair_meta, *s_names, *b_names))
-            d_parts.append(side(p["donors"], "dp", pid, pdict).select("_did", "_v", *pair_meta, *s_names, *b_names))
+            entries.append((pid, pdict))
             pid += 1
+        if entries:
+            r_parts.append(side(p["recv"], "rp", entries, ["_id"])
+                           .select(F.lit(p["t"]).alias("_t"), "_id", *pair_meta, *s_names, *b_names))
+            d_parts.append(side(p["donors"], "dp", entries, ["_did", "_v"])
+                           .select("_did", "_v", *pair_meta, *s_names, *b_names))
     key_cols = ["_pair", *s_names]
     finished = []
     if r_parts:
