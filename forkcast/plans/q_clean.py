@@ -208,14 +208,14 @@ _PREDICATES = [
 @register("filter_predicates", with_views("\nUNION ALL\n".join(
     f"SELECT '{name}' AS predicate, * FROM venue WHERE {cond}" for name, cond in _PREDICATES)))
 def q_filter_predicates(spark, d):
+    """FLT1-FLT5 in ONE scan: each row is emitted once per predicate it
+    passes (a filtered array of labels, exploded)."""
+    from functools import reduce
     v = venue_view(spark, d)
-    parts = [("in", clean.where_in(v, "rating_text", ["Excellent", "Poor"])),
-             ("equals", clean.where_equals(v, "rating_text", "Excellent")),
-             ("casefold", v.where(T.casefold(T.trim_ws("subzone")) == T.casefold(F.lit("NATION_3")))),
-             ("drop_null_subset", clean.drop_missing(v, ["rating_number", "votes"])),
-             ("drop_null_any", clean.drop_any_null(v))]
-    out = None
-    for name, df in parts:
-        one = df.select(F.lit(name).alias("predicate"), *VENUE_COLS)
-        out = one if out is None else out.unionByName(one)
-    return out
+    conds = [("in", F.col("rating_text").isin("Excellent", "Poor")),
+             ("equals", F.col("rating_text") == "Excellent"),
+             ("casefold", T.casefold(T.trim_ws("subzone")) == T.casefold(F.lit("NATION_3"))),
+             ("drop_null_subset", F.col("rating_number").isNotNull() & F.col("votes").isNotNull()),
+             ("drop_null_any", reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in VENUE_COLS]))]
+    labels = F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(name)) for name, c in conds])
+    return v.select(F.explode(F.filter(labels, lambda x: x.isNotNull())).alias("predicate"), *VENUE_COLS)

@@ -91,15 +91,19 @@ UNION ALL SELECT 'cost~rating_number', round(corr(cost, rating_number), 6) FROM
 UNION ALL SELECT 'quantity~extendedprice', round(corr(l_quantity, l_extendedprice), 6) FROM lineitem
 UNION ALL SELECT 'discount~tax', round(corr(l_discount, l_tax), 6) FROM lineitem"""))
 def q_correlations(spark, d):
+    """Both pairs of a table in ONE aggregate pass (one scan per table)."""
+    from forkcast.functions.text import nan_to_null
     v, li = venue_view(spark, d), read_table(spark, d, "lineitem")
-    parts = [(v, "cost", "votes", "cost~votes"), (v, "cost", "rating_number", "cost~rating_number"),
-             (li, "l_quantity", "l_extendedprice", "quantity~extendedprice"),
-             (li, "l_discount", "l_tax", "discount~tax")]
-    out = None
-    for df, a, b, name in parts:
-        one = explore.correlation(df, a, b).select(F.lit(name).alias("pair"), F.round("corr", 6).alias("corr"))
-        out = one if out is None else out.unionByName(one)
-    return out
+
+    def pairs(df, spec):
+        one = df.agg(*[F.corr(nan_to_null(F.col(a)), nan_to_null(F.col(b))).alias(f"c{i}")
+                       for i, (a, b, _) in enumerate(spec)])
+        rows = F.array(*[F.struct(F.lit(name).alias("pair"), F.round(F.col(f"c{i}"), 6).alias("corr"))
+                         for i, (_, _, name) in enumerate(spec)])
+        return one.select(F.explode(rows).alias("r")).select("r.*")
+    return pairs(v, [("cost", "votes", "cost~votes"), ("cost", "rating_number", "cost~rating_number")]) \
+        .unionByName(pairs(li, [("l_quantity", "l_extendedprice", "quantity~extendedprice"),
+                                ("l_discount", "l_tax", "discount~tax")]))
 
 
 def _hist_sql(value, group_expr, where, bins, group_name):
