@@ -198,13 +198,15 @@ def standardise(df: DataFrame, cols: list[str], ddof: int = 1, prefix: str = "z_
                 keep: list[str] | None = None, places: int | None = None) -> DataFrame:
     """(x - mean) / std per column; ``ddof=0`` is the population std of
     scikit-learn's scaler (FE13), ``ddof=1`` the sample std of Spark's
-    (FE14).  A constant column maps to 0.  Means and stds are one
-    aggregate pass read as scalar subqueries."""
+    (FE14).  A constant column maps to 0.  Means and stds come from ONE
+    aggregate pass (fitted scalars), then one projection."""
     std_fn = F.stddev_pop if ddof == 0 else F.stddev_samp
-    stats = df.agg(*[F.avg(c).alias(f"m_{c}") for c in cols], *[std_fn(c).alias(f"s_{c}") for c in cols])
+    x = {c: nan_to_null(F.col(c)) for c in cols}
+    st = df.agg(*[F.avg(x[c]).alias(f"m{i}") for i, c in enumerate(cols)],
+                *[std_fn(x[c]).alias(f"s{i}") for i, c in enumerate(cols)]).first()   # one pass
     out = [F.col(k) for k in (keep or [])]
-    for c in cols:
-        m, s = stats.select(f"m_{c}").scalar(), stats.select(f"s_{c}").scalar()
-        z = F.when(s == 0, F.lit(0.0)).otherwise((nan_to_null(F.col(c)) - m) / s)
+    for i, c in enumerate(cols):
+        m, s = F.lit(st[f"m{i}"]).cast("double"), F.lit(st[f"s{i}"]).cast("double")
+        z = F.when(s == 0, F.lit(0.0)).otherwise((x[c] - m) / s)
         out.append((F.round(z, places) if places is not None else z).alias(prefix + c))
     return df.select(*out)
