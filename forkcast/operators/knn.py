@@ -129,17 +129,18 @@ def _pattern_stats(work: DataFrame, cols: list[str], targets: list[str]) -> dict
     """Per target, per side (receiver / donor) and presence pattern: row
     count, min / max of every other column and the donors' sum of the
     target.  ONE aggregate job for all targets (at most 2^D rows each)."""
-    parts = []
-    for t in targets:
+    recs = []
+    for t in targets:                      # one record per target from the SAME row: one scan
         others = [c for c in cols if c != t]
-        parts.append(work.select(
-            F.lit(t).alias("_t"), F.col(t).isNotNull().alias("_is_donor"), _pattern(others).alias("_pat"),
-            F.col(t).alias("_v"), *[F.col(c).alias(f"x{i}") for i, c in enumerate(others)]))
+        recs.append(F.struct(F.lit(t).alias("_t"), F.col(t).isNotNull().alias("_is_donor"),
+                             _pattern(others).alias("_pat"), F.col(t).alias("_v"),
+                             *[F.col(c).alias(f"x{i}") for i, c in enumerate(others)]))
     n_o = len(cols) - 1
     aggs = [F.count(F.lit(1)).alias("n"), F.sum("_v").alias("sum_v")]
     for i in range(n_o):
         aggs += [F.min(f"x{i}").alias(f"lo{i}"), F.max(f"x{i}").alias(f"hi{i}")]
-    rows = reduce(DataFrame.unionByName, parts).groupBy("_t", "_is_donor", "_pat").agg(*aggs).collect()
+    rows = (work.select(F.explode(F.array(*recs)).alias("_r")).select("_r.*")
+                .groupBy("_t", "_is_donor", "_pat").agg(*aggs).collect())
     out = {t: {"r": {}, "d": {}} for t in targets}
     for r in rows:
         t = r["_t"]
