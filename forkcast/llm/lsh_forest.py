@@ -8,12 +8,20 @@ Candidates come in two rounds, and both are confirmed on full shingle sets:
 1. Longest-common-prefix neighbours.  Each tree is sorted (range-partitioned,
    so a crowded region is cut at whatever depth its rows need) and adjacent
    sets of a region are compared by signature.  Every set keeps its likeliest
-   neighbour, which ties a group of n copies together with n checks.
+   neighbour, and every set of a crowded region meets that region's hub, the
+   set with the smallest share of shingles of its own: a group of n copies is
+   tied together by a few n checks.
 2. The rest of each region.  A region whose sets are still in different
    components is worked off in blocks: sets outside the region's largest
    component against all of it, by signature; pairs inside one component are
    never made.  Nothing is capped, so no candidate of a region is lost.
 
+Shingles that no other set of any region has are counted first.  They are in
+no intersection, so of two sets with m and n shingles, of which at most c can
+be common, the similarity is at most c / (m + n - c).  That takes sets with
+many edits out of every region, and most pairs out of the second round,
+without losing a link.
+
 Two sets of similarity 0.85 miss a common region with probability
 (1 - 0.85**3) ** 16 < 3e-7, and fall below the signature filter (88 of 128
 values, 5 standard deviations under the expected 109) with about as much.
@@ -103,40 +111,65 @@ def _neighbours(batches):
         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(agree[ok].astype(np.int32))], names=["a", "b", "agree"])
 
 
-def _cross(batches):
+def _possible(n1, c1, n2, c2, least_percent: int):
+    """Whether sets of n1 and n2 shingles, c1 and c2 of them not their own alone, can be similar enough."""
+    c = np.minimum(c1, c2)
+    return 100 * c >= least_percent * (n1 + n2 - c)
+
+
+def _alike(least_percent: int):
+    """mapInArrow: (a, b, n, c, sig of a, of b) -> the pairs (a, b) that agree often enough and can be similar enough."""
+    def alike(batches):
+        for batch in batches:
+            if batch.num_rows:
+                n1, c1, n2, c2 = (batch.column(i).to_numpy() for i in (2, 3, 4, 5))
+                agree = (_matrix(batch.column(6)) == _matrix(batch.column(7))).sum(1)
+                ok = pa.array((agree >= AGREE) & _possible(n1, c1, n2, c2, least_percent))
+                yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok)], names=["a", "b"])
+    return alike
+
+
+def _cross(least_percent: int):
     """mapInArrow over rows sorted by (block, asks): in each block, every
     asking set against every set of another component."""
-    def pairs(rows):
-        asks, rep, comp, sig = (np.concatenate(x) for x in zip(*rows))
-        q, d = np.flatnonzero(asks), np.flatnonzero(~asks)
-        for i in q:
-            agree = (sig[d] == sig[i]).sum(1)
-            hit = d[(agree >= AGREE) & (comp[d] != comp[i])]
-            if len(hit):
-                other = rep[hit]
-                yield np.minimum(other, rep[i]), np.maximum(other, rep[i])
-
     def out(rows):
-        found = list(pairs(rows))
+        asks, rep, comp, n, c, sig = (np.concatenate(x) for x in zip(*rows))
+        d = np.flatnonzero(~asks)
+        found = []
+        for i in np.flatnonzero(asks):
+            near = d[(comp[d] != comp[i]) & _possible(n[d], c[d], n[i], c[i], least_percent)]
+            other = rep[near[(sig[near] == sig[i]).sum(1) >= AGREE]]
+            if len(other):
+                found.append((np.minimum(other, rep[i]), np.maximum(other, rep[i])))
         if found:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found)], names=["a", "b"])
 
-    held, block = [], None
+    def cross(batches):
+        held, block = [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key = batch.column(0).to_numpy()
+            cols = (*(batch.column(i).to_numpy(zero_copy_only=False) for i in range(1, 6)), _matrix(batch.column(6)))
+            edges = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1), len(key)]
+            for lo, hi in zip(edges[:-1], edges[1:]):
+                if key[lo] != block and held:
+                    yield from out(held)
+                    held = []
+                block = key[lo]
+                held.append(tuple(x[lo:hi] for x in cols))
+        if held:
+            yield from out(held)
+    return cross
+
+
+def _shingle_lists(batches):
+    """mapInArrow: (rep, text) -> rep, its distinct shingles."""
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        key = batch.column(0).to_numpy(zero_copy_only=False)
-        cols = (batch.column(1).to_numpy(zero_copy_only=False), batch.column(2).to_numpy(zero_copy_only=False),
-                batch.column(3).to_numpy(zero_copy_only=False), _matrix(batch.column(4)))
-        edges = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1), len(key)]
-        for lo, hi in zip(edges[:-1], edges[1:]):
-            if key[lo] != block and held:
-                yield from out(held)
-                held = []
-            block = key[lo]
-            held.append(tuple(c[lo:hi] for c in cols))
-    if held:
-        yield from out(held)
+        for lo, data, off in runs(batch.column(1)):
+            row, g = shingles(Words(lower_ascii(data), off, SPACED), SHINGLE_WORDS)
+            n = len(off) - 1
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, n), pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(n + 1)), pa.int32()), pa.array(g.view(np.int64)))], names=["rep", "shingles"])
 
 
 def _confirm(least_percent: int):
@@ -171,7 +204,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, least_percent: int) -> DataFra
     return both.mapInArrow(_confirm(least_percent), "a long, b long")
 
 
-def _rest(members: DataFrame, reps: DataFrame, comps: DataFrame) -> DataFrame:
+def _rest(members: DataFrame, able: DataFrame, comps: DataFrame, least_percent: int) -> DataFrame:
     """Candidate pairs (a, b) across the components that still share a region."""
     m = (members.join(comps.select(F.col("id").alias("rep"), "component"), "rep", "left")
          .withColumn("component", F.coalesce("component", "rep")))
@@ -180,13 +213,12 @@ def _rest(members: DataFrame, reps: DataFrame, comps: DataFrame) -> DataFrame:
              .where("parts > 1")
              .select("tree", "key", "home", F.ceil(F.col("n") / BLOCK).alias("down"), F.ceil((F.col("n") - F.col("most")) / BLOCK).alias("across")))
     m = m.join(open_, ["tree", "key"])
-    block = lambda i, j: F.xxhash64("tree", "key", i, j)
-    own = m.select("rep", "component", F.lit(False).alias("asks"), "tree", "key", F.pmod(F.xxhash64("rep"), "down").alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("across") - 1)).alias("j"))
-    ask = m.where("component <> home").select("rep", "component", F.lit(True).alias("asks"), "tree", "key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("down") - 1)).alias("i"), F.pmod(F.xxhash64("rep", F.lit(7)), "across").alias("j"))
-    rows = (own.unionAll(ask).select(block("i", "j").alias("block"), "asks", "rep", "component")
-            .join(reps.select("rep", "sig"), "rep"))
-    return (rows.select("block", "asks", "rep", "component", "sig").repartition("block").sortWithinPartitions("block", "asks")
-            .mapInArrow(_cross, "a long, b long").distinct())
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    own = m.select("rep", "component", F.lit(False).alias("asks"), "tree", "key", F.pmod(F.xxhash64("rep"), "down").alias("i"), upto("across").alias("j"))
+    ask = m.where("component <> home").select("rep", "component", F.lit(True).alias("asks"), "tree", "key", upto("down").alias("i"), F.pmod(F.xxhash64("rep", F.lit(7)), "across").alias("j"))
+    rows = own.unionAll(ask).select(F.xxhash64("tree", "key", "i", "j").alias("block"), "asks", "rep", "component").join(able, "rep")
+    return (rows.select("block", "asks", "rep", "component", "n", "c", "sig").repartition("block").sortWithinPartitions("block", "asks")
+            .mapInArrow(_cross(least_percent), "a long, b long").distinct())
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_percent: int = 85) -> DataFrame:
@@ -205,25 +237,38 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     signed = materialize(signatures(docs, id_col, text_col), "signed")
     reps = materialize(signed.where("n_shingles > 0 and doc_id is not null").groupBy("d1", "d2")
-                       .agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys"), F.first("sig").alias("sig")), "reps")
+                       .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"), F.first("sig").alias("sig")), "reps")
     places = reps.select("rep", F.posexplode("keys").alias("tree", "key"))
-    shared = places.groupBy("tree", "key").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    shared = places.groupBy("tree", "key").agg(F.count("*").alias("sets")).where("sets > 1").drop("sets")
     members = materialize(places.join(shared, ["tree", "key"]), "regions")
     texts = materialize(
         docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).cast("string").alias("text"))
         .join(members.select("rep").distinct(), "rep", "left_semi"), "texts")
 
+    every = texts.mapInArrow(_shingle_lists, "rep long, shingles array<long>").select("rep", F.explode("shingles").alias("shingle"))
+    own = (every.groupBy("shingle").agg(F.count("*").alias("sets"), F.min("rep").alias("rep")).where("sets = 1")
+           .groupBy("rep").agg(F.count("*").alias("own")))
+    able = (reps.select("rep", "n", "sig").join(members.select("rep").distinct(), "rep", "left_semi").join(own, "rep", "left")
+            .select("rep", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("c"), "sig").where(100 * F.col("c") >= least_percent * F.col("n")))
+    able = materialize(able, "able")
+    members = members.join(able.select("rep", (F.col("c") / F.col("n")).alias("common")), "rep")
+    regions = members.groupBy("tree", "key").agg(F.count("*").alias("sets"), F.max_by("rep", F.struct("common", -F.col("rep"))).alias("hub")).where("sets > 1")
+    members = materialize(members.join(regions, ["tree", "key"]).select("tree", "key", "rep", "sets", "hub"), "regions")
+
     skip = F.col("tree") * DEPTH + DEPTH
     label = F.concat(F.col("sig").substr(skip + 1, F.lit(VALUES)), F.col("sig").substr(F.lit(1), skip))
-    ordered = (members.join(reps.select("rep", "sig"), "rep").select("tree", "key", "rep", label.alias("label"))
+    ordered = (members.join(able.select("rep", "sig"), "rep").select("tree", "key", "rep", label.alias("label"))
                .repartitionByRange("tree", "key", "label", "rep").sortWithinPartitions("tree", "key", "label", "rep"))
     near = ordered.mapInArrow(_neighbours, "a long, b long, agree int").distinct()
     sides = near.unionAll(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "agree"))
     best = sides.groupBy("a").agg(F.max_by("b", F.struct("agree", "b")).alias("b"))
-    first = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    star = members.where("sets > 3 and rep <> hub").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
+    side = lambda x: able.select(F.col("rep").alias(x), F.col("n").alias(f"n_{x}"), F.col("c").alias(f"c_{x}"), F.col("sig").alias(f"sig_{x}"))
+    star = star.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "c_a", "n_b", "c_b", "sig_a", "sig_b").mapInArrow(_alike(least_percent), "a long, b long")
+    first = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).unionAll(star).distinct()
     links = materialize(confirmed(first, texts, least_percent), "links")
     comps = materialize(graph.components(links), "components")
-    more = materialize(confirmed(_rest(members, reps, comps), texts, least_percent), "links")
+    more = materialize(confirmed(_rest(members, able, comps, least_percent), texts, least_percent), "links")
     comps = graph.components(links.unionAll(more))
 
     classes = reps.select("d1", "d2", "rep").join(comps.select(F.col("id").alias("rep"), "component"), "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component"))
