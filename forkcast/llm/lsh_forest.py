@@ -23,8 +23,8 @@ many edits out of every region, and most pairs out of the second round,
 without losing a link.
 
 Two sets of similarity 0.85 miss a common region with probability
-(1 - 0.85**3) ** 16 < 3e-7, and fall below the signature filter (88 of 128
-values, 5 standard deviations under the expected 109) with about as much.
+(1 - 0.85**3) ** 16 < 3e-7, and fall below the signature filter (five standard
+deviations under the expected agreement, see ``agreeing``) with about as much.
 """
 
 from __future__ import annotations
@@ -39,13 +39,18 @@ from forkcast.llm.words import SPACED, Words, lower_ascii, mix, runs, shingles
 from forkcast.session import materialize
 
 VALUES, TREES, DEPTH = 128, 16, 3
-#: Signature values that must agree before full sets are compared.
-AGREE = 88
 #: Sets that meet in one block of a crowded region, on either side.
 BLOCK = 1024
 SHINGLE_WORDS = 5
 
 
+def agreeing(least_percent: int) -> int:
+    """Signature values that must agree before full sets are compared: five
+    standard deviations under what sets just similar enough lead one to expect."""
+    p = least_percent / 100
+    return int(VALUES * p - 5 * (VALUES * p * (1 - p)) ** 0.5)
+
+
 def _signer():
     """mapInArrow: (doc_id, text) -> sizes, set digests, region keys and signatures."""
     odd = mix(np.arange(1, VALUES + 1, dtype=np.uint64))
@@ -94,21 +99,25 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, VALUES)
 
 
-def _neighbours(batches):
+def _neighbours(least_percent: int):
     """mapInArrow over rows sorted by (tree, key, label): adjacent rows of a region that agree often enough."""
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        region = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1)], 1)
-        rep, label = batch.column(2).to_numpy(zero_copy_only=False), _matrix(batch.column(3))
-        if last is not None:
-            region, rep, label = (np.concatenate([a, b]) for a, b in zip(last, (region, rep, label)))
-        last = region[-1:], rep[-1:], label[-1:]
-        agree = (label[1:] == label[:-1]).sum(1)
-        ok = (agree >= AGREE) & (region[1:] == region[:-1]).all(1) & (rep[1:] != rep[:-1])
-        a, b = rep[:-1][ok], rep[1:][ok]
-        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(agree[ok].astype(np.int32))], names=["a", "b", "agree"])
+    enough = agreeing(least_percent)
+
+    def neighbours(batches):
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            region = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in (0, 1)], 1)
+            rep, label = batch.column(2).to_numpy(), _matrix(batch.column(3))
+            if last is not None:
+                region, rep, label = (np.concatenate([a, b]) for a, b in zip(last, (region, rep, label)))
+            last = region[-1:], rep[-1:], label[-1:]
+            agree = (label[1:] == label[:-1]).sum(1)
+            ok = (agree >= enough) & (region[1:] == region[:-1]).all(1) & (rep[1:] != rep[:-1])
+            a, b = rep[:-1][ok], rep[1:][ok]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(agree[ok].astype(np.int32))], names=["a", "b", "agree"])
+    return neighbours
 
 
 def _possible(n1, c1, n2, c2, least_percent: int):
@@ -119,26 +128,36 @@ def _possible(n1, c1, n2, c2, least_percent: int):
 
 def _alike(least_percent: int):
     """mapInArrow: (a, b, n, c, sig of a, of b) -> the pairs (a, b) that agree often enough and can be similar enough."""
+    enough = agreeing(least_percent)
+
     def alike(batches):
         for batch in batches:
             if batch.num_rows:
                 n1, c1, n2, c2 = (batch.column(i).to_numpy() for i in (2, 3, 4, 5))
                 agree = (_matrix(batch.column(6)) == _matrix(batch.column(7))).sum(1)
-                ok = pa.array((agree >= AGREE) & _possible(n1, c1, n2, c2, least_percent))
+                ok = pa.array((agree >= enough) & _possible(n1, c1, n2, c2, least_percent))
                 yield pa.RecordBatch.from_arrays([batch.column(0).filter(ok), batch.column(1).filter(ok)], names=["a", "b"])
     return alike
 
 
+#: Roles in a block: of the region's largest component, of another one, the latter asking.
+HOME, OTHER, ASKS = 0, 1, 2
+
+
 def _cross(least_percent: int):
-    """mapInArrow over rows sorted by (block, asks): in each block, every
-    asking set against every set of another component."""
+    """mapInArrow over rows sorted by (block, role): in each block, every
+    asking set against every set of another component.  A pair that shares
+    regions of several trees is made in the first one only."""
+    enough = agreeing(least_percent)
+
     def out(rows):
-        asks, rep, comp, n, c, sig = (np.concatenate(x) for x in zip(*rows))
-        d = np.flatnonzero(~asks)
+        tree, role, rep, comp, n, c, keys, sig = (np.concatenate(x) for x in zip(*rows))
+        d = np.flatnonzero(role != ASKS)
         found = []
-        for i in np.flatnonzero(asks):
-            near = d[(comp[d] != comp[i]) & _possible(n[d], c[d], n[i], c[i], least_percent)]
-            other = rep[near[(sig[near] == sig[i]).sum(1) >= AGREE]]
+        for i in np.flatnonzero(role == ASKS):
+            near = d[(comp[d] != comp[i]) & ((role[d] == HOME) | (rep[d] < rep[i])) & _possible(n[d], c[d], n[i], c[i], least_percent)]
+            near = near[(sig[near] == sig[i]).sum(1) >= enough]
+            other = rep[near[~(keys[near, :tree[i]] == keys[i, :tree[i]]).any(1)]]
             if len(other):
                 found.append((np.minimum(other, rep[i]), np.maximum(other, rep[i])))
         if found:
@@ -150,7 +169,7 @@ def _cross(least_percent: int):
             if not batch.num_rows:
                 continue
             key = batch.column(0).to_numpy()
-            cols = (*(batch.column(i).to_numpy(zero_copy_only=False) for i in range(1, 6)), _matrix(batch.column(6)))
+            cols = (*(batch.column(i).to_numpy() for i in range(1, 7)), batch.column(7).flatten().to_numpy().reshape(-1, TREES), _matrix(batch.column(8)))
             edges = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1), len(key)]
             for lo, hi in zip(edges[:-1], edges[1:]):
                 if key[lo] != block and held:
@@ -214,10 +233,10 @@ def _rest(members: DataFrame, able: DataFrame, comps: DataFrame, least_percent:
              .select("tree", "key", "home", F.ceil(F.col("n") / BLOCK).alias("down"), F.ceil((F.col("n") - F.col("most")) / BLOCK).alias("across")))
     m = m.join(open_, ["tree", "key"])
     upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
-    own = m.select("rep", "component", F.lit(False).alias("asks"), "tree", "key", F.pmod(F.xxhash64("rep"), "down").alias("i"), upto("across").alias("j"))
-    ask = m.where("component <> home").select("rep", "component", F.lit(True).alias("asks"), "tree", "key", upto("down").alias("i"), F.pmod(F.xxhash64("rep", F.lit(7)), "across").alias("j"))
-    rows = own.unionAll(ask).select(F.xxhash64("tree", "key", "i", "j").alias("block"), "asks", "rep", "component").join(able, "rep")
-    return (rows.select("block", "asks", "rep", "component", "n", "c", "sig").repartition("block").sortWithinPartitions("block", "asks")
+    own = m.select("rep", "component", F.when(F.col("component") == F.col("home"), HOME).otherwise(OTHER).alias("role"), "tree", "key", F.pmod(F.xxhash64("rep"), "down").alias("i"), upto("across").alias("j"))
+    ask = m.where("component <> home").select("rep", "component", F.lit(ASKS).alias("role"), "tree", "key", upto("down").alias("i"), F.pmod(F.xxhash64("rep", F.lit(7)), "across").alias("j"))
+    rows = own.unionAll(ask).select(F.xxhash64("tree", "key", "i", "j").alias("block"), "tree", "role", "rep", "component").join(able, "rep")
+    return (rows.select("block", "tree", "role", "rep", "component", "n", "c", "keys", "sig").repartition("block").sortWithinPartitions("block", "role")
             .mapInArrow(_cross(least_percent), "a long, b long").distinct())
 
 
@@ -248,8 +267,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     every = texts.mapInArrow(_shingle_lists, "rep long, shingles array<long>").select("rep", F.explode("shingles").alias("shingle"))
     own = (every.groupBy("shingle").agg(F.count("*").alias("sets"), F.min("rep").alias("rep")).where("sets = 1")
            .groupBy("rep").agg(F.count("*").alias("own")))
-    able = (reps.select("rep", "n", "sig").join(members.select("rep").distinct(), "rep", "left_semi").join(own, "rep", "left")
-            .select("rep", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("c"), "sig").where(100 * F.col("c") >= least_percent * F.col("n")))
+    able = (reps.select("rep", "n", "keys", "sig").join(members.select("rep").distinct(), "rep", "left_semi").join(own, "rep", "left")
+            .select("rep", "n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("c"), "keys", "sig").where(100 * F.col("c") >= least_percent * F.col("n")))
     able = materialize(able, "able")
     members = members.join(able.select("rep", (F.col("c") / F.col("n")).alias("common")), "rep")
     regions = members.groupBy("tree", "key").agg(F.count("*").alias("sets"), F.max_by("rep", F.struct("common", -F.col("rep"))).alias("hub")).where("sets > 1")
@@ -259,7 +278,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     label = F.concat(F.col("sig").substr(skip + 1, F.lit(VALUES)), F.col("sig").substr(F.lit(1), skip))
     ordered = (members.join(able.select("rep", "sig"), "rep").select("tree", "key", "rep", label.alias("label"))
                .repartitionByRange("tree", "key", "label", "rep").sortWithinPartitions("tree", "key", "label", "rep"))
-    near = ordered.mapInArrow(_neighbours, "a long, b long, agree int").distinct()
+    near = ordered.mapInArrow(_neighbours(least_percent), "a long, b long, agree int").distinct()
     sides = near.unionAll(near.select(F.col("b").alias("a"), F.col("a").alias("b"), "agree"))
     best = sides.groupBy("a").agg(F.max_by("b", F.struct("agree", "b")).alias("b"))
     star = members.where("sets > 3 and rep <> hub").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
@@ -275,3 +294,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     out = signed.select("doc_id", "n_shingles", "d1", "d2").join(classes, ["d1", "d2"], "left")
     component = F.when(F.col("doc_id").isNull(), None).when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, all columns, without near duplicates of a smaller
+    id.  Of rows that share an id one stays; rows with a null id all stay."""
+    gone = near_duplicates(docs, id_col, text_col, least_percent).where(~F.col("kept")).select(F.col("doc_id").alias("duplicate_id")).distinct()
+    stay = docs.where(F.col(id_col).isNotNull()).join(gone, docs[id_col].cast("long") == gone["duplicate_id"], "left_anti")
+    return stay.dropDuplicates([id_col]).unionByName(docs.where(F.col(id_col).isNull()))

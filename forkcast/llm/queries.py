@@ -2,13 +2,73 @@
 
 from __future__ import annotations
 
-from forkcast.llm import lsh_forest
+from forkcast.llm import bpe_automaton, chat, decontam, license_join, lsh_forest, quality_pu, rules_cascade, secret_scan, substring, url_rules
 from forkcast.llm.registry import ORACLE, QUERIES, register, table
+from pyspark.sql import functions as F
 
 __all__ = ["ORACLE", "QUERIES"]
 
 
+def tokenizer_path() -> str:
+    """The vocabulary file of op3."""
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@register("op1_pu_quality")
+def op1(spark, sf_dir):
+    """Quality scores of all documents."""
+    return quality_pu.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+register("op2_chat_format", chat.SQL)(chat.query)
+
+
+@register("op3_bpe_automaton")
+def op3(spark, sf_dir):
+    """Token ids of all documents, and what they decode to."""
+    return bpe_automaton.digests(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@register("op4_secret_scan")
+def op4(spark, sf_dir):
+    """Secrets in all documents."""
+    return secret_scan.digests(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
+@register("op5_rules_cascade")
+def op5(spark, sf_dir):
+    """Quality rules over all documents."""
+    found = rules_cascade.judge(table(spark, sf_dir, "documents"))
+    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    return found.withColumn("base_failed", failed).withColumn("kept", F.col("kept") & ~failed)
+
+
+@register("op6_url_rules")
+def op6(spark, sf_dir):
+    """Verdicts on the urls of all pages."""
+    return url_rules.judge(table(spark, sf_dir, "pages"))
+
+
+@register("op7_license_join")
+def op7(spark, sf_dir):
+    """License phrases and notices in all documents."""
+    return license_join.digests(license_join.scan(table(spark, sf_dir, "documents")))
+
+
+@register("op8_spaced_seed_decontam")
+def op8(spark, sf_dir):
+    """Benchmark items that documents leak."""
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @register("op9_minhash_near_dedup")
 def op9(spark, sf_dir):
     """Near-duplicate components of all documents (similarity 0.85 or more)."""
     return lsh_forest.near_duplicates(table(spark, sf_dir, "documents"), least_percent=85)
+
+
+@register("op10_count_min_substring")
+def op10(spark, sf_dir):
+    """What is left of all documents without passages that earlier ones have."""
+    return substring.digests(table(spark, sf_dir, "documents"))
