@@ -7,7 +7,7 @@ First pass: every window gets a representative, the smallest hash among the
 25-word sequences inside it.  Equal windows have equal representatives, and
 neighbouring windows mostly share one, so there are about thirteen times fewer
 of them.  Each task counts the representatives of its documents (once a
-document) in a count-min sketch of two rows, and the sketches are merged,
+document) in a count-min sketch of four rows, and the sketches are merged,
 32 at a time.  A cell is at least the number of documents with any
 representative in it, so a window whose cells are below two is nowhere else:
 overestimates cost work and never lose a repeat.
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from forkcast.llm.words import SPACED, Grams, Words, mix, runs
 from forkcast.session import materialize
 
-ROWS, FINE_BITS = 2, 28
+ROWS, FINE_BITS = 4, 28
 SHARDS = 16
 #: Partial sketches that one task merges.
 FAN_IN = 32
@@ -153,7 +153,7 @@ def repeated_cells(docs: DataFrame, length: int, most_bits: int) -> tuple[int, l
             break
         numbered = sketch.withColumn("group", F.pmod(F.xxhash64("once", "twice"), F.lit(-(-parts // FAN_IN))))
         sketch = materialize(numbered.groupBy("row", "shard", "group").applyInPandas(lambda p: _merge(p.drop(columns="group")), SKETCH), "sketch")
-    bits = max(12, min(most_bits, FINE_BITS, int(2 * (cells or 0)).bit_length()))
+    bits = max(12, min(most_bits, FINE_BITS, (4 * (cells or 0) // ROWS).bit_length()))
     maps = [np.zeros((1 << bits) // 8, np.uint8) for _ in range(ROWS)]
     size = len(maps[0]) // SHARDS
     rows = sketch.groupBy("row", "shard").applyInPandas(_narrowed(bits), "row int, shard int, full binary")
@@ -162,12 +162,13 @@ def repeated_cells(docs: DataFrame, length: int, most_bits: int) -> tuple[int, l
     return bits, maps
 
 
-FOUND = "doc_id long, text_key long, n_words long, sha string, text string, runs array<struct<representative:long,start:int,windows:array<long>>>"
+FOUND = "doc_id long, text_key long, n_words long, sha string, packed binary, runs array<struct<representative:long,start:int,windows:array<long>>>"
 
 
 def _estimated(held, length: int):
     """mapInArrow: (doc_id, text) -> a row a document, with its windows
-    estimated repeated, in runs of one representative, and then its text."""
+    estimated repeated, in runs of one representative, and then its text
+    (packed, as it is written and shuffled once more)."""
     def find(batches):
         bits, maps = held.value
         for batch in batches:
@@ -176,10 +177,14 @@ def _estimated(held, length: int):
                 words = Words(data, off, SPACED)
                 n = len(off) - 1
                 at, row, least, whole = _windows(words, length)
-                ok = known[lo + row]
-                for bitmap, cells in zip(maps, _cells(least)):
+                new = np.ones(len(at), bool)
+                new[1:] = (least[1:] != least[:-1]) | (row[1:] != row[:-1])
+                first = np.flatnonzero(new)
+                ok = known[lo + row[first]]
+                for bitmap, cells in zip(maps, _cells(least[first])):
                     cell = cells >> np.uint32(FINE_BITS - bits)
                     ok &= (bitmap[cell >> np.uint32(3)] >> (7 - (cell & np.uint32(7))).astype(np.uint8) & 1).astype(bool)
+                ok = np.repeat(ok, np.diff(np.append(first, len(at))))
                 at, row, least, whole = at[ok], row[ok], least[ok], whole[ok]
                 new = np.ones(len(at), bool)
                 new[1:] = (least[1:] != least[:-1]) | (at[1:] != at[:-1] + 1) | (row[1:] != row[:-1])
@@ -195,23 +200,23 @@ def _estimated(held, length: int):
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(lo, n), pa.array(Grams(words, words.hashes()).rows().view(np.int64)), pa.array(words.counts, pa.int64()),
                     pa.array([hashlib.sha256(b" ".join(t.split())).hexdigest() for t in texts]),
-                    pa.array([t.decode() if s else None for t, s in zip(texts, some)], pa.string()), each,
-                ], names=["doc_id", "text_key", "n_words", "sha", "text", "runs"])
+                    pa.array([zlib.compress(t, 1) if s else None for t, s in zip(texts, some)], pa.binary()), each,
+                ], names=["doc_id", "text_key", "n_words", "sha", "packed", "runs"])
     return find
 
 
 def _cut(length: int):
-    """mapInArrow: (doc_id, n_words, text, starts) -> doc_id, n_words, n_removed, kept."""
+    """mapInArrow: (doc_id, n_words, packed, starts) -> doc_id, n_words, n_removed, kept."""
     def cut(batches):
         for batch in batches:
             kept, removed = [], []
-            for n, text, starts in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
+            for n, packed, starts in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
                 change = np.zeros(n + 1, np.int64)
                 starts = np.unique(np.array([s for x in starts or [] for s in x], np.int64))
                 np.add.at(change, starts, 1)
                 np.add.at(change, starts + length, -1)
                 gone = np.cumsum(change)[:-1] > 0
-                words = text.encode().split()
+                words = zlib.decompress(packed).split()
                 kept.append(b" ".join(w for w, g in zip(words, gone.tolist()) if not g).decode())
                 removed.append(int(gone.sum()))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], names=["doc_id", "n_words", "n_removed", "kept"])
@@ -221,7 +226,7 @@ def _cut(length: int):
 def repeats(docs: DataFrame, length: int = 50, most_bits: int = 28, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(documents without, documents with windows estimated repeated): the
     first as doc_id, n_words, sha (digest of all words), the second as doc_id,
-    n_words, text, starts (lists of the windows to cut, by first word)."""
+    n_words, packed (text), starts (lists of the windows to cut, by first word)."""
     spark = docs.sparkSession
     two = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     held = spark.sparkContext.broadcast(repeated_cells(two, length, most_bits))
@@ -238,7 +243,7 @@ def repeats(docs: DataFrame, length: int = 50, most_bits: int = 28, id_col: str
         "doc_id", "text_key", F.filter(F.transform("windows", lambda w, i: F.when(F.element_at("first", w) < F.col("doc_id"), F.col("start") + i)), lambda x: x.isNotNull()).alias("starts"))
     hits = hits.where(F.size("starts") > 0).groupBy("doc_id", "text_key").agg(F.collect_list("starts").alias("starts"))
     without = found.where(F.size("runs") == 0).select("doc_id", "n_words", "sha")
-    with_ = found.where(F.size("runs") > 0).select("doc_id", "text_key", "n_words", "text").join(hits, ["doc_id", "text_key"], "left").select("doc_id", "n_words", "text", "starts")
+    with_ = found.where(F.size("runs") > 0).select("doc_id", "text_key", "n_words", "packed").join(hits, ["doc_id", "text_key"], "left").select("doc_id", "n_words", "packed", "starts")
     return without, with_
 
 
