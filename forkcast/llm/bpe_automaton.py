@@ -14,9 +14,9 @@ edge of s and the left edge of t, each as old as the gadget that copied it.
 Rows of the transition table are filled when a word first needs them, as a
 lazy automaton does.
 
-Every prefix of a word has one path from the start, so a word is encoded by
-one sweep over its symbols: at each place the one token that ends there and
-that the table allows.  Decoding writes the label of each token's arc.
+Every prefix of a word has at most one path from the start.  A word is read
+along arcs, the longest label first; where no arc goes on, the place is a dead
+end for good and the reader steps back.  Decoding writes the labels of arcs.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ import json
 import re
 import unicodedata
 from array import array
-from itertools import chain
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +35,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 NEVER = float("inf")
-#: Distinct words whose encoding a task remembers.
-REMEMBERED = 200_000
-#: Entries of the transition table that a task holds.
+#: Distinct words whose encoding a worker remembers.
+REMEMBERED = 600_000
+#: Entries of the transition table that a worker holds.
 MOST_ARCS = 1_000_000
 
 
@@ -53,30 +53,46 @@ class Automaton:
     """The tokenization automaton of a vocabulary and its merges.
 
     ``parts`` and ``born``: the merge that makes a token; ``merge_of``: the
-    gadget that took an arc away, by the tokens before and on it."""
+    gadget that took an arc away, by the tokens before and on it; ``end``:
+    what the last symbol of a word carries in addition."""
 
-    def __init__(self, vocab: dict[str, int], parts=None, born=None, merge_of=None):
-        self.vocab, self.parts, self.born, self.merge_of = vocab, parts or {}, born or {}, merge_of or {}
-        self.longest = max(map(len, vocab), default=0)
+    def __init__(self, vocab: dict[str, int], end: str = "", parts=None, born=None, merge_of=None):
+        self.vocab, self.end, self.parts, self.born, self.merge_of = vocab, end, parts or {}, born or {}, merge_of or {}
         self.table: dict[tuple[int, int], bool] = {}
+        self.edges: tuple[dict, dict] = {}, {}
 
     @classmethod
-    def compiled(cls, vocab: dict[str, int], merges: list[tuple[str, str]]) -> Automaton:
+    def compiled(cls, vocab: dict[str, int], merges: list[tuple[str, str]], end: str = "") -> Automaton:
         """Gadget after gadget."""
-        made = cls(dict(vocab))
+        made = cls(dict(vocab), end)
         for k, (u, v) in enumerate(merges):
-            made._gadget(k, vocab[u], vocab[v], u + v)
-        return made
+            if u in made.vocab and v in made.vocab and made._arc(vocab[u], vocab[v]):
+                made._gadget(k, vocab[u], vocab[v], u + v)
+            else:  # no state behind u has the arc v: no text comes to this merge
+                del made.vocab[u + v]
+        return made.ready()
+
+    def ready(self) -> Automaton:
+        """Labels spelled letter by letter: a tree of tables, holding at ""
+        the token that goes on and at None the one that ends a word."""
+        self.spelled: dict = {}
+        size = len(self.end)
+        for label, i in self.vocab.items():
+            ends = label.endswith(self.end)
+            node = self.spelled
+            for c in label[:len(label) - size] if ends else label:
+                node = node.setdefault(c, {})
+            if ends:
+                node[None] = i
+            if not (ends and size):
+                node[""] = i
+        return self
 
     @property
     def states(self) -> int:
         return len(self.merge_of) + 1
 
     def _gadget(self, k: int, u: int, v: int, label: str) -> None:
-        if not self._arc(u, v):
-            # no state behind u has the arc v: no text comes to this merge
-            del self.vocab[label]
-            return
         w = self.vocab[label]
         if w in self.parts:
             raise ValueError(f"two merges make token {label!r}")
@@ -86,17 +102,22 @@ class Automaton:
 
     def _edge(self, token: int, side: int) -> list[tuple[int, float]]:
         """The tokens on one edge of a token, each with the merge that ended its life there."""
-        out, until = [(token, NEVER)], NEVER
-        while token in self.parts:
-            until = self.born[token]
-            token = self.parts[token][side]
-            out.append((token, until))
+        out = self.edges[side].get(token)
+        if out is None:
+            out, until, t = [(token, NEVER)], NEVER, token
+            while t in self.parts:
+                until = self.born[t]
+                t = self.parts[t][side]
+                out.append((t, until))
+            self.edges[side][token] = out
         return out
 
     def _arc(self, s: int, t: int) -> bool:
+        gone = self.merge_of.get
+        left = self._edge(t, 0)
         for y, kept_y in self._edge(s, 1):
-            for x, kept_x in self._edge(t, 0):
-                k = self.merge_of.get((y, x))
+            for x, kept_x in left:
+                k = gone((y, x))
                 if k is not None and k < kept_y and (k < kept_x or k == kept_x and x == y):
                     return False
         return True
@@ -110,28 +131,48 @@ class Automaton:
             known = self.table[s, t] = self._arc(s, t)
         return known
 
-    def encode(self, symbols: list[str]) -> list[int]:
-        """Token ids of one word, given as its base symbols."""
-        n = len(symbols)
-        at = np.cumsum([0, *map(len, symbols)]).tolist()
-        text = "".join(symbols)
-        last: list[int] = [-1] * (n + 1)
-        back = [0] * (n + 1)
-        for i in range(1, n + 1):
-            j = i - 1
-            while j >= 0 and at[i] - at[j] <= self.longest:
-                token = self.vocab.get(text[at[j]:at[i]])
-                if token is not None and (j == 0 or last[j] >= 0 and self.allows(last[j], token)):
-                    last[i], back[i] = token, j
-                    break
-                j -= 1
+    def _labels(self, word: str, i: int) -> list[tuple[int, int]]:
+        """(end, token) of the arcs' labels that stand at place i, shortest first."""
+        out, n, node = [], len(word), self.spelled
+        for j in range(i, n):
+            node = node.get(word[j])
+            if node is None:
+                return out
+            token = node.get(None if j + 1 == n else "")
+            if token is not None:
+                out.append((j + 1, token))
+        return out
+
+    def encode(self, word: str) -> list[int]:
+        """Token ids of one word (its letters, without the end mark)."""
+        n, table = len(word), self.table
+        out, open_, places = [], [self._labels(word, 0)], [0]
+        dead = set()
+        while open_:
+            labels = open_[-1]
+            before = out[-1] if out else None
+            while labels:
+                j, token = labels.pop()
+                if j in dead:
+                    continue
+                if before is not None:
+                    fits = table.get((before, token))
+                    if fits is None:
+                        fits = self.allows(before, token)
+                    if not fits:
+                        continue
+                out.append(token)
+                if j == n:
+                    return out
+                places.append(j)
+                open_.append(self._labels(word, j))
+                break
             else:
-                raise ValueError(f"no token ends at {symbols[i - 1]!r}")
-        out, i = [], n
-        while i:
-            out.append(last[i])
-            i = back[i]
-        return out[::-1]
+                open_.pop()
+                dead.add(places.pop())
+                if out:
+                    out.pop()
+        raise ValueError(f"no path spells {word[:80]!r}")
 
 
 class Tokenizer:
@@ -140,11 +181,12 @@ class Tokenizer:
     Made from plain tables, which ``compiled`` takes from the file's text."""
 
     def __init__(self, tables: dict):
-        self.automaton = Automaton(*tables["automaton"])
-        self.end, self.special, self.labels = tables["end"], tables["special"], tables["labels"]
+        self.automaton = Automaton(*tables["automaton"]).ready()
+        self.special, self.labels = tables["special"], tables["labels"]
         self.marks = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.pattern = regex.compile(tables["pattern"])
         self.letters = byte_letters()
+        self.memory = Memory(self._word)
         self.separators = re.compile("[\x1c-\x1f]")
         self.spaces = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
@@ -153,43 +195,50 @@ class Tokenizer:
         spec = json.loads(text)
         model = spec["model"]
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        automaton = Automaton.compiled(model["vocab"], merges)
+        automaton = Automaton.compiled(model["vocab"], merges, model["end_of_word_suffix"])
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         return {
-            "automaton": (automaton.vocab, automaton.parts, automaton.born, automaton.merge_of), "end": model["end_of_word_suffix"], "special": special,
+            "automaton": (automaton.vocab, automaton.end, automaton.parts, automaton.born, automaton.merge_of), "special": special,
             "labels": {i: s for s, i in [*model["vocab"].items(), *special.items()]},
             "pattern": next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"),
         }
 
-    def _word(self, word: str) -> tuple[int, ...]:
+    def _piece(self, piece: str) -> bytes:
+        """Ids (32 bits each) of one match of the pattern."""
+        if not (piece.isascii() and piece.isprintable()):  # else its bytes are their own letters
+            letters = self.letters
+            piece = "".join([letters[b] for b in piece.encode()])
+        return array("i", self.automaton.encode(piece)).tobytes()
+
+    def _word(self, word: str) -> bytes:
         """Ids of a text without white space."""
-        out: list[int] = []
-        for piece in self.pattern.findall(word):
-            symbols = [self.letters[b] for b in piece.encode()]
-            symbols[-1] += self.end
-            out += self.automaton.encode(symbols)
-        return tuple(out)
-
-    def _ids(self, text: str, memory: dict) -> chain:
-        text = unicodedata.normalize("NFC", text)
-        words = (self.spaces.split(text) if self.separators.search(text) else text.split())
+        if word.isascii() and word.isalpha():
+            return self._piece(word)
+        pieces = self.pattern.findall(word)
+        if len(pieces) == 1:
+            return self._piece(word)
+        return b"".join([self.memory[p] if p.isalpha() else self._piece(p) for p in pieces])
+
+    def _words(self, text: str) -> list[str]:
+        """The lower-cased words between white space."""
+        if not text.isascii():
+            text = unicodedata.normalize("NFC", text)
+        spaced = self.spaces.split(text) if self.separators.search(text) else None
+        if text.isascii():
+            return text.lower().split() if spaced is None else [w.lower() for w in spaced if w]
         # one character at a time, as a final sigma is no case of its own here
-        text = "\n".join(words).replace("Σ", "σ").lower()
-        return chain.from_iterable(memory[w] for w in text.split("\n"))
-
-    def encode(self, text: str | None, memory: dict) -> array:
-        """Ids of a text; null is the empty text."""
-        out = array("i")
-        text = text or ""
-        if self.marks and "<" in text:
-            for i, part in enumerate(self.marks.split(text)):
-                if i % 2:
-                    out.append(self.special[part])
-                else:
-                    out.extend(self._ids(part, memory))
-        else:
-            out.extend(self._ids(text, memory))
-        return out
+        lower = lambda t: t.replace("\u03a3", "\u03c3").lower()
+        return lower(" ".join(text.split())).split(" ") if spaced is None else [lower(w) for w in spaced if w]
+
+    def encode(self, text: str | None) -> bytes:
+        """Ids (32 bits each) of a text; null is the empty text."""
+        text, known = text or "", self.memory.__getitem__
+        if not self.marks or "<" not in text:
+            return b"".join(map(known, self._words(text)))
+        out = []
+        for i, part in enumerate(self.marks.split(text)):
+            out += [array("i", [self.special[part]]).tobytes()] if i % 2 else map(known, self._words(part))
+        return b"".join(out)
 
     def decode(self, ids: list[int]) -> str:
         """Labels joined by a blank, as a tokenizer without a decoder does."""
@@ -197,21 +246,30 @@ class Tokenizer:
 
 
 class Memory(dict):
-    """Encodings of words met before; emptied when it has grown to its limit."""
+    """Encodings of words met before; the older half goes when it is full."""
 
     def __init__(self, word, limit: int = REMEMBERED):
         super().__init__()
         self.word, self.limit = word, limit
 
     def __missing__(self, word: str):
-        if len(self) >= self.limit:
-            self.clear()
         ids = self.word(word)
         if len(word) <= 64:
+            if len(self) >= self.limit:
+                for old in list(islice(self, self.limit // 2)):
+                    del self[old]
             self[word] = ids
         return ids
 
 
+def of_worker(tables: dict) -> Tokenizer:
+    """The tokenizer of broadcast tables, which a Python worker keeps, with
+    its memory, from task to task."""
+    if "tokenizer" not in tables:
+        tables["tokenizer"] = Tokenizer(tables)
+    return tables["tokenizer"]
+
+
 def load(path: str) -> dict:
     """The compiled tables of a tokenizer file, made once on the driver (their
     size is the vocabulary's)."""
@@ -237,16 +295,13 @@ def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", ids_col: str
     names, place = docs.columns, docs.columns.index(text_col)
 
     def run(batches):
-        spec = Tokenizer(held.value)
-        memory = Memory(spec._word)
+        spec = of_worker(held.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                off, flat = [0], array("i")
-                for text in part.column(place):
-                    flat.extend(spec.encode(text.as_py(), memory))
-                    off.append(len(flat))
-                ids = pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(np.frombuffer(flat, np.int32) if flat else [], pa.int32()))
+                found = [spec.encode(text) for text in part.column(place).to_pylist()]
+                off = np.cumsum([0, *(len(x) // 4 for x in found)], dtype=np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(off), pa.array(np.frombuffer(b"".join(found), np.int32)))
                 yield pa.RecordBatch.from_arrays([*part.columns, ids], names=[*names, ids_col])
 
     return docs.mapInArrow(run, _and(docs, ids_col, T.ArrayType(T.IntegerType())))
@@ -259,11 +314,11 @@ def decode(docs: DataFrame, tokenizer: str, ids_col: str = "ids", text_col: str
     names, place = docs.columns, docs.columns.index(ids_col)
 
     def run(batches):
-        spec = Tokenizer(held.value)
+        spec = of_worker(held.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                texts = [spec.decode(ids.values.to_pylist() if ids.is_valid else []) for ids in part.column(place)]
+                texts = [spec.decode(ids or []) for ids in part.column(place).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*names, text_col])
 
     return docs.mapInArrow(run, _and(docs, text_col, T.StringType()))
