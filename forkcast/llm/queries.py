@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from forkcast.llm import bpe_automaton, chat, decontam, license_join, lsh_forest, quality_pu, rules_cascade, secret_scan, substring, url_rules
+from forkcast.llm import bpe_automaton, chat, decontam, license_join, lsh_forest, oracles, quality_pu, rules_cascade, secret_scan, substring, url_rules
 from forkcast.llm.registry import ORACLE, QUERIES, register, table
 from pyspark.sql import functions as F
 
@@ -36,7 +36,7 @@ def op4(spark, sf_dir):
     return secret_scan.digests(secret_scan.scan(table(spark, sf_dir, "documents")))
 
 
-@register("op5_rules_cascade")
+@register("op5_rules_cascade", oracles.RULES_CASCADE)
 def op5(spark, sf_dir):
     """Quality rules over all documents."""
     found = rules_cascade.judge(table(spark, sf_dir, "documents"))
@@ -50,7 +50,7 @@ def op6(spark, sf_dir):
     return url_rules.judge(table(spark, sf_dir, "pages"))
 
 
-@register("op7_license_join")
+@register("op7_license_join", oracles.LICENSE_JOIN)
 def op7(spark, sf_dir):
     """License phrases and notices in all documents."""
     return license_join.digests(license_join.scan(table(spark, sf_dir, "documents")))
@@ -62,13 +62,13 @@ def op8(spark, sf_dir):
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-@register("op9_minhash_near_dedup")
+@register("op9_minhash_near_dedup", oracles.NEAR_DUPLICATES)
 def op9(spark, sf_dir):
     """Near-duplicate components of all documents (similarity 0.85 or more)."""
     return lsh_forest.near_duplicates(table(spark, sf_dir, "documents"), least_percent=85)
 
 
-@register("op10_count_min_substring")
+@register("op10_count_min_substring", oracles.REPEATS)
 def op10(spark, sf_dir):
     """What is left of all documents without passages that earlier ones have."""
     return substring.digests(table(spark, sf_dir, "documents"))
