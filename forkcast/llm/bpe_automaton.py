@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 
 NEVER = float("inf")
 #: Distinct words whose encoding a worker remembers.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 #: Entries of the transition table that a worker holds.
 MOST_ARCS = 1_000_000
 
@@ -240,9 +240,10 @@ class Tokenizer:
             out += [array("i", [self.special[part]]).tobytes()] if i % 2 else map(known, self._words(part))
         return b"".join(out)
 
-    def decode(self, ids: list[int]) -> str:
-        """Labels joined by a blank, as a tokenizer without a decoder does."""
-        return " ".join(map(self.labels.__getitem__, ids))
+
+def decoded(label, ids: list[int] | None) -> str:
+    """Arc labels joined by a blank, as a tokenizer without a decoder does."""
+    return " ".join(map(label, ids or []))
 
 
 class Memory(dict):
@@ -309,16 +310,16 @@ def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", ids_col: str
 
 def decode(docs: DataFrame, tokenizer: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
     """``docs`` with ``text_col``: the arc labels of the ids; null ids give the empty text."""
-    held = docs.sparkSession.sparkContext.broadcast(load(tokenizer))
+    held = docs.sparkSession.sparkContext.broadcast(load(tokenizer)["labels"])
     docs = docs.drop(text_col)
     names, place = docs.columns, docs.columns.index(ids_col)
 
     def run(batches):
-        spec = of_worker(held.value)
+        label = held.value.__getitem__
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                texts = [spec.decode(ids or []) for ids in part.column(place).to_pylist()]
+                texts = [decoded(label, ids) for ids in part.column(place).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*names, text_col])
 
     return docs.mapInArrow(run, _and(docs, text_col, T.StringType()))
