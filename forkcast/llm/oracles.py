@@ -18,18 +18,20 @@ k AS (SELECT row_number() OVER () AS r, * FROM d),
 u AS (SELECT r, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM k),
 g AS (SELECT r, i, {' || chr(32) || '.join(['x', *(f'lead(x, {j}) OVER o' for j in range(1, 8))])} AS gram FROM u WINDOW o AS (PARTITION BY r ORDER BY i)),
 h AS (SELECT r, i, count(*) OVER (PARTITION BY r, gram) AS n FROM g WHERE gram IS NOT NULL),
+t AS (SELECT r, count(*) AS n FROM (SELECT r, x = lag(x) OVER (PARTITION BY r ORDER BY i) AS again FROM u) WHERE again GROUP BY r),
 c AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 8)) AS p FROM h WHERE n > 1) GROUP BY r),
 m AS (
   SELECT k.*, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
          length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
          list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines,
-         coalesce(c.n, 0) AS n_repeat_words,
+         coalesce(c.n, 0) AS n_repeat_words, coalesce(t.n, 0) AS n_stutters,
          length(regexp_replace(text, '[^A-Z]', '', 'g')) AS upper_letters, length(regexp_replace(text, '[^a-z]', '', 'g')) AS lower_letters
-  FROM k LEFT JOIN c USING (r)),
+  FROM k LEFT JOIN c USING (r) LEFT JOIN t USING (r)),
 f AS (SELECT *, len(lines) - len(list_distinct(lines)) AS n_dup_lines, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
        CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
-       NOT (base_failed OR 4 * n_symbols > n_words OR 100 * n_dup_lines > 30 * len(lines) OR upper_letters > lower_letters
+       NOT (base_failed OR 4 * n_symbols > n_words OR (n_dup_lines >= 3 AND 100 * n_dup_lines > 30 * len(lines))
+            OR 100 * n_stutters > 30 * n_words OR upper_letters > lower_letters
             OR word_chars < 2 * n_words OR word_chars > 15 * n_words) AS kept
 FROM f
 """

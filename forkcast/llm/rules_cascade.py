@@ -109,9 +109,16 @@ def symbols(t: Texts) -> np.ndarray:
 
 
 def duplicate_lines(t: Texts) -> np.ndarray:
-    """More than 30 % of the lines repeat an earlier one."""
+    """Three lines or more, and over 30 % of all, repeat an earlier one."""
     lines, again = t.lines()
-    return 100 * again > 30 * lines
+    return (again >= 3) & (100 * again > 30 * lines)
+
+
+def stuttering(t: Texts) -> np.ndarray:
+    """More than 30 % of the words repeat the word before them."""
+    w, h = t.words, t.words.hashes()
+    same = (h[1:] == h[:-1]) & (w.row[1:] == w.row[:-1])
+    return 100 * np.bincount(w.row[1:][same], minlength=t.n) > 30 * w.counts
 
 
 def shouting(t: Texts) -> np.ndarray:
@@ -126,7 +133,7 @@ def word_length(t: Texts) -> np.ndarray:
     return (chars < 2 * t.words.counts) | (chars > 15 * t.words.counts)
 
 
-RULES = tuple(Rule(f.__name__, f) for f in (few_words, repeated_windows, symbols, duplicate_lines, shouting, word_length))
+RULES = tuple(Rule(f.__name__, f) for f in (few_words, repeated_windows, symbols, duplicate_lines, stuttering, shouting, word_length))
 
 
 def _try_rules(rules):

@@ -23,7 +23,8 @@ def brute(text):
     n, chars = len(words), sum(map(len, words))
     base = n < 20 or 100 * len(covered) > 30 * n
     upper, low = (len(re.findall(x, text)) for x in ("[A-Z]", "[a-z]"))
-    more = 4 * symbols > n or 100 * dup > 30 * len(lines) or upper > low or chars < 2 * n or chars > 15 * n
+    stutters = sum(a == b for a, b in zip(words, words[1:]))
+    more = 4 * symbols > n or dup >= 3 and 100 * dup > 30 * len(lines) or 100 * stutters > 30 * n or upper > low or chars < 2 * n or chars > 15 * n
     return n, chars, symbols, dup, len(covered), base, not base and not more
 
 
