@@ -2,30 +2,29 @@
 
 Spark's exact ``percentile``/``median`` aggregates keep a map of every
 distinct value and merge it in ONE task, which does not survive 100 TB.
-Here each requested rank is found by bracketing:
-
-1. one aggregate pass per round computes, for every (column, rank) still
-   open, ``percentile_approx`` inside its current bracket plus the counts
-   below / inside the bracket (bounded-memory sketches, map-side partial
-   aggregation);
-2. the bracket is narrowed to approximate quantiles just around the rank
-   and verified by exact counts (widened and retried if the sketch missed);
-3. once a bracket holds few distinct values (or one), the exact value is
-   read from a grouped count of that bracket, which is bounded by
-   ``max_exact`` rows.
-
-Only scalars and that bounded grouped slice reach the driver.  Result =
-linear interpolation between the two neighbouring order statistics, the
-definition used by pandas ``quantile``/``median`` and SQL
-``quantile_cont``.
+Here every order statistic that is asked for is found by bracketing:
+
+1. ``percentile_approx`` (a bounded sketch, combined map-side) inside the
+   rank's bracket proposes two data values just around the rank;
+2. one aggregate pass counts exactly what lies below, on, between and on
+   the other of the two; the rank is one of the two values, or lies strictly
+   between them, or the sketch missed and the margin is widened;
+3. a bracket of at most ``max_exact`` ROWS is finished by a running count of
+   its values in Spark, and only the answer leaves it.
+
+The bracket is open on both sides, so a value that holds most of the rows is
+either the answer or outside, however heavy it is: every round shrinks the
+bracket or widens the margin, and neither can go on for ever.  The driver
+gets counts and answers, never values of a bracket.  Result = linear
+interpolation between the two neighbouring order statistics, the definition
+used by pandas ``quantile``/``median`` and SQL ``quantile_cont``.
 """
 
 from __future__ import annotations
 
 import math
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from forkcast.functions.text import nan_to_null
@@ -35,15 +34,32 @@ def _lit_double(v):
     return F.lit(v).cast("double") if v is not None else F.lit(None).cast("double")
 
 
+def _ranks(q: float, n: int) -> tuple[float, int, int]:
+    """(position, lower rank, upper rank) of a quantile among n values."""
+    pos = q * (n - 1)
+    if abs(pos - round(pos)) < 1e-9:       # an exact rank asked for as a ratio
+        pos = float(round(pos))
+    return pos, math.floor(pos), math.ceil(pos)
+
+
+def _inside(x: Column, lo, hi) -> Column:
+    """x strictly inside an open bracket (None: no bound)."""
+    cond = x.isNotNull()
+    if lo is not None:
+        cond = cond & (x > F.lit(lo))
+    if hi is not None:
+        cond = cond & (x < F.lit(hi))
+    return cond
+
+
 def exact_quantiles(df: DataFrame, cols: list[str], qs: list[float] | dict[str, list[float]],
-                    accuracy: int = 20000, max_exact: int = 50000,
-                    max_rounds: int = 12) -> dict[str, list[float | None]]:
+                    accuracy: int = 20000, max_exact: int = 50000) -> dict[str, list[float | None]]:
     """{column: [quantile value per q]} over non-null, non-NaN values.
     ``qs`` is one list for every column, or a dict of lists per column.
 
     Jobs: one pass for the counts and the first sketches, one exact-count
-    check per narrowing round, and one grouped read that finishes every
-    (column, quantile) at once."""
+    check per narrowing round, and one read that finishes every small
+    bracket at once."""
     qmap = qs if isinstance(qs, dict) else {c: list(qs) for c in cols}
     base = df.select(*[nan_to_null(F.col(c)).alias(c) for c in cols])
     margin0 = 3.0 / accuracy
@@ -51,114 +67,90 @@ def exact_quantiles(df: DataFrame, cols: list[str], qs: list[float] | dict[str,
     first += [F.percentile_approx(c, [p for q in qmap[c] for p in (max(0.0, q - margin0), min(1.0, q + margin0))],
                                   accuracy).alias(f"a_{i}") for i, c in enumerate(cols)]
     r0 = base.agg(*first).first()
-    targets = []
+    wanted, targets = [], {}
     for ci, c in enumerate(cols):
-        n = int(r0[f"n_{ci}"])
+        n, approx = int(r0[f"n_{ci}"]), r0[f"a_{ci}"]
         for qi, q in enumerate(qmap[c]):
             if n == 0:
                 continue
-            pos = q * (n - 1)
-            if abs(pos - round(pos)) < 1e-9:       # an exact rank asked for as a ratio
-                pos = float(round(pos))
-            k1, k2 = int(math.floor(pos)), int(math.ceil(pos))
-            approx = r0[f"a_{ci}"]
-            targets.append(dict(col=c, qi=qi, pos=pos, k1=k1, k2=k2, a=None, b=None, below=0, m=n,
-                                margin=margin0, vals=None,
-                                prop=(approx[2 * qi], approx[2 * qi + 1]) if approx else None))
-    for _ in range(max_rounds):
-        _finish_exact(base, [t for t in targets if t["vals"] is None and (t["m"] <= max_exact or t.get("force"))])
-        refine = [t for t in targets if t["vals"] is None]
-        if not refine:
-            break
-        need = [t for t in refine if t["prop"] is None]
-        if need:                                   # new sketches inside the current brackets
-            exprs = []
-            for i, t in enumerate(need):
-                x = F.col(t["col"])
-                lo_q = max(0.0, (t["k1"] - t["below"]) / max(t["m"] - 1, 1) - t["margin"])
-                hi_q = min(1.0, (t["k2"] - t["below"]) / max(t["m"] - 1, 1) + t["margin"])
-                exprs.append(F.percentile_approx(F.when(_inside(x, t["a"], t["b"]), x), [lo_q, hi_q],
-                                                 accuracy).alias(f"p{i}"))
-            prop = base.agg(*exprs).first()
-            for i, t in enumerate(need):
-                t["prop"] = tuple(prop[f"p{i}"])
-        # check every proposal with exact counts, one pass for all
-        checks = []
-        for i, t in enumerate(refine):
-            pa, pb = t["prop"]
-            x = F.col(t["col"])
-            inside = _inside(x, t["a"], t["b"])
-            checks.append(F.count_if(inside & (x < F.lit(pa))).alias(f"lt{i}"))
-            checks.append(F.count_if(inside & (x >= F.lit(pa)) & (x <= F.lit(pb))).alias(f"in{i}"))
-        chk = base.agg(*checks).first()
-        for i, t in enumerate(refine):
-            pa, pb = t.pop("prop")
-            t["prop"] = None
-            below = t["below"] + int(chk[f"lt{i}"])
-            m = int(chk[f"in{i}"])
-            if below <= t["k1"] and below + m > t["k2"]:
-                if pa == pb:
-                    t["vals"] = (float(pa), float(pa))
-                    continue
-                if m == t["m"]:          # no progress: few distinct values, heavy counts
-                    t["force"] = True
-                t["a"], t["b"], t["below"], t["m"] = pa, pb, below, m
-            else:                        # the sketch missed: widen and retry
-                t["margin"] *= 4
-    left = [t for t in targets if t["vals"] is None]
-    for t in left:
-        t["force"] = True
-    _finish_exact(base, left, check_size=True)
+            pos, k1, k2 = _ranks(q, n)
+            wanted.append((c, qi, pos, k1, k2))
+            for k in (k1, k2):             # one bracket per rank
+                targets.setdefault((c, k), dict(col=c, k=k, lo=None, hi=None, below=0, m=n, margin=margin0,
+                                                prop=(approx[2 * qi], approx[2 * qi + 1]), value=None))
+    while still := [t for t in targets.values() if t["value"] is None]:
+        _finish(base, [t for t in still if t["m"] <= max_exact])
+        still = [t for t in still if t["value"] is None]
+        if still:
+            _sketch(base, [t for t in still if t["prop"] is None], accuracy)
+            _narrow(base, still)
     out = {c: [None] * len(qmap[c]) for c in cols}
-    for t in targets:
-        v1, v2 = t["vals"]
-        out[t["col"]][t["qi"]] = v1 + (t["pos"] - t["k1"]) * (v2 - v1)
+    for c, qi, pos, k1, k2 in wanted:
+        v1, v2 = targets[c, k1]["value"], targets[c, k2]["value"]
+        out[c][qi] = v1 + (pos - k1) * (v2 - v1)
     return out
 
 
-def _inside(x: Column, a, b) -> Column:
-    cond = x.isNotNull()
-    if a is not None:
-        cond = cond & (x >= F.lit(a))
-    if b is not None:
-        cond = cond & (x <= F.lit(b))
-    return cond
-
-
-_MAX_DISTINCT = 1_000_000
+def _sketch(base: DataFrame, targets: list[dict], accuracy: int) -> None:
+    """Propose two values around each rank, from sketches of the brackets (one pass)."""
+    if not targets:
+        return
+    exprs = []
+    for i, t in enumerate(targets):
+        x = F.col(t["col"])
+        at = (t["k"] - t["below"]) / max(t["m"] - 1, 1)
+        span = [max(0.0, at - t["margin"]), min(1.0, at + t["margin"])]
+        exprs.append(F.percentile_approx(F.when(_inside(x, t["lo"], t["hi"]), x), span, accuracy).alias(f"p{i}"))
+    found = base.agg(*exprs).first()
+    for i, t in enumerate(targets):
+        t["prop"] = tuple(found[f"p{i}"])
 
 
-def _finish_exact(base: DataFrame, targets: list[dict], check_size: bool = False) -> None:
-    """Read the order statistics of many targets from ONE scan and ONE
-    grouped count of their brackets: rows (target, value, n), bounded by
-    the brackets' sizes (<= max_exact each) or their few distinct values."""
+def _narrow(base: DataFrame, targets: list[dict]) -> None:
+    """Check every proposal with exact counts (one pass)."""
+    checks = []
+    for i, t in enumerate(targets):
+        a, b = t["prop"]
+        x = F.col(t["col"])
+        inside = _inside(x, t["lo"], t["hi"])
+        checks += [F.count_if(inside & (x < F.lit(a))).alias(f"under{i}"), F.count_if(x == F.lit(a)).alias(f"on{i}"),
+                   F.count_if((x > F.lit(a)) & (x < F.lit(b))).alias(f"mid{i}"), F.count_if(x == F.lit(b)).alias(f"end{i}")]
+    found = base.agg(*checks).first()
+    for i, t in enumerate(targets):
+        a, b = t["prop"]
+        t["prop"] = None
+        start = t["below"] + found[f"under{i}"]                # first rank that is a
+        inner = start + found[f"on{i}"]                        # first rank beyond a
+        last = inner + found[f"mid{i}"]                        # first rank that is b
+        if start <= t["k"] < inner:
+            t["value"] = float(a)
+        elif inner <= t["k"] < last:
+            t.update(lo=a, hi=b, below=inner, m=last - inner)
+        elif a != b and last <= t["k"] < last + found[f"end{i}"]:
+            t["value"] = float(b)
+        else:                                                  # the sketch missed
+            t["margin"] *= 4
+
+
+def _finish(base: DataFrame, targets: list[dict]) -> None:
+    """Order statistics of small brackets, from ONE scan: each row emits its
+    value for the brackets that hold it, and a running count of values per
+    bracket (at most ``max_exact`` rows each) picks the rank.  One row per
+    target is collected."""
     if not targets:
         return
-    # ONE scan: each row emits (target, value) only for the brackets that
-    # contain it (a filtered array, exploded), then one grouped count
-    hits = F.array(*[F.when(_inside(F.col(t["col"]), t["a"], t["b"]),
-                            F.struct(F.lit(i).alias("t"), F.col(t["col"]).cast("double").alias("v")))
+    hits = F.array(*[F.when(_inside(F.col(t["col"]), t["lo"], t["hi"]),
+                            F.struct(F.lit(i).alias("t"), F.col(t["col"]).cast("double").alias("v"), F.lit(t["k"] - t["below"]).cast("long").alias("k")))
                      for i, t in enumerate(targets)])
-    pairs = (base.select(F.explode(F.filter(hits, lambda h: h.isNotNull())).alias("h"))
-                 .select("h.t", "h.v"))
-    grouped = pairs.groupBy("t", "v").agg(F.count(F.lit(1)).alias("n"))
-    if check_size and grouped.limit(_MAX_DISTINCT + 1).count() > _MAX_DISTINCT:
-        raise RuntimeError("quantile brackets did not narrow; raise max_rounds")
-    by_t: dict[int, list] = {}
-    for row in grouped.collect():
-        by_t.setdefault(row["t"], []).append((row["v"], int(row["n"])))
-    for i, t in enumerate(targets):
-        r1, r2 = t["k1"] - t["below"], t["k2"] - t["below"]
-        seen, v1, v2 = 0, None, None
-        for v, n in sorted(by_t.get(i, [])):
-            nxt = seen + n
-            if v1 is None and r1 < nxt:
-                v1 = float(v)
-            if v2 is None and r2 < nxt:
-                v2 = float(v)
-                break
-            seen = nxt
-        t["vals"] = (v1, v2)
+    pairs = base.select(F.explode(F.filter(hits, lambda h: h.isNotNull())).alias("h")).select("h.*")
+    for row in _pick(pairs.groupBy("t", "k", "v").agg(F.count(F.lit(1)).alias("n")), ["t"]).select("t", "v").collect():
+        targets[row["t"]]["value"] = row["v"]
+
+
+def _pick(counted: DataFrame, by: list[str]) -> DataFrame:
+    """The rows (by, k, v, n: how often v stands there) that hold rank k of their bracket."""
+    upto = F.sum("n").over(Window.partitionBy(*by).orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return counted.withColumn("upto", upto).where((F.col("upto") > F.col("k")) & (F.col("upto") - F.col("n") <= F.col("k")))
 
 
 def exact_median(df: DataFrame, col: str, **kw) -> float | None:
@@ -170,113 +162,89 @@ def median_literal(df: DataFrame, col: str) -> Column:
     return _lit_double(exact_median(df, col))
 
 
-def order_statistic(df: DataFrame, col: str, rank: int, **kw) -> float | None:
-    """The value at 0-based ``rank`` in ascending order (exact)."""
-    n = df.where(nan_to_null(F.col(col)).isNotNull()).count()
-    if n == 0 or rank >= n:
-        return None
-    q = rank / (n - 1) if n > 1 else 0.0
-    kw.setdefault("max_exact", 50000)
-    # q*(n-1) may miss the integer by an ulp; snap the interpolation back
-    vals = exact_quantiles(df, [col], [q], **kw)[col][0]
-    return vals
-
-
-_GRID = 1000          # sketch grid inside a bracket: narrows ~500x per round
+_GRID = 1000          # sketch grid of a group: narrows a bracket several hundred times per round
 
 
 def grouped_exact_quantiles(df: DataFrame, key: str, col: str, qs: list[float], accuracy: int = 20000,
-                            max_exact: int = 50000, max_rounds: int = 16) -> DataFrame:
+                            max_exact: int = 50000) -> DataFrame:
     """Exact interpolated quantiles of ``col`` per value of ``key``, for any
     number of groups, as a DataFrame (key, q0, q1, ...).
 
-    Same bracketing as ``exact_quantiles`` but carried as tables: per
-    (group, quantile) a bracket, the count below it and inside it.  Each
-    round sketches a fixed grid of percentiles inside every open bracket
-    (``percentile_approx`` needs constant percentages), takes the grid
-    points around the remaining rank, and checks them with exact counts;
-    brackets small enough are finished from grouped value counts with a
-    window per (group, quantile) bounded by ``max_exact``.  No per-group
-    data reaches the driver and a dominant group never sits in one task."""
+    Same bracketing as ``exact_quantiles``, carried as a table of one row per
+    group with a bracket for each of its ranks.  A round is one grouped
+    sketch (the first needs no join) and one grouped count; rows meet their
+    group's brackets in a join that AQE broadcasts or splits by runtime size,
+    and are combined before the shuffle, so a dominant group never sits in
+    one task.  Brackets of at most ``max_exact`` rows are finished by a
+    running count.  No per-group data reaches the driver."""
     from forkcast.session import materialize
 
-    base = materialize(df.select(F.col(key).alias("_g"), nan_to_null(F.col(col)).alias("_x"))
+    base = materialize(df.select(F.col(key).alias("_g"), nan_to_null(F.col(col)).cast("double").alias("_x"))
                          .where(F.col("_g").isNotNull() & F.col("_x").isNotNull()), "gq-base")
     grid = [i / _GRID for i in range(_GRID + 1)]
-    qarr = F.array(*[F.struct(F.lit(i).alias("qi"), F.lit(float(q)).alias("q")) for i, q in enumerate(qs)])
-    counts = base.groupBy("_g").agg(F.count(F.lit(1)).alias("n"))
-    t0 = counts.select("_g", "n", F.explode(qarr).alias("_q"))
-    pos = F.col("_q.q") * (F.col("n") - 1)
-    pos = F.when(F.abs(pos - F.round(pos)) < 1e-9, F.round(pos)).otherwise(pos)
-    t0 = t0.select("_g", F.col("_q.qi").alias("qi"), pos.alias("pos"), "n")
-    state = materialize(t0.select(
-        "_g", "qi", "pos", F.floor("pos").cast("long").alias("k1"), F.ceil("pos").cast("long").alias("k2"),
-        F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi"),
-        F.lit(0).cast("long").alias("below"), F.col("n").cast("long").alias("m"), F.lit(1).alias("widen")),
-        "gq-state")
-    results = []
-
-    def inside():
-        return ((F.col("lo").isNull() | (F.col("_x") >= F.col("lo")))
-                & (F.col("hi").isNull() | (F.col("_x") <= F.col("hi"))))
-
-    for _ in range(max_rounds):
-        results.append(_grouped_finish(base, state.where(F.col("m") <= max_exact)))
-        state = state.where(F.col("m") > max_exact)
-        if state.isEmpty():
+    ranks = [(qi, up) for qi in range(len(qs)) for up in (False, True)]
+    x = F.col("_x")
+
+    def position(q: float) -> Column:
+        pos = F.lit(float(q)) * (F.col("n") - 1)
+        return F.when(F.abs(pos - F.round(pos)) < 1e-9, F.round(pos)).otherwise(pos)
+
+    def field(name: str, i: int) -> Column:
+        return F.col(f"{name}{i}")
+
+    def inside(i: int) -> Column:
+        return (field("lo", i).isNull() | (x > field("lo", i))) & (field("hi", i).isNull() | (x < field("hi", i)))
+
+    def proposals(i: int) -> list[Column]:
+        """The grid values on both sides of a rank."""
+        span = F.greatest(field("m", i) - 1, F.lit(1)).cast("double")
+        at = (field("k", i) - field("below", i)) / span * _GRID
+        down = F.greatest(F.lit(0), F.floor(at).cast("int") - field("widen", i).cast("int"))
+        up = F.least(F.lit(_GRID), F.ceil(at).cast("int") + field("widen", i).cast("int"))
+        return [F.element_at(field("sketch", i), down + 1).alias(f"a{i}"), F.element_at(field("sketch", i), up + 1).alias(f"b{i}")]
+
+    start = base.groupBy("_g").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("_x", grid, accuracy).alias("sketch"))
+    cols = [F.col("_g"), F.col("n")]
+    for i, (qi, up) in enumerate(ranks):
+        cols += [(F.ceil if up else F.floor)(position(qs[qi])).cast("long").alias(f"k{i}"), F.lit(None).cast("double").alias(f"lo{i}"),
+                 F.lit(None).cast("double").alias(f"hi{i}"), F.lit(0).cast("long").alias(f"below{i}"), F.col("n").alias(f"m{i}"),
+                 F.lit(1).cast("long").alias(f"widen{i}"), F.lit(None).cast("double").alias(f"value{i}"), F.col("sketch").alias(f"sketch{i}")]
+    state = start.select(*cols)
+    kept = [c for i in range(len(ranks)) for c in (f"k{i}", f"lo{i}", f"hi{i}", f"below{i}", f"m{i}", f"widen{i}", f"value{i}")]
+    while True:
+        proposed = materialize(state.select("_g", "n", *kept, *[c for i in range(len(ranks)) for c in proposals(i)]), "gq-state")
+        wide = base.join(proposed, "_g")
+        counts = [c for i in range(len(ranks)) for c in (
+            F.count_if(inside(i) & (x < field("a", i))).alias(f"under{i}"), F.count_if(x == field("a", i)).alias(f"on{i}"),
+            F.count_if((x > field("a", i)) & (x < field("b", i))).alias(f"mid{i}"), F.count_if(x == field("b", i)).alias(f"end{i}"))]
+        checked = proposed.join(wide.groupBy("_g").agg(*counts), "_g")
+        cols = [F.col("_g"), F.col("n")]
+        for i in range(len(ranks)):
+            k, known = field("k", i), field("value", i).isNotNull()
+            first = field("below", i) + field("under", i)
+            inner, last = first + field("on", i), first + field("on", i) + field("mid", i)
+            on_a = (first <= k) & (k < inner)
+            mid = (inner <= k) & (k < last) & ~known
+            on_b = (last <= k) & (k < last + field("end", i)) & (field("a", i) < field("b", i))
+            pick = lambda name, new: F.when(mid, new).otherwise(field(name, i)).alias(f"{name}{i}")
+            cols += [k, pick("lo", field("a", i)), pick("hi", field("b", i)), pick("below", inner), pick("m", field("mid", i)),
+                     F.when(known | on_a | mid | on_b, F.lit(1).cast("long")).otherwise(F.least(field("widen", i) * 8, F.lit(2 * _GRID).cast("long"))).alias(f"widen{i}"),
+                     F.when(known, field("value", i)).when(on_a, field("a", i)).when(on_b, field("b", i)).alias(f"value{i}")]
+        state = materialize(checked.select(*cols), "gq-check")
+        open_ = [field("value", i).isNull() & (field("m", i) > max_exact) for i in range(len(ranks))]
+        some = open_[0]
+        for o in open_[1:]:
+            some = some | o
+        if state.where(some).isEmpty():
             break
-        # sketch the grid inside every open bracket (one row per target)
-        sk = (base.join(state, "_g").where(inside())
-                  .groupBy("_g", "qi").agg(F.percentile_approx("_x", grid, accuracy).alias("sk")))
-        span = F.greatest(F.col("m") - 1, F.lit(1)).cast("double")
-        i_lo = F.greatest(F.lit(0), F.floor((F.col("k1") - F.col("below")) / span * _GRID).cast("int") - F.col("widen"))
-        i_hi = F.least(F.lit(_GRID), F.ceil((F.col("k2") - F.col("below")) / span * _GRID).cast("int") + F.col("widen"))
-        prop = materialize(state.join(sk, ["_g", "qi"]).select(
-            "*", F.element_at("sk", i_lo + 1).alias("pa"), F.element_at("sk", i_hi + 1).alias("pb")).drop("sk"),
-            "gq-prop")
-        # check the proposals with exact counts
-        chk = (base.join(prop, "_g").where(inside())
-                   .groupBy("_g", "qi").agg(
-                       F.count_if(F.col("_x") < F.col("pa")).alias("lt"),
-                       F.count_if((F.col("_x") >= F.col("pa")) & (F.col("_x") <= F.col("pb"))).alias("inn")))
-        p2 = prop.join(chk, ["_g", "qi"], "left").fillna(0, ["lt", "inn"])
-        ok = (((F.col("below") + F.col("lt")) <= F.col("k1"))
-              & ((F.col("below") + F.col("lt") + F.col("inn")) > F.col("k2")))
-        p2 = materialize(p2.withColumn("ok", ok), "gq-check")
-        # both ranks inside one repeated value: that value is the answer
-        single = p2.where(F.col("ok") & (F.col("pa") == F.col("pb")))
-        results.append(single.select("_g", "qi", F.col("pa").alias("val")))
-        rest = p2.where(~(F.col("ok") & (F.col("pa") == F.col("pb"))))
-        state = materialize(rest.select(
-            "_g", "qi", "pos", "k1", "k2",
-            F.when(F.col("ok"), F.col("pa")).otherwise(F.col("lo")).alias("lo"),
-            F.when(F.col("ok"), F.col("pb")).otherwise(F.col("hi")).alias("hi"),
-            F.when(F.col("ok"), F.col("below") + F.col("lt")).otherwise(F.col("below")).alias("below"),
-            F.when(F.col("ok"), F.col("inn")).otherwise(F.col("m")).alias("m"),
-            F.when(F.col("ok"), F.lit(1)).otherwise(F.col("widen") * 8).alias("widen")), "gq-state")
-    else:
-        raise RuntimeError("grouped quantiles did not converge; raise max_rounds")
-    res = reduce(DataFrame.unionByName, results)
-    return (res.groupBy(F.col("_g").alias(key))
-               .pivot("qi", list(range(len(qs)))).agg(F.first("val"))
-               .select(key, *[F.col(str(i)).alias(f"q{i}") for i in range(len(qs))]))
-
-
-def _grouped_finish(base: DataFrame, targets: DataFrame) -> DataFrame:
-    """(_g, qi, val) from value counts inside each target's bracket: a
-    running count per (group, quantile) over at most max_exact values
-    (or few distinct ones)."""
-    from pyspark.sql import Window
-
-    t = targets.select("_g", "qi", "pos", "k1", "k2", "lo", "hi", "below")
-    j = base.join(t, "_g").where((F.col("lo").isNull() | (F.col("_x") >= F.col("lo")))
-                                 & (F.col("hi").isNull() | (F.col("_x") <= F.col("hi"))))
-    vc = j.groupBy("_g", "qi", "pos", "k1", "k2", "below", "_x").agg(F.count(F.lit(1)).alias("c"))
-    w = Window.partitionBy("_g", "qi").orderBy("_x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    vc = vc.withColumn("upto", F.sum("c").over(w) + F.col("below")).withColumn("from", F.col("upto") - F.col("c"))
-    r1 = (F.col("from") <= F.col("k1")) & (F.col("k1") < F.col("upto"))
-    r2 = (F.col("from") <= F.col("k2")) & (F.col("k2") < F.col("upto"))
-    picked = vc.groupBy("_g", "qi", "pos", "k1").agg(F.max(F.when(r1, F.col("_x"))).alias("v1"),
-                                                     F.max(F.when(r2, F.col("_x"))).alias("v2"))
-    return picked.select("_g", "qi", (F.col("v1") + (F.col("pos") - F.col("k1")) * (F.col("v2") - F.col("v1")))
-                         .alias("val"))
+        sketched = (base.join(state.where(some), "_g").groupBy("_g").agg(
+            *[F.percentile_approx(F.when(inside(i) & open_[i], x), grid, accuracy).alias(f"sketch{i}") for i in range(len(ranks))]))
+        state = state.join(sketched, "_g", "left")
+    small = [F.when(field("value", i).isNull() & inside(i), F.struct(F.lit(i).alias("i"), (field("k", i) - field("below", i)).alias("k"))) for i in range(len(ranks))]
+    left = (base.join(state, "_g").select("_g", x.alias("v"), F.explode(F.filter(F.array(*small), lambda s: s.isNotNull())).alias("s"))
+            .groupBy("_g", F.col("s.i").alias("i"), F.col("s.k").alias("k"), "v").agg(F.count(F.lit(1)).alias("n")))
+    got = _pick(left, ["_g", "i"]).groupBy("_g").agg(*[F.max(F.when(F.col("i") == i, F.col("v"))).alias(f"got{i}") for i in range(len(ranks))])
+    done = state.join(got, "_g", "left")
+    value = [F.coalesce(field("value", i), field("got", i)) for i in range(len(ranks))]
+    out = [value[2 * qi] + (position(q) - F.col(f"k{2 * qi}")) * (value[2 * qi + 1] - value[2 * qi]) for qi, q in enumerate(qs)]
+    return done.select(F.col("_g").alias(key), *[v.alias(f"q{i}") for i, v in enumerate(out)])
