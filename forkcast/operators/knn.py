@@ -23,12 +23,14 @@ pair is a plain Euclidean k-NN problem, solved by a multi-level grid:
    reduced to distinct points on S (their answers are identical);
 2. at level L, cells of width w_L = w_0 * g^L (g = 1.5) over up to four
    blocking columns of S (the widest); every open receiver point is
-   equi-joined with the donors of its own and neighbouring cells (3^b);
+   equi-joined, at a level of its own, with the donors of its own and
+   neighbouring cells (3^b); a round does this for all open points at once;
 3. a donor outside those cells is farther than sqrt(D/|S|) * w_L, so a
    receiver point with k candidates within that bound is final; candidates
    beyond the bound are dropped right after the join (they cannot be part
    of a final answer at this level), so only near pairs are shuffled; the
-   rest go to level L+1.
+   rest go to level L+1, or up to 8 levels on over space without donors,
+   so a far receiver takes a few rounds and not one for every level.
    w_0 is the radius whose ball would hold ~4k donors if they were
    spread evenly, so most receivers finish at level 0 or 1; the top level
    spans the data.  Receivers near a crowded level-0 cell (a dense cluster
@@ -40,18 +42,16 @@ pair is a plain Euclidean k-NN problem, solved by a multi-level grid:
    rows per key) and the weighted mean computed; a left join writes it
    back into the missing cells only.
 
-Every level is one shuffle join (AQE broadcasts the donor side when it is
-small at run time).  The working table, the capped donors, the receiver
-points and every level's result are written as tables under the
-session's reliable checkpoint folder, so a lost executor recomputes at
-most one level.
+Every round is one shuffle join (AQE broadcasts the donor side when it is
+small at run time).  The working table, the capped donors, the points still
+open and every round's result are written as tables under the session's
+reliable checkpoint folder, so a lost executor recomputes at most one round.
 """
 
 from __future__ import annotations
 
 import itertools
 import math
-import os
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -66,7 +66,8 @@ PREDICTORS = ("cost", "cost_2", "lat", "lng")
 N_NEIGHBORS = 5
 
 _MAX_BLOCK_DIMS = 4
-_DEBUG = bool(os.environ.get("FORKCAST_KNN_DEBUG"))
+# Levels that a point over empty space skips at most.
+_MAX_STEP = 8
 
 
 def _offsets(nb: int) -> list[tuple[int, ...]]:
@@ -76,7 +77,7 @@ def _offsets(nb: int) -> list[tuple[int, ...]]:
 
 
 def knn_impute(df: DataFrame, targets=TARGETS, predictors=PREDICTORS, k: int = N_NEIGHBORS,
-               id_col: str = "id", ball_target: float = 4, growth: float = 1.5, max_levels: int = 200,
+               id_col: str = "id", ball_target: float = 4, growth: float = 1.5,
                require_predictors: bool = False) -> DataFrame:
     """Fill missing cells of ``targets`` from the k nearest rows."""
     targets = [c for c in targets if c in df.columns]
@@ -93,7 +94,7 @@ def knn_impute(df: DataFrame, targets=TARGETS, predictors=PREDICTORS, k: int = N
              if p is not None]
     if not plans:
         return df
-    found = _search_and_weigh(plans, len(cols), k, max_levels, growth)
+    found = _search_and_weigh(plans, len(cols), k, growth)
     # one row per receiver with a value per target, then ONE left join back
     ts = [p["t"] for p in plans]
     imp = found.groupBy(F.col("_id").alias("__rid")).agg(
@@ -181,8 +182,7 @@ def _plan_target(work: DataFrame, cols: list[str], t: str, k: int, ball_target:
     return dict(t=t, others=others, recv=recv, donors=donors, pairs=pairs, mean=mean)
 
 
-def _search_and_weigh(plans: list[dict], D: int, k: int, max_levels: int, growth: float,
-                      crowd: int = 64) -> DataFrame:
+def _search_and_weigh(plans: list[dict], D: int, k: int, growth: float, crowd: int = 64) -> DataFrame:
     """Grid search over all pairs of all targets at once; returns
     (_t, _id, _value) for every receiver cell."""
     n_s = D - 1
@@ -257,45 +257,47 @@ def _search_and_weigh(plans: list[dict], D: int, k: int, max_levels: int, growth
         start = F.when(F.col("_crowd").isNull(), F.lit(0)).otherwise(-F.least(finer, F.lit(60))).cast("int")
         open_pts = materialize(r_pts.select("*", *cells0).join(near, ["_pair", *k0], "left")
                                     .select(*pair_meta, *s_names, *b_names, start.alias("_start")), "knn-receivers")
-        first_level = open_pts.agg(F.min("_start")).first()[0] or 0
-        for level in range(first_level, max_levels + 1):
-            width = F.col("_w0") * F.lit(float(growth ** level))
-            cells = [F.floor(F.col(b) / width).alias(f"_c{j}") for j, b in enumerate(b_names)]
-            d_lv = d_all.select("_did", "_v", "_pair", *[F.col(s).alias("d" + s) for s in s_names], *cells)
-            active = open_pts.where(F.col("_start") <= F.lit(level))
-            r_lv = (active.select("*", *[F.floor(F.col(b) / width).alias(f"_rc{j}") for j, b in enumerate(b_names)])
+        open_pts = open_pts.select(*pair_meta, *s_names, *b_names, F.col("_start").alias("_lv"), F.lit(1).alias("_step"))
+        cells_of = lambda width: [F.floor(F.col(b) / width) for b in b_names]
+        width = F.col("_w0") * F.pow(F.lit(float(growth)), F.col("_lv"))
+        while levels := [r["_lv"] for r in open_pts.select("_lv").distinct().collect()]:
+            # every open point works at its own level, all in one join
+            d_lv = (d_all.withColumn("_lv", F.explode(F.array(*[F.lit(x) for x in levels])))
+                         .select("_did", "_v", "_pair", "_lv", *[F.col(s).alias("d" + s) for s in s_names],
+                                 *[c.alias(f"_c{j}") for j, c in enumerate(cells_of(width))]))
+            r_lv = (open_pts.select("*", *[c.alias(f"_rc{j}") for j, c in enumerate(cells_of(width))])
                             .withColumn("_o", F.explode(off_expr))
-                            .select(*key_cols, "_m", "_top", "_w0",
+                            .select(*key_cols, "_m", "_top", "_w0", "_lv",
                                     *[(F.col(f"_rc{j}") + F.col(f"_o.o{j}")).alias(f"_c{j}")
                                       for j in range(_MAX_BLOCK_DIMS)]))
-            cand = r_lv.join(d_lv, ["_pair", *[f"_c{j}" for j in range(_MAX_BLOCK_DIMS)]])
+            cand = r_lv.join(d_lv, ["_pair", "_lv", *[f"_c{j}" for j in range(_MAX_BLOCK_DIMS)]])
             sq = reduce(lambda a, b: a + b, [F.pow(F.col(s) - F.col("d" + s), 2) for s in s_names])
             # shrunk by 1e-9 (relative): a point an ulp from a cell edge may be
             # floored into the next cell; the margin keeps "outside the
             # neighbourhood => farther than the bound" strict in floating point
             bound = F.sqrt(F.lit(float(D)) / F.col("_m")) * width * F.lit(1.0 - 1e-9)
-            cand = cand.select(*key_cols, "_m", "_top", "_w0", "_did", "_v",
+            cand = cand.select(*key_cols, "_top", "_lv", "_did", "_v", bound.alias("_bound"),
                                F.sqrt(F.lit(float(D)) / F.col("_m") * sq).alias("_dist"))
-            # Every donor within `bound` of a receiver is in its neighbourhood,
+            # Every donor within the bound of a receiver is in its neighbourhood,
             # and a receiver can only finish here with its k nearest inside
-            # `bound`: farther candidates are dropped before the shuffle
-            # (except at the top level, where everything is final).
-            cand = cand.where((F.col("_dist") <= bound) | (F.lit(level) >= F.col("_top")))
+            # it: farther candidates are dropped before the shuffle (except at
+            # the top level, where everything is final).
+            cand = cand.where((F.col("_dist") <= F.col("_bound")) | (F.col("_lv") >= F.col("_top"))).drop("_bound")
             wk = Window.partitionBy(*key_cols).orderBy("_dist", "_did")
             top = cand.withColumn("_rn", F.row_number().over(wk)).where(F.col("_rn") <= k)
-            wkey = Window.partitionBy(*key_cols)
-            top = top.withColumn("_cnt", F.count(F.lit(1)).over(wkey))
+            top = top.withColumn("_cnt", F.count(F.lit(1)).over(Window.partitionBy(*key_cols)))
             # k within the bound (or every donor of the pair, if fewer): final
-            need = F.least(F.lit(k), npair_map[F.col("_pair")])
-            done = (F.col("_cnt") >= need) | (F.lit(level) >= F.col("_top"))
-            top = materialize(top.withColumn("_done", done), f"knn-level{level}")
+            done = (F.col("_cnt") >= F.least(F.lit(k), npair_map[F.col("_pair")])) | (F.col("_lv") >= F.col("_top"))
+            top = materialize(top.withColumn("_done", done), "knn-round")
             finished.append(top.where("_done").select(*key_cols, "_did", "_v", "_dist"))
-            # still open: not finished here (incl. points with no candidate at this level)
-            open_pts = open_pts.join(top.where("_done").select(*key_cols).distinct(), key_cols, "left_anti")
-            if _DEBUG:
-                print(f"[knn] level={level} open={open_pts.count()}", flush=True)  # noqa: T201
-            if level >= 0 and open_pts.isEmpty():
-                break
+            # The others widen: by one level with some donor near, in growing
+            # steps over empty space; beyond the top there is nothing more.
+            seen = top.where("_rn = 1").select(*key_cols, "_done")
+            left = open_pts.join(seen, key_cols, "left").where(
+                F.col("_done").isNull() & (F.col("_lv") < F.col("_top")) | ~F.col("_done"))
+            by = F.when(F.col("_done").isNull(), F.col("_step")).otherwise(F.lit(1))
+            step = F.when(F.col("_done").isNull(), F.least(F.col("_step") * 2, F.lit(_MAX_STEP))).otherwise(F.lit(1))
+            open_pts = materialize(left.select(*pair_meta, *s_names, *b_names, F.least(F.col("_lv") + by, F.greatest("_top", F.col("_lv") + 1)).alias("_lv"), step.alias("_step")), "knn-open")
     recv_all = reduce(DataFrame.unionByName, [p["recv"].select(F.lit(p["t"]).alias("_t"), "_id") for p in plans])
     means = F.create_map(*[x for p in plans for x in (F.lit(p["t"]), F.lit(p["mean"]).cast("double"))])
     if not finished:
