@@ -61,21 +61,35 @@ def normalise_key(c, parity: bool = False) -> Column:
     return F.lower(trim_ws(as_text(c, parity)))
 
 
-_JSON_OPTS = {"allowSingleQuotes": "true", "allowBackslashEscapingAnyCharacter": "true"}
+_JSON_OPTS = {"allowBackslashEscapingAnyCharacter": "true"}
+# one item of a literal: a quoted text, None, or a bare name or number
+_QUOTED = r"""'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+\""""
+_ITEM = rf"(?:{_QUOTED}|[A-Za-z0-9_.+-]++)"
+_LITERAL = rf"(?s)\s*(?:\[\s*(?:{_ITEM}\s*(?:,\s*{_ITEM}\s*)*+,?\s*)?\]|\(\s*(?:{_ITEM}\s*(?:,\s*{_ITEM}\s*)*+,?\s*)?\))\s*"
 
 
-def _literal_to_json_text(c: Column) -> Column:
-    """Rewrite the two Python-literal forms JSON lacks: a bare ``None`` item
-    becomes ``null`` and a trailing comma before ``]`` is dropped."""
-    s = F.regexp_replace(c, "([\\[,]\\s*)None(\\s*)(?=[,\\]])", "$1null$2")
-    return F.regexp_replace(s, ",\\s*\\]\\s*$", "]")
+def _unescape(body: Column) -> Column:
+    """The text between the quotes of a literal: backslash escapes as in
+    Python (``\x41`` as JSON writes it, inner double quotes protected)."""
+    json = F.regexp_replace(body, r"(?<!\\)((?:\\\\)*)\\x([0-9a-fA-F]{2})", r"$1\\u00$2")
+    json = F.regexp_replace(json, r"(?<!\\)((?:\\\\)*)\"", r'$1\\"')
+    # a raw line break or tab cannot stand in JSON text
+    for raw, name in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        json = F.replace(json, F.lit(raw), F.lit(name))
+    read = F.from_json(F.concat(F.lit('["'), json, F.lit('"]')), "array<string>", _JSON_OPTS)
+    return F.when(F.contains(body, F.lit("\\")), F.get(read, F.lit(0))).otherwise(body)
 
 
 def parse_list(c) -> Column:
-    """Strict list-literal parse (``ast.literal_eval`` on ``"['a', 'b']"``)
-    into ARRAY<STRING>.  Unparseable text gives NULL; a ``None`` item is
-    kept as NULL inside the array."""
-    return F.from_json(_literal_to_json_text(col_(c)), "array<string>", _JSON_OPTS)
+    """Strict list-literal parse (``ast.literal_eval`` on ``"['a', 'b']"`` or
+    ``"('a', 'b')"``) into ARRAY<STRING>.  Unparseable text gives NULL; a
+    ``None`` item is kept as NULL inside the array, numbers as their text."""
+    c = col_(c)
+    quoted = lambda x: x.startswith("'") | x.startswith('"')
+    item = lambda x: (F.when(quoted(x), _unescape(F.substring(x, F.lit(2), F.length(x) - 2)))
+                      .when(x != "None", x))
+    items = F.transform(F.regexp_extract_all(c, F.lit(f"(?s){_ITEM}"), F.lit(0)), item)
+    return F.when(F.regexp_like(c, F.lit(f"^{_LITERAL}$".replace("^(?s)", "(?s)^"))), items)
 
 
 def parse_list_strict(c) -> Column:
@@ -87,6 +101,13 @@ def parse_list_strict(c) -> Column:
                   F.raise_error(F.concat(F.lit("not a list literal: "), c))).otherwise(parsed)
 
 
+def items_of(c) -> Column:
+    """Items of a column of list literals or plain texts: text that begins
+    like a list is parsed strictly, any other text is its only item."""
+    c = col_(c)
+    return F.when(trim_ws(c).rlike(r"^[\[(]"), parse_list_strict(c)).when(c.isNotNull(), F.array(c.cast("string")))
+
+
 def parse_list_tolerant(c, parity: bool = False) -> Column:
     """``to_list_if_str`` + "ensure list": text starting with '[' is parsed,
     broken text becomes a one-item list of itself, any other value becomes

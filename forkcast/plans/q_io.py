@@ -45,11 +45,23 @@ def q_region_boxes(spark, d):
     return geojson.read_feature_lines(spark, path).select("name", "geometry_type", "min_x", "min_y", "max_x", "max_y")
 
 
-@register("geojson_features")
+@register("geojson_features", with_views(f"""
+, long AS (SELECT lower({strip('subzone')}) AS subzone,
+                  {strip("unnest(string_split(replace(replace(cuisine, '[' || chr(39), ''), chr(39) || ']', ''), chr(39) || ', ' || chr(39)))")} AS cuisine
+           FROM venue WHERE subzone IS NOT NULL),
+c AS (SELECT subzone, count(*) AS n FROM long WHERE lower(cuisine) = 'widget' GROUP BY subzone)
+SELECT {strip('b.region_name')} AS name, CAST(coalesce(c.n, 0) AS VARCHAR) AS venue_count,
+       {strip('b.region_name')} || ': ' || CAST(coalesce(c.n, 0) AS VARCHAR) AS hover_text, 'Polygon' AS geometry_type, min_x, min_y, max_x, max_y
+FROM boundaries b LEFT JOIN c ON lower({strip('b.region_name')}) = c.subzone"""))
 def q_geojson_features(spark, d):
-    """Boundary features with the Widget count and hover label (SNK5)."""
+    """Boundary features with the Widget count and hover label (SNK5),
+    written in full and read back."""
     counts = geo.hover_text(geo.cuisine_counts(venue_view(spark, d), boundaries_view(spark, d), "Widget"))
-    return geojson.box_features(counts, extra=["venue_count", "hover_text"])
+    first, second = (sinks.scratch_path(spark, "features") for _ in range(2))
+    geojson.write_features(geojson.box_features(counts, extra=["venue_count", "hover_text"]), first)
+    geojson.write_features(geojson.features(geojson.reproject(geojson.read_feature_lines(spark, first))), second)
+    back = geojson.read_feature_lines(spark, second)
+    return back.select("name", *[F.col("properties")[c].alias(c) for c in ("venue_count", "hover_text")], "geometry_type", "min_x", "min_y", "max_x", "max_y")
 
 
 @register("hover_labels", with_views(f"""
@@ -85,7 +97,9 @@ def q_metrics_json(spark, d):
     return spark.read.schema(metrics.schema).json(path)
 
 
-@register("model_roundtrip")
+@register("model_roundtrip", """
+SELECT count(*) AS n, CAST(0.0 AS DOUBLE) AS max_abs_diff
+FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber = b.l_linenumber""")
 def q_model_roundtrip(spark, d):
     li = read_table(spark, d, "lineitem")
     model, _ = models.ols_fit(li, ["l_quantity", "l_discount"], "l_extendedprice")

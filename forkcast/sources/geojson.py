@@ -32,13 +32,56 @@ COLLECTION = T.StructType([
     T.StructField("features", T.ArrayType(FEATURE))])
 
 
+#: How deep the coordinates of each geometry type nest.
+DEPTH = {"Point": 1, "MultiPoint": 2, "LineString": 2, "MultiLineString": 3, "Polygon": 3, "MultiPolygon": 4}
+
+
+def _nested(coords: Column, depth: int) -> Column:
+    return F.from_json(coords, "array<" * depth + "double" + ">" * depth)
+
+
 def _points(geom_type: Column, coords: Column) -> Column:
-    """ARRAY<ARRAY<DOUBLE>> of all vertices (NULL for a NULL geometry)."""
-    poly = F.from_json(coords, "array<array<array<double>>>")
-    multi = F.from_json(coords, "array<array<array<array<double>>>>")
-    return (F.when(geom_type == "Polygon", F.flatten(poly))
-             .when(geom_type == "MultiPolygon", F.flatten(F.flatten(multi)))
-             .when(geom_type == "Point", F.array(F.from_json(coords, "array<double>"))))
+    """ARRAY<ARRAY<DOUBLE>> of all vertices (NULL for a NULL geometry and
+    for types without coordinates of their own, as GeometryCollection)."""
+    out = None
+    for kind, depth in DEPTH.items():
+        points = _nested(coords, depth)
+        for _ in range(depth - 2):
+            points = F.flatten(points)
+        points = F.array(points) if depth == 1 else points
+        out = F.when(geom_type == kind, points) if out is None else out.when(geom_type == kind, points)
+    return out
+
+
+def reproject(df: DataFrame, srid: Column | None = None) -> DataFrame:
+    """GEO1: every vertex of ``coordinates`` to WGS84 (further ordinates of a
+    vertex stay), as GeoJSON text again; ``srid`` becomes 4326."""
+    code = srid if srid is not None else F.col("srid")
+
+    def moved(points: Column, depth: int) -> Column:
+        if depth == 1:
+            lon, lat = to_wgs84(points[0], points[1], code)
+            return F.concat(F.array(lon, lat), F.slice(points, F.lit(3), F.greatest(F.size(points) - 2, F.lit(0))))
+        return F.transform(points, lambda p: moved(p, depth - 1))
+
+    out = None
+    for kind, depth in DEPTH.items():
+        text = F.to_json(moved(_nested(F.col("coordinates"), depth), depth))
+        out = F.when(F.col("geometry_type") == kind, text) if out is None else out.when(F.col("geometry_type") == kind, text)
+    same = code.isNull() | (code == 4326)
+    return df.withColumns({"coordinates": F.when(same, F.col("coordinates")).otherwise(out), "srid": F.lit(4326)})
+
+
+def features(df: DataFrame, extra: list[str] | None = None) -> DataFrame:
+    """Full features (real geometry, all properties, and ``extra`` columns as
+    properties) as Feature JSON text, one per row: ``value``."""
+    added = F.create_map(*[x for c in (extra or []) for x in (F.lit(c), F.col(c).cast("string"))]) if extra else None
+    kept = F.coalesce(F.col("properties"), F.create_map().cast("map<string,string>"))
+    if added is not None:
+        kept = F.map_concat(F.map_filter(kept, lambda k, _: ~k.isin(extra)), added)
+    geometry = F.when(F.col("geometry_type").isNull(), F.lit("null")).otherwise(
+        F.concat(F.lit('{"type":"'), F.col("geometry_type"), F.lit('","coordinates":'), F.coalesce("coordinates", F.lit("null")), F.lit("}")))
+    return df.select(F.concat(F.lit('{"type":"Feature","properties":'), F.to_json(kept, {"ignoreNullFields": "false"}), F.lit(',"geometry":'), geometry, F.lit("}")).alias("value"))
 
 
 def _with_bounds(df: DataFrame, srid: Column) -> DataFrame:

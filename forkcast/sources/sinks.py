@@ -34,17 +34,34 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/forkcast-out/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def read_venue_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def _numeric_columns(df: DataFrame, names: list[str]) -> set[str]:
+    """The text columns whose every present value is a number (one pass)."""
+    if not names:
+        return set()
+    text = {c: F.when(~F.col(f"`{c}`").isin(NA_TOKENS), F.col(f"`{c}`")) for c in names}
+    row = df.agg(*[(F.count(text[c]) > 0).alias(f"some{i}") for i, c in enumerate(names)],
+                 *[(F.count(text[c]) == F.count(text[c].try_cast("double"))).alias(f"all{i}") for i, c in enumerate(names)]).first()
+    return {c for i, c in enumerate(names) if row[f"some{i}"] and row[f"all{i}"]}
+
+
+def read_venue_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, key: str = "id",
+                   multi_line: bool = True) -> DataFrame:
     """Venue CSV with a header, doubled quotes inside fields and pandas'
     missing-value texts.
 
     Without ``schema`` the columns are taken by NAME from the header, read
     as text (no inference pass over the data), and the known venue columns
-    are cast to their types; unknown columns pass through as text, in file
-    order.  With ``schema`` the file is read positionally with that schema.
+    are cast to their types; unknown columns become DOUBLE if all their
+    present values are numbers (one pass over those columns), else stay text,
+    in file order.  A file without ``key`` gets one: 64-bit, unique, and the
+    same for the same files read with the same split sizes; write it out to
+    keep it.  With ``schema`` the file is read positionally with that schema.
     NA texts become NULL in string columns, NaN becomes NULL in numeric
-    ones, and a value that does not parse as a number becomes NULL."""
-    opts = dict(header=True, multiLine=True, escape='"', quote='"', mode="PERMISSIVE",
+    ones, and a value that does not parse as a number becomes NULL.
+
+    ``multi_line``: fields may hold line breaks; a file is then one task.
+    Without them, pass False and Spark splits large files."""
+    opts = dict(header=True, multiLine=multi_line, escape='"', quote='"', mode="PERMISSIVE",
                 ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     if schema is not None:
         df = spark.read.schema(schema).options(nanValue="NaN", **opts).csv(path)
@@ -52,7 +69,8 @@ def read_venue_csv(spark: SparkSession, path: str, schema: T.StructType | None =
     else:
         df = spark.read.options(inferSchema=False, **opts).csv(path)
         known = {f.name: f.dataType for f in VENUE_SCHEMA.fields}
-        fields = [T.StructField(c, known.get(c, T.StringType())) for c in df.columns]
+        numbers = _numeric_columns(df, [c for c in df.columns if c not in known])
+        fields = [T.StructField(c, T.DoubleType() if c in numbers else known.get(c, T.StringType())) for c in df.columns]
     out = []
     for f in fields:
         c = F.col(f"`{f.name}`")
@@ -65,6 +83,8 @@ def read_venue_csv(spark: SparkSession, path: str, schema: T.StructType | None =
             out.append(F.nanvl(c, F.lit(None).cast("double")).alias(f.name))
         else:
             out.append(c.alias(f.name))
+    if schema is None and key not in df.columns:
+        out.insert(0, F.monotonically_increasing_id().alias(key))
     return df.select(*out)
 
 

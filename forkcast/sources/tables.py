@@ -12,8 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forkcast.functions.text import nan_to_null
-
 
 _SCANS: dict = {}
 
@@ -84,12 +82,3 @@ def boundaries_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         k.cast("double").alias("min_x"), (k + 1).cast("double").alias("max_x"),
         (-k).cast("double").alias("min_y"), (1 - k).cast("double").alias("max_y"),
     )
-
-
-def normalise_numeric(df: DataFrame) -> DataFrame:
-    """NaN -> NULL on every floating column, so pandas-style missing
-    semantics hold (Spark keeps NaN apart from NULL and sorts it highest)."""
-    out = []
-    for name, dtype in df.dtypes:
-        out.append(nan_to_null(F.col(name)).alias(name) if dtype in ("double", "float") else F.col(name))
-    return df.select(*out)

@@ -149,3 +149,42 @@ def test_shared_maximum_ignores_suburbs_without_boundary(spark):
     regions = spark.createDataFrame([(1, "A")], "region_id int, region_name string")
     rows = geo.cuisine_counts_many(venue, regions, ["Thai"]).collect()
     assert [(r.venue_count, r.global_max) for r in rows] == [(1, 1)]
+
+
+def test_csv_without_key_and_with_an_extra_number(spark, tmp_path):
+    from forkcast.sources import sinks
+    path = tmp_path / "venues.csv"
+    path.write_text('subzone,cuisine,cost,extra,note,empty\n"A","[\'x\', \'y\']",10,1.5,two,\nB,Thai,NA,-3,4,\nB,Thai,7,NA,5,NA\n')
+    for split in (True, False):
+        df = sinks.read_venue_csv(spark, str(path), multi_line=split)
+        assert dict(df.dtypes) == {"id": "bigint", "subzone": "string", "cuisine": "string", "cost": "double", "extra": "double", "note": "string", "empty": "string"}
+        rows = df.orderBy("id").collect()
+        assert len({r.id for r in rows}) == 3 and [r.extra for r in rows] == [1.5, -3.0, None] and rows[1].cost is None
+
+
+def test_features_keep_every_vertex_and_property(spark, tmp_path):
+    import json
+    import math
+
+    from forkcast.sources import geojson
+    r = 6378137.0
+    square = [[0, 0], [r * math.pi / 180, 0], [0, r * math.pi / 180], [0, 0]]
+    shapes = {"Point": square[1], "MultiPoint": square, "LineString": square, "Polygon": [square, square], "MultiPolygon": [[square], [square, square]]}
+    doc = {"type": "FeatureCollection", "crs": {"properties": {"name": "urn:ogc:def:crs:EPSG::3857"}},
+           "features": [{"type": "Feature", "properties": {"SSC_NAME": k, "code": "7", "none": None}, "geometry": {"type": k, "coordinates": c}} for k, c in shapes.items()]
+           + [{"type": "Feature", "properties": {"SSC_NAME": "empty"}, "geometry": None}]}
+    path = tmp_path / "regions.json"
+    path.write_text(json.dumps(doc))
+    read = geojson.read_feature_collection(spark, str(path))
+    geojson.write_features(geojson.features(geojson.reproject(read)), str(tmp_path / "out"))
+    back = {r.name: r for r in geojson.read_feature_lines(spark, str(tmp_path / "out")).collect()}
+    degrees = lambda c: [degrees(x) for x in c] if isinstance(c[0], list) else [math.degrees(c[0] / r), math.degrees(2 * math.atan(math.exp(c[1] / r)) - math.pi / 2)]
+    flat = lambda c: [v for x in c for v in flat(x)] if isinstance(c, list) else [c]
+    for kind, coords in shapes.items():
+        got = json.loads(back[kind].coordinates)
+        assert all(abs(a - b) < 1e-9 for a, b in zip(flat(got), flat(degrees(coords)), strict=True)), kind
+        assert back[kind].geometry_type == kind and back[kind].properties == {"SSC_NAME": kind, "code": "7", "none": None}
+        assert abs(back[kind].max_x - 1) < 1e-9
+    assert back["empty"].geometry_type is None and back["empty"].min_x is None
+    same = geojson.features(read.withColumn("srid", read.srid * 0 + 4326)).collect()
+    assert {json.loads(r.value)["properties"]["SSC_NAME"]: (json.loads(r.value)["geometry"] or {}).get("coordinates") for r in same} == {**shapes, "empty": None}
