@@ -12,7 +12,7 @@ the work.  Sub-packages:
 ``plans``      end-to-end jobs (cleaning stage, feature stage, model stage,
                the whole DAG) and the query catalogue used by
                ``__spark_entry__``
-``streaming``  intentionally empty: the reference has no streaming
+``llm``        operators of a training-data pipeline; nothing else imports it
 """
 
 __version__ = "0.1.0"

@@ -13,11 +13,10 @@ from pyspark.sql import functions as F
 
 
 def regression_metrics(pred: DataFrame, label: str, prediction: str = "prediction") -> DataFrame:
-    """MSE and R^2 = 1 - SSE/SST (not the squared correlation)."""
+    """MSE and R^2 = 1 - SSE/SST (not the squared correlation), in one pass."""
     y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
     base = pred.where(y.isNotNull() & p.isNotNull())
-    ybar = F.lit(base.agg(F.avg(y)).first()[0]).cast("double")   # fitted scalar
-    sse, sst = F.sum(F.pow(y - p, 2)), F.sum(F.pow(y - ybar, 2))
+    sse, sst = F.sum(F.pow(y - p, 2)), F.var_pop(y) * F.count(F.lit(1))
     # constant labels (SST = 0): 1.0 for a perfect fit, else 0.0 (finite R^2)
     r2 = F.when(sst == 0, F.when(sse == 0, F.lit(1.0)).otherwise(F.lit(0.0))).otherwise(F.lit(1.0) - sse / sst)
     return base.agg(F.avg(F.pow(y - p, 2)).alias("mse"), r2.alias("r2"), F.count(F.lit(1)).cast("bigint").alias("n"))
@@ -62,12 +61,6 @@ def timed(fn, *args, **kwargs):
     return res, round(time.perf_counter() - t0, 4)
 
 
-def materialise(df: DataFrame) -> int:
-    """Force a scored frame (noop sink: every row computed, none kept)."""
-    df.write.format("noop").mode("overwrite").save()
-    return 0
-
-
 def compare(frames: list[DataFrame]) -> DataFrame:
     """Side-by-side table of metric rows (SET1, EV8): union by name."""
     out = frames[0]
@@ -76,11 +69,12 @@ def compare(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def compare_wide(frames: list[DataFrame], metrics: list[str], model_col: str = "model") -> DataFrame:
+def compare_wide(frames: list[DataFrame], metrics: list[str], model_col: str = "model",
+                 names: list[str] | None = None) -> DataFrame:
     """Side-by-side table (EV8): one row per metric, one column per model.
     Metric rows are unpivoted to (model, metric, value) and pivoted on the
-    model names (explicit values: no extra distinct job)."""
-    long = compare(frames).unpivot(model_col, metrics, "metric", "value")
-    models_ = [r[0] for r in compare(frames).select(model_col).collect()]      # one row per frame
-    return (long.groupBy("metric").pivot(model_col, models_).agg(F.first("value"))
-                .select("metric", *models_))
+    model ``names``; unless given, they are read from the frames."""
+    both = compare(frames)
+    names = names or [r[0] for r in both.select(model_col).collect()]      # one row per frame
+    return (both.unpivot(model_col, metrics, "metric", "value").groupBy("metric").pivot(model_col, names)
+                .agg(F.first("value")).select("metric", *names))

@@ -14,7 +14,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forkcast.functions.text import nan_to_null, parse_list, trim_ws
+from forkcast.functions.text import items_of, nan_to_null
 from forkcast.session import materialize
 
 
@@ -37,9 +37,10 @@ def top_n(counts: DataFrame, key: str, n: int, count_col: str = "n") -> DataFram
 
 
 def explode_list(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
-    """Flatten a list-literal column: one row per item (ARR1-ARR2)."""
+    """Flatten a list-literal column: one row per item (ARR1-ARR2).  Text
+    that is no list is one item; a broken list fails the job."""
     out = out or col
-    return df.select(F.explode(parse_list(col)).alias(out)).where(F.col(out).isNotNull())
+    return df.select(F.explode(items_of(col)).alias(out)).where(F.col(out).isNotNull())
 
 
 def list_value_counts(df: DataFrame, col: str, count_col: str = "n") -> DataFrame:
@@ -72,25 +73,34 @@ def histogram_by_group(df: DataFrame, value: str, group: str, bins: int = 20,
     (last bin closed, as numpy); every bin is listed, empty ones with 0.
 
     Columns: group, bin, bin_lo, bin_hi, n.  Per-group ranges are a small
-    aggregate joined back (one row per group)."""
+    aggregate, written once.  Those of listed groups (as many as the caller
+    names) become literals of a map lookup, so no row of a group is shuffled;
+    otherwise they are joined back and their real size decides how."""
     x = nan_to_null(F.col(value))
     base = df.select(F.col(group).alias("g"), x.alias("x")).where(F.col("g").isNotNull() & F.col("x").isNotNull())
     if groups is not None:
         base = base.where(F.col("g").isin(groups))
     mm = base.groupBy("g").agg(F.min("x").alias("mn"), F.max("x").alias("mx"))
     same = F.col("mn") == F.col("mx")      # numpy widens a zero range by 0.5 each side
-    rng = mm.select("g", F.when(same, F.col("mn") - 0.5).otherwise(F.col("mn")).alias("lo"),
-                    F.when(same, F.col("mx") + 0.5).otherwise(F.col("mx")).alias("hi"))
-    j = base.join(rng, "g")
+    rng = materialize(mm.select("g", F.when(same, F.col("mn") - 0.5).otherwise(F.col("mn")).cast("double").alias("lo"),
+                                F.when(same, F.col("mx") + 0.5).otherwise(F.col("mx")).cast("double").alias("hi")), "group-ranges")
+    if groups is not None:
+        known = rng.collect()
+        if not known:
+            return df.sparkSession.createDataFrame([], df.select(group).schema).select(
+                group, *[F.lit(None).cast(t).alias(c) for c, t in (("bin", "int"), ("bin_lo", "double"), ("bin_hi", "double"), ("n", "bigint"))])
+        ranges = F.create_map(*[e for r in known for e in (F.lit(r["g"]), F.struct(F.lit(r["lo"]).alias("lo"), F.lit(r["hi"]).alias("hi")))])
+        j = base.withColumn("_r", ranges[F.col("g")]).select("g", "x", "_r.lo", "_r.hi")
+    else:
+        j = base.join(rng, "g")
     idx = F.least(F.floor((F.col("x") - F.col("lo")) * F.lit(bins) / (F.col("hi") - F.col("lo"))),
                   F.lit(bins - 1)).cast("int")
     counts = j.groupBy("g", idx.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     grid = rng.select("g", "lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     w = (F.col("hi") - F.col("lo")) / F.lit(bins)
     out = grid.join(counts, ["g", "bin"], "left")
-    return out.select(F.col("g").alias(group), "bin",
-                      F.round(F.col("lo") + F.col("bin") * w, 4).alias("bin_lo"),
-                      F.round(F.col("lo") + (F.col("bin") + 1) * w, 4).alias("bin_hi"),
+    return out.select(F.col("g").alias(group), "bin", (F.col("lo") + F.col("bin") * w).alias("bin_lo"),
+                      (F.col("lo") + (F.col("bin") + 1) * w).alias("bin_hi"),
                       F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n"))
 
 
@@ -111,55 +121,52 @@ def histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
     grid = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
     w = (hi_c - lo_c) / F.lit(bins)
     return (grid.join(counts, "bin", "left")
-                .select("bin", F.round(lo_c + F.col("bin") * w, 4).alias("bin_lo"),
-                        F.round(lo_c + (F.col("bin") + 1) * w, 4).alias("bin_hi"),
+                .select("bin", (lo_c + F.col("bin") * w).alias("bin_lo"), (lo_c + (F.col("bin") + 1) * w).alias("bin_hi"),
                         F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n")))
 
 
-KDE_REACH = 10.0
-
-
 def kde_curve(df: DataFrame, value: str, gridsize: int = 200, hist_bins: int | None = None) -> DataFrame:
     """Gaussian kernel density on an even grid over [min, max] with Scott's
     bandwidth h = std * n^(-1/5): f(g) = sum_i exp(-((g-x_i)/h)^2 / 2) /
-    (n h sqrt(2 pi)).  Data are first reduced to (value, count) pairs; each
-    distinct value then adds to the grid points within 10 h of it (terms
-    beyond are < 2e-22 of the peak, far under the 8-decimal output), with
-    partial sums per task.  Columns: grid, x, density, and with
-    ``hist_bins`` also ``count_curve`` = density * n * bin width, the
-    curve drawn over a ``hist_bins``-bin count histogram."""
+    (n h sqrt(2 pi)), the whole kernel of every value.  Data are first reduced
+    to (value, count) pairs; each Arrow batch of them then gives one row of
+    ``gridsize`` sums (numpy), so nothing is multiplied by the grid before a
+    shuffle.  Columns: grid, x, density, and with ``hist_bins`` also
+    ``count_curve`` = density * n * bin width, the curve drawn over a
+    ``hist_bins``-bin count histogram."""
     x = nan_to_null(F.col(value))
-    base = df.select(x.alias("x")).where(F.col("x").isNotNull())
+    base = df.select(x.cast("double").alias("x")).where(F.col("x").isNotNull())
     st = base.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("s"),
                   F.min("x").alias("lo"), F.max("x").alias("hi")).first()     # fitted scalars, one pass
     n_, s_, lo_, hi_ = (F.lit(st[c]).cast("double") for c in ("n", "s", "lo", "hi"))
+    grid = df.sparkSession.range(gridsize).select(F.col("id").cast("int").alias("grid"))   # every point listed
     if not st["s"]:                        # no spread (or < 2 values): no density, as the plot skips it
-        grid = df.sparkSession.range(gridsize).select(F.col("id").cast("int").alias("grid"))
         cols = [F.col("grid"), F.lit(st["lo"]).cast("double").alias("x"), F.lit(None).cast("double").alias("density")]
         if hist_bins:
             cols.append(F.lit(None).cast("double").alias("count_curve"))
         return grid.select(*cols)
-    h = s_ * F.pow(n_.cast("double"), F.lit(-0.2))
-    distinct = base.groupBy("x").agg(F.count(F.lit(1)).alias("w"))
-    step = (hi_ - lo_) / F.lit(gridsize - 1)
-    # a value only reaches grid points within KDE_REACH bandwidths (beyond,
-    # a term is below exp(-KDE_REACH^2 / 2) ~ 2e-22 of the peak): each value
-    # explodes to those points only, not to the whole grid
-    reach = F.lit(KDE_REACH) * h
-    first = F.greatest(F.lit(0), F.ceil((F.col("x") - reach - lo_) / step).cast("int"))
-    last = F.least(F.lit(gridsize - 1), F.floor((F.col("x") + reach - lo_) / step).cast("int"))
-    near = F.when(step <= 0, F.sequence(F.lit(0), F.lit(gridsize - 1))) \
-            .when(first <= last, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
-    pts = distinct.select("x", "w", F.explode(near).alias("grid"))
-    gx = lo_ + F.col("grid") * step
-    contrib = F.col("w") * F.exp(F.lit(-0.5) * F.pow((gx - F.col("x")) / h, 2))
-    dens = pts.groupBy("grid").agg(F.sum(contrib).alias("k"))
-    grid = df.sparkSession.range(gridsize).select(F.col("id").cast("int").alias("grid"))   # every point listed
+    width, low, step = st["s"] * st["n"] ** -0.2, st["lo"], (st["hi"] - st["lo"]) / (gridsize - 1)
+
+    def kernel_sums(batches):
+        import numpy as np
+        import pyarrow as pa
+        points = low + np.arange(gridsize) * step
+        for batch in batches:
+            total = np.zeros(gridsize)
+            values, weights = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for i in range(0, len(values), 4096):
+                z = (points[None, :] - values[i:i + 4096, None]) / width
+                total += weights[i:i + 4096] @ np.exp(-0.5 * z * z)
+            yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], names=["k"])
+
+    sums = base.groupBy("x").agg(F.count(F.lit(1)).cast("double").alias("w")).mapInArrow(kernel_sums, "k array<double>")
+    dens = sums.select(F.posexplode("k").alias("grid", "k")).groupBy("grid").agg(F.sum("k").alias("k"))
     out = grid.join(dens, "grid", "left").withColumn("k", F.coalesce(F.col("k"), F.lit(0.0)))
+    h = s_ * F.pow(n_, F.lit(-0.2))
     dens_expr = F.col("k") / (n_ * h * F.lit(math.sqrt(2 * math.pi)))
-    cols = [F.col("grid"), F.round(lo_ + F.col("grid") * step, 4).alias("x"), F.round(dens_expr, 8).alias("density")]
+    cols = [F.col("grid"), (lo_ + F.col("grid") * ((hi_ - lo_) / F.lit(gridsize - 1))).alias("x"), dens_expr.alias("density")]
     if hist_bins:
-        cols.append(F.round(dens_expr * n_ * ((hi_ - lo_) / F.lit(hist_bins)), 6).alias("count_curve"))
+        cols.append((dens_expr * n_ * ((hi_ - lo_) / F.lit(hist_bins))).alias("count_curve"))
     return out.select(*cols)
 
 
@@ -176,7 +183,3 @@ def ordered_counts(df: DataFrame, col: str, order: list[str]) -> DataFrame:
 def column_totals(df: DataFrame, cols: list[str]) -> DataFrame:
     """``df[cols].sum(axis=0)`` as one row (AGG13)."""
     return df.agg(*[F.sum(c).alias(c) for c in cols])
-
-
-def stripped_items(df: DataFrame, col: str) -> DataFrame:
-    return explode_list(df, col, "item").select(trim_ws("item").alias("item"))

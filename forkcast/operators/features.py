@@ -17,39 +17,28 @@ from forkcast.functions.scalars import (bin_right_closed, flag_at_least_keep_nul
 from forkcast.functions.text import as_text, list_column, nan_to_null, normalise_key
 from forkcast.operators.stats import exact_median
 
-# Beyond this many categories a wide 0/1 column per category is refused:
-# use the sparse vector form (``multi_hot_vector``) instead.
-MAX_WIDE_CATEGORIES = 2000
-
-
 def column_name(prefix: str, value: str) -> str:
     """``<prefix>_<value>`` as a column name; a dot or backtick (which Spark
     would read as struct access / quoting) becomes ``_``."""
     return f"{prefix}_{value}".replace(".", "_").replace("`", "_")
 
 
-class TooManyCategories(ValueError):
-    """More categories than wide 0/1 columns allow."""
-
-
 def one_hot_vector(df: DataFrame, col: str, out_col: str) -> DataFrame:
-    """Sparse one-hot for many categories: StringIndexer (alphabetical)
-    + OneHotEncoder(dropLast=False)."""
+    """Sparse one-hot for many categories: StringIndexer (alphabetical) +
+    OneHotEncoder.  The slot that the indexer keeps for NULL is dropped, so a
+    NULL is all zeros, as in the wide form."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import OneHotEncoder, StringIndexer
     idx = StringIndexer(inputCol=col, outputCol=f"{col}__idx", stringOrderType="alphabetAsc", handleInvalid="keep")
-    enc = OneHotEncoder(inputCol=f"{col}__idx", outputCol=out_col, dropLast=False)
+    enc = OneHotEncoder(inputCol=f"{col}__idx", outputCol=out_col, dropLast=True)
     return Pipeline(stages=[idx, enc]).fit(df).transform(df).drop(f"{col}__idx")
 
 
 def list_categories(df: DataFrame, col: str, parity: bool = False) -> list[str]:
-    """Fit of a multi-hot encoder: sorted distinct items (bounded by the
-    number of categories, checked)."""
-    items = (df.select(F.explode(list_column(col, parity)).alias("v")).distinct()
-               .orderBy("v").limit(MAX_WIDE_CATEGORIES + 1).collect())
-    if len(items) > MAX_WIDE_CATEGORIES:
-        raise TooManyCategories(f"{col}: more than {MAX_WIDE_CATEGORIES} categories; use multi_hot_vector")
-    return [r["v"] for r in items]
+    """Fit of a multi-hot encoder: sorted distinct items.  They become
+    columns, so the wide form is for category sets that fit a schema; the
+    caller asks for ``form="sparse"`` otherwise."""
+    return [r["v"] for r in df.select(F.explode(list_column(col, parity)).alias("v")).distinct().orderBy("v").collect()]
 
 
 def multi_hot(df: DataFrame, col: str, prefix: str | None = None, categories: list[str] | None = None,
@@ -73,10 +62,12 @@ def multi_hot(df: DataFrame, col: str, prefix: str | None = None, categories: li
 
 def multi_hot_vector(df: DataFrame, col: str, out_col: str | None = None, parity: bool = False):
     """Sparse form for wide category sets: CountVectorizer(binary=True)
-    over the cleaned list; returns (frame, fitted model)."""
+    over the cleaned list, every category kept however rare; returns
+    (frame, fitted model)."""
     from pyspark.ml.feature import CountVectorizer
     tmp = df.withColumn(col, F.coalesce(list_column(col, parity), F.array().cast("array<string>")))
-    cv = CountVectorizer(inputCol=col, outputCol=out_col or f"{col}_vec", binary=True, minDF=1.0)
+    n = tmp.select(F.explode(col).alias("v")).agg(F.count_distinct("v")).first()[0]
+    cv = CountVectorizer(inputCol=col, outputCol=out_col or f"{col}_vec", binary=True, minDF=1.0, vocabSize=max(n, 1))
     model = cv.fit(tmp)
     return model.transform(tmp), model
 
@@ -89,8 +80,11 @@ def diversity(df: DataFrame, col: str = "cuisine", out: str = "cuisine_diversity
 
 def group_frequency(df: DataFrame, col: str, out: str) -> DataFrame:
     """Rows sharing this row's value of ``col`` (FE4, JN2); NULL keys are
-    one group.  Aggregate + join back, not a window over a skewed key."""
-    counts = df.groupBy(F.col(col).alias("__k")).agg(F.count(F.lit(1)).alias(out))
+    one group.  Aggregate + join back, not a window over a skewed key; the
+    counts are written first, so their real size decides between a broadcast
+    and a shuffle and a hot value's rows need not move."""
+    from forkcast.session import materialize
+    counts = materialize(df.groupBy(F.col(col).alias("__k")).agg(F.count(F.lit(1)).alias(out)), "group-counts")
     j = df.join(counts, df[col].eqNullSafe(counts["__k"]), "left")
     return j.drop("__k").withColumn(out, F.col(out).cast("bigint"))
 
@@ -101,10 +95,7 @@ def one_hot_bool(df: DataFrame, col: str, prefix: str | None = None, categories:
     prefix = prefix or col
     key = as_text(col, parity)
     if categories is None:
-        rows = (df.select(key.alias("v")).where(F.col("v").isNotNull()).distinct().orderBy("v")
-                  .limit(MAX_WIDE_CATEGORIES + 1).collect())
-        if len(rows) > MAX_WIDE_CATEGORIES:
-            raise TooManyCategories(f"{col}: too many categories for wide one-hot columns")
+        rows = df.select(key.alias("v")).where(F.col("v").isNotNull()).distinct().orderBy("v").collect()
         categories = [r["v"] for r in rows]
     cols = {}
     for v in categories:
@@ -162,27 +153,26 @@ def ensure_rating_binary(df: DataFrame, approx_error: float = 0.01) -> DataFrame
     return df.withColumn("rating_binary", F.lit(None).cast("int"))
 
 
-def build_features(clean: DataFrame, parity: bool = False, wide_subzone: bool = True) -> DataFrame:
+def build_features(clean: DataFrame, parity: bool = False, wide_subzone: bool = True, form: str = "wide") -> DataFrame:
     """The feature stage: ordinal label, cuisine/type multi-hot, suburb
     frequency and one-hot, diversity, cost bin, votes intensity, suburb
-    density; raw categorical columns dropped at the end."""
+    density; raw categorical columns dropped at the end.
+
+    ``form`` is the caller's choice and never the data's: "wide" makes a 0/1
+    column per category at any number of them, "sparse" one vector column
+    per categorical one."""
+    if form not in ("wide", "sparse"):
+        raise ValueError(f"form must be 'wide' or 'sparse', not {form!r}")
     df = add_rating_ordinal(clean)
     if "subzone" in df.columns:
         df = df.withColumn("subzone", normalise_key("subzone", parity))
     for col in ("cuisine", "type"):
         if col in df.columns:
-            try:
-                df = multi_hot(df, col, parity=parity)
-            except TooManyCategories:             # wide data: one sparse vector column instead
-                vec, _ = multi_hot_vector(df, col, f"{col}_vec", parity)
-                df = vec
+            df = multi_hot(df, col, parity=parity) if form == "wide" else multi_hot_vector(df, col, f"{col}_vec", parity)[0]
     if "subzone" in df.columns:
         df = group_frequency(df, "subzone", "subzone_freq")
         if wide_subzone:
-            try:
-                df = one_hot_bool(df, "subzone", parity=parity)
-            except TooManyCategories:
-                df = one_hot_vector(df, "subzone", "subzone_vec")
+            df = one_hot_bool(df, "subzone", parity=parity) if form == "wide" else one_hot_vector(df, "subzone", "subzone_vec")
     if "cuisine" in df.columns:
         df = diversity(df, "cuisine")
     if "cost" in df.columns:

@@ -17,7 +17,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forkcast.functions.text import casefold, normalise_key, parse_list, trim_ws
+from forkcast.functions.text import casefold, items_of, normalise_key, trim_ws
 from forkcast.session import materialize
 
 EARTH_RADIUS_M = 6378137.0  # fixed value: WGS84 / web-mercator sphere radius
@@ -27,23 +27,24 @@ def long_cuisines(venue: DataFrame, parity: bool = False) -> DataFrame:
     """One row per venue x cuisine item: (subzone, cuisine).
 
     Suburb names are normalised (strip + lower), list text is parsed and
-    exploded; NULL items and rows are dropped and items stripped."""
+    exploded; NULL items and rows are dropped and items stripped.  Text that
+    is no list is one item; a broken list fails the job."""
     return (venue
             .select(normalise_key("subzone", parity).alias("subzone"),
-                    F.explode(parse_list("cuisine")).alias("cuisine"))
+                    F.explode(items_of("cuisine")).alias("cuisine"))
             .where(F.col("subzone").isNotNull() & F.col("cuisine").isNotNull())
             .select("subzone", trim_ws("cuisine").alias("cuisine")))
 
 
 def _may_mention(text: Column, names: list[str]) -> Column:
     """Cheap superset test run before parsing: the folded list text contains
-    a folded name, or holds a backslash escape (where the raw text can
-    differ from the parsed item).  Rows failing it cannot match, so only
-    candidate rows are parsed and exploded."""
+    a name folded by the same expression, or holds a backslash escape (where
+    the raw text can differ from the parsed item).  Rows failing it cannot
+    match, so only candidate rows are parsed and exploded."""
     folded = casefold(text)
     hit = F.lit(False)
     for n in names:
-        hit = hit | folded.contains(F.lit(n.casefold()))
+        hit = hit | folded.contains(casefold(F.lit(n)))
     return hit | text.contains("\\")
 
 
@@ -73,16 +74,16 @@ def cuisine_counts_many(venue: DataFrame, boundaries: DataFrame, cuisines: list[
     form (one row per region x cuisine), plus ``global_max`` =
     max(1, largest count among the region rows) shared by all rows (a
     scalar subquery over the small joined table)."""
-    folded = [c.casefold() for c in cuisines]
+    folded = [casefold(F.lit(c)) for c in cuisines]
     counts = (long_cuisines(venue.where(_may_mention(F.col("cuisine"), cuisines)), parity)
               .withColumn("_fold", casefold("cuisine"))
-              .where(F.col("_fold").isin(folded))
+              .where(F.col("_fold").isin(*folded))
               .groupBy("subzone", "_fold").agg(F.count(F.lit(1)).alias("venue_count")))
     # counts are tiny (suburbs x listed cuisines) and read twice (join and
     # shared maximum): write them once so the venue table is scanned once
     counts = materialize(counts, "cuisine-counts")
     # the cuisine list is a fixed literal: expand regions by explode, no join
-    pairs = F.array(*[F.struct(F.lit(c).alias("cuisine"), F.lit(f).alias("_fold"))
+    pairs = F.array(*[F.struct(F.lit(c).alias("cuisine"), f.alias("_fold"))
                       for c, f in zip(cuisines, folded)])
     regions = (boundaries
                .withColumn("_key", _region_key(boundaries, name_col))
@@ -92,10 +93,12 @@ def cuisine_counts_many(venue: DataFrame, boundaries: DataFrame, cuisines: list[
     keep = [F.col(c) for c in boundaries.columns if c != name_col]
     long = j.select(*keep, trim_ws(F.col(name_col)).alias(name_col), F.col("cuisine"),
                     F.coalesce(F.col("venue_count"), F.lit(0)).cast("bigint").alias("venue_count"))
-    # the shared colour scale: max(1, largest count over the JOINED rows),
-    # so a suburb missing from the boundaries never sets it
-    global_max = long.select(F.greatest(F.lit(1).cast("bigint"),
-                                        F.coalesce(F.max("venue_count"), F.lit(0)).cast("bigint"))).scalar()
+    # the shared colour scale: max(1, largest count over the JOINED rows), so
+    # a suburb missing from the boundaries never sets it; read from the counts
+    # of the regions' keys, not from a second join of all regions
+    keys = boundaries.select(_region_key(boundaries, name_col).alias("subzone")).distinct()
+    global_max = counts.join(keys, "subzone", "left_semi").select(
+        F.greatest(F.lit(1).cast("bigint"), F.coalesce(F.max("venue_count"), F.lit(0)).cast("bigint"))).scalar()
     return long.withColumn("global_max", global_max)
 
 

@@ -17,7 +17,7 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (LinearSVC, LogisticRegression, MultilayerPerceptronClassifier,
                                        RandomForestClassifier)
-from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
+from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler, VectorSlicer
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
@@ -65,60 +65,65 @@ def _score(model, test: DataFrame) -> tuple[DataFrame, float]:
     return pred, secs
 
 
-def spark_regression(df: DataFrame, label: str = "rating_number", key: str = "id", parity: bool = False,
-                     split_how: str = "hash", seed: int = 42, min_rows: int = 5) -> DataFrame:
-    """Assembler -> StandardScaler(mean, std) -> OLS; metrics row with
-    mse, r2, train_time_s, infer_time_s (NULLs under ``min_rows``)."""
-    spark = df.sparkSession
-    excl = {label, key} | (set() if parity else set(LEAKY_FOR_REGRESSION))
-    cols = feature_columns(df, excl, vectors=True)
-    data = df.select(key, *cols, label).dropna(subset=[label])
-    empty = spark.createDataFrame([("spark_ols", None, None, None, None)],
-                                  "model string, mse double, r2 double, train_time_s double, infer_time_s double")
-    if not cols or data.limit(min_rows).count() < min_rows:
-        return empty
+def _usable(df: DataFrame, key: str, cols: list[str], label: str) -> DataFrame:
+    """Rows that a fit can use: label and every feature present (what the
+    assembler would skip), so the guard counts what is fitted."""
+    return df.select(key, *cols, label).dropna(subset=[*cols, label])
+
+
+_REGRESSION = "model string, mse double, r2 double, train_time_s double, infer_time_s double"
+_CLASSIFICATION = ("model string, accuracy double, precision double, recall double, f1 double, "
+                   "train_time_s double, infer_time_s double")
+
+
+def _null_record(df: DataFrame, model: str, schema: str) -> DataFrame:
+    return df.sparkSession.createDataFrame([(model, *[None] * schema.count(","))], schema)
+
+
+def _fit_and_score(data: DataFrame, cols: list[str], label: str, key: str, split_how: str, seed: int, estimator, metrics,
+                   name: str, schema: str) -> DataFrame:
+    """Assembler -> StandardScaler(mean, std) -> estimator on the training
+    part, scored on the other: one row of ``schema``."""
     train, test = split(data, split_how, key, seed=seed)
-    pipe = Pipeline(stages=[assembler(cols, handle_invalid="skip"),
-                            StandardScaler(inputCol="features_raw", outputCol="features", withMean=True, withStd=True),
-                            LinearRegression(featuresCol="features", labelCol=label, predictionCol="prediction")])
+    scale = [assembler(cols, handle_invalid="skip"), StandardScaler(inputCol="features_raw", outputCol="features", withMean=True, withStd=True)]
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    model, t_fit = timed(pipe.fit, train)
+    model, t_fit = timed(Pipeline(stages=[*scale, estimator]).fit, train)
     pred, t_inf = _score(model, test)
-    m = regression_metrics(pred, label)
-    out = m.select(F.lit("spark_ols").alias("model"), "mse", "r2", F.lit(t_fit).alias("train_time_s"),
-                   F.lit(t_inf).alias("infer_time_s")).cache()
+    times = {"model": F.lit(name), "train_time_s": F.lit(t_fit), "infer_time_s": F.lit(t_inf)}
+    names = [c.split()[0] for c in schema.split(", ")]
+    out = metrics(pred, label).select(*[times[c].alias(c) if c in times else F.col(c) for c in names]).cache()
     out.count()
     pred.unpersist()
     train.unpersist()
     return out
 
 
+def spark_regression(df: DataFrame, label: str = "rating_number", key: str = "id", parity: bool = False,
+                     split_how: str = "hash", seed: int = 42, min_rows: int = 5) -> DataFrame:
+    """Assembler -> StandardScaler(mean, std) -> OLS; metrics row with
+    mse, r2, train_time_s, infer_time_s.  NULLs without the label column or
+    with under ``min_rows`` usable rows, under the same schema."""
+    excl = {label, key} | (set() if parity else set(LEAKY_FOR_REGRESSION))
+    cols = feature_columns(df, excl, vectors=True)
+    if label not in df.columns or not cols or _usable(df, key, cols, label).limit(min_rows).count() < min_rows:
+        return _null_record(df, "spark_ols", _REGRESSION)
+    return _fit_and_score(_usable(df, key, cols, label), cols, label, key, split_how, seed,
+                          LinearRegression(featuresCol="features", labelCol=label, predictionCol="prediction"), regression_metrics, "spark_ols", _REGRESSION)
+
+
 def spark_classification(df: DataFrame, label: str = "rating_binary", key: str = "id", parity: bool = False,
                          split_how: str = "hash", seed: int = 42, min_rows: int = 5) -> DataFrame:
     """Assembler -> StandardScaler -> logistic (L2 0.1, 100 iterations);
-    metrics row with accuracy, precision, recall, f1 and timings."""
-    spark = df.sparkSession
+    metrics row with accuracy, precision, recall, f1 and timings.  NULLs
+    without the label column or with under ``min_rows`` usable rows, under
+    the same schema."""
     excl = {label, key, "rating_number"} | (set() if parity else set(LEAKY_FOR_CLASSIFICATION))
     cols = feature_columns(df, excl, vectors=True)
-    data = df.select(key, *cols, label).dropna(subset=[label])
-    if not cols or data.limit(min_rows).count() < min_rows:
-        return spark.createDataFrame([("spark_logistic", None, None, None)],
-                                     "model string, accuracy double, train_time_s double, infer_time_s double")
-    train, test = split(data, split_how, key, seed=seed)
-    pipe = Pipeline(stages=[assembler(cols, handle_invalid="skip"),
-                            StandardScaler(inputCol="features_raw", outputCol="features", withMean=True, withStd=True),
-                            LogisticRegression(featuresCol="features", labelCol=label, predictionCol="prediction",
-                                               maxIter=100, regParam=0.1, elasticNetParam=0.0)])
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    model, t_fit = timed(pipe.fit, train)
-    pred, t_inf = _score(model, test)
-    m = classification_metrics(pred, label)
-    out = m.select(F.lit("spark_logistic").alias("model"), "accuracy", "precision", "recall", "f1",
-                   F.lit(t_fit).alias("train_time_s"), F.lit(t_inf).alias("infer_time_s")).cache()
-    out.count()
-    pred.unpersist()
-    train.unpersist()
-    return out
+    if label not in df.columns or not cols or _usable(df, key, cols, label).limit(min_rows).count() < min_rows:
+        return _null_record(df, "spark_logistic", _CLASSIFICATION)
+    return _fit_and_score(_usable(df, key, cols, label), cols, label, key, split_how, seed,
+                          LogisticRegression(featuresCol="features", labelCol=label, predictionCol="prediction", maxIter=100, regParam=0.1, elasticNetParam=0.0),
+                          classification_metrics, "spark_logistic", _CLASSIFICATION)
 
 
 def ols_fit(df: DataFrame, x_cols: list[str], label: str) -> tuple[PipelineModel, DataFrame]:
@@ -259,22 +264,38 @@ def pca_variance(df: DataFrame, vec_col: str = "embedding") -> DataFrame:
     rows, cum = [], 0.0
     for i, r in enumerate(ratios):
         cum += r
-        rows.append((i, round(r, 6), round(cum, 6)))
+        rows.append((i, r, cum))
     return df.sparkSession.createDataFrame(rows, "component int, ratio double, cumulative double")
 
 
 def pca_ols(train: DataFrame, test: DataFrame, cols: list[str], label: str, variance: float = 0.95):
-    """Standardise -> PCA keeping ``variance`` -> OLS; (model, k, predictions)."""
+    """Standardise -> PCA keeping ``variance`` -> OLS; (model, k, predictions).
+    The PCA is fitted once, with all components; its first k are sliced."""
     k, _, pre = pca_components_for(train, cols, variance)
-    pipe = Pipeline(stages=[assembler(cols, "features_raw", "skip"),
-                            StandardScaler(inputCol="features_raw", outputCol="features_std", withMean=True,
-                                           withStd=True),
-                            PCA(k=k, inputCol="features_std", outputCol="features"),
-                            LinearRegression(featuresCol="features", labelCol=label, regParam=0.0)])
-    model = pipe.fit(train)
+    keep = VectorSlicer(inputCol="pca_all", outputCol="features", indices=list(range(k)))
+    fitted = Pipeline(stages=[keep, LinearRegression(featuresCol="features", labelCol=label, regParam=0.0)]).fit(pre.transform(train))
+    model = PipelineModel(stages=[*pre.stages, *fitted.stages])
     return model, k, model.transform(test)
 
 
+def regression_comparison(df: DataFrame, cols: list[str], label: str, key: str = "id", hash_col=None) -> DataFrame:
+    """The three regressions side by side on one exact 80/20 split (EV8):
+    (model, mse, r2, n) of OLS, averaged gradient descent and PCA + OLS."""
+    data = df.select(key, *cols, label).dropna()
+    marked = hash_split(data, key, 0.2, 42, exact=True, hash_col=hash_col)
+    train, test = (marked.where(F.col("is_test") == t).drop("is_test").persist(StorageLevel.MEMORY_AND_DISK) for t in (False, True))
+    ols, _ = ols_fit(train, cols, label)
+    _, _, pca = pca_ols(train, test, cols, label)
+    fit, valid = split(train, "hash", key, seed=7, test_fraction=0.1)
+    w, b, mu, sd = sgd_regression(fit, valid, cols, label)
+    descent = sum(((F.col(c) - float(mu[i])) / float(sd[i])) * float(w[i]) for i, c in enumerate(cols)) + F.lit(float(b))
+    scored = [("ols", ols.transform(test)), ("gradient_descent", test.withColumn("prediction", descent)), ("pca_ols", pca)]
+    rows = [(name, *regression_metrics(pred, label).select("mse", "r2", "n").first()) for name, pred in scored]
+    train.unpersist()
+    test.unpersist()
+    return df.sparkSession.createDataFrame(rows, "model string, mse double, r2 double, n bigint")
+
+
 def random_fourier_features(df: DataFrame, in_col: str, out_col: str, d: int, n_features: int = 256,
                             gamma: float | None = None, seed: int = 42) -> DataFrame:
     """RBF kernel approximation (Rahimi & Recht 2007): z(x) = sqrt(2/D)
@@ -319,27 +340,22 @@ def evaluate_classifier(kind: str, train: DataFrame, test: DataFrame, cols: list
                         seed: int = 42) -> DataFrame:
     """Fit one classifier and score it: metric row (model, tn, fp, fn, tp,
     accuracy, precision, recall, f1, train_time_s, infer_time_s)."""
-    stages = [assembler(cols, "features_raw", "skip")]
     scaled = kind in ("rff_svm", "mlp")
+    stages = [assembler(cols, "features_raw" if scaled else "features", "skip")]
     if scaled:
         stages.append(StandardScaler(inputCol="features_raw", outputCol="features", withMean=True, withStd=True))
-    tr = train.withColumn("label", F.col(label).cast("double"))
+    tr = train.withColumn("label", F.col(label).cast("double")).persist(StorageLevel.MEMORY_AND_DISK)
     te = test.withColumn("label", F.col(label).cast("double"))
-    if not scaled:
-        tr = tr.withColumnRenamed("features_raw", "_unused")
     prep = Pipeline(stages=stages).fit(tr)
     tr_f, te_f = prep.transform(tr), prep.transform(te)
-    if not scaled:
-        tr_f = tr_f.withColumnRenamed("features_raw", "features")
-        te_f = te_f.withColumnRenamed("features_raw", "features")
     # input width = assembled vector size (vector columns count their entries)
     first = tr_f.select("features").first()
     d = int(first["features"].size) if first is not None else len(cols)
     if kind == "rff_svm":
         tr_f = random_fourier_features(tr_f, "features", "rff", d, seed=seed)
         te_f = random_fourier_features(te_f, "features", "rff", d, seed=seed)
-    n_train = tr_f.count()
     tr_f = tr_f.persist(StorageLevel.MEMORY_AND_DISK)
+    n_train = tr_f.count()
     est = classifier(kind, d, seed, n_train)
     model, t_fit = timed(est.fit, tr_f)
     pred, t_inf = _score(model, te_f)
@@ -348,4 +364,5 @@ def evaluate_classifier(kind: str, train: DataFrame, test: DataFrame, cols: list
     out.count()
     pred.unpersist()
     tr_f.unpersist()
+    tr.unpersist()
     return out

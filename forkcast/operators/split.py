@@ -17,16 +17,16 @@ from forkcast.operators.stats import exact_quantiles
 
 
 def hash_split(df: DataFrame, key: str = "id", test_fraction: float = 0.2, seed: int = 42,
-               buckets: int = 1000, exact: bool = False) -> DataFrame:
+               buckets: int = 1000, exact: bool = False, hash_col=None) -> DataFrame:
     """Adds ``is_test``: pmod(xxhash64(key, seed), buckets) < fraction * buckets
-    (one projection, sizes approximate).  ``exact=True`` puts exactly
+    (one projection, sizes approximate).  ``hash_col`` replaces the hash.  ``exact=True`` puts exactly
     ceil(fraction * n) rows in the test side, as ``train_test_split`` does:
     the rows with the smallest hashes, found by the bounded quantile search."""
     if exact:
         marked = stratified_split(df.withColumn("_one", F.lit(1)), "_one", key, test_fraction, seed,
-                                  size_rule="ceil")
+                                  hash_col=hash_col, size_rule="ceil")
         return marked.drop("_one")
-    h = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(buckets))
+    h = F.pmod(hash_col if hash_col is not None else F.xxhash64(F.col(key), F.lit(seed)), F.lit(buckets))
     return df.withColumn("is_test", h < F.lit(int(round(test_fraction * buckets))))
 
 

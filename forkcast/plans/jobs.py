@@ -42,6 +42,43 @@ def spark_ml_stage(feats: DataFrame, parity: bool = False, split_how: str = "has
     return feats.sparkSession.range(1).select(F.struct(reg_s, clf_s).alias("pyspark"))
 
 
+def predictive_stage(feats: DataFrame, out_dir: str, parity: bool = False) -> dict[str, DataFrame]:
+    """The Predictive_modelling stage: a regression and a classification
+    model, fitted on 80 % of the usable rows, saved under ``models/`` and
+    scored on the rest; metrics under ``metrics/`` (one JSON row each).  A
+    model without label or rows writes null metrics and no folder."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.regression import LinearRegression
+
+    from forkcast.operators.evaluate import classification_metrics, regression_metrics
+    from forkcast.sources import sinks
+
+    df = features.ensure_rating_binary(feats)
+    spark = feats.sparkSession
+    specs = {
+        "regression": ("rating_number", LinearRegression(featuresCol="features", labelCol="rating_number", regParam=0.0), regression_metrics,
+                       () if parity else models.LEAKY_FOR_REGRESSION, "mse double, r2 double, n bigint"),
+        "classification": ("rating_binary", LogisticRegression(featuresCol="features", labelCol="rating_binary", maxIter=500), classification_metrics,
+                           ("rating_number", *(() if parity else models.LEAKY_FOR_CLASSIFICATION)),
+                           "tn bigint, fp bigint, fn bigint, tp bigint, accuracy double, precision double, recall double, f1 double"),
+    }
+    out = {}
+    for name, (label, estimator, score, leaky, schema) in specs.items():
+        cols = models.feature_columns(df, {"id", label, *leaky}, vectors=True)
+        data = df.select("id", *cols, label).dropna() if label in df.columns and cols else None
+        if data is None or not clean.has_min_rows(data):
+            metrics = spark.createDataFrame([tuple([None] * (schema.count(",") + 1))], schema)
+        else:
+            train, test = models.split(data, "hash_exact", "id")
+            model = Pipeline(stages=[models.assembler(cols, "features", "skip"), estimator]).fit(train)
+            sinks.save_model(model, f"{out_dir}/models/{name}")
+            metrics = score(model.transform(test), label)
+        sinks.write_metrics_json(metrics, f"{out_dir}/metrics/{name}.json")
+        out[name] = spark.read.schema(metrics.schema).json(f"{out_dir}/metrics/{name}.json")
+    return out
+
+
 def run_dag(spark: SparkSession, venue: DataFrame, out_dir: str) -> DataFrame:
     """Whole pipeline with written stage outputs (lineage cut per stage)."""
     from forkcast.session import release, scratch_mark
@@ -53,6 +90,7 @@ def run_dag(spark: SparkSession, venue: DataFrame, out_dir: str) -> DataFrame:
     feats = feature_stage(cleaned)
     sinks.write_parquet(feats, f"{out_dir}/processed/features.parquet")
     feats = spark.read.parquet(f"{out_dir}/processed/features.parquet")
+    predictive_stage(feats, out_dir)
     metrics = spark_ml_stage(feats)
     sinks.write_metrics_json(metrics, f"{out_dir}/metrics/pyspark.json")
     release(spark, mark)                      # intermediate tables are no longer read
@@ -108,4 +146,13 @@ def analysis_outputs(venue: DataFrame, boundaries: DataFrame, cuisines: list[str
                   for k in ("logistic", "random_forest", "rff_svm", "mlp")]
         out["classifier_comparison"] = evaluate.compare(frames)
         out["spark_ml_metrics"] = spark_ml_stage(feats)
+        reg_cols = models.feature_columns(feats, {"id", "rating_number", *models.LEAKY_FOR_REGRESSION})
+        out["regression_comparison"] = models.regression_comparison(feats, reg_cols, "rating_number")
+        # the last table: each single model beside its scaled Spark ML pipeline
+        ml = F.col("pyspark")
+        out["library_vs_spark"] = (
+            out["regression_comparison"].where("model = 'ols'").select(F.lit("regression").alias("task"), F.lit("plain").alias("fit"), "mse", "r2", F.lit(None).cast("double").alias("accuracy"))
+            .unionByName(frames[0].select(F.lit("classification").alias("task"), F.lit("plain").alias("fit"), F.lit(None).cast("double").alias("mse"), F.lit(None).cast("double").alias("r2"), "accuracy"))
+            .unionByName(out["spark_ml_metrics"].select(F.lit("regression").alias("task"), F.lit("pipeline").alias("fit"), ml["regression"]["mse"].alias("mse"), ml["regression"]["r2"].alias("r2"), F.lit(None).cast("double").alias("accuracy")))
+            .unionByName(out["spark_ml_metrics"].select(F.lit("classification").alias("task"), F.lit("pipeline").alias("fit"), F.lit(None).cast("double").alias("mse"), F.lit(None).cast("double").alias("r2"), ml["classification"]["accuracy"].alias("accuracy"))))
     return out

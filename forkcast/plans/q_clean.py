@@ -69,8 +69,8 @@ def q_filter_equals(spark, d):
 @register("filter_casefold", with_views(
     f"SELECT * FROM venue WHERE {fold(strip('subzone'))} = {fold(repr('NATION_3'))}"))
 def q_filter_casefold(spark, d):
-    v = venue_view(spark, d)
-    return v.where(T.casefold(T.trim_ws("subzone")) == T.casefold(F.lit("NATION_3")))
+    v = venue_view(spark, d).withColumn("_name", T.trim_ws("subzone"))
+    return clean.where_casefold_equals(v, "_name", "NATION_3").drop("_name")
 
 
 @register("drop_null_subset", with_views(
@@ -90,8 +90,8 @@ def q_drop_null_any(spark, d):
     "coalesce(bool_or(starts_with(subzone, '[')), false) AS subzone_list_like FROM venue"))
 def q_any_list_like(spark, d):
     v = venue_view(spark, d)
-    return v.agg(F.coalesce(F.bool_or(F.col("cuisine").startswith("[")), F.lit(False)).alias("cuisine_list_like"),
-                 F.coalesce(F.bool_or(F.col("subzone").startswith("[")), F.lit(False)).alias("subzone_list_like"))
+    return spark.range(1).select(clean.any_starts_with(v, "cuisine").alias("cuisine_list_like"),
+                                 clean.any_starts_with(v, "subzone").alias("subzone_list_like"))
 
 
 @register("min_rows_guard", with_views(
@@ -99,9 +99,8 @@ def q_any_list_like(spark, d):
     "(SELECT count(*) FROM (SELECT id FROM venue WHERE rating_text = 'none' LIMIT 5)) >= 5 AS has_min_rows_empty"))
 def q_min_rows_guard(spark, d):
     v = venue_view(spark, d)
-    full = v.limit(5).select(F.count(F.lit(1)) >= 5).scalar()
-    empty = v.where(F.col("rating_text") == "none").limit(5).select(F.count(F.lit(1)) >= 5).scalar()
-    return spark.range(1).select(full.alias("has_min_rows"), empty.alias("has_min_rows_empty"))
+    none = v.where(F.col("rating_text") == "none")
+    return spark.range(1).select(F.lit(clean.has_min_rows(v)).alias("has_min_rows"), F.lit(clean.has_min_rows(none)).alias("has_min_rows_empty"))
 
 
 @register("project_drop", with_views(

@@ -122,13 +122,15 @@ FROM grid LEFT JOIN counts ON grid.g = counts.g AND grid.bin = counts.bin"""
 @register("histogram_by_label", with_views(_hist_sql("cost", "rating_text", "rating_text IN ('Excellent', 'Poor')",
                                                      20, "rating_text")))
 def q_histogram_by_label(spark, d):
-    return explore.histogram_by_group(venue_view(spark, d), "cost", "rating_text", 20, ["Excellent", "Poor"])
+    h = explore.histogram_by_group(venue_view(spark, d), "cost", "rating_text", 20, ["Excellent", "Poor"])
+    return h.withColumns({c: F.round(c, 4) for c in ("bin_lo", "bin_hi")})
 
 
 @register("cost_histogram", with_views(_hist_sql("cost", "'all'", "true", 30, "g").replace(
     "SELECT grid.g AS g, ", "SELECT ")))
 def q_cost_histogram(spark, d):
-    return explore.histogram(venue_view(spark, d), "cost", 30)
+    h = explore.histogram(venue_view(spark, d), "cost", 30)
+    return h.withColumns({c: F.round(c, 4) for c in ("bin_lo", "bin_hi")})
 
 
 @register("cost_density", with_views("""
@@ -143,7 +145,8 @@ SELECT grid.grid, round(lo + grid.grid * step, 4) AS x,
              * n * ((hi - lo) / 30), 6) AS count_curve
 FROM grid CROSS JOIN dist CROSS JOIN par GROUP BY grid.grid, lo, hi, step, n, h"""))
 def q_cost_density(spark, d):
-    return explore.kde_curve(venue_view(spark, d), "cost", 200, hist_bins=30)
+    k = explore.kde_curve(venue_view(spark, d), "cost", 200, hist_bins=30)
+    return k.withColumns({"x": F.round("x", 4), "density": F.round("density", 8), "count_curve": F.round("count_curve", 6)})
 
 
 @register("rating_distribution", with_views("""

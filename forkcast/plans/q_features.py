@@ -14,17 +14,27 @@ _SPLIT = ("string_split(replace(replace({c}, '[' || chr(39), ''), chr(39) || ']'
           "chr(39) || ', ' || chr(39))")
 
 
-def _pivot_sql(col, prefix, flag="CAST(coalesce(list_contains(l.items, c.item), false) AS INTEGER)",
-               agg="max(flag)"):
-    return f"""(SELECT * FROM (PIVOT (
-      SELECT l.id, replace(replace('{prefix}_' || c.item, '.', '_'), '`', '_') AS name, {flag} AS flag
-      FROM (SELECT id, {_SPLIT.format(c=col)} AS items FROM venue) l
-      CROSS JOIN (SELECT DISTINCT unnest({_SPLIT.format(c=col)}) AS item FROM venue WHERE {col} IS NOT NULL) c)
-    ON name USING {agg} GROUP BY id))"""
+# The fixture's categories (the same at every scale); only the
+# SQL twins name them, the Spark side finds its own in the data.
+ITEMS = ["anvil", "blue", "bolt", "cold", "gear", "gizmo", "hot", "large", "new", "old", "plate", "red", "ring", "rod",
+         "small", "widget"]
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+SUBURBS = [f"nation_{i}" for i in range(25)]
+
+
+def _flags_sql(prefix, values, items):
+    """One 0/1 column per value of a list expression."""
+    return ", ".join(f"CAST(coalesce(list_contains({items}, '{v}'), false) AS INTEGER) AS \"{prefix}_{v}\"" for v in values)
+
+
+def _same_sql(prefix, values, expr):
+    """One boolean column per value of a text expression."""
+    return ", ".join(f"coalesce({expr} = '{v}', false) AS \"{prefix}_{v}\"" for v in values)
 
 
 @register("multi_hot", with_views(f"""
-SELECT * FROM {_pivot_sql('cuisine', 'cuisine')} a JOIN {_pivot_sql('type', 'type')} b USING (id)"""))
+, l AS (SELECT id, {_SPLIT.format(c='cuisine')} AS c_items, {_SPLIT.format(c='type')} AS t_items FROM venue)
+SELECT id, {_flags_sql('cuisine', ITEMS, 'c_items')}, {_flags_sql('type', SEGMENTS, 't_items')} FROM l"""))
 def q_multi_hot(spark, d):
     v = venue_view(spark, d).select("id", "cuisine", "type")
     out = features.multi_hot(v, "cuisine", keep_list=False)
@@ -43,12 +53,8 @@ f AS (SELECT subzone, count(*) AS subzone_freq FROM v GROUP BY subzone),
 vf AS (SELECT v.id, v.subzone, CAST(f.subzone_freq AS BIGINT) AS subzone_freq FROM v JOIN f USING (subzone))
 SELECT vf.id, vf.subzone_freq, vf.subzone_freq AS suburb_density,
        CAST(vf.subzone_freq * (1 + (SELECT sum(subzone_freq) FROM vf)) AS BIGINT) AS suburb_density_parity,
-       hot.* EXCLUDE (id)
-FROM vf JOIN (SELECT * FROM (PIVOT (
-    SELECT x.id, replace(replace('subzone_' || s.subzone, '.', '_'), '`', '_') AS name, x.subzone = s.subzone AS flag
-    FROM (SELECT id, lower({strip('subzone')}) AS subzone FROM venue) x
-    CROSS JOIN (SELECT DISTINCT lower({strip('subzone')}) AS subzone FROM venue) s)
-  ON name USING bool_or(flag) GROUP BY id)) hot USING (id)"""))
+       {_same_sql('subzone', SUBURBS, 'vf.subzone')}
+FROM vf"""))
 def q_suburb_features(spark, d):
     v = venue_view(spark, d).select("id", normalise_key("subzone").alias("subzone"))
     out = features.group_frequency(v, "subzone", "subzone_freq")
@@ -109,18 +115,9 @@ base AS (
     CAST(fq.subzone_freq * (1 + (SELECT sum(q.subzone_freq) FROM f JOIN fq q USING (sz))) AS BIGINT)
       AS suburb_density_parity
   FROM f JOIN fq USING (sz))
-SELECT * FROM base
-JOIN (SELECT * FROM (PIVOT (SELECT f.id, replace(replace('cuisine_' || c.item, '.', '_'), '`', '_') AS name,
-                                   CAST(list_contains(f.c_items, c.item) AS INTEGER) AS flag
-                            FROM f CROSS JOIN (SELECT DISTINCT unnest(c_items) AS item FROM f) c)
-                     ON name USING max(flag) GROUP BY id)) USING (id)
-JOIN (SELECT * FROM (PIVOT (SELECT f.id, replace(replace('type_' || c.item, '.', '_'), '`', '_') AS name,
-                                   CAST(list_contains(f.t_items, c.item) AS INTEGER) AS flag
-                            FROM f CROSS JOIN (SELECT DISTINCT unnest(t_items) AS item FROM f) c)
-                     ON name USING max(flag) GROUP BY id)) USING (id)
-JOIN (SELECT * FROM (PIVOT (SELECT f.id, replace(replace('subzone_' || s.sz, '.', '_'), '`', '_') AS name, f.sz = s.sz AS flag
-                            FROM f CROSS JOIN (SELECT DISTINCT sz FROM f) s)
-                     ON name USING bool_or(flag) GROUP BY id)) USING (id)"""
+SELECT base.*, {_flags_sql('cuisine', ITEMS, 'f.c_items')}, {_flags_sql('type', SEGMENTS, 'f.t_items')},
+       {_same_sql('subzone', SUBURBS, 'f.sz')}
+FROM base JOIN f USING (id)"""
 
 
 def _venue_sql():
@@ -128,7 +125,10 @@ def _venue_sql():
     return VENUE_SQL
 
 
-@register("feature_stage", _feature_sql())
+FEATURE_SQL = _feature_sql()
+
+
+@register("feature_stage", FEATURE_SQL)
 def q_feature_stage(spark, d):
     from forkcast.plans import jobs
     feats = jobs.feature_stage(jobs.clean_stage(venue_view(spark, d)))
@@ -136,10 +136,8 @@ def q_feature_stage(spark, d):
 
 
 @register("cuisine_totals", with_views(f"""
-SELECT * FROM (PIVOT (SELECT replace(replace('cuisine_' || item, '.', '_'), '`', '_') AS name, CAST(count(*) AS BIGINT) AS n
-                      FROM (SELECT DISTINCT id, unnest({_SPLIT.format(c='cuisine')}) AS item FROM venue)
-                      GROUP BY item)
-               ON name USING max(n))"""))
+, l AS (SELECT {_SPLIT.format(c='cuisine')} AS items FROM venue)
+SELECT {', '.join(f"CAST(count(*) FILTER (WHERE list_contains(items, '{v}')) AS BIGINT) AS cuisine_{v}" for v in ITEMS)} FROM l"""))
 def q_cuisine_totals(spark, d):
     from forkcast.operators.clean import columns_with_prefix
     from forkcast.operators.explore import column_totals

@@ -9,6 +9,8 @@ from forkcast.operators import evaluate, features, models
 from forkcast.operators.split import hash_split, stratified_split
 from forkcast.plans import jobs
 from forkcast.plans.oracle_views import with_views
+from forkcast.plans.q_features import FEATURE_SQL
+from forkcast.plans.q_impute import CLEAN_SQL
 from forkcast.plans.registry import register
 from forkcast.session import materialize
 from forkcast.sources.tables import read_table, venue_view
@@ -93,21 +95,35 @@ def q_ols_fit(spark, d):
     return coef.withColumn("estimate", F.round("estimate", 4))
 
 
-@register("split_hash")
+def _mixed(key="id"):
+    """A hash that SQL can name too: a permutation of the ids below a prime."""
+    return (F.col(key) * 7919) % 1000003
+
+
+_MIXED_SQL = "(id * 7919) % 1000003"
+
+
+@register("split_hash", with_views(f"SELECT id, rating_text, {_MIXED_SQL} % 1000 < 200 AS is_test FROM venue"))
 def q_split_hash(spark, d):
-    return hash_split(venue_view(spark, d).select("id", "rating_text"), "id", 0.2, 42)
+    return hash_split(venue_view(spark, d).select("id", "rating_text"), "id", 0.2, 42, hash_col=_mixed())
 
 
-@register("split_hash_exact")
+@register("split_hash_exact", with_views(f"""
+SELECT id, rating_text, row_number() OVER (ORDER BY {_MIXED_SQL}, id) <= ceil(0.2 * count(*) OVER () - 1e-9) AS is_test
+FROM venue"""))
 def q_split_hash_exact(spark, d):
     """ML1 with exact sizes: ceil(0.2 n) test rows, smallest hashes."""
-    return hash_split(venue_view(spark, d).select("id", "rating_text"), "id", 0.2, 42, exact=True)
+    return hash_split(venue_view(spark, d).select("id", "rating_text"), "id", 0.2, 42, exact=True, hash_col=_mixed())
 
 
-@register("split_stratified")
+@register("split_stratified", with_views(f"""
+, v AS (SELECT id, {_BIN} AS rating_binary FROM venue)
+SELECT id, rating_binary, row_number() OVER (PARTITION BY rating_binary ORDER BY {_MIXED_SQL}, id)
+       <= round_even(0.2 * count(*) OVER (PARTITION BY rating_binary), 0) AS is_test
+FROM v WHERE rating_binary IS NOT NULL"""))
 def q_split_stratified(spark, d):
     v = venue_view(spark, d).select("id", S.rating_binary("rating_text").alias("rating_binary"))
-    return stratified_split(v.where(F.col("rating_binary").isNotNull()), "rating_binary", "id", 0.2, 42)
+    return stratified_split(v.where(F.col("rating_binary").isNotNull()), "rating_binary", "id", 0.2, 42, hash_col=_mixed())
 
 
 @register("approx_median_label")
@@ -123,14 +139,19 @@ def _features(spark, d):
     return materialize(jobs.feature_stage(cleaned), "features")
 
 
-@register("clean_table")
+def _rounded(df):
+    return df.withColumns({"rating_number": F.round("rating_number", 6), "votes": F.round("votes", 6)})
+
+
+@register("clean_table", CLEAN_SQL)
 def q_clean_table(spark, d):
-    return jobs.clean_stage(venue_view(spark, d))
+    return _rounded(jobs.clean_stage(venue_view(spark, d)))
 
 
-@register("feature_table")
+@register("feature_table", FEATURE_SQL)
 def q_feature_table(spark, d):
-    return _features(spark, d)
+    """The written feature table (the DAG's processed file)."""
+    return _rounded(_features(spark, d))
 
 
 @register("spark_regression")
@@ -177,7 +198,8 @@ def q_pca_ols(spark, d):
 
 @register("pca_variance")
 def q_pca_variance(spark, d):
-    return models.pca_variance(read_table(spark, d, "embeddings"), "embedding")
+    p = models.pca_variance(read_table(spark, d, "embeddings"), "embedding")
+    return p.withColumns({c: F.round(c, 6) for c in ("ratio", "cumulative")})
 
 
 def _clf(kind):
@@ -195,6 +217,21 @@ for _kind, _name in (("logistic", "logreg"), ("random_forest", "random_forest"),
     register(_name)(_clf(_kind))
 
 
+@register("regression_comparison", """
+WITH k AS (SELECT l_orderkey * 7 + l_linenumber AS id, CAST(l_quantity AS DOUBLE) AS x, CAST(l_extendedprice AS DOUBLE) AS y FROM lineitem),
+s AS (SELECT *, row_number() OVER (ORDER BY (id * 7919) % 10000019, id) <= ceil(0.2 * count(*) OVER () - 1e-9) AS is_test FROM k),
+f AS (SELECT regr_slope(y, x) AS a, regr_intercept(y, x) AS b FROM s WHERE NOT is_test),
+m AS (SELECT avg(pow(y - a * x - b, 2)) AS mse, 1 - avg(pow(y - a * x - b, 2)) / var_pop(y) AS r2, count(*) AS n FROM s, f WHERE is_test)
+SELECT model, round(mse / 1e6, 4) AS mse_millions, round(r2, 6) AS r2, CAST(n AS BIGINT) AS n FROM m, (VALUES ('ols'), ('pca_ols')) AS t(model)""")
+def q_regression_comparison(spark, d):
+    """EV8 on an exact split; the deterministic models (with one column, the
+    kept component is that column, so both equal the closed form)."""
+    li = read_table(spark, d, "lineitem").select((F.col("l_orderkey") * 7 + F.col("l_linenumber")).alias("id"),
+                                                 F.col("l_quantity").cast("double").alias("x"), F.col("l_extendedprice").cast("double").alias("y"))
+    m = models.regression_comparison(li, ["x"], "y", hash_col=(F.col("id") * 7919) % 10000019)
+    return m.where("model <> 'gradient_descent'").select("model", F.round(F.col("mse") / 1e6, 4).alias("mse_millions"), F.round("r2", 6).alias("r2"), "n")
+
+
 _WIDE_METRICS = ["accuracy", "precision", "recall", "f1"]
 
 
@@ -213,7 +250,7 @@ def q_model_comparison_wide(spark, d):
     s = _scored(spark, d)
     a = _round_metrics(evaluate.classification_metrics(s, "rating_binary", "pred_votes", model="votes_gt_500"))
     b = _round_metrics(evaluate.classification_metrics(s, "rating_binary", "pred_cost", model="cost_gt_200"))
-    return evaluate.compare_wide([a, b], _WIDE_METRICS)
+    return evaluate.compare_wide([a, b], _WIDE_METRICS, names=["votes_gt_500", "cost_gt_200"])
 
 
 @register("split_random")

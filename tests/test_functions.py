@@ -83,13 +83,12 @@ def test_strict_parse_fails_on_bad_text(spark):
         bad.collect()
 
 
-def test_wide_categories_fall_back_to_vectors(spark, monkeypatch):
+def test_sparse_form_makes_vectors(spark):
     from forkcast.operators import features
-    monkeypatch.setattr(features, "MAX_WIDE_CATEGORIES", 3)
     df = spark.createDataFrame([(1, "['a', 'b']", "x", 1.0, 2.0, "Good"), (2, "['c', 'd']", "y", 3.0, 4.0, "Poor"),
                                 (3, "['a']", "z", 5.0, 6.0, "Good"), (4, "['e']", "w", 7.0, 8.0, "Poor")],
                                "id long, cuisine string, subzone string, cost double, votes double, rating_text string")
-    out = features.build_features(df)
+    out = features.build_features(df, form="sparse")
     assert "cuisine_vec" in out.columns and "subzone_vec" in out.columns
     assert out.where("subzone_freq = 1").count() == 4
 
@@ -158,3 +157,66 @@ def test_bin_index_orders_bins(spark):
     right = [r[0] for r in df.orderBy("i").select(S.bin_index("x", S.FEATURE_COST_EDGES, right=True)).collect()]
     assert left == [0, 0, 1, 4, None, None]
     assert right == [0, 0, 0, 3, 3, None]
+
+
+def test_form_is_the_callers_choice(spark):
+    """Thousands of categories: wide stays wide, sparse keeps every category."""
+    from forkcast.operators import features
+    rows = [(i, f"['c{i}', 'all']", None if i % 50 == 0 else f"s{i}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, cuisine string, subzone string")
+    wide = features.multi_hot(df, "cuisine", keep_list=False)
+    assert len(wide.columns) == 3 + 3000
+    sparse = features.build_features(df.withColumn("rating_text", df.subzone), form="sparse")
+    got = {r.id: r for r in sparse.select("id", "cuisine_vec", "subzone_vec").collect()}
+    assert got[7].cuisine_vec.size == 3001 and got[7].cuisine_vec.numNonzeros() == 2
+    assert got[7].subzone_vec.size == 2940 and got[50].subzone_vec.numNonzeros() == 0 and got[7].subzone_vec.numNonzeros() == 1
+
+
+def test_ligature_is_folded_on_both_sides(spark):
+    from forkcast.operators import geo
+    venue = spark.createDataFrame([(1, "A", "['\ufb01sh']"), (2, "a ", "['\u1e9eX']")], "id long, subzone string, cuisine string")
+    regions = spark.createDataFrame([("a",)], "region_name string")
+    assert geo.cuisine_counts(venue, regions, "\ufb01sh").first().venue_count == 1
+    many = {r.cuisine: r.venue_count for r in geo.cuisine_counts_many(venue, regions, ["\ufb01sh", "SSx"]).collect()}
+    assert many == {"\ufb01sh": 1, "SSx": 1}
+
+
+def test_no_rounding_inside_operators(spark):
+    import numpy as np
+    from forkcast.operators import explore
+    for scale in (1e9, 1e-6):
+        values = [scale * v for v in (1, 2, 2, 3, 7)]
+        df = spark.createDataFrame([(v, "g") for v in values], "x double, g string")
+        curve = explore.kde_curve(df, "x", 50).orderBy("grid").collect()
+        h = np.std(values, ddof=1) * 5 ** -0.2
+        want = [sum(np.exp(-0.5 * ((r.x - v) / h) ** 2) for v in values) / (5 * h * np.sqrt(2 * np.pi)) for r in curve]
+        assert np.allclose([r.density for r in curve], want, rtol=1e-9) and min(want) > 0
+        edges = [r.bin_lo for r in explore.histogram(df, "x", 30).orderBy("bin").collect()]
+        assert np.allclose(edges, np.linspace(min(values), max(values), 31)[:-1], rtol=1e-12)
+        grouped = explore.histogram_by_group(df, "x", "g", 30, ["g"]).orderBy("bin").collect()
+        assert np.allclose([r.bin_lo for r in grouped], edges, rtol=1e-12) and sum(r.n for r in grouped) == 5
+    assert explore.histogram_by_group(df, "x", "g", 30, ["none"]).collect() == []
+
+
+def test_list_literals_like_python(spark):
+    import ast
+    from forkcast.functions import text
+    good = ["['a', None, 'b']", "['a, None, b']", "('a', 'b')", "[]", "()", " [ 'a' , \"it's\" ,] ", "['\\x41\\\\x41', 'q\"q', \"d\\\"d\"]",
+            "['tab\\t', 'l\\nb', '\\u00e9']", "[1, -2.5, 'x']", "['[x]', '(y']", "['" + "long " * 5000 + "']", "['raw\ttab\\\\']"]
+    bad = ["not a list", "['Thai'", "['a' 'b',, ]", "['a']x", "[,]", ""]
+    df = spark.createDataFrame([(i, x) for i, x in enumerate(good + bad)], "id long, x string")
+    got = {r.id: r.v for r in df.select("id", text.parse_list("x").alias("v")).collect()}
+    for i, x in enumerate(good):
+        assert got[i] == [None if v is None else str(v) for v in ast.literal_eval(x.strip())], x
+    assert all(got[len(good) + i] is None for i in range(len(bad)))
+
+
+def test_plain_and_broken_lists(spark):
+    import pytest
+    from forkcast.operators import explore, geo
+    venue = spark.createDataFrame([(1, "a", "Thai"), (2, "a", "Thai"), (3, "a", "Cafe"), (4, "a", None)], "id long, subzone string, cuisine string")
+    regions = spark.createDataFrame([("a",)], "region_name string")
+    assert geo.cuisine_counts(venue, regions, "thai").first().venue_count == 2
+    assert {r.item: r.n for r in explore.list_value_counts(venue, "cuisine").withColumnRenamed("cuisine", "item").collect()} == {"Thai": 2, "Cafe": 1}
+    with pytest.raises(Exception, match="not a list literal"):
+        explore.explode_list(venue.selectExpr("\"['Thai'\" as cuisine"), "cuisine").collect()

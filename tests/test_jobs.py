@@ -29,6 +29,10 @@ def test_run_dag_writes_every_stage(spark):
     feats = spark.read.parquet(f"{out}/processed/features.parquet")
     assert "suburb_density" in feats.columns and "cuisine_diversity" in feats.columns
     assert spark.read.json(f"{out}/metrics/pyspark.json").count() == 1
+    assert spark.read.json(f"{out}/metrics/regression.json").first().n > 0
+    assert 0 <= spark.read.json(f"{out}/metrics/classification.json").first().accuracy <= 1
+    for name in ("regression", "classification"):
+        assert sinks.load_model(f"{out}/models/{name}").transform(feats.dropna()).select("prediction").count() > 0
 
 
 def test_release_deletes_intermediate_tables(spark):

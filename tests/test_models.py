@@ -98,3 +98,12 @@ def test_r2_with_constant_labels(spark):
     off = spark.createDataFrame([(2.0, 1.0), (2.0, 3.0)], "y double, prediction double")
     assert evaluate.regression_metrics(same, "y").first().r2 == 1.0
     assert evaluate.regression_metrics(off, "y").first().r2 == 0.0
+
+
+def test_guard_counts_usable_rows_and_keeps_one_schema(spark):
+    few = spark.createDataFrame([(i, float(i), None, i % 2) for i in range(30)], "id long, rating_number double, cost double, rating_binary int")
+    full = spark.createDataFrame([(i, float(i % 7), float(i), i % 2) for i in range(60)], "id long, rating_number double, cost double, rating_binary int")
+    for fit, score in ((models.spark_regression, "mse"), (models.spark_classification, "accuracy")):
+        assert fit(few).first()[score] is None
+        assert fit(few).schema.simpleString() == fit(full).schema.simpleString() and fit(full).first()[score] is not None
+        assert fit(full.drop("rating_number", "rating_binary")).first()[score] is None
