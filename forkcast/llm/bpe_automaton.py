@@ -36,9 +36,12 @@ from pyspark.sql import types as T
 
 NEVER = float("inf")
 #: Distinct words whose encoding a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 #: Entries of the transition table that a worker holds.
-MOST_ARCS = 1_000_000
+MOST_ARCS = 200_000
+#: Token ids are below 2**SHIFT.
+SHIFT = 20
+TOKENS = (1 << SHIFT) - 1
 
 
 def byte_letters() -> list[str]:
@@ -58,7 +61,7 @@ class Automaton:
 
     def __init__(self, vocab: dict[str, int], end: str = "", parts=None, born=None, merge_of=None):
         self.vocab, self.end, self.parts, self.born, self.merge_of = vocab, end, parts or {}, born or {}, merge_of or {}
-        self.table: dict[tuple[int, int], bool] = {}
+        self.table: dict[int, bool] = {}
         self.edges: tuple[dict, dict] = {}, {}
 
     @classmethod
@@ -73,19 +76,19 @@ class Automaton:
         return made.ready()
 
     def ready(self) -> Automaton:
-        """Labels spelled letter by letter: a tree of tables, holding at ""
-        the token that goes on and at None the one that ends a word."""
-        self.spelled: dict = {}
+        """Labels spelled letter by letter: a node is [next nodes, the token
+        that goes on, the token that ends a word]."""
+        self.spelled: list = [{}, None, None]
         size = len(self.end)
         for label, i in self.vocab.items():
             ends = label.endswith(self.end)
             node = self.spelled
             for c in label[:len(label) - size] if ends else label:
-                node = node.setdefault(c, {})
+                node = node[0].setdefault(c, [{}, None, None])
             if ends:
-                node[None] = i
+                node[2] = i
             if not (ends and size):
-                node[""] = i
+                node[1] = i
         return self
 
     @property
@@ -124,48 +127,52 @@ class Automaton:
 
     def allows(self, s: int, t: int) -> bool:
         """Whether the state behind token s has the arc t."""
-        known = self.table.get((s, t))
+        known = self.table.get(s << SHIFT | t)
         if known is None:
             if len(self.table) >= MOST_ARCS:
                 self.table.clear()
-            known = self.table[s, t] = self._arc(s, t)
+            known = self.table[s << SHIFT | t] = self._arc(s, t)
         return known
 
-    def _labels(self, word: str, i: int) -> list[tuple[int, int]]:
-        """(end, token) of the arcs' labels that stand at place i, shortest first."""
-        out, n, node = [], len(word), self.spelled
-        for j in range(i, n):
-            node = node.get(word[j])
+    def _labels(self, word: str, i: int) -> list[int]:
+        """The arcs' labels that stand at place i, shortest first: end << SHIFT | token."""
+        out, node, j = [], self.spelled, i
+        for c in word[i:-1]:
+            node = node[0].get(c)
             if node is None:
                 return out
-            token = node.get(None if j + 1 == n else "")
-            if token is not None:
-                out.append((j + 1, token))
+            j += 1
+            if node[1] is not None:
+                out.append(j << SHIFT | node[1])
+        node = node[0].get(word[-1])
+        if node is not None and node[2] is not None:
+            out.append(j + 1 << SHIFT | node[2])
         return out
 
     def encode(self, word: str) -> list[int]:
         """Token ids of one word (its letters, without the end mark)."""
-        n, table = len(word), self.table
-        out, open_, places = [], [self._labels(word, 0)], [0]
+        n, known, labels_at = len(word), self.table.get, self._labels
+        out, open_, places = [], [labels_at(word, 0)], [0]
         dead = set()
         while open_:
             labels = open_[-1]
-            before = out[-1] if out else None
+            before = out[-1] << SHIFT if out else -1
             while labels:
-                j, token = labels.pop()
+                label = labels.pop()
+                j, token = label >> SHIFT, label & TOKENS
                 if j in dead:
                     continue
-                if before is not None:
-                    fits = table.get((before, token))
+                if before >= 0:
+                    fits = known(before | token)
                     if fits is None:
-                        fits = self.allows(before, token)
+                        fits = self.allows(before >> SHIFT, token)
                     if not fits:
                         continue
                 out.append(token)
                 if j == n:
                     return out
                 places.append(j)
-                open_.append(self._labels(word, j))
+                open_.append(labels_at(word, j))
                 break
             else:
                 open_.pop()
@@ -241,11 +248,6 @@ class Tokenizer:
         return b"".join(out)
 
 
-def decoded(label, ids: list[int] | None) -> str:
-    """Arc labels joined by a blank, as a tokenizer without a decoder does."""
-    return " ".join(map(label, ids or []))
-
-
 class Memory(dict):
     """Encodings of words met before; the older half goes when it is full."""
 
@@ -309,20 +311,17 @@ def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", ids_col: str
 
 
 def decode(docs: DataFrame, tokenizer: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
-    """``docs`` with ``text_col``: the arc labels of the ids; null ids give the empty text."""
-    held = docs.sparkSession.sparkContext.broadcast(load(tokenizer)["labels"])
-    docs = docs.drop(text_col)
-    names, place = docs.columns, docs.columns.index(ids_col)
-
-    def run(batches):
-        label = held.value.__getitem__
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                texts = [decoded(label, ids) for ids in part.column(place).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*names, text_col])
+    """``docs`` with ``text_col``: the arc labels of the ids, joined by a blank
+    as a tokenizer without a decoder does; null ids give the empty text.
 
-    return docs.mapInArrow(run, _and(docs, text_col, T.StringType()))
+    The labels are one constant array of the query, so decoding is a lookup
+    in the JVM and needs no Python worker.
+    """
+    labels = load(tokenizer)["labels"]
+    # no label holds a line break: labels are made of visible characters
+    known = F.split(F.lit("\n".join(labels.get(i, "") for i in range(max(labels) + 1))), "\n")
+    text = F.array_join(F.transform(F.col(ids_col), lambda i: F.get(known, i)), " ")
+    return docs.withColumn(text_col, F.coalesce(text, F.lit("")))
 
 
 def digests(docs: DataFrame, tokenizer: str, keep_ids: bool = False) -> DataFrame:

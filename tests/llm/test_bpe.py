@@ -71,7 +71,7 @@ def same(own, library, texts):
     for text, want in zip(texts, library.encode_batch(texts, add_special_tokens=False)):
         got = array("i", own.encode(text)).tolist()
         assert got == want.ids, text[:200]
-        assert bpe_automaton.decoded(own.labels.__getitem__, got) == library.decode(want.ids, skip_special_tokens=False)
+        assert " ".join(map(own.labels.__getitem__, got)) == library.decode(want.ids, skip_special_tokens=False)
 
 
 def test_documents_like_the_library(own, library):
