@@ -217,19 +217,17 @@ for _kind, _name in (("logistic", "logreg"), ("random_forest", "random_forest"),
     register(_name)(_clf(_kind))
 
 
-@register("regression_comparison", """
-WITH k AS (SELECT l_orderkey * 7 + l_linenumber AS id, CAST(l_quantity AS DOUBLE) AS x, CAST(l_extendedprice AS DOUBLE) AS y FROM lineitem),
-s AS (SELECT *, row_number() OVER (ORDER BY (id * 7919) % 10000019, id) <= ceil(0.2 * count(*) OVER () - 1e-9) AS is_test FROM k),
+@register("regression_comparison", with_views(f"""
+, k AS (SELECT id, cost AS x, votes AS y FROM venue WHERE cost IS NOT NULL AND votes IS NOT NULL),
+s AS (SELECT *, row_number() OVER (ORDER BY {_MIXED_SQL}, id) <= ceil(0.2 * count(*) OVER () - 1e-9) AS is_test FROM k),
 f AS (SELECT regr_slope(y, x) AS a, regr_intercept(y, x) AS b FROM s WHERE NOT is_test),
 m AS (SELECT avg(pow(y - a * x - b, 2)) AS mse, 1 - avg(pow(y - a * x - b, 2)) / var_pop(y) AS r2, count(*) AS n FROM s, f WHERE is_test)
-SELECT model, round(mse / 1e6, 4) AS mse_millions, round(r2, 6) AS r2, CAST(n AS BIGINT) AS n FROM m, (VALUES ('ols'), ('pca_ols')) AS t(model)""")
+SELECT model, round(mse, 3) AS mse, round(r2, 6) AS r2, CAST(n AS BIGINT) AS n FROM m, (VALUES ('ols'), ('pca_ols')) AS t(model)"""))
 def q_regression_comparison(spark, d):
     """EV8 on an exact split; the deterministic models (with one column, the
     kept component is that column, so both equal the closed form)."""
-    li = read_table(spark, d, "lineitem").select((F.col("l_orderkey") * 7 + F.col("l_linenumber")).alias("id"),
-                                                 F.col("l_quantity").cast("double").alias("x"), F.col("l_extendedprice").cast("double").alias("y"))
-    m = models.regression_comparison(li, ["x"], "y", hash_col=(F.col("id") * 7919) % 10000019)
-    return m.where("model <> 'gradient_descent'").select("model", F.round(F.col("mse") / 1e6, 4).alias("mse_millions"), F.round("r2", 6).alias("r2"), "n")
+    m = models.regression_comparison(venue_view(spark, d).select("id", "cost", "votes"), ["cost"], "votes", hash_col=_mixed())
+    return m.where("model <> 'gradient_descent'").select("model", F.round("mse", 3).alias("mse"), F.round("r2", 6).alias("r2"), "n")
 
 
 _WIDE_METRICS = ["accuracy", "precision", "recall", "f1"]
