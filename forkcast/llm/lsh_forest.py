@@ -262,7 +262,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = materialize(places.join(shared, ["tree", "key"]), "regions")
     texts = materialize(
         docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).cast("string").alias("text"))
-        .join(members.select("rep").distinct(), "rep", "left_semi"), "texts")
+        .join(members.select("rep").distinct().hint("merge"), "rep", "left_semi"), "texts")  # ids grow with the corpus: never broadcast
 
     every = texts.mapInArrow(_shingle_lists, "rep long, shingles array<long>").select("rep", F.explode("shingles").alias("shingle"))
     own = (every.groupBy("shingle").agg(F.count("*").alias("sets"), F.min("rep").alias("rep")).where("sets = 1")
@@ -299,6 +299,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_percent: int = 80) -> DataFrame:
     """The rows of ``docs``, all columns, without near duplicates of a smaller
     id.  Of rows that share an id one stays; rows with a null id all stay."""
-    gone = near_duplicates(docs, id_col, text_col, least_percent).where(~F.col("kept")).select(F.col("doc_id").alias("duplicate_id")).distinct()
+    gone = near_duplicates(docs, id_col, text_col, least_percent).where(~F.col("kept")).select(F.col("doc_id").alias("duplicate_id")).distinct().hint("merge")
     stay = docs.where(F.col(id_col).isNotNull()).join(gone, docs[id_col].cast("long") == gone["duplicate_id"], "left_anti")
     return stay.dropDuplicates([id_col]).unionByName(docs.where(F.col(id_col).isNull()))
