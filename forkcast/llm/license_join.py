@@ -1,6 +1,6 @@
 """License scans by an exact set-similarity join.
 
-Every text block (a line) is joined with the license templates whose words it
+Every text block is joined with the license templates whose words it
 contains to ``threshold`` or more: |block & template| >= threshold * |template|
 over sets of words.  Words are ordered by how many documents have them, rarest
 first, over the whole table.  Then
@@ -12,6 +12,11 @@ first, over the whole table.  Then
   min(i, j) + 1 + min(words behind i, words behind j) common words;
 - what is left is verified by intersecting the sets.
 
+A notice may be wrapped over several lines, so a text that meets a template as
+a whole is also searched by windows of consecutive words, a quarter longer
+than the template, over its line breaks.  Of overlapping windows the best one
+stays, unless one of its lines already says as much.
+
 The template side is a fixed list of short notices, so its index is part of
 the query, texts are never shuffled, and a block of a hot source costs no more
 than any other.  Only built-in functions run; a document is looked at line by
@@ -64,6 +69,12 @@ def _words(template: Template) -> list[str]:
     return sorted(set(filter(None, re.split(BETWEEN, template.text.lower()))))
 
 
+def _width(template: Template) -> int:
+    """Words in a row that a wrapped notice may take."""
+    n = len(list(filter(None, re.split(BETWEEN, template.text.lower()))))
+    return n + n // 4
+
+
 def _low(text: Column) -> Column:
     """Lower case; the Kelvin sign, the one other character whose lower case
     is an ASCII letter, is kept out of the words."""
@@ -102,8 +113,15 @@ def _literal(value) -> Column:
     return F.array(*map(_literal, value)) if isinstance(value, list) else F.lit(value)
 
 
+def _let(value: Column, body) -> Column:
+    """body(value), with the value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def matching_blocks(low: Column, spaced: Column, templates: tuple[Template, ...], order: list[str], threshold: float) -> Column:
-    """array<struct<line, label, containment>>: every line of a text that meets a template."""
+    """array<struct<line, label, containment>>: every line of a text that meets
+    a template, and every wrapped notice that its lines do not show (by the
+    line of its first word)."""
     rank = {w: i for i, w in enumerate(order)}
     sets = [sorted(rank[w] for w in _words(t)) for t in templates]
     needed = [math.ceil(threshold * len(s) - 1e-9) for s in sets]
@@ -115,6 +133,7 @@ def matching_blocks(low: Column, spaced: Column, templates: tuple[Template, ...]
     entry = lambda k, i: F.struct(F.lit(k).alias("k"), F.lit(i).alias("i"), F.lit(len(sets[k])).alias("size"), F.lit(needed[k]).alias("need"))
     postings = F.create_map(*(x for r, found in index.items() for x in (F.lit(r), F.array(*(entry(k, i) for k, i in found)))))
     members = F.array(*(_literal(s) for s in sets))
+    widths = F.array(*(F.lit(_width(t)) for t in templates))
     labels = F.array(*(F.lit(t.label) for t in templates))
 
     def candidates(block: Column) -> Column:
@@ -123,22 +142,51 @@ def matching_blocks(low: Column, spaced: Column, templates: tuple[Template, ...]
             return F.filter(F.coalesce(postings[r], F.slice(postings[next(iter(index))], 1, 0)), lambda e: (F.size(block) >= e["need"]) & (room(e) >= e["need"]))
         return F.array_distinct(F.transform(F.flatten(F.transform(block, at)), lambda e: F.struct(e["k"].alias("k"), e["need"].alias("need"))))
 
+    def ranked(words: Column) -> Column:
+        return F.array_sort(F.transform(F.array_intersect(F.split(words, " "), F.lit(order)), lambda w: ranks[w]))
+
     def verified(line: Column, number: Column) -> Column:
-        block = F.array_sort(F.transform(F.array_intersect(F.split(_spaced(line), " "), F.lit(order)), lambda w: ranks[w]))
+        block = ranked(_spaced(line))
         common = lambda c: F.size(F.array_intersect(block, F.get(members, c["k"])))
         met = F.filter(candidates(block), lambda c: common(c) >= c["need"])
         return F.transform(met, lambda c: F.struct(number.cast("long").alias("line"), F.get(labels, c["k"]).alias("label"), (common(c) / F.size(F.get(members, c["k"]))).alias("containment")))
 
+    def windows(placed: Column, c: Column) -> Column:
+        """Every word of template c, with the window that starts at it."""
+        def window(own: Column) -> Column:
+            ahead = lambda x, i: F.filter(F.slice(own, i + 1, F.get(widths, c["k"])), lambda y: y["at"] < x["at"] + F.get(widths, c["k"]))
+            return F.transform(own, lambda x, i: _let(ahead(x, i), lambda w: F.struct(
+                x["at"].alias("at"), x["line"].alias("line"), F.element_at(w, -1)["line"].alias("last"), F.size(F.array_distinct(F.transform(w, lambda y: y["r"]))).alias("n"))))
+        return _let(F.filter(placed, lambda x: F.array_contains(F.get(members, c["k"]), x["r"])), window)
+
+    def wrapped(whole: Column, lines: Column) -> Column:
+        def placed() -> Column:
+            words = F.flatten(F.transform(F.split(low, "\n"), lambda line, n: F.transform(
+                F.filter(F.split(_spaced(line), " "), lambda w: w != ""), lambda w: F.struct(ranks[w].alias("r"), n.alias("line")))))
+            return F.filter(F.transform(words, lambda x, i: F.struct(x["r"].alias("r"), x["line"].alias("line"), i.alias("at"))), lambda x: x["r"].isNotNull())
+
+        def best(found: Column, c: Column) -> Column:
+            label, share = F.get(labels, c["k"]), lambda x: x["n"] / F.size(F.get(members, c["k"]))
+            beaten = lambda x: F.exists(found, lambda y: (F.abs(y["at"] - x["at"]) < F.get(widths, c["k"])) & ((y["n"] > x["n"]) | ((y["n"] == x["n"]) & (y["at"] < x["at"]))))
+            shown = lambda x: F.exists(lines, lambda b: (b["label"] == label) & b["line"].between(x["line"], x["last"]) & (b["containment"] >= share(x)))
+            return F.transform(F.filter(found, lambda x: (x["last"] > x["line"]) & ~beaten(x) & ~shown(x)), lambda x: F.struct(x["line"].cast("long").alias("line"), label.alias("label"), share(x).alias("containment")))
+
+        met = F.filter(candidates(whole), lambda c: F.size(F.array_intersect(whole, F.get(members, c["k"]))) >= c["need"])
+        each = lambda p, ks: F.flatten(F.transform(ks, lambda c: _let(F.filter(windows(p, c), lambda x: x["n"] >= c["need"]), lambda found: best(found, c))))
+        return _let(met, lambda ks: F.when(F.size(ks) > 0, _let(placed(), lambda p: each(p, ks))).otherwise(none))
+
     starts = "|".join(re.escape(order[r]) for r in sorted(index))
     none = F.array().cast("array<struct<line:bigint,label:string,containment:double>>")
-    return F.when(F.regexp_like(spaced, F.lit(f" (?:{starts}) ")), F.flatten(F.transform(F.split(low, "\n"), verified))).otherwise(none)
+    over = lambda lines: F.when(F.contains(low, F.lit("\n")), F.concat(lines, _let(ranked(spaced), lambda whole: wrapped(whole, lines)))).otherwise(lines)
+    return F.when(F.regexp_like(spaced, F.lit(f" (?:{starts}) ")), _let(F.flatten(F.transform(F.split(low, "\n"), verified)), over)).otherwise(none)
 
 
 def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, phrases: tuple[Phrase, ...] = PHRASES, threshold: float = 0.8,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, places (label, n, first, last of each phrase that the
     text has), blocks (line, label, containment of each line that meets a
-    template); one row per input row.
+    template, and of each notice wrapped over lines that do not); one row per
+    input row.
 
     Words are runs of ASCII letters (A-Z lower-cased), digits and characters
     above 0x7F, counted from 0; lines are counted from 0.  Null and empty
@@ -160,7 +208,7 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, phrases:
 def digests(found: DataFrame) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
-    score: 1 with a phrase, else the highest containment of a line, else 0."""
+    score: 1 with a phrase, else the highest containment of a line or wrapped notice, else 0."""
     joined = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
     base = F.transform("places", lambda p: p["label"])
     return found.select(

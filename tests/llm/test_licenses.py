@@ -64,3 +64,18 @@ def test_whole_table(spark):
     rows = license_join.scan(spark.read.parquet(path)).collect()
     compare(rows, docs)
     assert len(rows) == len(docs) and any(r.blocks for r in rows)
+
+
+def test_wrapped_notices(spark):
+    mit, bsd, gpl = TEMPLATES[0].text, TEMPLATES[6].text, TEMPLATES[4].text.split()
+    texts = [
+        "Intro\n" + mit.replace("a copy of", "a copy\nof"), "Intro\n" + bsd.replace("forms, ", "forms,\n * "),
+        "\n".join(gpl[i:i + 5] and " ".join(gpl[i:i + 5]) for i in range(0, len(gpl), 5)),
+        mit.replace("a copy of", "a copy\nof") + "\nand so on\n" * 40 + bsd, mit + "\n" + bsd,
+        " ".join(f"{w} " + "x " * 9 + "\n" for w in mit.split())]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: [(b.line, b.label, b.containment) for b in r.blocks] for r in license_join.scan(df).collect()}
+    assert got[0] == [(1, "mit", 1.0)] and got[1] == [(1, "bsd", 1.0)] and got[2] == [(0, "gpl-2", 1.0)]
+    assert sorted(got[3])[0] == (0, "mit", 1.0) and {x[1] for x in got[3]} == {"mit", "bsd"} and len(got[3]) == 2
+    assert got[4] == [(0, "mit", 1.0), (1, "bsd", 1.0)] and got[5] == []
+    assert {r.doc_id: r.score for r in license_join.digests(license_join.scan(df)).collect()}[0] == 1.0
