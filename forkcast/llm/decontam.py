@@ -14,14 +14,15 @@ placing of the allowed substitutions at least one mask fits somewhere
 The test side is a table of fixed benchmark items.  While its seeds number at
 most ``max_broadcast_seeds`` they travel to the tasks, and training texts
 never leave theirs; beyond that, seeds of both sides meet in a shuffle join
-and only texts with a hit are read again.
+and only texts with a hit are read again.  Texts go by their digest there, so
+ids decide nothing and both ways give the same rows.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forkcast.llm.words import ALNUM, Words, lower_ascii, mix, runs
@@ -164,13 +165,13 @@ def _leaks(held):
 
 
 def _text_seeds(masks: list[str]):
-    """mapInArrow: (doc_id, text) -> doc_id, seed for every place of every mask."""
+    """mapInArrow: (key, text) -> key, seed for every place of every mask."""
     def seeds(batches):
         for batch in batches:
             for lo, words, h in _words(batch.column(1)):
                 for mask in masks:
                     at, hashes = _seeds(h, words.row, mask)
-                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(words.row[at] + lo)), pa.array(hashes.view(np.int64))], names=["doc_id", "seed"])
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(words.row[at] + lo)), pa.array(hashes.view(np.int64))], names=["key", "seed"])
     return seeds
 
 
@@ -205,6 +206,19 @@ def _test_side(benchmark: DataFrame) -> tuple[DataFrame, int, list[str]]:
     return test, seeds or 0, sorted({m for n in lengths for m in masks_for(n)})
 
 
+def _digest(text: Column) -> Column:
+    return F.sha2(text.cast("string").cast("binary"), 256)
+
+
+def _shuffled(docs: DataFrame, test: DataFrame, masks: list[str], shape: str) -> DataFrame:
+    """The leaks of docs (doc_id of any type, text) by joins of seeds."""
+    docs = docs.where("text is not null").withColumn("key", _digest(F.col("text")))
+    hits = docs.select("key", "text").mapInArrow(_text_seeds(masks), "key string, seed long").distinct()
+    pairs = hits.join(test.select("item_id", F.explode("seeds").alias("seed")).distinct(), "seed").select("key", F.col("item_id").alias("hit_id")).distinct()
+    return (docs.join(pairs, "key").join(test, F.col("hit_id").eqNullSafe(F.col("item_id")))
+            .select("doc_id", "text", "item_id", "words", "places", "seeds").mapInArrow(_verify, shape))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           max_broadcast_seeds: int = 2_000_000) -> DataFrame:
     """doc_id, item_id, matched (agreeing words), item_words: one row per text and leaked item.
@@ -212,9 +226,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     Words are runs of ASCII letters (A-Z lower-cased), digits and characters
     above 0x7F.  Null and empty texts leak nothing, and items of fewer than
     four words (or null ones) are leaked by nothing.  Rows that are there
-    twice, or share an id, give their rows each; a null doc_id is carried
-    through (beyond ``max_broadcast_seeds``, such rows are left out).  Items
-    sharing an id are compared one by one.  Other columns are ignored; an
+    twice, or share an id, give their rows each, judged by their own texts; a
+    null doc_id is carried through.  Items sharing an id are compared one by
+    one.  Other columns are ignored; an
     empty table gives an empty result.
     """
     spark = docs.sparkSession
@@ -225,20 +239,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
         return spark.createDataFrame([], shape)
     if seeds <= max_broadcast_seeds:
         return docs.mapInArrow(_leaks(spark.sparkContext.broadcast([tuple(r) for r in test.collect()])), shape)
-    hits = docs.where("doc_id is not null").mapInArrow(_text_seeds(masks), "doc_id long, seed long").distinct()
-    pairs = hits.join(test.select("item_id", F.explode("seeds").alias("seed")).distinct(), "seed").select("doc_id", "item_id").distinct()
-    return (docs.join(pairs, "doc_id").join(test, "item_id")
-            .select("doc_id", "text", "item_id", "words", "places", "seeds").mapInArrow(_verify, shape))
+    return _shuffled(docs, test, masks, shape)
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_broadcast_seeds: int = 2_000_000) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text leaks nothing (beyond
-    ``max_broadcast_seeds``: whose id does; rows with a null id then stay)."""
-    test, seeds, _ = _test_side(benchmark)
+    """The rows of ``docs``, all columns, whose text leaks nothing."""
+    test, seeds, masks = _test_side(benchmark)
     if not seeds:
         return docs
     if seeds <= max_broadcast_seeds:
         held = docs.sparkSession.sparkContext.broadcast([tuple(r) for r in test.collect()])
         return docs.mapInArrow(_clean(held, docs.columns.index(text_col), docs.columns), docs.schema)
-    bad = leaks(docs, benchmark, id_col, text_col, max_broadcast_seeds).select(F.col("doc_id").alias("leaking_id")).distinct()
-    return docs.join(bad, docs[id_col].cast("long") == bad["leaking_id"], "left_anti")
+    text = F.col(text_col).cast("string")
+    bad = _shuffled(docs.select(_digest(text).alias("doc_id"), text.alias("text")), test, masks, "doc_id string, item_id long, matched int, item_words int")
+    bad = bad.select(F.col("doc_id").alias("leaking_text")).distinct()
+    return docs.join(bad, _digest(docs[text_col]) == bad["leaking_text"], "left_anti")

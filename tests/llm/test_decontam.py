@@ -55,3 +55,17 @@ def test_rows_and_empty_tables(spark):
     assert sorted(r.doc_id or -1 for r in decontam.clean(docs, test, max_broadcast_seeds=0).collect()) == [-1, 4]
     assert decontam.leaks(docs.limit(0), test).collect() == []
     assert decontam.leaks(docs, test.limit(0)).collect() == [] and decontam.clean(docs, test.limit(0)).count() == 4
+
+
+@pytest.mark.parametrize("most", [10**6, 0])
+def test_ids_decide_nothing(spark, most):
+    text, other = "one two three four five six seven eight", "ten eleven twelve thirteen fourteen"
+    test = spark.createDataFrame([(1, text), (1, other), (None, other)], "item_id long, text string")
+    docs = spark.createDataFrame([(None, text), (None, "clean"), (3, text), (3, "also clean"), (3, other), (4, text), (4, text), (5, None), (None, None)], "doc_id long, text string")
+    rows = sorted(((r.doc_id or -1), r.item_id or -1, r.matched) for r in decontam.leaks(docs, test, max_broadcast_seeds=most).collect())
+    assert rows == [(-1, 1, 8), (3, -1, 5), (3, 1, 5), (3, 1, 8), (4, 1, 8), (4, 1, 8)]
+    kept = decontam.clean(docs, test, max_broadcast_seeds=most)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id or -1), r.text or "") for r in kept.collect()) == [(-1, ""), (-1, "clean"), (3, "also clean"), (5, "")]
+    assert decontam.clean(docs.limit(0), test, max_broadcast_seeds=most).collect() == []
+    assert decontam.clean(docs, test.limit(0), max_broadcast_seeds=most).count() == docs.count()
