@@ -74,25 +74,24 @@ def tokens_of(url: Column, host: Column, path: Column) -> Column:
     return F.array_distinct(F.concat(tag("label:", labels), domain, tag("path:", words), tag("query:", F.transform(names, lambda x: F.substring_index(x, "=", 1)))))
 
 
-def mine(labelled: DataFrame, min_support: float = 0.01, min_confidence: float = 0.9, most_tokens: int = 4) -> DataFrame:
+def mine(labelled: DataFrame, min_support: float = 0.01, min_confidence: float = 0.9) -> DataFrame:
     """tokens, verdict, confidence, support, rare of the rules that hold in
     ``labelled`` (tokens array<string>, verdict string).
 
-    Kept are rules from at most ``most_tokens`` tokens to a verdict, unless a
-    rule from a part of those tokens says the same at least as surely.
-    ``rare`` is the token of a rule that the fewest baskets have.  Of tokens
-    above the support there are at most a basket's size / min_support, however
-    large the table.
+    Kept are the rules from any number of tokens, however common, to a verdict,
+    unless a rule from a part of those tokens says the same at least as
+    surely.  ``rare`` is the token of a rule that the fewest baskets have.  Of
+    tokens above the support there are at most a basket's size / min_support,
+    however large the table.
     """
     baskets = labelled.where("verdict is not null").select(F.concat("tokens", F.array(F.concat(F.lit("verdict:"), "verdict"))).alias("items"))
     total = baskets.count()
     common = materialize(baskets.select(F.explode("items").alias("item")).groupBy("item").agg(F.count("*").alias("n")).where(F.col("n") >= min_support * total), "tokens")
-    # Rarer tokens are in no rule, and one in nearly all baskets tells nothing
-    # but doubles the itemsets.  What is left is bounded by the support.
-    telling = [r.item for r in common.where((F.col("n") < 0.95 * total) | F.col("item").startswith("verdict:")).select("item").collect()]
-    baskets = baskets.select(F.array_intersect("items", F.lit(telling)).alias("items"))
+    # Rarer tokens are in no rule.  What is left is bounded by the support.
+    frequent = [r.item for r in common.select("item").collect()]
+    baskets = baskets.select(F.array_intersect("items", F.lit(frequent)).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
-    rules = (model.associationRules.where(F.col("consequent")[0].startswith("verdict:") & (F.size("antecedent") <= most_tokens))
+    rules = (model.associationRules.where(F.col("consequent")[0].startswith("verdict:"))
              .where(~F.exists("antecedent", lambda x: x.startswith("verdict:")))
              .select(F.array_sort("antecedent").alias("tokens"), F.substring(F.col("consequent")[0], 9, 100).alias("verdict"), "confidence", "support"))
     rules = materialize(rules, "rules")

@@ -88,3 +88,20 @@ def test_nothing_to_learn_from(spark):
     df = spark.createDataFrame([(1, "http://a.io/x"), (1, "http://a.io/x"), (2, None)], "page_id long, url string")
     assert sorted((r.page_id, r.verdict) for r in url_rules.judge(df).collect()) == [(1, "allow"), (1, "allow"), (2, "allow")]
     assert url_rules.judge(df.limit(0)).collect() == []
+
+
+def test_common_tokens_and_long_rules(spark):
+    # 96 % of the labelled urls are blocked, and all but one have www: the token alone decides an unlabelled url.
+    urls = [f"http://www.s{i}.net/" for i in range(96)] + [f"http://www.s{i}.org/fr/" for i in range(3)] + ["http://x.org/fr/", "http://www.new.io/", "http://other.io/"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: r.verdict for r in url_rules.judge(df, min_support=0.05).collect()}
+    assert got[100] == "block" and got[101] == "allow"
+    # A token in all baskets may also make a rule sure that is not without it.
+    rows = [(["w", "y"], "block")] * 46 + [(["w"], "block")] * 4 + [(["w"], "allow")] * 46 + [(["y"], "allow")] * 4
+    rules = url_rules.mine(spark.createDataFrame(rows, "tokens array<string>, verdict string"), 0.05, 0.95)
+    assert {(tuple(r.tokens), r.verdict) for r in rules.collect()} == {(("w", "y"), "block")}
+    # Five tokens block, any four of them do not.
+    five = ["a", "b", "c", "d", "e"]
+    rows = [(five, "block")] * 20 + [([x for x in five if x != y], "allow") for y in five for _ in range(20)]
+    rules = url_rules.mine(spark.createDataFrame(rows, "tokens array<string>, verdict string"), 0.05, 0.9)
+    assert (tuple(five), "block", 1.0) in {(tuple(r.tokens), r.verdict, r.confidence) for r in rules.collect()}
