@@ -230,6 +230,13 @@ def q_regression_comparison(spark, d):
     return m.where("model <> 'gradient_descent'").select("model", F.round("mse", 3).alias("mse"), F.round("r2", 6).alias("r2"), "n")
 
 
+@register("regression_comparison_features")
+def q_regression_comparison_features(spark, d):
+    """EV8 on the feature table: OLS, gradient descent and PCA + OLS."""
+    f, cols = _reg_data(spark, d)
+    return models.regression_comparison(f, cols, "rating_number")
+
+
 _WIDE_METRICS = ["accuracy", "precision", "recall", "f1"]
 
 

@@ -107,3 +107,15 @@ def test_guard_counts_usable_rows_and_keeps_one_schema(spark):
         assert fit(few).first()[score] is None
         assert fit(few).schema.simpleString() == fit(full).schema.simpleString() and fit(full).first()[score] is not None
         assert fit(full.drop("rating_number", "rating_binary")).first()[score] is None
+
+
+def test_three_regressions_on_the_feature_table(spark):
+    from forkcast.plans.catalog import ORACLE, QUERIES
+    d = "/root/testdata/sf0.001"
+    name = "regression_comparison_features"
+    rows = {r.model: r for r in QUERIES[name](spark, d).collect()}
+    assert set(rows) == {"ols", "gradient_descent", "pca_ols"} and name not in ORACLE
+    for model, single in (("gradient_descent", "sgd_fit"), ("pca_ols", "pca_ols")):
+        one = QUERIES[single](spark, d).first()
+        assert rows[model].n == one.n and rows[model].mse == pytest.approx(one.mse, rel=1e-6) and rows[model].r2 == pytest.approx(one.r2, rel=1e-6)
+    assert rows["ols"].n == rows["pca_ols"].n and 0 < rows["ols"].mse < float("inf")
