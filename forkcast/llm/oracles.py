@@ -99,3 +99,38 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(x2.n, 0) AS BI
        sha256(CASE WHEN x2.n IS NULL THEN array_to_string(w, ' ') ELSE coalesce(k.kept, '') END) AS kept_sha256
 FROM d LEFT JOIN x2 ON x2.doc_id = d.doc_id LEFT JOIN k ON k.doc_id = d.doc_id
 """
+
+#: Rows i, l: the 256 remainders that a byte-wise crc32 needs, as a list.
+_CRC = """steps AS (SELECT k, 0 AS i, CAST(k AS BIGINT) AS c FROM range(256) t(k)
+          UNION ALL SELECT k, i + 1, CASE WHEN c % 2 = 1 THEN xor(c >> 1, CAST(3988292384 AS BIGINT)) ELSE c >> 1 END FROM steps WHERE i < 8),
+remainders AS (SELECT list(c ORDER BY k) AS l FROM steps WHERE i = 8)"""
+
+
+def _crc32(hexed: str) -> str:
+    """The unsigned crc32 of bytes given in hex, from a row with l."""
+    byte = f"CAST(('0x' || substr({hexed}, 2 * j - 1, 2)) AS BIGINT)"
+    return (f"xor(list_reduce([CAST(4294967295 AS BIGINT)] || list_transform(range(1, length({hexed}) // 2 + 1), lambda j: {byte}), "
+            f"lambda c, b: xor(c >> 8, l[xor(c, b) % 256 + 1])), CAST(4294967295 AS BIGINT))")
+
+
+PREFIX_TRIE = rf"""
+WITH RECURSIVE {_CRC},
+t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+s AS (SELECT conv_id, sha256(strlen(role) || ':' || role || text) AS said, strlen(text) AS bytes, turn FROM t),
+o AS (SELECT conv_id, said, bytes, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, said) - 1 AS p FROM s),
+c AS (SELECT conv_id, conv_id - conv_id % 5 AS base, {_crc32("hex(CAST(CAST(conv_id AS VARCHAR) AS BLOB))")} % 9 AS h FROM (SELECT DISTINCT conv_id FROM o), remainders),
+r AS (SELECT c.conv_id, 0 AS part, p, said, bytes FROM c JOIN o ON o.conv_id = c.base AND p < h
+      UNION ALL SELECT c.conv_id, 1 AS part, p, said, bytes FROM c JOIN o ON o.conv_id = c.conv_id AND p >= h),
+q AS (SELECT conv_id, bytes, row_number() OVER w AS d, string_agg(said, ',') OVER (w ROWS UNBOUNDED PRECEDING) AS path FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY part, p)),
+v AS (SELECT conv_id, bytes, d, path FROM q UNION ALL SELECT conv_id, 0, 0, '' FROM c),
+n AS (SELECT path, d, min(conv_id) AS conv_id, count(*) AS n_convs, max(bytes) AS bytes FROM v GROUP BY path, d),
+m AS (SELECT n.*, up.path AS parent, pn.conv_id AS parent_conv_id
+      FROM n LEFT JOIN v up ON up.conv_id = n.conv_id AND up.d = n.d - 1 LEFT JOIN n pn ON pn.path = up.path AND pn.d = n.d - 1),
+k AS (SELECT parent AS path, count(*) AS n_children FROM m WHERE parent IS NOT NULL GROUP BY parent),
+w AS (SELECT m.*, coalesce(n_children, 0) AS n_children, (n_convs - 1) * bytes AS saved FROM m LEFT JOIN k ON k.path = m.path),
+g AS (SELECT up.path, count(*) FILTER (WHERE w.n_children = 0) AS n_leaves, sum(w.saved) AS saved_tokens FROM w JOIN v up ON up.conv_id = w.conv_id AND up.d <= w.d GROUP BY up.path),
+e AS (SELECT path, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS ids FROM (SELECT conv_id, max_by(path, d) AS path FROM v GROUP BY conv_id) GROUP BY path)
+SELECT w.conv_id, CAST(w.d AS BIGINT) AS depth, w.parent_conv_id, CAST(w.n_convs AS BIGINT) AS n_convs, CAST(w.n_children AS BIGINT) AS n_children,
+       CAST(g.n_leaves AS BIGINT) AS n_leaves, CAST(g.saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM w JOIN g ON g.path = w.path LEFT JOIN e ON e.path = w.path
+"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from forkcast.llm import bpe_automaton, chat, decontam, license_join, lsh_forest, oracles, quality_pu, rules_cascade, secret_scan, substring, url_rules
+from forkcast.llm import bpe_automaton, chat, decontam, license_join, lsh_forest, oracles, prefix_trie, quality_pu, rules_cascade, secret_scan, substring, url_rules
 from forkcast.llm.registry import ORACLE, QUERIES, register, table
 from pyspark.sql import functions as F
 
@@ -72,3 +72,10 @@ def op9(spark, sf_dir):
 def op10(spark, sf_dir):
     """What is left of all documents without passages that earlier ones have."""
     return substring.digests(table(spark, sf_dir, "documents"))
+
+
+@register("op11_prefix_trie", oracles.PREFIX_TRIE)
+def op11(spark, sf_dir):
+    """The prefix trie of all conversations, grown from shared heads."""
+    said, conversations = prefix_trie.share_heads(prefix_trie.turns(table(spark, sf_dir, "conversations")))
+    return prefix_trie.digests(*prefix_trie.build(said, conversations))
