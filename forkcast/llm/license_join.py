@@ -1,26 +1,26 @@
 """License scans by an exact set-similarity join.
 
-Every text block is joined with the license templates whose words it
-contains to ``threshold`` or more: |block & template| >= threshold * |template|
-over sets of words.  Words are ordered by how many documents have them, rarest
-first, over the whole table.  Then
-
-- prefix filter: a block that meets a template has one of the template's
+A text block is a window of consecutive words, a quarter longer than a license
+template, over any line breaks; so a notice may be wrapped, and words strewn
+over a long line are none.  Every block is found that contains ``threshold`` or
+more of a template's words, |block & template| >= threshold * |template| over
+sets of words, and all of its marks: the words that tell it from its siblings
+(``mit``, ``lesser``, ``nc``, the version).  Words are ordered by how many
+documents have them, rarest first, over the whole table.  Then
+
+- prefix filter: a text that meets a template has one of the template's
   first |template| - needed + 1 words; an inverted index holds only those;
-- length filter: a block with fewer template words than needed cannot meet it;
+- length filter: a text with fewer template words than needed cannot meet it;
 - positional filter: a common word at places i and j leaves at most
   min(i, j) + 1 + min(words behind i, words behind j) common words;
-- what is left is verified by intersecting the sets.
-
-A notice may be wrapped over several lines, so a text that meets a template as
-a whole is also searched by windows of consecutive words, a quarter longer
-than the template, over its line breaks.  Of overlapping windows the best one
-stays, unless one of its lines already says as much.
-
-The template side is a fixed list of short notices, so its index is part of
-the query, texts are never shuffled, and a block of a hot source costs no more
-than any other.  Only built-in functions run; a document is looked at line by
-line only if it has a word of some prefix.
+- what is left is verified by intersecting the sets of its windows.
+
+Of windows that start within a template's length of one another, one stays.  The
+template side is a fixed list of short notices, so its index is part of the
+query, texts are never shuffled, and a block of a hot source costs no more
+than any other.  Only built-in functions run; a document's windows are looked
+at only if the whole of its words meets a template, and their number is that
+of its template words.
 """
 
 from __future__ import annotations
@@ -39,21 +39,22 @@ BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 class Template(NamedTuple):
     label: str
     text: str
+    marks: str
 
 
-#: Short notices of public licenses.
+#: Short notices of public licenses, and the words that tell each from its siblings.
 TEMPLATES = (
-    Template("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
-    Template("mit", "Released under the MIT License"),
-    Template("apache-2", "Licensed under the Apache License, Version 2.0"),
-    Template("gpl-3", "This work is licensed under the GNU General Public License, version 3"),
-    Template("gpl-2", "This program is free software; you can redistribute it under the terms of the GNU General Public License, version 2"),
-    Template("lgpl-3", "Licensed under the GNU Lesser General Public License, version 3"),
-    Template("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
-    Template("mpl-2", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
-    Template("cc-by-nc", "Licensed under CC BY-NC 4.0"),
-    Template("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
-    Template("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
+    Template("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files", "permission granted"),
+    Template("mit", "Released under the MIT License", "mit"),
+    Template("apache-2", "Licensed under the Apache License, Version 2.0", "apache 2"),
+    Template("gpl-3", "This work is licensed under the GNU General Public License, version 3", "gnu 3"),
+    Template("gpl-2", "This program is free software; you can redistribute it under the terms of the GNU General Public License, version 2", "gnu 2"),
+    Template("lgpl-3", "Licensed under the GNU Lesser General Public License, version 3", "gnu lesser 3"),
+    Template("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met", "redistribution"),
+    Template("mpl-2", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0", "mozilla 2"),
+    Template("cc-by-nc", "Licensed under CC BY-NC 4.0", "cc nc"),
+    Template("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License", "commons noncommercial"),
+    Template("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License", "commons sharealike"),
 )
 
 
@@ -69,10 +70,13 @@ def _words(template: Template) -> list[str]:
     return sorted(set(filter(None, re.split(BETWEEN, template.text.lower()))))
 
 
+def _length(template: Template) -> int:
+    return len(list(filter(None, re.split(BETWEEN, template.text.lower()))))
+
+
 def _width(template: Template) -> int:
-    """Words in a row that a wrapped notice may take."""
-    n = len(list(filter(None, re.split(BETWEEN, template.text.lower()))))
-    return n + n // 4
+    """Words in a row that a notice may take."""
+    return _length(template) + _length(template) // 4
 
 
 def _low(text: Column) -> Column:
@@ -118,10 +122,9 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def matching_blocks(low: Column, spaced: Column, templates: tuple[Template, ...], order: list[str], threshold: float) -> Column:
-    """array<struct<line, label, containment>>: every line of a text that meets
-    a template, and every wrapped notice that its lines do not show (by the
-    line of its first word)."""
+def matching_blocks(spaced: Column, templates: tuple[Template, ...], order: list[str], threshold: float) -> Column:
+    """array<struct<word, label, containment>>: the windows of a text that meet
+    a template, by their first word (from 0)."""
     rank = {w: i for i, w in enumerate(order)}
     sets = [sorted(rank[w] for w in _words(t)) for t in templates]
     needed = [math.ceil(threshold * len(s) - 1e-9) for s in sets]
@@ -132,8 +135,8 @@ def matching_blocks(low: Column, spaced: Column, templates: tuple[Template, ...]
     ranks = F.create_map(*(F.lit(x) for w, i in rank.items() for x in (w, i)))
     entry = lambda k, i: F.struct(F.lit(k).alias("k"), F.lit(i).alias("i"), F.lit(len(sets[k])).alias("size"), F.lit(needed[k]).alias("need"))
     postings = F.create_map(*(x for r, found in index.items() for x in (F.lit(r), F.array(*(entry(k, i) for k, i in found)))))
-    members = F.array(*(_literal(s) for s in sets))
-    widths = F.array(*(F.lit(_width(t)) for t in templates))
+    members, marks = (F.array(*(_literal(s) for s in x)) for x in (sets, [[rank[w] for w in t.marks.split()] for t in templates]))
+    widths, lengths = (F.array(*(F.lit(f(t)) for t in templates)) for f in (_width, _length))
     labels = F.array(*(F.lit(t.label) for t in templates))
 
     def candidates(block: Column) -> Column:
@@ -142,73 +145,71 @@ def matching_blocks(low: Column, spaced: Column, templates: tuple[Template, ...]
             return F.filter(F.coalesce(postings[r], F.slice(postings[next(iter(index))], 1, 0)), lambda e: (F.size(block) >= e["need"]) & (room(e) >= e["need"]))
         return F.array_distinct(F.transform(F.flatten(F.transform(block, at)), lambda e: F.struct(e["k"].alias("k"), e["need"].alias("need"))))
 
-    def ranked(words: Column) -> Column:
-        return F.array_sort(F.transform(F.array_intersect(F.split(words, " "), F.lit(order)), lambda w: ranks[w]))
+    whole = F.array_sort(F.transform(F.array_intersect(F.split(spaced, " "), F.lit(order)), lambda w: ranks[w]))
+    common = lambda words, c: F.array_intersect(words, F.get(members, c["k"]))
+    marked = lambda words, c: F.size(F.array_except(F.get(marks, c["k"]), words)) == 0
 
-    def verified(line: Column, number: Column) -> Column:
-        block = ranked(_spaced(line))
-        common = lambda c: F.size(F.array_intersect(block, F.get(members, c["k"])))
-        met = F.filter(candidates(block), lambda c: common(c) >= c["need"])
-        return F.transform(met, lambda c: F.struct(number.cast("long").alias("line"), F.get(labels, c["k"]).alias("label"), (common(c) / F.size(F.get(members, c["k"]))).alias("containment")))
+    def placed() -> Column:
+        """The words of any template, with their places."""
+        words = F.filter(F.split(spaced, " "), lambda w: w != "")
+        return F.filter(F.transform(words, lambda w, i: F.struct(ranks[w].alias("r"), i.alias("at"))), lambda x: x["r"].isNotNull())
 
     def windows(placed: Column, c: Column) -> Column:
-        """Every word of template c, with the window that starts at it."""
+        """The windows that meet template c, by the template's word that each starts with."""
+        width = F.get(widths, c["k"])
+
         def window(own: Column) -> Column:
-            ahead = lambda x, i: F.filter(F.slice(own, i + 1, F.get(widths, c["k"])), lambda y: y["at"] < x["at"] + F.get(widths, c["k"]))
-            return F.transform(own, lambda x, i: _let(ahead(x, i), lambda w: F.struct(
-                x["at"].alias("at"), x["line"].alias("line"), F.element_at(w, -1)["line"].alias("last"), F.size(F.array_distinct(F.transform(w, lambda y: y["r"]))).alias("n"))))
+            def started(x: Column, i: Column) -> Column:
+                inside = F.array_distinct(F.transform(F.filter(F.slice(own, i + 1, width), lambda y: y["at"] < x["at"] + width), lambda y: y["r"]))
+                return _let(inside, lambda words: F.struct(x["at"].alias("at"), F.when(marked(words, c), F.size(words)).otherwise(0).alias("n")))
+            return F.filter(F.transform(own, started), lambda x: x["n"] >= c["need"])
         return _let(F.filter(placed, lambda x: F.array_contains(F.get(members, c["k"]), x["r"])), window)
 
-    def wrapped(whole: Column, lines: Column) -> Column:
-        def placed() -> Column:
-            words = F.flatten(F.transform(F.split(low, "\n"), lambda line, n: F.transform(
-                F.filter(F.split(_spaced(line), " "), lambda w: w != ""), lambda w: F.struct(ranks[w].alias("r"), n.alias("line")))))
-            return F.filter(F.transform(words, lambda x, i: F.struct(x["r"].alias("r"), x["line"].alias("line"), i.alias("at"))), lambda x: x["r"].isNotNull())
-
-        def best(found: Column, c: Column) -> Column:
-            label, share = F.get(labels, c["k"]), lambda x: x["n"] / F.size(F.get(members, c["k"]))
-            beaten = lambda x: F.exists(found, lambda y: (F.abs(y["at"] - x["at"]) < F.get(widths, c["k"])) & ((y["n"] > x["n"]) | ((y["n"] == x["n"]) & (y["at"] < x["at"]))))
-            shown = lambda x: F.exists(lines, lambda b: (b["label"] == label) & b["line"].between(x["line"], x["last"]) & (b["containment"] >= share(x)))
-            return F.transform(F.filter(found, lambda x: (x["last"] > x["line"]) & ~beaten(x) & ~shown(x)), lambda x: F.struct(x["line"].cast("long").alias("line"), label.alias("label"), share(x).alias("containment")))
-
-        met = F.filter(candidates(whole), lambda c: F.size(F.array_intersect(whole, F.get(members, c["k"]))) >= c["need"])
-        each = lambda p, ks: F.flatten(F.transform(ks, lambda c: _let(F.filter(windows(p, c), lambda x: x["n"] >= c["need"]), lambda found: best(found, c))))
-        return _let(met, lambda ks: F.when(F.size(ks) > 0, _let(placed(), lambda p: each(p, ks))).otherwise(none))
-
+    def best(found: Column, c: Column) -> Column:
+        """From the left: of windows that start within a template's length of one another, the first of the best."""
+        def step(state: Column, x: Column) -> Column:
+            open_ = state["open"]
+            closes = open_.isNotNull() & (x["at"] - open_["at"] >= F.get(lengths, c["k"]))
+            kept = F.when(closes, F.concat(state["kept"], F.array(open_))).otherwise(state["kept"])
+            return F.struct(kept.alias("kept"), F.when(open_.isNull() | closes | (x["n"] > open_["n"]), x).otherwise(open_).alias("open"))
+        start = F.struct(F.array().cast("array<struct<at:int,n:int>>").alias("kept"), F.lit(None).cast("struct<at:int,n:int>").alias("open"))
+        kept = F.aggregate(found, start, step, lambda state: F.when(state["open"].isNull(), state["kept"]).otherwise(F.concat(state["kept"], F.array(state["open"]))))
+        return F.transform(kept, lambda x: F.struct(x["at"].cast("long").alias("word"), F.get(labels, c["k"]).alias("label"), (x["n"] / F.size(F.get(members, c["k"]))).alias("containment")))
+
+    none = F.array().cast("array<struct<word:bigint,label:string,containment:double>>")
+    met = _let(whole, lambda block: F.filter(candidates(block), lambda c: (F.size(common(block, c)) >= c["need"]) & marked(block, c)))
+    each = lambda p, ks: F.flatten(F.transform(ks, lambda c: _let(windows(p, c), lambda found: best(found, c))))
     starts = "|".join(re.escape(order[r]) for r in sorted(index))
-    none = F.array().cast("array<struct<line:bigint,label:string,containment:double>>")
-    over = lambda lines: F.when(F.contains(low, F.lit("\n")), F.concat(lines, _let(ranked(spaced), lambda whole: wrapped(whole, lines)))).otherwise(lines)
-    return F.when(F.regexp_like(spaced, F.lit(f" (?:{starts}) ")), _let(F.flatten(F.transform(F.split(low, "\n"), verified)), over)).otherwise(none)
+    found = _let(met, lambda ks: F.when(F.size(ks) > 0, _let(placed(), lambda p: F.array_sort(each(p, ks)))).otherwise(none))
+    return F.when(F.regexp_like(spaced, F.lit(f" (?:{starts}) ")), found).otherwise(none)
 
 
 def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, phrases: tuple[Phrase, ...] = PHRASES, threshold: float = 0.8,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_words, places (label, n, first, last of each phrase that the
-    text has), blocks (line, label, containment of each line that meets a
-    template, and of each notice wrapped over lines that do not); one row per
-    input row.
+    text has), blocks (word, label, containment of each window that meets a
+    template, by its first word); one row per input row.
 
     Words are runs of ASCII letters (A-Z lower-cased), digits and characters
-    above 0x7F, counted from 0; lines are counted from 0.  Null and empty
+    above 0x7F, counted from 0.  Null and empty
     texts have no words, places or blocks.  Null ids and repeated rows are
     carried through, other columns ignored; an empty table gives an empty
     result.
     """
     order = word_order(docs, sorted(set().union(*map(_words, templates))), text_col)
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), _low(F.col(text_col)).alias("low"))
-    rows = rows.select("doc_id", "low", _spaced(F.col("low")).alias("spaced"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), _spaced(_low(F.col(text_col))).alias("spaced"))
     spaced = F.col("spaced")
     places = [F.struct(F.lit(p.label).alias("label"), phrase_places(spaced, p).alias("at")) for p in phrases]
     return rows.select(
         "doc_id", F.when(F.length(spaced) > 2, _blanks(spaced) - 1).otherwise(0).cast("long").alias("n_words"),
         F.filter(F.array(*places), lambda p: p["at"].isNotNull()).alias("places"),
-        matching_blocks(F.col("low"), spaced, templates, order, threshold).alias("blocks"))
+        matching_blocks(spaced, templates, order, threshold).alias("blocks"))
 
 
 def digests(found: DataFrame) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score.
 
-    score: 1 with a phrase, else the highest containment of a line or wrapped notice, else 0."""
+    score: 1 with a phrase, else the highest containment of a window, else 0."""
     joined = lambda labels: F.array_join(F.array_sort(F.array_distinct(labels)), ",")
     base = F.transform("places", lambda p: p["label"])
     return found.select(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from forkcast.llm.license_join import PHRASES, TEMPLATES, _words
+from forkcast.llm.license_join import PHRASES, TEMPLATES, _width, _words
 
 #: The words of a text, as a list.
 SPACED = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
@@ -48,9 +48,15 @@ def _license_join(threshold: float = 0.8) -> str:
     base = " || ".join(f"CASE WHEN len(places{k}) > 0 THEN ['{p.label}'] ELSE [] END" for k, p in enumerate(PHRASES))
     rows = []
     for t in TEMPLATES:
-        words = _words(t)
-        both = f"len(list_intersect(list_distinct(b), [{', '.join(repr(w) for w in words)}]))"
-        rows.append(f"SELECT r, '{t.label}' AS label, {both} / {len(words)}.0::DOUBLE AS containment FROM blocks WHERE {both} >= {math.ceil(threshold * len(words) - 1e-9)}")
+        words, marks = _words(t), t.marks.split()
+        need, width = math.ceil(threshold * len(words) - 1e-9), _width(t)
+        listed = f"[{', '.join(repr(w) for w in words)}]"
+        inside = f"list_intersect(list_distinct(w[i:i + {width - 1}]), {listed})"
+        whole = f"len(list_intersect(list_distinct(w), {listed})) >= {need}"
+        full = f"list_has_all(x, [{', '.join(repr(m) for m in marks)}])"
+        starts = f"list_filter(range(1, len(w) + 1), lambda i: list_contains({listed}, w[i]))"
+        found = f"list_filter(list_transform({starts}, lambda i: {inside}), lambda x: len(x) >= {need} AND {full})"
+        rows.append(f"SELECT r, '{t.label}' AS label, list_max(list_transform({found}, lambda x: len(x))) / {len(words)}.0::DOUBLE AS containment FROM w WHERE {whole} AND len({found}) > 0")
     union = "\nUNION ALL ".join(rows)
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {LOWER.format("coalesce(text, '')")} AS low FROM documents),
@@ -58,7 +64,6 @@ w AS (SELECT *, {ALNUM.format('low')} AS w FROM d),
 p AS (SELECT r, doc_id, len(w) AS n_words,
 {places}
       FROM w),
-blocks AS (SELECT r, {ALNUM.format('line')} AS b FROM (SELECT r, unnest(string_split(low, chr(10))) AS line FROM d)),
 hits AS ({union}),
 found AS (SELECT r, list(label) AS more, max(containment) AS containment FROM hits GROUP BY r),
 q AS (SELECT p.*, {every} AS starts, {base} AS base, coalesce(more, []) AS more, containment FROM p LEFT JOIN found USING (r))
@@ -118,7 +123,7 @@ WITH RECURSIVE {_CRC},
 t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
 s AS (SELECT conv_id, sha256(strlen(role) || ':' || role || text) AS said, strlen(text) AS bytes, turn FROM t),
 o AS (SELECT conv_id, said, bytes, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, said) - 1 AS p FROM s),
-c AS (SELECT conv_id, conv_id - conv_id % 5 AS base, {_crc32("hex(CAST(CAST(conv_id AS VARCHAR) AS BLOB))")} % 9 AS h FROM (SELECT DISTINCT conv_id FROM o), remainders),
+c AS (SELECT conv_id, conv_id - conv_id % 5 AS base, {_crc32("hex(CAST(conv_id AS VARCHAR))")} % 9 AS h FROM (SELECT DISTINCT conv_id FROM o), remainders),
 r AS (SELECT c.conv_id, 0 AS part, p, said, bytes FROM c JOIN o ON o.conv_id = c.base AND p < h
       UNION ALL SELECT c.conv_id, 1 AS part, p, said, bytes FROM c JOIN o ON o.conv_id = c.conv_id AND p >= h),
 q AS (SELECT conv_id, bytes, row_number() OVER w AS d, string_agg(said, ',') OVER (w ROWS UNBOUNDED PRECEDING) AS path FROM r WINDOW w AS (PARTITION BY conv_id ORDER BY part, p)),
@@ -134,3 +139,44 @@ SELECT w.conv_id, CAST(w.d AS BIGINT) AS depth, w.parent_conv_id, CAST(w.n_convs
        CAST(g.n_leaves AS BIGINT) AS n_leaves, CAST(g.saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
 FROM w JOIN g ON g.path = w.path LEFT JOIN e ON e.path = w.path
 """
+
+
+def _importance(percent: int = 5) -> str:
+    words = ALNUM.format(LOWER.format("coalesce(text, '')"))
+    grams = " || ".join(f"list_transform(range(1, len(w) - {k - 2}), lambda i: array_to_string(w[i:i + {k - 1}], ' '))" for k in (1, 2, 3))
+    return rf"""
+WITH RECURSIVE {_CRC},
+d AS (SELECT row_number() OVER () AS r, doc_id, {words} AS w FROM documents),
+g AS (SELECT r, unnest({grams}) AS gram FROM d),
+y AS (SELECT unnest({grams}) AS gram FROM (SELECT {words} AS w FROM benchmark)),
+x AS (SELECT gram, {_crc32("hex(gram)")} % 10000 AS bucket FROM (SELECT gram FROM g UNION SELECT gram FROM y), remainders),
+s AS (SELECT bucket, count(*) AS n FROM g JOIN x USING (gram) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM y JOIN x USING (gram) GROUP BY bucket),
+gain AS (SELECT CAST(b.bucket AS BIGINT) AS bucket,
+                CAST(floor(1000 * ln(CAST((coalesce(t.n, 0) + 1) * ((SELECT coalesce(sum(n), 0) FROM s) + 10000) AS DOUBLE)
+                                     / CAST((coalesce(s.n, 0) + 1) * ((SELECT coalesce(sum(n), 0) FROM t) + 10000) AS DOUBLE))) AS BIGINT) AS gain
+         FROM range(10000) b(bucket) LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket)),
+weights AS (SELECT r, count(*) AS n_features, sum(gain) AS weight FROM g JOIN x USING (gram) JOIN gain USING (bucket) GROUP BY r),
+h AS (SELECT d.doc_id, d.r, len(w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+             CAST(CAST(('0x' || substr(sha256('42:' || coalesce(CAST(d.doc_id AS VARCHAR), '')), 1, 8)) AS BIGINT) AS DOUBLE) AS h FROM d LEFT JOIN weights USING (r)),
+z AS (SELECT *, CAST(weight + floor(-1000 * ln(-ln((h + 0.5) / 4294967296.0::DOUBLE))) AS BIGINT) AS score FROM h),
+k AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS FIRST, n_features, n_words) AS rank, count(*) OVER () AS n FROM z WHERE n_words >= 20)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_features AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight, score, CAST(CASE WHEN k.rank <= {percent} * n // 100 THEN k.rank END AS BIGINT) AS rank
+FROM z LEFT JOIN k USING (r)
+"""
+
+
+IMPORTANCE = _importance()
+
+WARC = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS body, coalesce(url, '') AS url FROM pages),
+d AS (SELECT page_id, strlen(body) AS n, sha256(body) AS digest, url, regexp_extract(url, '^[^:/?#]*://([^/?#]*)', 1) AS host FROM p),
+f AS (SELECT digest, min(page_id) AS first FROM d WHERE n >= 100 GROUP BY digest),
+k AS (SELECT d.*, first, CASE WHEN regexp_matches(url, '^[^:/?#]*://')
+             THEN array_to_string(list_reverse(string_split(lower(host), '.')), ',') || ')' || regexp_extract(url, '^[^:/?#]*://([^/?#]*)([^#]*)', 2) ELSE url END AS url_key
+      FROM d LEFT JOIN f USING (digest))
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest, CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to, url_key,
+       CAST(row_number() OVER (ORDER BY url_key, page_id % 1000000000, '<urn:page:' || page_id || '>') - 1 AS BIGINT) AS position
+FROM k
+"""
