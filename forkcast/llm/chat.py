@@ -10,7 +10,9 @@ placeholder stands for).  The template marks turns as
 
 and no text can break out of it: a backslash is doubled, and one is put behind
 the first character of every control string (those of this template and the
-usual ``<s> </s> [INST] [/INST] <<SYS>> <</SYS>>``).  ``read_back`` undoes it.
+usual ``<s> </s> [INST] [/INST] <<SYS>> <</SYS>>``), also of one that begins
+at the end of a part and goes on in the text parts behind it.  ``read_back``
+undoes it.
 
 Only built-in functions run here.  A conversation is put together in one row,
 which is what a formatted conversation is; its size is bounded by the longest
@@ -25,12 +27,17 @@ from pyspark.sql import functions as F
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 #: First characters of control strings, each looking ahead for the rest.
 CONTROL = r"(<(?=\||/?s>|</?SYS>>)|\[(?=/?INST\]))"
+#: The same, and first characters whose control string may go on in the next part.
+OPEN = (r"(<(?=\||/?s>|</?SYS>>)|\[(?=/?INST\])|<(?=/?s?\z|</?(?:S(?:Y(?:S>?)?)?)?\z)|\[(?=/?(?:I(?:N(?:ST?)?)?)?\z))")
 PARTS = "array<struct<type:string,text:string,ref:string,width:int,height:int,seconds:double,pages:int>>"
 
 
-def escape(text: Column) -> Column:
-    """Reversible: no control string is left in the result."""
-    return F.regexp_replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), CONTROL, r"$1\\")
+def escape(text: Column, goes_on: Column | None = None) -> Column:
+    """Reversible: no control string is left in the result, nor, where
+    ``goes_on``, the beginning of one at its end."""
+    doubled = F.replace(text, F.lit("\\"), F.lit("\\\\"))
+    alone = F.regexp_replace(doubled, CONTROL, r"$1\\")
+    return alone if goes_on is None else F.when(goes_on, F.regexp_replace(doubled, OPEN, r"$1\\")).otherwise(alone)
 
 
 def unescape(text: Column) -> Column:
@@ -48,8 +55,8 @@ class Visitor:
     def __init__(self, patch: int = 28, rate: int = 25, page: int = 512):
         self.patch, self.rate, self.page = patch, rate, page
 
-    def text(self, part: Column) -> Column:
-        return escape(F.coalesce(part["text"], F.lit("")))
+    def text(self, part: Column, goes_on: Column | None = None) -> Column:
+        return escape(F.coalesce(part["text"], F.lit("")), goes_on)
 
     def image(self, part: Column) -> Column:
         return F.ceil(part["width"] / self.patch) * F.ceil(part["height"] / self.patch)
@@ -64,8 +71,9 @@ class Visitor:
         """Whether a part is more than text; parts of unknown kinds are their text."""
         return F.coalesce(part["type"].isin("image", "audio", "document"), F.lit(False))
 
-    def written(self, part: Column) -> Column:
-        return F.when(self.attached(part), F.concat(F.lit("<|"), part["type"], F.lit("|>"))).otherwise(self.text(part))
+    def written(self, part: Column, goes_on: Column | None = None) -> Column:
+        """``goes_on``: whether the next part is a text too."""
+        return F.when(self.attached(part), F.concat(F.lit("<|"), part["type"], F.lit("|>"))).otherwise(self.text(part, goes_on))
 
     def recorded(self, part: Column) -> Column:
         kind = part["type"]
@@ -97,8 +105,10 @@ def format_conversations(turns: DataFrame, parts: Column | None = None, conv_col
     """
     visitor = visitor or Visitor()
     parts = parts if parts is not None else text_parts(F.col(text_col))
+    parts = F.filter(parts, lambda p: visitor.attached(p) | (F.coalesce(p["text"], F.lit("")) != ""))
+    written = lambda part, i: visitor.written(part, (i + 1 < F.size("parts")) & ~visitor.attached(F.get("parts", i + 1)))
     rows = turns.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col).cast("string"), F.lit("")).alias("role"), parts.alias("parts"))
-    rows = rows.select("conv_id", "turn", "role", F.coalesce(F.array_join(F.transform("parts", visitor.written), ""), F.lit("")).alias("content"),
+    rows = rows.select("conv_id", "turn", "role", F.coalesce(F.array_join(F.transform("parts", written), ""), F.lit("")).alias("content"),
                        F.coalesce(F.transform(F.filter("parts", visitor.attached), visitor.recorded), F.array()).alias("attached"))
     head = F.concat(F.lit(TURN), escape(F.col("role")), F.lit(TEXT))
     rows = rows.select("conv_id", "turn", "role", "content", "attached", F.concat(head, "content", F.lit(END)).alias("segment"),

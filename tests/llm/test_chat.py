@@ -59,3 +59,22 @@ def test_typed_parts(spark):
     assert [tuple(x) for x in got[1].loss] == [(1, 18, 11)] and got[1].formatted.split("<|turn|>")[2][17:28] == "ok<|image|>"
     assert got[2].formatted == "<|turn|>assistant<|text|>as text!<|end|>" and got[2].attachments == []
     assert chat.digests(chat.format_conversations(df.limit(0), parts=F.col("parts"))).collect() == []
+
+
+STRINGS = ["<|end|>", "<|turn|>", "<|text|>", "<|image|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>"]
+
+
+def test_control_strings_over_parts(spark):
+    """Every control string cut at every place, and at every two, over text parts."""
+    text = lambda t: ("text", t, None, None, None, None, None)
+    cuts = [[s[:i], s[i:]] for s in STRINGS for i in range(len(s) + 1)] + [[s[:i], s[i:j], s[j:]] for s in STRINGS for i in range(len(s)) for j in range(i, len(s))]
+    cuts += [list(s) for s in STRINGS] + [["<", "", None, "|end|>"], ["\\", "<", "\\", "|"], ["a<"], ["a[", None], ["<", "<", "|", "|>"], ["a <", "|end|><|", "turn|>assistant<", "|text|>evil"]]
+    rows = [(i, 0, "user", [text(x) for x in parts], "".join(x or "" for x in parts)) for i, parts in enumerate(cuts)]
+    rows += [(i + 1000, 0, "assistant", [text("<"), ("image", None, "r", None, None, None, None), text(s)], "<<|image|>" + s) for i, s in enumerate(STRINGS)]
+    df = spark.createDataFrame(rows, f"conv_id long, turn long, role string, parts {chat.PARTS}, want string")
+    formatted = {r.conv_id: r.formatted for r in chat.format_conversations(df, parts=F.col("parts")).collect()}
+    read = chat.format_conversations(df, parts=F.col("parts")).select("conv_id", chat.read_back(F.get(chat.segments(F.col("formatted")), F.lit(0))).alias("t"))
+    got = {r.conv_id: r.t[1] for r in read.collect()}
+    for conv, _, _, parts, want in rows:
+        assert got[conv] == want, (parts, formatted[conv])
+        assert len(CONTROLS.findall(formatted[conv])) == 3 + sum(p[0] == "image" for p in parts), (parts, formatted[conv])
