@@ -4,7 +4,8 @@ Fixed host and path rules judge the urls that they fit.  Those urls are also
 the labelled ones: each is a basket of tokens (host labels, the registered
 domain, path words, query names) and its verdict, and FP-growth mines which
 token combinations go with a verdict.  Rules short of support or confidence
-are pruned, and rules that a part of them already says.  The rest of the urls
+are pruned, and rules that a part of them already says.  Tokens with the very
+same baskets are mined as one.  The rest of the urls
 is matched by an inverted index: a mined rule is filed under its rarest token,
 a url looks up its tokens there and checks the other tokens of what it finds.
 
@@ -74,43 +75,76 @@ def tokens_of(url: Column, host: Column, path: Column) -> Column:
     return F.array_distinct(F.concat(tag("label:", labels), domain, tag("path:", words), tag("query:", F.transform(names, lambda x: F.substring_index(x, "=", 1)))))
 
 
-def mine(labelled: DataFrame, min_support: float = 0.01, min_confidence: float = 0.9) -> DataFrame:
-    """tokens, verdict, confidence, support, rare of the rules that hold in
-    ``labelled`` (tokens array<string>, verdict string).
+def token_classes(labelled: DataFrame, least: float) -> DataFrame:
+    """(item, n, rep): the tokens that ``least`` baskets or more have, how many
+    do, and one token that stands for all with the very same baskets (told by
+    two 64-bit sums over basket numbers).  Verdicts stand for themselves."""
+    baskets = labelled.withColumn("basket", F.monotonically_increasing_id())
+    sums = [F.sum(F.xxhash64("basket", F.lit(salt)).cast("decimal(38,0)")).alias(f"sum{salt}") for salt in (1, 2)]
+    items = baskets.select("basket", F.explode("items").alias("item")).groupBy("item").agg(F.count("*").alias("n"), *sums).where(F.col("n") >= least)
+    same = ["n", "sum1", "sum2", F.col("item").startswith("verdict:").alias("is_verdict")]
+    items = items.select("item", *same)
+    reps = items.groupBy("n", "sum1", "sum2", "is_verdict").agg(F.min("item").alias("rep"))
+    own = F.when(F.col("is_verdict"), F.col("item")).otherwise(F.col("rep"))
+    return items.join(reps, ["n", "sum1", "sum2", "is_verdict"]).select("item", "n", own.alias("rep"))
+
+
+def mine(labelled: DataFrame, min_support: float = 0.01, min_confidence: float = 0.9) -> tuple[DataFrame, DataFrame]:
+    """(rules, classes) of ``labelled`` (tokens array<string>, verdict string):
+    tokens, verdict, confidence, support, rare of the rules that hold in it,
+    and the ``token_classes``, by whose representatives the rules are told.
 
     Kept are the rules from any number of tokens, however common, to a verdict,
     unless a rule from a part of those tokens says the same at least as
-    surely.  ``rare`` is the token of a rule that the fewest baskets have.  Of
-    tokens above the support there are at most a basket's size / min_support,
-    however large the table.
+    surely.  Tokens with the same baskets say the same, so one of them is mined
+    for all: k words that a site puts on all its pages count as one and do not
+    multiply the combinations by 2**k.  ``rare`` is the token of a rule that
+    the fewest baskets have.  Of tokens above the support there are at most a
+    basket's size / min_support, however large the table.
     """
     baskets = labelled.where("verdict is not null").select(F.concat("tokens", F.array(F.concat(F.lit("verdict:"), "verdict"))).alias("items"))
     total = baskets.count()
-    common = materialize(baskets.select(F.explode("items").alias("item")).groupBy("item").agg(F.count("*").alias("n")).where(F.col("n") >= min_support * total), "tokens")
+    classes = materialize(token_classes(baskets, min_support * total), "tokens")
     # Rarer tokens are in no rule.  What is left is bounded by the support.
-    frequent = [r.item for r in common.select("item").collect()]
+    frequent = [r.rep for r in classes.select("rep").distinct().collect()]
     baskets = baskets.select(F.array_intersect("items", F.lit(frequent)).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
-    rules = (model.associationRules.where(F.col("consequent")[0].startswith("verdict:"))
-             .where(~F.exists("antecedent", lambda x: x.startswith("verdict:")))
-             .select(F.array_sort("antecedent").alias("tokens"), F.substring(F.col("consequent")[0], 9, 100).alias("verdict"), "confidence", "support"))
-    rules = materialize(rules, "rules")
-    part = rules.select(F.col("tokens").alias("part"), F.col("verdict").alias("same"), F.col("confidence").alias("sure"), F.explode("tokens").alias("shared"))
-    whole = rules.withColumn("shared", F.explode("tokens"))
-    idle = (whole.join(part, "shared").where((F.col("verdict") == F.col("same")) & (F.col("sure") >= F.col("confidence")) & (F.size("part") < F.size("tokens"))
-                                             & (F.size(F.array_except("part", "tokens")) == 0)).select("tokens", "verdict").distinct())
-    rules = rules.join(idle, ["tokens", "verdict"], "left_anti")
-    seen = rules.select("tokens", "verdict", "confidence", "support", F.explode("tokens").alias("item")).join(common, "item")
-    return seen.groupBy("tokens", "verdict", "confidence", "support").agg(F.min_by("item", F.struct("n", "item")).alias("rare"))
-
-
-def match(urls: DataFrame, rules: DataFrame) -> DataFrame:
-    """url, verdict of the urls (url, tokens) that some mined rule fits: the
-    surest one's, then the best supported, longest and first one's."""
-    found = (urls.select("url", "tokens", F.explode("tokens").alias("rare"))
-             .join(rules.withColumnRenamed("tokens", "needed"), "rare")
-             .where(F.size(F.array_except("needed", "tokens")) == 0))
-    sure = F.struct("confidence", "support", F.size("needed").alias("length"), F.array_join("needed", " ").alias("text"), "verdict")
+    verdict = F.filter("items", lambda x: x.startswith("verdict:"))
+    sets = model.freqItemsets.select(F.array_sort(F.filter("items", lambda x: ~x.startswith("verdict:"))).alias("tokens"), F.substring(F.get(verdict, F.lit(0)), 9, 100).alias("verdict"), "freq")
+    # (an url has one verdict, so no set has two)
+    alone = sets.where("verdict is null").select("tokens", F.col("freq").alias("of"))
+    sure = sets.where("verdict is not null and size(tokens) > 0").join(alone, "tokens")
+    sure = materialize(sure.select("tokens", "verdict", F.size("tokens").alias("k"), (F.col("freq") / F.col("of")).alias("confidence"), (F.col("freq") / total).alias("support")), "sets")
+    # best: the surest that any part of the tokens is, from those without one token
+    best = sure.where("k = 1").select("tokens", "verdict", F.col("confidence").alias("top"))
+    told = sure.where("k = 1").withColumn("best", F.lit(None).cast("double"))
+    for k in range(2, (sure.agg(F.max("k")).first()[0] or 0) + 1):
+        level = sure.where(F.col("k") == k)
+        parts = level.select(F.col("tokens").alias("whole"), "verdict", F.explode(F.transform("tokens", lambda x: F.array_remove("tokens", x))).alias("tokens"))
+        over = parts.join(best, ["tokens", "verdict"]).groupBy(F.col("whole").alias("tokens"), "verdict").agg(F.max("top").alias("best"))
+        level = materialize(level.join(over, ["tokens", "verdict"], "left"), "level")
+        best = level.select("tokens", "verdict", F.greatest("confidence", "best").alias("top"))
+        told = told.unionByName(level)
+    rules = told.where(F.col("confidence") >= min_confidence).where("best is null or best < confidence").drop("k", "best")
+    seen = rules.select("tokens", "verdict", "confidence", "support", F.explode("tokens").alias("item")).join(classes.select("item", "n"), "item")
+    return seen.groupBy("tokens", "verdict", "confidence", "support").agg(F.min_by("item", F.struct("n", "item")).alias("rare")), classes
+
+
+def match(urls: DataFrame, rules: DataFrame, classes: DataFrame) -> DataFrame:
+    """url, mined: the verdict for those urls (url, tokens) that some mined
+    rule fits: the surest one's, then the best supported, longest and first
+    one's.  A rule fits if the url has a token of each of its classes."""
+    # bounded as the frequent tokens are
+    stands = {r.item: r.rep for r in classes.where("item <> rep").collect()}
+    for_all = F.create_map(*[F.lit(x) for pair in stands.items() for x in pair]) if stands else None
+    rep = lambda t: F.coalesce(for_all[t], t) if stands else t
+    pairs = F.transform("tokens", lambda t: F.struct(rep(t).alias("rep"), t.alias("token")))
+    urls = urls.select("url", pairs.alias("pairs")).select("url", "pairs", F.array_distinct(F.col("pairs.rep")).alias("reps"))
+    found = (urls.select("url", "pairs", "reps", F.explode("reps").alias("rare")).join(rules.withColumnRenamed("tokens", "needed"), "rare")
+             .where(F.size(F.array_except("needed", "reps")) == 0))
+    # told by the url's own tokens, the last one of each class
+    own = F.transform("needed", lambda r: F.array_max(F.transform(F.filter("pairs", lambda p: p["rep"] == r), lambda p: p["token"])))
+    sure = F.struct("confidence", "support", F.size("needed").alias("length"), F.array_join(F.array_sort(own), " ").alias("text"), "verdict")
     return found.groupBy("url").agg(F.max(sure)["verdict"].alias("mined"))
 
 
@@ -134,8 +168,11 @@ def judge(pages: DataFrame, rules: tuple[Rule, ...] = BASE, id_col: str = "page_
     tokens = tokens_of(url, F.col("host"), F.col("path")).alias("tokens")
     labelled = rows.where("fixed is not null").select(tokens, F.col("fixed").alias("verdict"))
     if labelled.limit(1).count():
-        mined = materialize(mine(labelled, min_support, min_confidence), "mined")
-        rows = rows.join(match(rows.where("fixed is null and url is not null").select("url", tokens).distinct(), mined), "url", "left")
+        mined, classes = mine(labelled, min_support, min_confidence)
+        found = match(rows.where("fixed is null and url is not null").select("url", tokens).distinct(), materialize(mined, "mined"), classes)
+        # urls that are judged or null have no partner: they stay out of the join
+        open_ = F.col("fixed").isNull() & F.col("url").isNotNull()
+        rows = rows.where(open_).join(found, "url", "left").unionByName(rows.where(~open_).withColumn("mined", F.lit(None).cast("string")))
     else:
         rows = rows.withColumn("mined", F.lit(None).cast("string"))
     return rows.select("page_id", "host", "path", "rule", F.coalesce("fixed", "mined", F.lit(otherwise)).alias("verdict"))
