@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from forkcast.llm import bpe_automaton, chat, decontam, license_join, lsh_forest, oracles, prefix_trie, quality_pu, rules_cascade, secret_scan, substring, url_rules
+from forkcast.llm import bpe_automaton, chat, decontam, importance, license_join, lsh_forest, oracles, prefix_trie, quality_pu, rules_cascade, secret_scan, substring, url_rules, warc
 from forkcast.llm.registry import ORACLE, QUERIES, register, table
+from forkcast.sources.sinks import scratch_path
 from pyspark.sql import functions as F
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -79,3 +80,20 @@ def op11(spark, sf_dir):
     """The prefix trie of all conversations, grown from shared heads."""
     said, conversations = prefix_trie.share_heads(prefix_trie.turns(table(spark, sf_dir, "conversations")))
     return prefix_trie.digests(*prefix_trie.build(said, conversations))
+
+
+@register("op12_importance_resampling", oracles.IMPORTANCE)
+def op12(spark, sf_dir):
+    """Documents drawn towards the benchmark's distribution."""
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op13_warc_index", oracles.WARC)
+def op13(spark, sf_dir):
+    """All pages written as archives, read back and indexed.
+
+    The pages carry no capture time; a page's is its id in seconds after 2020 began."""
+    path = scratch_path(spark, "warc")
+    seconds = F.lit(1577836800) + F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(1_000_000_000))
+    warc.write(table(spark, sf_dir, "pages"), path, warc.capture_date(seconds))
+    return warc.digests(warc.index(warc.read(spark, path)))
