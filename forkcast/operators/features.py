@@ -1,8 +1,9 @@
 """Feature engineering (FE1-FE11, ARR3-ARR4, SCL13-SCL15).
 
 Everything is a projection over the cleaned venue frame except the
-fitted parts, which are small: the sorted category lists of the
-multi-hot encoders (one entry per category), per-suburb counts (one row
+fitted parts: the sorted category lists of the wide encoders (their
+entries are the columns), the dictionaries of the sparse ones (tables,
+of any size), per-suburb counts (one row
 per suburb, joined back; AQE broadcasts it when small and splits a hot
 suburb's partition otherwise) and the votes median (exact, bounded).
 """
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from forkcast.functions.scalars import (bin_right_closed, flag_at_least_keep_null, flag_greater,
                                         rating_binary, rating_ordinal)
 from forkcast.functions.text import as_text, list_column, nan_to_null, normalise_key
+from forkcast.operators import dictionary
 from forkcast.operators.stats import exact_median
 
 def column_name(prefix: str, value: str) -> str:
@@ -24,14 +26,12 @@ def column_name(prefix: str, value: str) -> str:
 
 
 def one_hot_vector(df: DataFrame, col: str, out_col: str) -> DataFrame:
-    """Sparse one-hot for many categories: StringIndexer (alphabetical) +
-    OneHotEncoder.  The slot that the indexer keeps for NULL is dropped, so a
-    NULL is all zeros, as in the wide form."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import OneHotEncoder, StringIndexer
-    idx = StringIndexer(inputCol=col, outputCol=f"{col}__idx", stringOrderType="alphabetAsc", handleInvalid="keep")
-    enc = OneHotEncoder(inputCol=f"{col}__idx", outputCol=out_col, dropLast=True)
-    return Pipeline(stages=[idx, enc]).fit(df).transform(df).drop(f"{col}__idx")
+    """Sparse one-hot for any number of categories, in alphabetical order
+    (see ``dictionary``); a NULL is all zeros, as in the wide form."""
+    known = dictionary.codes(df, F.col(col))
+    coded = dictionary.encode(df, F.col(col), known, "_code")
+    one = F.when(F.col("_code").isNull(), F.array().cast("array<bigint>")).otherwise(F.array("_code"))
+    return dictionary.sparse_vectors(coded, one, dictionary.size(known), out_col).drop("_code")
 
 
 def list_categories(df: DataFrame, col: str, parity: bool = False) -> list[str]:
@@ -60,16 +60,13 @@ def multi_hot(df: DataFrame, col: str, prefix: str | None = None, categories: li
     return out if keep_list else out.drop(col)
 
 
-def multi_hot_vector(df: DataFrame, col: str, out_col: str | None = None, parity: bool = False):
-    """Sparse form for wide category sets: CountVectorizer(binary=True)
-    over the cleaned list, every category kept however rare; returns
-    (frame, fitted model)."""
-    from pyspark.ml.feature import CountVectorizer
+def multi_hot_vector(df: DataFrame, col: str, out_col: str | None = None, parity: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Sparse form for any number of categories: presence of every item of
+    the cleaned list, in alphabetical order; returns (frame, dictionary)."""
     tmp = df.withColumn(col, F.coalesce(list_column(col, parity), F.array().cast("array<string>")))
-    n = tmp.select(F.explode(col).alias("v")).agg(F.count_distinct("v")).first()[0]
-    cv = CountVectorizer(inputCol=col, outputCol=out_col or f"{col}_vec", binary=True, minDF=1.0, vocabSize=max(n, 1))
-    model = cv.fit(tmp)
-    return model.transform(tmp), model
+    known = dictionary.codes(tmp.select(F.explode(col).alias("v")), F.col("v"))
+    coded = dictionary.encode_items(tmp, F.col(col), known, "_codes")
+    return dictionary.sparse_vectors(coded, F.col("_codes"), dictionary.size(known), out_col or f"{col}_vec").drop("_codes"), known
 
 
 def diversity(df: DataFrame, col: str = "cuisine", out: str = "cuisine_diversity", parity: bool = False) -> DataFrame:

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from forkcast.functions.text import normalise_key
-from forkcast.operators import features
+from forkcast.functions.text import list_column, normalise_key
+from forkcast.operators import dictionary, features
 from forkcast.plans.oracle_views import strip, with_views
 from forkcast.plans.registry import register
 from forkcast.sources.tables import read_table, venue_view
@@ -145,3 +145,22 @@ def q_cuisine_totals(spark, d):
     cols = columns_with_prefix(mh, "cuisine_")                        # PRJ6
     tot = column_totals(mh, cols)                                       # AGG13
     return tot.select(*[F.col(c).cast("bigint").alias(c) for c in cols])
+
+
+@register("cuisine_codes", with_views(f"""
+, l AS (SELECT id, {_SPLIT.format(c='cuisine')} AS items FROM venue),
+c AS (SELECT v, dense_rank() OVER (ORDER BY v) - 1 AS code FROM (SELECT DISTINCT unnest(items) AS v FROM l))
+SELECT id, array_to_string(list_sort(list_distinct(list(code))), ',') AS codes FROM (SELECT id, unnest(items) AS v FROM l) JOIN c USING (v) GROUP BY id"""))
+def q_cuisine_codes(spark, d):
+    """ARR3: items of lists by code, codes in the items' order."""
+    v = venue_view(spark, d).select("id", list_column("cuisine").alias("items"))
+    known = dictionary.codes(v.select(F.explode("items").alias("v")), F.col("v"))
+    coded = dictionary.encode_items(v, F.col("items"), known, "codes")
+    return coded.select("id", F.array_join(F.col("codes").cast("array<string>"), ",").alias("codes"))
+
+
+@register("customer_codes", "SELECT c_custkey, c_name, dense_rank() OVER (ORDER BY c_name) - 1 AS code FROM customer")
+def q_customer_codes(spark, d):
+    """FE2: a category column with a value per row or so."""
+    c = read_table(spark, d, "customer").select("c_custkey", "c_name")
+    return dictionary.encode(c, F.col("c_name"), dictionary.codes(c, F.col("c_name")), "code")

@@ -71,9 +71,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
-def materialize(df, name: str = "stage"):
+def materialize(df, name: str = "stage", schema=None):
     """Cut lineage by writing ``df`` as parquet under the reliable
-    checkpoint folder and reading it back.
+    checkpoint folder and reading it back (under ``schema`` if given).
 
     One computation (``Dataset.checkpoint`` runs the plan twice unless it
     is cached first); the files sit in the shared folder the cluster names,
@@ -86,7 +86,7 @@ def materialize(df, name: str = "stage"):
     path = f"{base}/forkcast-tables/{name}-{uuid.uuid4().hex[:12]}"
     df.write.mode("overwrite").parquet(path)
     _WRITTEN.append(path)
-    return spark.read.parquet(path)
+    return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
 
 
 _WRITTEN: list[str] = []
