@@ -8,12 +8,12 @@ hash a stable key instead.
 from __future__ import annotations
 
 import math
-from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forkcast.operators.stats import exact_quantiles
+from forkcast.operators.ranks import with_position
+from forkcast.session import materialize
 
 
 def hash_split(df: DataFrame, key: str = "id", test_fraction: float = 0.2, seed: int = 42,
@@ -21,7 +21,7 @@ def hash_split(df: DataFrame, key: str = "id", test_fraction: float = 0.2, seed:
     """Adds ``is_test``: pmod(xxhash64(key, seed), buckets) < fraction * buckets
     (one projection, sizes approximate).  ``hash_col`` replaces the hash.  ``exact=True`` puts exactly
     ceil(fraction * n) rows in the test side, as ``train_test_split`` does:
-    the rows with the smallest hashes, found by the bounded quantile search."""
+    the rows with the smallest hashes."""
     if exact:
         marked = stratified_split(df.withColumn("_one", F.lit(1)), "_one", key, test_fraction, seed,
                                   hash_col=hash_col, size_rule="ceil")
@@ -36,66 +36,39 @@ def stratified_split(df: DataFrame, label: str, key: str = "id", test_fraction:
     (``size_rule="ceil"``: ceil):
     the rows with the smallest xxhash64(key, seed) in that class.
 
-    The per-class cut-off is an exact order statistic found by the
-    bounded bracketing search, not a window over the class (a class can
-    hold most of the rows).  ``key`` must be unique: two rows with the same
-    key hash alike.  Distinct keys whose hashes meet as doubles are ordered
-    by key at the cut-off, so the sizes stay exact.  ``hash_col`` replaces
-    the hash (tests)."""
+    Classes are rows of a table, however many there are.  Each has a bracket
+    of hashes in which its cut-off should lie; exact counts confirm it or
+    widen it to the whole class.  Only rows within brackets are sorted, by
+    ranges over all classes, so a class that holds most rows is in no one
+    task; the cut-offs are joined back.  ``key`` must be unique: rows whose
+    hashes meet as doubles go by key, so sizes stay exact.  Rows without a
+    label are not in the test side.  ``hash_col`` replaces the hash; a hash
+    that is not spread evenly costs a second round, nothing else."""
     h = (hash_col if hash_col is not None else F.xxhash64(F.col(key), F.lit(seed))).cast("double")
     base = df.withColumn("_h", h)
-    counts = {r[label]: int(r["n"]) for r in
-              base.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
-    # one column per class (its hashes), each with its own rank: all
-    # classes share the same few passes of the bounded quantile search
-    classes = sorted(counts, key=str)
-    names = {y: f"_h{i}" for i, y in enumerate(classes)}
-    size = (lambda n: int(math.ceil(test_fraction * n - 1e-9))) if size_rule == "ceil" \
-        else (lambda n: int(round(test_fraction * n)))
-    want, thr = {}, {}
-    for y in classes:
-        n, n_test = counts[y], size(counts[y])
-        if n_test <= 0:
-            thr[y] = None
-        elif n_test >= n:
-            thr[y] = float("inf")
-        else:                                   # the n_test-th smallest hash: rank n_test - 1
-            want[names[y]] = [(n_test - 1) / (n - 1)]
-    if want:
-        per_class = base.select(*[F.when(F.col(label) == F.lit(y), F.col("_h")).alias(names[y])
-                                  for y in classes if names[y] in want])
-        got = exact_quantiles(per_class, list(want), want)
-        for y in classes:
-            if names[y] in want:
-                thr[y] = got[names[y]][0]
-    finite = [y for y in classes if thr[y] is not None and thr[y] != float("inf")]
-    # ties: distinct 64-bit hashes can share a double; rows strictly below
-    # the cut-off are in, and the missing ones come from the rows AT the
-    # cut-off in key order (a tiny set; one aggregate pass counts "below")
-    need_at = {}
-    if finite:
-        below = base.agg(*[F.count_if((F.col(label) == F.lit(y)) & (F.col("_h") < F.lit(thr[y]))).alias(names[y])
-                           for y in finite]).first()
-        need_at = {y: size(counts[y]) - int(below[names[y]]) for y in finite}
-    expr = None
-    for y in classes:
-        cond = F.col(label) == F.lit(y)
-        if thr[y] is None:
-            val = F.lit(False)
-        elif thr[y] == float("inf"):
-            val = F.lit(True)
-        else:
-            val = F.col("_h") < F.lit(thr[y])
-        expr = F.when(cond, val) if expr is None else expr.when(cond, val)
-    is_test = expr.otherwise(F.lit(False)) if expr is not None else F.lit(False)
-    out = base.withColumn("is_test", is_test)
-    if finite:
-        # rows exactly at a cut-off (hash collisions: a handful) take the
-        # remaining places in key order; all other rows are decided above
-        at = reduce(lambda a, b: a | b, [(F.col(label) == F.lit(y)) & (F.col("_h") == F.lit(thr[y]))
-                                         for y in finite])
-        quota = F.create_map(*[x for y in finite for x in (F.lit(y), F.lit(need_at[y]))])
-        w = Window.partitionBy(label).orderBy(key)
-        tied = (out.where(at).withColumn("is_test", F.row_number().over(w) <= quota[F.col(label)]))
-        out = out.where(~at | at.isNull()).unionByName(tied)
-    return out.drop("_h")
+    places = base.select(F.col(label).alias("_y"), "_h", F.col(key).alias("_k")).where("_y is not null")
+    wanted = F.lit(test_fraction) * F.col("n")
+    wanted = F.ceil(wanted - 1e-9) if size_rule == "ceil" else F.rint(wanted).cast("long")
+    sizes = places.groupBy("_y").agg(F.count("*").alias("n"), F.min("_h").alias("low"), F.max("_h").alias("high"))
+    sizes = materialize(sizes.withColumn("need", F.greatest(F.least(wanted, F.col("n")), F.lit(0).cast("long"))), "classes")
+    # hashes spread evenly, so a cut-off lies six standard errors around its share at most
+    off = 6 * math.sqrt(max(test_fraction * (1 - test_fraction), 0.0)) / F.sqrt("n") + 2 / F.col("n")
+    span = F.col("high") - F.col("low")
+    brackets = sizes.where("need > 0 and need < n").select("_y", "need", "low", "high", (F.col("low") + span * (test_fraction - off)).alias("lo"),
+                                                          (F.col("low") + span * (test_fraction + off)).alias("hi"))
+    while True:
+        below, inside = F.count_if(F.col("_h") < F.col("lo")), F.count_if(F.col("_h").between(F.col("lo"), F.col("hi")))
+        counts = places.join(brackets.select("_y", "lo", "hi"), "_y").groupBy("_y").agg(below.alias("below"), inside.alias("inside"))
+        counted = materialize(brackets.join(counts, "_y").withColumn("found", (F.col("below") < F.col("need")) & (F.col("need") <= F.col("below") + F.col("inside"))), "brackets")
+        if counted.where("not found").isEmpty():
+            break
+        widened = {c: F.when(F.col("found"), F.col(c)).otherwise(F.col(end)).alias(c) for c, end in (("lo", "low"), ("hi", "high"))}
+        brackets = counted.select("_y", "need", "low", "high", widened["lo"], widened["hi"])
+    inside = places.join(counted.select("_y", "lo", "hi", (F.col("need") - F.col("below")).alias("rank")), "_y").where("_h between lo and hi")
+    last = with_position(inside.select("_y", "_h", "_k", "rank"), ["_y"], [F.col("_h"), F.col("_k")]).where("position = rank - 1")
+    cuts = last.select("_y", F.col("_h").alias("_cut"), F.col("_k").alias("_cut_key"))
+    every = sizes.where("need = n").select("_y", F.lit(float("inf")).alias("_cut"), F.lit(None).cast(df.schema[key].dataType).alias("_cut_key"))
+    cuts = materialize(cuts.unionAll(every), "cuts")
+    is_test = (F.col("_h") < F.col("_cut")) | ((F.col("_h") == F.col("_cut")) & (F.col(key) <= F.col("_cut_key")))
+    marked = base.join(cuts, F.col(label) == F.col("_y"), "left")
+    return marked.select(*[F.col(f"`{c}`") for c in df.columns], F.coalesce(is_test, F.lit(False)).alias("is_test"))

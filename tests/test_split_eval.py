@@ -45,3 +45,26 @@ def test_exact_hash_split_sizes(spark):
         out = hash_split(df, "id", 0.2, exact=True)
         assert out.where("is_test").count() == -(-n * 2 // 10)          # ceil(0.2 n)
         assert out.count() == n
+
+
+def test_very_many_classes(spark):
+    """100,000 classes of 1 to 7 rows, one of 20,000: exact sizes, no class on the driver."""
+    small = spark.range(100_000).selectExpr("id as y", "explode(sequence(1, 1 + cast(id % 7 as int))) as i")
+    df = small.selectExpr("y", "y * 10 + i as id").unionAll(spark.range(20_000).selectExpr("-1L as y", "-id - 1 as id"))
+    out = stratified_split(df, "y", test_fraction=0.25)
+    assert out.columns == ["y", "id", "is_test"]
+    sizes = out.groupBy("y").agg(F.count("*").alias("n"), F.count_if("is_test").alias("k"))
+    assert sizes.count() == 100_001
+    assert sizes.where(F.col("k") != F.rint(0.25 * F.col("n"))).isEmpty()
+
+
+def test_split_ends_and_missing_labels(spark):
+    df = spark.createDataFrame([(i, "ab"[i % 2] if i < 30 else None) for i in range(40)], "id long, y string")
+    for part, want in ((0.0, 0), (1.0, 30), (0.5, 14 + 2 * 0)):
+        out = stratified_split(df, "y", test_fraction=part)
+        chosen = out.where("is_test").count()
+        assert chosen == (want if part != 0.5 else 2 * round(0.5 * 15)) and out.count() == 40
+        assert out.where("y is null and is_test").isEmpty()
+    assert stratified_split(df.limit(0), "y").collect() == []
+    odd = stratified_split(spark.range(1000).selectExpr("id", "0 as y"), "y", test_fraction=0.1, hash_col=F.when(F.col("id") < 990, 5).otherwise(F.col("id")))
+    assert {r.id for r in odd.where("is_test").collect()} == set(range(100))
