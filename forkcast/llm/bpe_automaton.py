@@ -11,12 +11,14 @@ in order, each by a gadget for (u, v) -> w:
 A gadget adds one state.  States are stored by what tells them apart: whether
 the state behind token s has the arc t follows from the merges on the right
 edge of s and the left edge of t, each as old as the gadget that copied it.
-Rows of the transition table are filled when a word first needs them, as a
-lazy automaton does.
 
-Every prefix of a word has at most one path from the start.  A word is read
-along arcs, the longest label first; where no arc goes on, the place is a dead
-end for good and the reader steps back.  Decoding writes the labels of arcs.
+Every prefix of a word has exactly one path from the start, so a word is read
+from the left, place by place: the token that ends a prefix is the longest one
+ending there whose arc leaves the state of the prefix before it.  The words of
+a batch are read in lockstep over arrays: labels by a table of (node, byte)
+steps, spelled from their ends, and arcs by a transition table of (state,
+token), whose entries are worked out when first met and replaced one by one.
+Decoding writes the labels of arcs.
 """
 
 from __future__ import annotations
@@ -34,11 +36,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-NEVER = float("inf")
+#: Merges are numbered below this; a token that no merge ends lives until then.
+NEVER = 1 << 30
 #: Distinct words whose encoding a worker remembers.
 REMEMBERED = 250_000
 #: Entries of the transition table that a worker holds.
-MOST_ARCS = 200_000
+ARCS = 1 << 20
+#: Words of more bytes are read one by one.
+LOCKSTEP = 128
+#: Texts whose words are read together, in characters.
+TOGETHER = 1 << 20
 #: Token ids are below 2**SHIFT.
 SHIFT = 20
 TOKENS = (1 << SHIFT) - 1
@@ -55,19 +62,22 @@ def byte_letters() -> list[str]:
 class Automaton:
     """The tokenization automaton of a vocabulary and its merges.
 
-    ``parts`` and ``born``: the merge that makes a token; ``merge_of``: the
-    gadget that took an arc away, by the tokens before and on it; ``end``:
-    what the last symbol of a word carries in addition."""
+    Labels are spelled in symbols: a word's bytes (through ``letters``), and
+    END behind the last one where the vocabulary marks word ends.  ``right``,
+    ``left`` and ``born``: the parts of a token and the merge that makes it
+    (-1: a base symbol); ``pairs`` and ``gadgets``: which merge takes an arc
+    away, by the tokens before and on it."""
 
-    def __init__(self, vocab: dict[str, int], end: str = "", parts=None, born=None, merge_of=None):
-        self.vocab, self.end, self.parts, self.born, self.merge_of = vocab, end, parts or {}, born or {}, merge_of or {}
-        self.table: dict[int, bool] = {}
+    END = 256
+
+    def __init__(self, vocab: dict[str, int], end: str = "", parts=None, born=None, merge_of=None, letters: list[str] | None = None):
+        self.vocab, self.end, self.parts, self.made, self.merge_of, self.letters = vocab, end, parts or {}, born or {}, merge_of or {}, letters
         self.edges: tuple[dict, dict] = {}, {}
 
     @classmethod
-    def compiled(cls, vocab: dict[str, int], merges: list[tuple[str, str]], end: str = "") -> Automaton:
+    def compiled(cls, vocab: dict[str, int], merges: list[tuple[str, str]], end: str = "", letters: list[str] | None = None) -> Automaton:
         """Gadget after gadget."""
-        made = cls(dict(vocab), end)
+        made = cls(dict(vocab), end, letters=letters)
         for k, (u, v) in enumerate(merges):
             if u in made.vocab and v in made.vocab and made._arc(vocab[u], vocab[v]):
                 made._gadget(k, vocab[u], vocab[v], u + v)
@@ -75,22 +85,6 @@ class Automaton:
                 del made.vocab[u + v]
         return made.ready()
 
-    def ready(self) -> Automaton:
-        """Labels spelled letter by letter: a node is [next nodes, the token
-        that goes on, the token that ends a word]."""
-        self.spelled: list = [{}, None, None]
-        size = len(self.end)
-        for label, i in self.vocab.items():
-            ends = label.endswith(self.end)
-            node = self.spelled
-            for c in label[:len(label) - size] if ends else label:
-                node = node[0].setdefault(c, [{}, None, None])
-            if ends:
-                node[2] = i
-            if not (ends and size):
-                node[1] = i
-        return self
-
     @property
     def states(self) -> int:
         return len(self.merge_of) + 1
@@ -101,15 +95,15 @@ class Automaton:
             raise ValueError(f"two merges make token {label!r}")
         self.merge_of[u, v] = k
         self.parts[w] = u, v
-        self.born[w] = k
+        self.made[w] = k
 
-    def _edge(self, token: int, side: int) -> list[tuple[int, float]]:
+    def _edge(self, token: int, side: int) -> list[tuple[int, int]]:
         """The tokens on one edge of a token, each with the merge that ended its life there."""
         out = self.edges[side].get(token)
         if out is None:
             out, until, t = [(token, NEVER)], NEVER, token
             while t in self.parts:
-                until = self.born[t]
+                until = self.made[t]
                 t = self.parts[t][side]
                 out.append((t, until))
             self.edges[side][token] = out
@@ -125,61 +119,194 @@ class Automaton:
                     return False
         return True
 
-    def allows(self, s: int, t: int) -> bool:
-        """Whether the state behind token s has the arc t."""
-        known = self.table.get(s << SHIFT | t)
-        if known is None:
-            if len(self.table) >= MOST_ARCS:
-                self.table.clear()
-            known = self.table[s << SHIFT | t] = self._arc(s, t)
-        return known
-
-    def _labels(self, word: str, i: int) -> list[int]:
-        """The arcs' labels that stand at place i, shortest first: end << SHIFT | token."""
-        out, node, j = [], self.spelled, i
-        for c in word[i:-1]:
-            node = node[0].get(c)
-            if node is None:
-                return out
-            j += 1
-            if node[1] is not None:
-                out.append(j << SHIFT | node[1])
-        node = node[0].get(word[-1])
-        if node is not None and node[2] is not None:
-            out.append(j + 1 << SHIFT | node[2])
+    def ready(self) -> Automaton:
+        """The tables as arrays."""
+        size = max([*self.vocab.values(), *self.parts, *(t for p in self.parts.values() for t in p), 0]) + 1
+        self.left, self.right, self.born = (np.full(size, -1, np.int64) for _ in range(3))
+        for w, (u, v) in self.parts.items():
+            self.left[w], self.right[w], self.born[w] = u, v, self.made[w]
+        keys = np.array([u << SHIFT | v for u, v in self.merge_of], np.int64)
+        order = np.argsort(keys)
+        self.pairs = keys[order]
+        self.gadgets = np.array(list(self.merge_of.values()), np.int64)[order]
+        # labels spelled from their ends: step[node, symbol] -> node, token[node]
+        known = {c: i for i, c in enumerate(self.letters)} if self.letters else None
+        nodes, tokens = {}, [-1]
+        self.lengths = np.zeros(size, np.int64)  # in bytes
+        cut = len(self.end)
+        for label, i in self.vocab.items():
+            ends = cut and label.endswith(self.end)
+            body = label[:len(label) - cut] if ends else label
+            symbols = [known[c] for c in body] if known else list(body.encode())
+            self.lengths[i] = len(symbols)
+            node = 0
+            for x in reversed([*symbols, self.END] if ends else symbols):
+                key = node << 9 | x
+                node = nodes.get(key)
+                if node is None:
+                    node = nodes[key] = len(tokens)
+                    tokens.append(-1)
+            tokens[node] = i
+        keys = np.fromiter(nodes, np.int64, len(nodes))
+        order = np.argsort(keys)
+        self.steps, self.targets, self.tokens = keys[order], np.fromiter(nodes.values(), np.int64, len(nodes))[order], np.array(tokens, np.int64)
+        self.single = None  # the same tables for one word, when one is first met
+        self.known_arcs = np.full(ARCS, -1, np.int64)  # (state, token, whether) in one number
+        return self
+
+    def _step(self, node: np.ndarray, symbol) -> np.ndarray:
+        """Nodes behind a symbol, -1 where there is none."""
+        key = node << 9 | symbol
+        at = np.minimum(np.searchsorted(self.steps, key), len(self.steps) - 1)
+        return np.where(self.steps[at] == key, self.targets[at], -1)
+
+    def _arcs(self, s: np.ndarray, t: np.ndarray) -> np.ndarray:
+        """Whether the states behind tokens s have the arcs t, walking down
+        both edges side by side, the younger token first."""
+        out = np.ones(len(s), bool)
+        open_ = np.arange(len(s))
+        y, x = s.copy(), t.copy()
+        kept_y, kept_x = np.full(len(s), NEVER), np.full(len(s), NEVER)
+        while len(open_):
+            key = y << SHIFT | x
+            at = np.minimum(np.searchsorted(self.pairs, key), max(len(self.pairs) - 1, 0))
+            if len(self.pairs):
+                k = np.where(self.pairs[at] == key, self.gadgets[at], NEVER)
+                gone = (k < kept_y) & ((k < kept_x) | (k == kept_x) & (x == y))
+                out[open_[gone]] = False
+            else:
+                gone = np.zeros(len(open_), bool)
+            born_y, born_x = self.born[y], self.born[x]
+            more = ~gone & ((born_y >= 0) | (born_x >= 0))
+            open_, y, x, kept_y, kept_x, born_y, born_x = (z[more] for z in (open_, y, x, kept_y, kept_x, born_y, born_x))
+            down = born_y >= born_x
+            kept_y, kept_x = np.where(down, born_y, kept_y), np.where(down, kept_x, born_x)
+            y, x = np.where(down, self.right[y], y), np.where(down, x, self.left[x])
         return out
 
-    def encode(self, word: str) -> list[int]:
-        """Token ids of one word (its letters, without the end mark)."""
-        n, known, labels_at = len(word), self.table.get, self._labels
-        out, open_, places = [], [labels_at(word, 0)], [0]
-        dead = set()
-        while open_:
-            labels = open_[-1]
-            before = out[-1] << SHIFT if out else -1
-            while labels:
-                label = labels.pop()
-                j, token = label >> SHIFT, label & TOKENS
-                if j in dead:
-                    continue
-                if before >= 0:
-                    fits = known(before | token)
-                    if fits is None:
-                        fits = self.allows(before >> SHIFT, token)
-                    if not fits:
-                        continue
-                out.append(token)
-                if j == n:
-                    return out
-                places.append(j)
-                open_.append(labels_at(word, j))
-                break
+    def allows(self, s: np.ndarray, t: np.ndarray) -> np.ndarray:
+        """The same by the transition table."""
+        key = s << SHIFT | t
+        slot = ((key * 0x9E3779B1) >> 11) & (ARCS - 1)
+        entry = self.known_arcs[slot]
+        out = (entry & 1).astype(bool)
+        new = np.flatnonzero(entry >> 1 != key)
+        if len(new):
+            _, first, again = np.unique(key[new], return_index=True, return_inverse=True)
+            found = self._arcs(s[new[first]], t[new[first]])[again]
+            out[new] = found
+            self.known_arcs[slot[new]] = key[new] << 1 | found
+        return out
+
+    def encode(self, words: list[bytes]) -> list[bytes]:
+        """Token ids (32 bits each) of words, none of them empty."""
+        out: list = [None] * len(words)
+        short = [i for i, w in enumerate(words) if len(w) <= LOCKSTEP]
+        for lo in range(0, len(short), 1 << 16):
+            some = short[lo:lo + (1 << 16)]
+            for i, ids in zip(some, self._lockstep([words[i] for i in some])):
+                out[i] = ids
+        for i, w in enumerate(words):
+            if out[i] is None:
+                out[i] = self._alone(w)
+        return out
+
+    def _alone(self, word: bytes) -> bytes:
+        """One long word, place by place."""
+        if self.single is None:
+            self.single = dict(zip(self.steps.tolist(), self.targets.tolist())), self.tokens.tolist(), self.lengths.tolist(), {}
+        steps, tokens, lengths, arcs = self.single
+        last, n = [], len(word)
+        for j in range(n):
+            node, found, i = steps.get(self.END, -1) if self.end and j == n - 1 else 0, [], j
+            while node >= 0 and i >= 0:
+                node = steps.get(node << 9 | word[i], -1)
+                if node >= 0 and tokens[node] >= 0:
+                    found.append(tokens[node])
+                i -= 1
+            for t in reversed(found):
+                start = j - lengths[t]
+                if start < 0:
+                    break
+                key = last[start] << SHIFT | t
+                fits = arcs.get(key)
+                if fits is None:
+                    if len(arcs) >= ARCS >> 2:
+                        del arcs[next(iter(arcs))]
+                    fits = arcs[key] = self._arc(last[start], t)
+                if fits:
+                    break
             else:
-                open_.pop()
-                dead.add(places.pop())
-                if out:
-                    out.pop()
-        raise ValueError(f"no path spells {word[:80]!r}")
+                raise ValueError(f"no path spells {word[:80]!r}")
+            last.append(t)
+        ids, j = array("i"), n - 1
+        while j >= 0:
+            ids.append(last[j])
+            j -= lengths[last[j]]
+        ids.reverse()
+        return ids.tobytes()
+
+    def _lockstep(self, words: list[bytes]) -> list[bytes]:
+        data = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
+        size = np.array([len(w) for w in words], np.int64)
+        begin = np.cumsum(size) - size
+        nth = np.arange(len(data)) - np.repeat(begin, size)  # place in the word, from 0
+        final = np.zeros(len(data), bool)
+        final[begin + size - 1] = True
+        # labels that end at each place, by walking back from it
+        where, node = np.arange(len(data)), np.zeros(len(data), np.int64)
+        if self.end:
+            node[final] = self._step(np.zeros(1, np.int64), self.END)
+        place, token = [], []
+        for back in range(int(self.lengths.max())):
+            inside = (nth[where] >= back) & (node >= 0)
+            where, node = where[inside], node[inside]
+            if not len(where):
+                break
+            node = self._step(node, data[where - back])
+            label = np.where(node >= 0, self.tokens[node], -1)
+            place.append(where[label >= 0])
+            token.append(label[label >= 0])
+        place, token = (np.concatenate(x[::-1]) if x else np.zeros(0, np.int64) for x in (place, token))  # the longest first
+        order = np.lexsort((place, nth[place]))  # stable: by place in the word, then word
+        place, token = place[order], token[order]
+        before = place - self.lengths[token]
+        start = nth[place] - self.lengths[token] < 0
+        first = np.flatnonzero(np.append(True, place[1:] != place[:-1])) if len(place) else np.zeros(0, np.int64)
+        if len(first) != len(data):
+            raise ValueError("a word has a byte that the vocabulary lacks")
+        behind = np.append(first[1:], len(place))
+        step = nth[place[first]]
+        edges = np.searchsorted(step, np.arange(int(step[-1]) + 2)) if len(step) else [0]
+        last = np.full(len(data), -1, np.int64)  # the token that ends each prefix
+        for lo, hi in zip(edges[:-1], edges[1:]):
+            at, end = first[lo:hi], behind[lo:hi]
+            while len(at):
+                fits = start[at]
+                rest = np.flatnonzero(~fits)
+                previous = last[before[at[rest]]]
+                reached = previous >= 0
+                fits[rest[reached]] = self.allows(previous[reached], token[at[rest[reached]]])
+                last[place[at[fits]]] = token[at[fits]]
+                at, end = at[~fits] + 1, end[~fits]
+                at, end = at[at < end], end[at < end]
+        # back along the path of every whole word
+        here, alive = begin + size - 1, np.arange(len(words))
+        ids, owner = [], []
+        while len(alive):
+            t = last[here]
+            if (t < 0).any():
+                raise ValueError(f"no path spells {words[int(alive[t < 0][0])][:80]!r}")
+            ids.append(t)
+            owner.append(alive)
+            here = here - self.lengths[t]
+            more = here >= begin[alive]
+            here, alive = here[more], alive[more]
+        ids, owner = (np.concatenate(x[::-1]) for x in (ids, owner))
+        by_word = np.argsort(owner, kind="stable")
+        flat = ids[by_word].astype(np.int32).tobytes()
+        upto = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(words)))]) * 4
+        return [flat[a:b] for a, b in zip(upto[:-1].tolist(), upto[1:].tolist())]
 
 
 class Tokenizer:
@@ -188,12 +315,11 @@ class Tokenizer:
     Made from plain tables, which ``compiled`` takes from the file's text."""
 
     def __init__(self, tables: dict):
-        self.automaton = Automaton(*tables["automaton"]).ready()
+        self.automaton = Automaton(*tables["automaton"], letters=byte_letters()).ready()
         self.special, self.labels = tables["special"], tables["labels"]
         self.marks = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.pattern = regex.compile(tables["pattern"])
-        self.letters = byte_letters()
-        self.memory = Memory(self._word)
+        self.memory, self.limit = {}, REMEMBERED
         self.separators = re.compile("[\x1c-\x1f]")
         self.spaces = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
 
@@ -202,30 +328,15 @@ class Tokenizer:
         spec = json.loads(text)
         model = spec["model"]
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        automaton = Automaton.compiled(model["vocab"], merges, model["end_of_word_suffix"])
+        automaton = Automaton.compiled(model["vocab"], merges, model["end_of_word_suffix"], byte_letters())
         special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        own = {s: i for s, i in automaton.vocab.items() if s not in special}
         return {
-            "automaton": (automaton.vocab, automaton.end, automaton.parts, automaton.born, automaton.merge_of), "special": special,
+            "automaton": (own, automaton.end, automaton.parts, automaton.made, automaton.merge_of), "special": special,
             "labels": {i: s for s, i in [*model["vocab"].items(), *special.items()]},
             "pattern": next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"),
         }
 
-    def _piece(self, piece: str) -> bytes:
-        """Ids (32 bits each) of one match of the pattern."""
-        if not (piece.isascii() and piece.isprintable()):  # else its bytes are their own letters
-            letters = self.letters
-            piece = "".join([letters[b] for b in piece.encode()])
-        return array("i", self.automaton.encode(piece)).tobytes()
-
-    def _word(self, word: str) -> bytes:
-        """Ids of a text without white space."""
-        if word.isascii() and word.isalpha():
-            return self._piece(word)
-        pieces = self.pattern.findall(word)
-        if len(pieces) == 1:
-            return self._piece(word)
-        return b"".join([self.memory[p] if p.isalpha() else self._piece(p) for p in pieces])
-
     def _words(self, text: str) -> list[str]:
         """The lower-cased words between white space."""
         if not text.isascii():
@@ -237,32 +348,54 @@ class Tokenizer:
         lower = lambda t: t.replace("\u03a3", "\u03c3").lower()
         return lower(" ".join(text.split())).split(" ") if spaced is None else [lower(w) for w in spaced if w]
 
-    def encode(self, text: str | None) -> bytes:
-        """Ids (32 bits each) of a text; null is the empty text."""
-        text, known = text or "", self.memory.__getitem__
-        if not self.marks or "<" not in text:
-            return b"".join(map(known, self._words(text)))
-        out = []
-        for i, part in enumerate(self.marks.split(text)):
-            out += [array("i", [self.special[part]]).tobytes()] if i % 2 else map(known, self._words(part))
-        return b"".join(out)
-
-
-class Memory(dict):
-    """Encodings of words met before; the older half goes when it is full."""
-
-    def __init__(self, word, limit: int = REMEMBERED):
-        super().__init__()
-        self.word, self.limit = word, limit
+    def _learn(self, words: set[str]) -> dict[str, bytes]:
+        """Encodings of new words: their pieces are read together, each once."""
+        plain, pieces = [], {}
+        for w in words:
+            if w.isascii() and w.isalpha():
+                plain.append(w)
+            else:
+                pieces[w] = self.pattern.findall(w)
+        new = list({*plain, *(p for found in pieces.values() for p in found if p)})
+        ids = dict(zip(new, self.automaton.encode([p.encode() for p in new])))
+        for w, found in pieces.items():
+            ids[w] = b"".join([ids[p] for p in found if p]) if len(found) != 1 or found[0] != w else ids[w]
+        return {w: ids[w] for w in words}
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids (32 bits each) of texts; null is the empty text."""
+        out, lo = [], 0
+        while lo < len(texts):
+            hi, size = lo, 0
+            while hi < len(texts) and (hi == lo or size + len(texts[hi] or "") <= TOGETHER):
+                size += len(texts[hi] or "")
+                hi += 1
+            out += self._encode(texts[lo:hi])
+            lo = hi
+        return out
 
-    def __missing__(self, word: str):
-        ids = self.word(word)
-        if len(word) <= 64:
-            if len(self) >= self.limit:
-                for old in list(islice(self, self.limit // 2)):
-                    del self[old]
-            self[word] = ids
-        return ids
+    def _encode(self, texts: list[str | None]) -> list[bytes]:
+        parts = []
+        for text in texts:
+            text = text or ""
+            parts.append(self.marks.split(text) if self.marks and "<" in text else [text])
+        words = [[self._words(part) if i % 2 == 0 else part for i, part in enumerate(found)] for found in parts]
+        known = self.memory
+        if len(known) > self.limit:  # the older half goes
+            for old in list(islice(known, len(known) // 2)):
+                del known[old]
+        new = set()
+        for found in words:
+            for part in found[::2]:
+                new.update(part)
+        fresh = self._learn(new.difference(known))
+        known.update(fresh)
+        get = known.__getitem__
+        out = [b"".join([b"".join(map(get, part)) if i % 2 == 0 else array("i", [self.special[part]]).tobytes() for i, part in enumerate(found)]) for found in words]
+        for word in fresh:
+            if len(word) > 64:
+                del known[word]
+        return out
 
 
 def of_worker(tables: dict) -> Tokenizer:
@@ -300,9 +433,9 @@ def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", ids_col: str
     def run(batches):
         spec = of_worker(held.value)
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                found = [spec.encode(text) for text in part.column(place).to_pylist()]
+            for at in range(0, batch.num_rows, 2048):
+                part = batch.slice(at, 2048)
+                found = spec.encode(part.column(place).to_pylist())
                 off = np.cumsum([0, *(len(x) // 4 for x in found)], dtype=np.int32)
                 ids = pa.ListArray.from_arrays(pa.array(off), pa.array(np.frombuffer(b"".join(found), np.int32)))
                 yield pa.RecordBatch.from_arrays([*part.columns, ids], names=[*names, ids_col])

@@ -4,12 +4,13 @@ import sys
 from array import array
 
 import duckdb
+import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer as Library
 
 from forkcast.llm import bpe_automaton
-from forkcast.llm.bpe_automaton import Automaton, Memory, Tokenizer
+from forkcast.llm.bpe_automaton import Automaton, Tokenizer
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -61,15 +62,20 @@ def test_automaton_on_random_merges():
                 merges.append((a, b))
         automaton = Automaton.compiled({t: i for i, t in enumerate(tokens)}, merges)
         assert automaton.states <= len(merges) + 1
-        for _ in range(60):
-            word = [rng.choice("abc" if rng.random() < 0.7 else "a") for _ in range(rng.randrange(1, 14))]
-            assert [tokens[i] for i in automaton.encode("".join(word))] == plain_bpe(word, merges), (merges, word)
+        words = [[rng.choice("abc" if rng.random() < 0.7 else "a") for _ in range(rng.randrange(1, 14))] for _ in range(60)] + [["a"] * 200]
+        for word, ids in zip(words, automaton.encode(["".join(w).encode() for w in words])):
+            assert [tokens[i] for i in array("i", ids)] == plain_bpe(word, merges), (merges, word)
+        # the table says what the gadgets say, also when its entries are replaced
+        some = np.array([[i, j] for i in range(len(tokens)) for j in range(len(tokens)) if tokens[i] in automaton.vocab and tokens[j] in automaton.vocab])
+        automaton.known_arcs[:] = rng.randrange(1 << 40)
+        for _ in range(2):
+            assert automaton.allows(some[:, 0], some[:, 1]).tolist() == [automaton._arc(i, j) for i, j in some.tolist()]
 
 
 def same(own, library, texts):
-    own.memory = Memory(own._word, limit=1000)
-    for text, want in zip(texts, library.encode_batch(texts, add_special_tokens=False)):
-        got = array("i", own.encode(text)).tolist()
+    own.memory, own.limit = {}, 1000
+    for text, ids, want in zip(texts, own.encode(texts), library.encode_batch(texts, add_special_tokens=False)):
+        got = array("i", ids).tolist()
         assert got == want.ids, text[:200]
         assert " ".join(map(own.labels.__getitem__, got)) == library.decode(want.ids, skip_special_tokens=False)
 
@@ -93,7 +99,7 @@ def test_every_character_like_the_library(own, library):
     import unicodedata
     chars = [chr(c) for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000 and unicodedata.category(chr(c)) != "Cn"]
     texts = [f"a{c}1{c}{c} " for c in chars]
-    wrong = [c for c, t, want in zip(chars, texts, library.encode_batch(texts, add_special_tokens=False)) if array("i", own.encode(t)).tolist() != want.ids]
+    wrong = [c for c, ids, want in zip(chars, own.encode(texts), library.encode_batch(texts, add_special_tokens=False)) if array("i", ids).tolist() != want.ids]
     assert wrong == [], (len(wrong), [hex(ord(c)) for c in wrong[:50]])
 
 
