@@ -69,7 +69,8 @@ def records(pages: DataFrame, date: Column, id_col: str = "page_id", url_col: st
     rows = rows.withColumn("size", F.octet_length("payload"))
     # narrow rows, combined before the shuffle; only repeated payloads go on
     first = rows.where(F.col("size") >= LEAST_BYTES).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n"))
-    first = first.where("n > 1 and first is not null").select("digest", "first")
+    # written first, so its real size decides whether payloads have to move for the join
+    first = materialize(first.where("n > 1 and first is not null").select("digest", "first"), "repeated")
     rows = rows.join(first, "digest", "left")
     again = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))
     seen = F.col("payload").contains(VERSION)
