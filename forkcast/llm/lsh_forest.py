@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from forkcast.llm import graph
 from forkcast.llm.words import SPACED, Words, lower_ascii, mix, runs, shingles
@@ -65,14 +66,11 @@ def _signer():
                 size = np.bincount(row, minlength=n)
                 full = np.flatnonzero(size)
                 least = np.zeros((n, VALUES), np.uint32)
-                digests = np.zeros((2, n), np.uint64)
                 if len(full):
                     at = np.searchsorted(row, full)
                     h = (g >> np.uint64(32)).astype(np.uint32)
                     for i in range(VALUES):
                         least[full, i] = np.minimum.reduceat((h ^ plus[i]) * times[i], at)
-                    for i, salt in enumerate((0x51ED270B7F4A7C15, 0x2545F4914F6CDD1D)):
-                        digests[i, full] = np.add.reduceat(mix(g ^ np.uint64(salt)), at)
                 keys = np.zeros((n, TREES), np.uint64)
                 for t in range(TREES):
                     for d in range(DEPTH):
@@ -80,7 +78,7 @@ def _signer():
                 signature = least.astype(np.uint8)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(lo, n), pa.array(size, pa.int64()),
-                    *(pa.array(d.view(np.int64)) for d in digests),
+                    *(pa.array(d) for d in _digests(row, g, n)),
                     pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * TREES), pa.array(keys.reshape(-1).view(np.int64))),
                     pa.array([s.tobytes() for s in signature], pa.binary()),
                 ], names=["doc_id", "n_shingles", "d1", "d2", "keys", "sig"])
@@ -182,6 +180,35 @@ def _cross(least_percent: int):
     return cross
 
 
+def _digests(row: np.ndarray, g: np.ndarray, n: int) -> np.ndarray:
+    """Two 64-bit digests of every row's set (0 for the empty set)."""
+    out = np.zeros((2, n), np.uint64)
+    full = np.flatnonzero(np.bincount(row, minlength=n))
+    if len(full):
+        at = np.searchsorted(row, full)
+        for i, salt in enumerate((0x51ED270B7F4A7C15, 0x2545F4914F6CDD1D)):
+            out[i, full] = np.add.reduceat(mix(g ^ np.uint64(salt)), at)
+    return out.view(np.int64)
+
+
+def _with_digests(place: int, names: list[str]):
+    """mapInArrow: rows with d1, d2 of the text in column ``place``."""
+    def add(batches):
+        for batch in batches:
+            for lo, data, off in runs(batch.column(place).cast(pa.string())):
+                row, g = shingles(Words(lower_ascii(data), off, SPACED), SHINGLE_WORDS)
+                n = len(off) - 1
+                yield pa.RecordBatch.from_arrays([*batch.slice(lo, n).columns, *(pa.array(d) for d in _digests(row, g, n))], names=[*names, "set_d1", "set_d2"])
+    return add
+
+
+def with_digests(rows: DataFrame, text_col: str) -> DataFrame:
+    """``rows`` with set_d1, set_d2, the identity of a text's shingle set."""
+    names = rows.columns
+    schema = T.StructType([*rows.schema.fields, T.StructField("set_d1", T.LongType()), T.StructField("set_d2", T.LongType())])
+    return rows.mapInArrow(_with_digests(names.index(text_col), names), schema)
+
+
 def _shingle_lists(batches):
     """mapInArrow: (rep, text) -> rep, its distinct shingles."""
     for batch in batches:
@@ -240,29 +267,25 @@ def _rest(members: DataFrame, able: DataFrame, comps: DataFrame, least_percent:
             .mapInArrow(_cross(least_percent), "a long, b long").distinct())
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_percent: int = 85) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept; one row per input row.
-
-    Texts are lower-cased (A-Z) and split at white space; a document's set is
-    its distinct 5-word shingles, or its whole sequence if that is shorter.
-    Documents with 100 * intersection >= least_percent * union are linked;
-    component_id is the smallest id reachable, kept marks that document.
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_percent: int = 85) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(signed, sets, links): ``signatures`` of all rows; rep, first_id, d1,
+    d2 of every distinct non-empty shingle set (rep is a number of its own,
+    first_id the smallest id that has it); links (a, b) between reps.
 
-    Null or empty texts and texts without words have the empty set and are
-    linked with nothing.  Rows with a null id are linked with nothing: their
-    component is null and they are kept.  Rows that share an id count as one
-    document with all their links.  An empty table gives an empty result;
-    columns besides id and text are ignored, whatever their names.
-    """
+    Sets are told apart by their digests alone, so ids that stand on several
+    texts confuse nothing."""
     signed = materialize(signatures(docs, id_col, text_col), "signed")
     reps = materialize(signed.where("n_shingles > 0 and doc_id is not null").groupBy("d1", "d2")
-                       .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"), F.first("sig").alias("sig")), "reps")
+                       .agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"), F.first("sig").alias("sig"))
+                       .withColumn("rep", F.monotonically_increasing_id()), "reps")
     places = reps.select("rep", F.posexplode("keys").alias("tree", "key"))
     shared = places.groupBy("tree", "key").agg(F.count("*").alias("sets")).where("sets > 1").drop("sets")
     members = materialize(places.join(shared, ["tree", "key"]), "regions")
-    texts = materialize(
-        docs.select(F.col(id_col).cast("long").alias("rep"), F.col(text_col).cast("string").alias("text"))
-        .join(members.select("rep").distinct().hint("merge"), "rep", "left_semi"), "texts")  # ids grow with the corpus: never broadcast
+    wanted = reps.select("rep", "first_id", "d1", "d2").join(members.select("rep").distinct(), "rep", "left_semi")
+    found = (docs.select(F.col(id_col).cast("long").alias("first_id"), F.col(text_col).cast("string").alias("text"))
+             .join(wanted.select("first_id").distinct().hint("merge"), "first_id", "left_semi"))  # ids grow with the corpus: never broadcast
+    found = with_digests(found, "text").withColumnsRenamed({"set_d1": "d1", "set_d2": "d2"}).join(wanted, ["first_id", "d1", "d2"])
+    texts = materialize(found.groupBy("rep").agg(F.first("text").alias("text")), "texts")
 
     every = texts.mapInArrow(_shingle_lists, "rep long, shingles array<long>").select("rep", F.explode("shingles").alias("shingle"))
     own = (every.groupBy("shingle").agg(F.count("*").alias("sets"), F.min("rep").alias("rep")).where("sets = 1")
@@ -288,17 +311,55 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = materialize(confirmed(first, texts, least_percent), "links")
     comps = materialize(graph.components(links), "components")
     more = materialize(confirmed(_rest(members, able, comps, least_percent), texts, least_percent), "links")
-    comps = graph.components(links.unionAll(more))
+    return signed, reps.select("rep", "first_id", "d1", "d2"), links.unionAll(more)
+
 
-    classes = reps.select("d1", "d2", "rep").join(comps.select(F.col("id").alias("rep"), "component"), "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component"))
-    out = signed.select("doc_id", "n_shingles", "d1", "d2").join(classes, ["d1", "d2"], "left")
-    component = F.when(F.col("doc_id").isNull(), None).when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component"))
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_percent: int = 85) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept; one row per input row.
+
+    Texts are lower-cased (A-Z) and split at white space; a document's set is
+    its distinct 5-word shingles, or its whole sequence if that is shorter.
+    Documents with 100 * intersection >= least_percent * union are linked;
+    component_id is the smallest id reachable, kept marks that document.
+
+    Null or empty texts and texts without words have the empty set and are
+    linked with nothing.  Rows with a null id are linked with nothing: their
+    component is null and they are kept.  Rows that share an id count as one
+    document with all their links; those of them without words stay on their
+    own.  An empty table gives an empty result; columns besides id and text
+    are ignored, whatever their names.
+    """
+    signed, sets, links = classes(docs, id_col, text_col, least_percent)
+    # ids that stand on several sets: the sets are one document's
+    several = signed.where("n_shingles > 0 and doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("d1", "d2")).alias("low"), F.max(F.struct("d1", "d2")).alias("high")).where("low <> high")
+    of_id = signed.where("n_shingles > 0").select("doc_id", "d1", "d2").join(several.select("doc_id"), "doc_id", "left_semi").distinct().join(sets.select("rep", "d1", "d2"), ["d1", "d2"])
+    tied = of_id.join(of_id.groupBy("doc_id").agg(F.min("rep").alias("b")), "doc_id").select(F.col("rep").alias("a"), "b")
+    comps = graph.components(links.unionAll(tied)).select(F.col("id").alias("rep"), "component")
+    named = sets.join(comps, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    smallest = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    named = named.join(smallest, "component").select("d1", "d2", F.col("component_id").alias("of_set"))
+    out = signed.select("doc_id", "n_shingles", "d1", "d2").join(named, ["d1", "d2"], "left")
+    component = F.when(F.col("doc_id").isNull(), None).when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("of_set"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_percent: int = 80) -> DataFrame:
-    """The rows of ``docs``, all columns, without near duplicates of a smaller
-    id.  Of rows that share an id one stays; rows with a null id all stay."""
-    gone = near_duplicates(docs, id_col, text_col, least_percent).where(~F.col("kept")).select(F.col("doc_id").alias("duplicate_id")).distinct().hint("merge")
-    stay = docs.where(F.col(id_col).isNotNull()).join(gone, docs[id_col].cast("long") == gone["duplicate_id"], "left_anti")
-    return stay.dropDuplicates([id_col]).unionByName(docs.where(F.col(id_col).isNull()))
+    """The rows of ``docs``, all columns, one of each group of near duplicates:
+    the one with the smallest id.
+
+    Rows are judged by their texts, so rows that share an id go or stay each
+    by its own; of rows with one id and one shingle set (also the empty one)
+    one stays.  Rows with a null id all stay.  Columns named set_d1, set_d2
+    are taken.  An empty table gives an empty result.
+    """
+    signed, sets, links = classes(docs, id_col, text_col, least_percent)
+    comps = graph.components(links).select(F.col("id").alias("rep"), "component")
+    named = sets.join(comps, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    chosen = named.groupBy("component").agg(F.min(F.struct("first_id", "rep")).alias("first"))
+    stays = named.join(chosen, "component").where(F.col("rep") == F.col("first.rep")).select("d1", "d2", F.col("first_id").alias("stays"))
+    gone = (signed.where("n_shingles > 0 and doc_id is not null").select("doc_id", "d1", "d2").distinct().join(stays, ["d1", "d2"], "left")
+            .where("stays is null or doc_id <> stays").select(F.col("doc_id").alias("gone_id"), F.col("d1").alias("gone_d1"), F.col("d2").alias("gone_d2")).hint("merge"))
+    rows = with_digests(docs, text_col)
+    same = [rows[id_col].cast("long") == F.col("gone_id"), rows["set_d1"] == F.col("gone_d1"), rows["set_d2"] == F.col("gone_d2")]
+    stay = rows.where(F.col(id_col).isNotNull()).join(gone, same, "left_anti")
+    return stay.dropDuplicates([id_col, "set_d1", "set_d2"]).drop("set_d1", "set_d2").unionByName(docs.where(F.col(id_col).isNull()))
