@@ -41,7 +41,7 @@ def test_stages_against_brute_force(spark):
     groups = components([(i, r.text) for i, r in kept.items()], 80)
     assert set(rows["near_duplicates"]) == {c for _, c in groups.values()}
     items = [t for t, in duckdb.sql(f"select text from '{PATH}/benchmark.parquet'").fetchall()]
-    hit = {i for i, r in rows["near_duplicates"].items() if any(leaks(r.text, t) for t in items if set(t.lower().split()) & set(r.text.lower().split()))}
+    hit = {i for i, r in rows["near_duplicates"].items() if any(leaks(r.text, t) for t in items)}
     assert hit and set(rows["decontamination"]) == set(rows["near_duplicates"]) - hit
     assert {i: (r.text, r.n_chars) for i, r in rows["secrets"].items()} == {i: (t, len(t)) for i in rows["decontamination"] for t in [redacted(text[i])]}
     library = Library.from_file(tokenizer_path())
