@@ -233,12 +233,12 @@ def minimise(over, positive: np.ndarray, edges: list[np.ndarray], theta: np.ndar
     return theta
 
 
-def estimated_prior(shares_positive: np.ndarray, shares_unlabelled: np.ndarray, n_positive: int, n_unlabelled: float) -> float:
-    """The least ratio of shares above a threshold, over thresholds that a
-    tenth of the positives pass, each raised by what chance may take off."""
-    chance = np.sqrt(np.log(40) / (2 * n_unlabelled)) + np.sqrt(np.log(40) / (2 * n_positive)) * shares_unlabelled
-    ratio = (shares_unlabelled + chance) / np.maximum(shares_positive, 1e-12)
-    return float(np.clip(ratio[shares_positive >= 0.1].min(initial=0.99), 0.01, 0.99))
+def estimated_prior(shares_positive: np.ndarray, shares_unlabelled: np.ndarray) -> float:
+    """The least ratio of shares above a threshold, over thresholds that
+    half of the positives pass.  Chance makes it rather too small than too
+    large, which is the side on which the risk stays away from its bound."""
+    ratio = shares_unlabelled / np.maximum(shares_positive, 1e-12)
+    return float(np.clip(ratio[shares_positive >= 0.5].min(initial=0.99), 0.01, 0.99))
 
 
 def _thresholds(positive: np.ndarray, edges: list[np.ndarray], theta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -260,9 +260,11 @@ def learnt(over, above, n: float, positive: np.ndarray, edges: list[np.ndarray],
     prior's)."""
     theta = np.zeros(_width(edges))
     if prior is None:
-        theta = minimise(over, positive, edges, theta, 0.5)
-        at, shares = _thresholds(positive, edges, theta)
-        prior = estimated_prior(shares, above(theta, at) / n, len(positive), n)
+        # one half of the positives teaches, the other, which it has not seen, is compared
+        taught, compared = (positive[::2], positive[1::2]) if len(positive) > 1 else (positive, positive)
+        theta = minimise(over, taught, edges, theta, 0.5)
+        at, shares = _thresholds(compared, edges, theta)
+        prior = estimated_prior(shares, above(theta, at) / n)
     theta = minimise(over, positive, edges, theta, prior)
     return Model(edges, theta[:-1], float(theta[-1]), prior)
 
