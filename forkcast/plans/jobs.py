@@ -143,7 +143,7 @@ def analysis_outputs(venue: DataFrame, boundaries: DataFrame, cuisines: list[str
         data = df.select("id", *cols, "rating_binary").where("rating_binary IS NOT NULL")
         train, test = models.split(data, "stratified", "id", label="rating_binary")
         frames = [models.evaluate_classifier(k, train, test, cols, "rating_binary")
-                  for k in ("logistic", "random_forest", "rff_svm", "mlp")]
+                  for k in ("logistic", "random_forest", "nystrom_svm", "relu_network")]
         out["classifier_comparison"] = evaluate.compare(frames)
         out["spark_ml_metrics"] = spark_ml_stage(feats)
         reg_cols = models.feature_columns(feats, {"id", "rating_number", *models.LEAKY_FOR_REGRESSION})

@@ -213,7 +213,7 @@ def _clf(kind):
 
 
 for _kind, _name in (("logistic", "logreg"), ("random_forest", "random_forest"), ("rff_svm", "rff_svm"),
-                     ("mlp", "mlp")):
+                     ("mlp", "mlp"), ("nystrom_svm", "nystrom_svm"), ("relu_network", "relu_network")):
     register(_name)(_clf(_kind))
 
 
