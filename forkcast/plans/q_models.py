@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from forkcast.functions import scalars as S
-from forkcast.operators import evaluate, features, models
+from forkcast.operators import descent, evaluate, features, models
 from forkcast.operators.split import hash_split, stratified_split
 from forkcast.plans import jobs
 from forkcast.plans.oracle_views import with_views
@@ -187,6 +187,18 @@ def q_sgd_fit(spark, d):
     return evaluate.regression_metrics(scored, "rating_number").withColumn("model", F.lit("sgd"))
 
 
+@register("sgd_per_sample")
+def q_sgd_per_sample(spark, d):
+    """ML5 by per-sample steps; a round is 200 epochs, as the table is small at every test scale."""
+    f, cols = _reg_data(spark, d)
+    f = materialize(f.select("id", *cols, "rating_number").dropna(), "sgd")
+    train, test = models.split(f, "hash_exact", "id")
+    fit, valid = models.split(train, "hash", "id", seed=7, test_fraction=0.1)
+    fitted = descent.fit(fit, valid, cols, "rating_number", local_epochs=200)
+    scored = test.withColumn("prediction", fitted.prediction(cols))
+    return evaluate.regression_metrics(scored, "rating_number").withColumn("model", F.lit("sgd_per_sample"))
+
+
 @register("pca_ols")
 def q_pca_ols(spark, d):
     f, cols = _reg_data(spark, d)
