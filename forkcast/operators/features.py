@@ -41,6 +41,22 @@ def list_categories(df: DataFrame, col: str, parity: bool = False) -> list[str]:
     return [r["v"] for r in df.select(F.explode(list_column(col, parity)).alias("v")).distinct().orderBy("v").collect()]
 
 
+def wide_categories(df: DataFrame, list_cols: list[str], text_cols: list[str], parity: bool = False) -> dict[str, list[str]]:
+    """``list_categories`` of several list columns and the distinct values of
+    text columns, sorted, from one scan."""
+    pair = lambda c, v: F.struct(F.lit(c).alias("c"), v.cast("string").alias("v"))
+    listed = lambda c: F.transform(list_column(c, parity), lambda x: pair(c, x))
+    items = [F.coalesce(listed(c), F.array().cast("array<struct<c:string,v:string>>")) for c in list_cols]
+    items += [F.array(pair(c, as_text(c, parity))) for c in text_cols]
+    if not items:
+        return {}
+    rows = df.select(F.explode(F.concat(*items)).alias("x")).select("x.*").where("v is not null").distinct().collect()
+    out: dict[str, list[str]] = {c: [] for c in (*list_cols, *text_cols)}
+    for c, v in sorted((r["c"], r["v"]) for r in rows):
+        out[c].append(v)
+    return out
+
+
 def multi_hot(df: DataFrame, col: str, prefix: str | None = None, categories: list[str] | None = None,
               parity: bool = False, keep_list: bool = True) -> DataFrame:
     """``MultiLabelBinarizer``: one INT 0/1 column ``<prefix>_<item>`` per
@@ -163,13 +179,15 @@ def build_features(clean: DataFrame, parity: bool = False, wide_subzone: bool =
     df = add_rating_ordinal(clean)
     if "subzone" in df.columns:
         df = df.withColumn("subzone", normalise_key("subzone", parity))
+    lists = [c for c in ("cuisine", "type") if c in df.columns]
+    known = wide_categories(df, lists, ["subzone"] if wide_subzone and "subzone" in df.columns else [], parity) if form == "wide" else {}
     for col in ("cuisine", "type"):
         if col in df.columns:
-            df = multi_hot(df, col, parity=parity) if form == "wide" else multi_hot_vector(df, col, f"{col}_vec", parity)[0]
+            df = multi_hot(df, col, categories=known[col], parity=parity) if form == "wide" else multi_hot_vector(df, col, f"{col}_vec", parity)[0]
     if "subzone" in df.columns:
         df = group_frequency(df, "subzone", "subzone_freq")
         if wide_subzone:
-            df = one_hot_bool(df, "subzone", parity=parity) if form == "wide" else one_hot_vector(df, "subzone", "subzone_vec")
+            df = one_hot_bool(df, "subzone", categories=known["subzone"], parity=parity) if form == "wide" else one_hot_vector(df, "subzone", "subzone_vec")
     if "cuisine" in df.columns:
         df = diversity(df, "cuisine")
     if "cost" in df.columns:

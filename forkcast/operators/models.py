@@ -72,6 +72,17 @@ def _usable(df: DataFrame, key: str, cols: list[str], label: str) -> DataFrame:
     return df.select(key, *cols, label).dropna(subset=[*cols, label])
 
 
+def _enough(df: DataFrame, key: str, cols: list[str], label: str, min_rows: int) -> DataFrame | None:
+    """The usable rows, held for split, fit and scores; None if there are too few."""
+    if label not in df.columns or not cols:
+        return None
+    data = _usable(df, key, cols, label).persist(StorageLevel.MEMORY_AND_DISK)
+    if data.limit(min_rows).count() < min_rows:
+        data.unpersist()
+        return None
+    return data
+
+
 _REGRESSION = "model string, mse double, r2 double, train_time_s double, infer_time_s double"
 _CLASSIFICATION = ("model string, accuracy double, precision double, recall double, f1 double, "
                    "train_time_s double, infer_time_s double")
@@ -84,10 +95,10 @@ def _null_record(df: DataFrame, model: str, schema: str) -> DataFrame:
 def _fit_and_score(data: DataFrame, cols: list[str], label: str, key: str, split_how: str, seed: int, estimator, metrics,
                    name: str, schema: str) -> DataFrame:
     """Assembler -> StandardScaler(mean, std) -> estimator on the training
-    part, scored on the other: one row of ``schema``."""
+    part, scored on the other: one row of ``schema``.  ``data`` is held, and
+    released here."""
     train, test = split(data, split_how, key, seed=seed)
     scale = [assembler(cols, handle_invalid="skip"), StandardScaler(inputCol="features_raw", outputCol="features", withMean=True, withStd=True)]
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
     model, t_fit = timed(Pipeline(stages=[*scale, estimator]).fit, train)
     pred, t_inf = _score(model, test)
     times = {"model": F.lit(name), "train_time_s": F.lit(t_fit), "infer_time_s": F.lit(t_inf)}
@@ -95,7 +106,7 @@ def _fit_and_score(data: DataFrame, cols: list[str], label: str, key: str, split
     out = metrics(pred, label).select(*[times[c].alias(c) if c in times else F.col(c) for c in names]).cache()
     out.count()
     pred.unpersist()
-    train.unpersist()
+    data.unpersist()
     return out
 
 
@@ -106,9 +117,10 @@ def spark_regression(df: DataFrame, label: str = "rating_number", key: str = "id
     with under ``min_rows`` usable rows, under the same schema."""
     excl = {label, key} | (set() if parity else set(LEAKY_FOR_REGRESSION))
     cols = feature_columns(df, excl, vectors=True)
-    if label not in df.columns or not cols or _usable(df, key, cols, label).limit(min_rows).count() < min_rows:
+    data = _enough(df, key, cols, label, min_rows)
+    if data is None:
         return _null_record(df, "spark_ols", _REGRESSION)
-    return _fit_and_score(_usable(df, key, cols, label), cols, label, key, split_how, seed,
+    return _fit_and_score(data, cols, label, key, split_how, seed,
                           LinearRegression(featuresCol="features", labelCol=label, predictionCol="prediction"), regression_metrics, "spark_ols", _REGRESSION)
 
 
@@ -120,9 +132,10 @@ def spark_classification(df: DataFrame, label: str = "rating_binary", key: str =
     the same schema."""
     excl = {label, key, "rating_number"} | (set() if parity else set(LEAKY_FOR_CLASSIFICATION))
     cols = feature_columns(df, excl, vectors=True)
-    if label not in df.columns or not cols or _usable(df, key, cols, label).limit(min_rows).count() < min_rows:
+    data = _enough(df, key, cols, label, min_rows)
+    if data is None:
         return _null_record(df, "spark_logistic", _CLASSIFICATION)
-    return _fit_and_score(_usable(df, key, cols, label), cols, label, key, split_how, seed,
+    return _fit_and_score(data, cols, label, key, split_how, seed,
                           LogisticRegression(featuresCol="features", labelCol=label, predictionCol="prediction", maxIter=100, regParam=0.1, elasticNetParam=0.0),
                           classification_metrics, "spark_logistic", _CLASSIFICATION)
 
