@@ -114,16 +114,59 @@ def bounding_box(df: DataFrame, xmin="min_x", ymin="min_y", xmax="max_x", ymax="
                   F.max(xmax).alias("maxx"), F.max(ymax).alias("maxy"))
 
 
+#: Flattening of the WGS 84 and GRS 80 ellipsoids (axis 6378137 m).
+WGS84_F, GRS80_F = 1 / 298.257223563, 1 / 298.257222101
+#: Scale and offsets of the 6-degree transverse Mercator grids.
+GRID_SCALE, FALSE_EASTING, FALSE_NORTHING = 0.9996, 500_000.0, 10_000_000.0
+
+# Krueger's series in the third flattening n, rows by harmonic,
+# from the power of the harmonic up to n^4 (under 0.1 mm within a zone).
+_TO_SPHERE = ((1 / 2, -2 / 3, 37 / 96, -1 / 360), (1 / 48, 1 / 15, -437 / 1440), (17 / 480, -37 / 840), (4397 / 161280,))
+_TO_LATITUDE = ((2, -2 / 3, -2, 116 / 45), (7 / 3, -8 / 5, -227 / 45), (56 / 15, -136 / 35), (4279 / 630,))
+
+
+def _harmonics(table, n: Column) -> list[Column]:
+    return [sum((F.lit(float(c)) * F.pow(n, F.lit(float(i + j + 1))) for j, c in enumerate(row)), F.lit(0.0)) for i, row in enumerate(table)]
+
+
+def _let(value: Column, body) -> Column:
+    """body(value), the value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def inverse_transverse_mercator(x: Column, y: Column, flattening: Column, meridian: Column, northing: Column) -> Column:
+    """struct(lon, lat) in degrees of grid coordinates in metres, by Krueger's
+    series; ellipsoid, central meridian (degrees) and false northing are
+    columns, so rows of several zones go through one expression."""
+    def on(p: Column) -> Column:
+        n = p["n"]
+        to_sphere = _harmonics(_TO_SPHERE, n)
+        radius = F.lit(6378137.0) / (1 + n) * (1 + F.pow(n, F.lit(2.0)) / 4 + F.pow(n, F.lit(4.0)) / 64) * GRID_SCALE
+        return _let(F.struct(((p["y"] - p["northing"]) / radius).alias("xi"), ((p["x"] - FALSE_EASTING) / radius).alias("eta")), lambda g: _let(F.struct(
+            (g["xi"] - sum(c * F.sin(2 * k * g["xi"]) * F.cosh(2 * k * g["eta"]) for k, c in enumerate(to_sphere, 1))).alias("xi"),
+            (g["eta"] - sum(c * F.cos(2 * k * g["xi"]) * F.sinh(2 * k * g["eta"]) for k, c in enumerate(to_sphere, 1))).alias("eta")),
+            lambda s: _let(F.asin(F.sin(s["xi"]) / F.cosh(s["eta"])), lambda chi: F.struct(
+                (p["meridian"] + F.degrees(F.atan2(F.sinh(s["eta"]), F.cos(s["xi"])))).alias("lon"),
+                F.degrees(chi + sum(c * F.sin(2 * k * chi) for k, c in enumerate(_harmonics(_TO_LATITUDE, n), 1))).alias("lat")))))
+
+    return _let(F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"), (flattening / (2 - flattening)).alias("n"), meridian.alias("meridian"), northing.alias("northing")), on)
+
+
 def to_wgs84(x: Column, y: Column, srid: Column) -> tuple[Column, Column]:
     """Reproject (x, y) to EPSG:4326 longitude/latitude: identity for 4326 or
-    unknown (NULL) SRID, closed-form inverse spherical Mercator for 3857;
-    any other code fails the job (no general CRS library on the cluster)."""
-    lon = (F.when(srid.isNull() | (srid == 4326), x)
-            .when(srid == 3857, F.degrees(x / F.lit(EARTH_RADIUS_M)))
-            .otherwise(F.raise_error(F.concat(F.lit("unsupported CRS EPSG:"), srid.cast("string")))))
-    lat = (F.when(srid.isNull() | (srid == 4326), y)
-            .when(srid == 3857, F.degrees(F.lit(2.0) * F.atan(F.exp(y / F.lit(EARTH_RADIUS_M))) - F.lit(math.pi / 2)))
-            .otherwise(F.raise_error(F.concat(F.lit("unsupported CRS EPSG:"), srid.cast("string")))))
+    unknown (NULL) SRID, closed-form inverse spherical Mercator for 3857, and
+    inverse transverse Mercator for UTM (326zz north, 327zz south) and the
+    Australian map grid on either datum (283zz, 78zz), whose geographic
+    systems are taken as WGS 84 (they differ by under two metres).  Any other
+    code fails the job."""
+    zone = F.when(srid.between(32601, 32660), srid - 32600).when(srid.between(32701, 32760), srid - 32700).when(srid.between(28348, 28358), srid - 28300).when(srid.between(7846, 7859), srid - 7800)
+    flattening = F.when(srid.between(32601, 32760), F.lit(WGS84_F)).otherwise(F.lit(GRS80_F))
+    grid = inverse_transverse_mercator(x, y, flattening, zone * 6.0 - 183.0, F.when(srid.between(32601, 32660), 0.0).otherwise(FALSE_NORTHING))
+    same, mercator = srid.isNull() | (srid == 4326), srid == 3857
+    unknown = F.raise_error(F.concat(F.lit("unsupported CRS EPSG:"), srid.cast("string")))
+    lon = F.when(same, x).when(mercator, F.degrees(x / F.lit(EARTH_RADIUS_M))).when(zone.isNotNull(), grid["lon"]).otherwise(unknown)
+    lat = (F.when(same, y).when(mercator, F.degrees(F.lit(2.0) * F.atan(F.exp(y / F.lit(EARTH_RADIUS_M))) - F.lit(math.pi / 2)))
+            .when(zone.isNotNull(), grid["lat"]).otherwise(unknown))
     return lon.cast("double"), lat.cast("double")
 
 
