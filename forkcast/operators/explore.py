@@ -125,6 +125,34 @@ def histogram(df: DataFrame, value: str, bins: int = 30) -> DataFrame:
                         F.coalesce(F.col("n"), F.lit(0)).cast("bigint").alias("n")))
 
 
+def kde_curve_binned(df: DataFrame, value: str, gridsize: int = 200, error: float = 1e-6) -> DataFrame:
+    """``kde_curve`` of a continuous column, by linear binning: every value is
+    shared out between the two ends of its cell, so what is multiplied by the
+    grid is one row a cell, however many distinct values there are.
+
+    A cell is h * sqrt(8 * error) wide.  Between its ends the kernel differs
+    from the straight line by width^2 / 8 of its curvature at most, so every
+    density is within error / (h * sqrt(2 pi)), ``error`` times the peak of a
+    single value's kernel, of the direct sum.  Nulls and NaN count for nothing;
+    without spread there is no density.  Columns: grid, x, density.
+    """
+    base = df.select(nan_to_null(F.col(value)).cast("double").alias("x")).where(F.col("x").isNotNull())
+    st = base.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("s"), F.min("x").alias("lo"), F.max("x").alias("hi")).first()
+    grid = df.sparkSession.range(gridsize).select(F.col("id").cast("int").alias("grid"))
+    if not st["s"]:
+        return grid.select("grid", F.lit(st["lo"]).cast("double").alias("x"), F.lit(None).cast("double").alias("density"))
+    h = st["s"] * st["n"] ** -0.2
+    width, step, low = h * math.sqrt(8 * error), (st["hi"] - st["lo"]) / max(gridsize - 1, 1), F.lit(float(st["lo"]))
+    place = (F.col("x") - low) / F.lit(width)
+    cells = base.groupBy(F.floor(place).alias("cell")).agg(F.count(F.lit(1)).alias("n"), F.sum(place - F.floor(place)).alias("right"))
+    at = low + F.col("grid") * F.lit(step)
+    u = lambda cell: (at - low - cell * F.lit(width)) / F.lit(h)
+    kernel = lambda cell: F.exp(F.lit(-0.5) * u(cell) * u(cell))
+    shared = (F.col("n") - F.col("right")) * kernel(F.col("cell")) + F.col("right") * kernel(F.col("cell") + 1)
+    sums = cells.select("cell", "n", "right", F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("grid")).groupBy("grid").agg(F.sum(shared).alias("k"))
+    return grid.join(sums, "grid", "left").select("grid", at.alias("x"), (F.col("k") / F.lit(st["n"] * h * math.sqrt(2 * math.pi))).alias("density"))
+
+
 def kde_curve(df: DataFrame, value: str, gridsize: int = 200, hist_bins: int | None = None) -> DataFrame:
     """Gaussian kernel density on an even grid over [min, max] with Scott's
     bandwidth h = std * n^(-1/5): f(g) = sum_i exp(-((g-x_i)/h)^2 / 2) /

@@ -220,3 +220,18 @@ def test_plain_and_broken_lists(spark):
     assert {r.item: r.n for r in explore.list_value_counts(venue, "cuisine").withColumnRenamed("cuisine", "item").collect()} == {"Thai": 2, "Cafe": 1}
     with pytest.raises(Exception, match="not a list literal"):
         explore.explode_list(venue.selectExpr("\"['Thai'\" as cuisine"), "cuisine").collect()
+
+
+def test_binned_density_is_within_its_bound(spark):
+    import numpy as np
+    from forkcast.operators.explore import kde_curve_binned
+    rng = np.random.default_rng(12)
+    x = np.concatenate([rng.normal(0, 1, 3000), rng.normal(8, 0.1, 1000), [60.0]])
+    df = spark.createDataFrame([(float(v),) for v in x] + [(None,), (float("nan"),)], "v double")
+    h = x.std(ddof=1) * len(x) ** -0.2
+    points = np.linspace(x.min(), x.max(), 50)
+    want = np.exp(-0.5 * ((points[:, None] - x[None, :]) / h) ** 2).sum(1) / (len(x) * h * np.sqrt(2 * np.pi))
+    for error in (1e-2, 1e-4, 1e-7):
+        got = np.array([r.density for r in kde_curve_binned(df, "v", 50, error).orderBy("grid").collect()])
+        assert np.abs(got - want).max() <= error / (h * np.sqrt(2 * np.pi)) + 1e-15
+    assert [r.density for r in kde_curve_binned(df.limit(1), "v", 3).collect()] == [None] * 3
