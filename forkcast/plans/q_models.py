@@ -234,12 +234,17 @@ for _kind, _name in (("logistic", "logreg"), ("random_forest", "random_forest"),
 s AS (SELECT *, row_number() OVER (ORDER BY {_MIXED_SQL}, id) <= ceil(0.2 * count(*) OVER () - 1e-9) AS is_test FROM k),
 f AS (SELECT regr_slope(y, x) AS a, regr_intercept(y, x) AS b FROM s WHERE NOT is_test),
 m AS (SELECT avg(pow(y - a * x - b, 2)) AS mse, 1 - avg(pow(y - a * x - b, 2)) / var_pop(y) AS r2, count(*) AS n FROM s, f WHERE is_test)
-SELECT model, round(mse, 3) AS mse, round(r2, 6) AS r2, CAST(n AS BIGINT) AS n FROM m, (VALUES ('ols'), ('pca_ols')) AS t(model)"""))
+SELECT model, CASE WHEN model = 'gradient_descent' THEN round(mse, -3) ELSE round(mse, 3) END AS mse,
+       CASE WHEN model = 'gradient_descent' THEN round(r2, 2) ELSE round(r2, 6) END + 0.0 AS r2, CAST(n AS BIGINT) AS n
+FROM m, (VALUES ('ols'), ('gradient_descent'), ('pca_ols')) AS t(model)"""))
 def q_regression_comparison(spark, d):
-    """EV8 on an exact split; the deterministic models (with one column, the
-    kept component is that column, so both equal the closed form)."""
+    """EV8 on an exact split.  With one column the kept component is that
+    column, so OLS and PCA + OLS equal the closed form; gradient descent, which
+    stops early, comes within half a per cent of it and is rounded to that."""
     m = models.regression_comparison(venue_view(spark, d).select("id", "cost", "votes"), ["cost"], "votes", hash_col=_mixed())
-    return m.where("model <> 'gradient_descent'").select("model", F.round("mse", 3).alias("mse"), F.round("r2", 6).alias("r2"), "n")
+    early = F.col("model") == "gradient_descent"
+    return m.select("model", F.when(early, F.round("mse", -3)).otherwise(F.round("mse", 3)).alias("mse"),
+                    (F.when(early, F.round("r2", 2)).otherwise(F.round("r2", 6)) + F.lit(0.0)).alias("r2"), "n")
 
 
 @register("regression_comparison_features")
