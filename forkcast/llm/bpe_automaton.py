@@ -458,7 +458,9 @@ def decode(docs: DataFrame, tokenizer: str, ids_col: str = "ids", text_col: str
 
 
 def digests(docs: DataFrame, tokenizer: str, keep_ids: bool = False) -> DataFrame:
-    """doc_id, n_tokens, and the digests of ids and decoded text (and the ids)."""
+    """doc_id, n_tokens, and the digests of ids and decoded text (and the ids);
+    one row per input row, null ids and repeated rows as they are.  Null and
+    empty texts have no tokens and the digests of the empty text."""
     ids = encode(docs.select("doc_id", "text"), tokenizer).select(
         "doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"))
     return decode(ids, tokenizer).select("doc_id", "n_tokens", *(["ids"] if keep_ids else []), "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))

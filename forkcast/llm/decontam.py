@@ -243,7 +243,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_broadcast_seeds: int = 2_000_000) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text leaks nothing."""
+    """The rows of ``docs``, all columns, whose text leaks nothing.
+
+    Every row is judged by its own text: null and empty texts leak nothing,
+    rows with null or repeated ids go or stay each by itself, and repeated rows
+    go together.  An empty table gives an empty result; an empty benchmark
+    removes nothing."""
     test, seeds, masks = _test_side(benchmark)
     if not seeds:
         return docs

@@ -53,7 +53,8 @@ def test_stages_against_brute_force(spark):
 
 
 def test_odd_rows_through_all_stages(spark):
-    rows = [(None, None, None, None, None, "x"), (1, "", "en", "s", 0, None), (1, "", "en", "s", 0, None), (2, "a plain text of some words", None, "", 3, "")]
+    rows = [(None, None, None, None, None, "x"), (1, "", "en", "s", 0, None), (1, "", "en", "s", 0, None), (2, "a plain text of some words", None, "", 3, ""),
+            (3, "Some words that go on and on. " * 30_000, "en", "s", 900_000, "y"), (3, "Another text under the same number, of a few words.", "en", "s", 1, "y"), (4, "x" * 200_000, "en", "s", 0, "")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, score string")
     for frame in (docs, docs.limit(0)):
         for name, stage in corpus_pipeline.STAGES:

@@ -120,3 +120,10 @@ def test_twenty_shared_words_count_as_one(spark):
     assert {r.item: r.rep for r in classes.where("item not like 'verdict%'").collect()} == {x: x for x in "abcd"}
     # c blocks always; a does for 9 of 11; b for 9 of 12, which a says more surely; d allows
     assert {(tuple(r.tokens), r.verdict) for r in rules.collect()} == {(("c",), "block"), (("a",), "block"), (("b",), "block"), (("d",), "allow")}
+
+
+def test_very_long_urls(spark):
+    long = "http://example.net/en/" + "/".join(f"w{chr(97 + i % 26)}" for i in range(20_000)) + "?" + "&".join(f"k{i}=v" for i in range(5_000))
+    df = spark.createDataFrame([(1, long), (2, long.replace("example.net/en", "x.io")), (3, "http://x.io/" + "a" * 300_000)], "page_id long, url string")
+    got = {r.page_id: r for r in url_rules.judge(df, min_support=0.9).collect()}
+    assert got[1].rule == "example.net/en/" and len(got[1].path) > 50_000 and got[2].rule is None and got[3].host == "x.io" and len(got[3].path) == 300_001
