@@ -189,7 +189,7 @@ def q_sgd_fit(spark, d):
 
 @register("sgd_per_sample")
 def q_sgd_per_sample(spark, d):
-    """ML5 by per-sample steps; a round is 200 epochs, as the table is small at every test scale."""
+    """ML5 by per-sample steps; a round is 200 epochs."""
     f, cols = _reg_data(spark, d)
     f = materialize(f.select("id", *cols, "rating_number").dropna(), "sgd")
     train, test = models.split(f, "hash_exact", "id")

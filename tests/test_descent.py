@@ -47,3 +47,22 @@ def test_converges_to_the_line_and_stops(table):
     scored = valid.withColumn("prediction", fitted.prediction(COLS)).toPandas()
     assert ((scored["prediction"] - scored["y"]) ** 2).mean() < 0.01
     assert descent.fit(train.limit(0), valid, COLS, "y").w.tolist() == [0.0] * 3
+
+
+def test_rounds_do_not_read_the_rows_again(spark, table):
+    """A round's map equals plain passes, shard by shard; so do many rounds of it."""
+    mean, scale = np.array([0.0, 3.0, -1.0]), np.array([1.0, 5.0, 0.2])
+    rows = descent.dealt(table, COLS, "y", "id", mean, scale, 3, 42)
+    total = descent._round_map(rows, 3, 1e-3, 1e-2, 7)
+    shards = {}
+    for r in rows.collect():
+        shards.setdefault(r._shard, []).append((r._x, r._y))
+    w, b = np.zeros(3), 0.0
+    for _ in range(4):
+        want = np.zeros(8)
+        for part in shards.values():
+            new_w, new_b, mean_w, mean_b = descent.epochs_of(np.array([x for x, _ in part]), np.array([y for _, y in part]), w, b, 1e-3, 1e-2, 7)
+            want += len(part) * np.concatenate([new_w, [new_b], mean_w, [mean_b]])
+        got = descent._applied(total, w, b)
+        assert total[0] == 600 and len(shards) == 3 and np.allclose(got, want, rtol=1e-9)
+        w, b = got[:3] / 600, got[3] / 600
