@@ -13,6 +13,7 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (LinearSVC, LogisticRegression, MultilayerPerceptronClassifier,
@@ -310,25 +311,34 @@ def regression_comparison(df: DataFrame, cols: list[str], label: str, key: str =
     return df.sparkSession.createDataFrame(rows, "model string, mse double, r2 double, n bigint")
 
 
+def _fourier(X: np.ndarray, W: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """sqrt(2/D) cos(X W + b), computed within the result."""
+    Z = np.empty((len(X), len(b)))
+    for at in range(0, len(X), 1000):
+        part = Z[at:at + 1000]
+        np.matmul(X[at:at + 1000], W, out=part)
+        part += b
+        np.cos(part, out=part)
+        part *= math.sqrt(2.0 / len(b))
+    return Z
+
+
 def random_fourier_features(df: DataFrame, in_col: str, out_col: str, d: int, n_features: int = 256,
                             gamma: float | None = None, seed: int = 42) -> DataFrame:
     """RBF kernel approximation (Rahimi & Recht 2007): z(x) = sqrt(2/D)
     cos(W x + b), W ~ N(0, 2 gamma), b ~ U(0, 2 pi).  W is d x D (small,
-    shipped with the function); the product runs per Arrow batch in numpy
-    (a d x D matrix product is too wide for generated column code)."""
+    shipped with the function); the product runs in numpy (a d x D matrix
+    product is too wide for generated column code), a thousand rows at a time
+    in the batch that is returned, so a worker holds one batch and its result."""
     rng = np.random.default_rng(seed)
     gamma = gamma if gamma is not None else 1.0 / max(d, 1)
     W = rng.normal(0.0, math.sqrt(2 * gamma), size=(d, n_features))
     b = rng.uniform(0, 2 * math.pi, size=n_features)
-    scale = math.sqrt(2.0 / n_features)
-
-    @F.pandas_udf("array<double>")
-    def rff(x: pd.Series) -> pd.Series:
-        if len(x) == 0:
-            return pd.Series([], dtype=object)
-        X = np.vstack(x.to_numpy())
-        Z = scale * np.cos(X @ W + b)
-        return pd.Series(list(Z))
+
+    @F.arrow_udf("array<double>")
+    def rff(x: pa.Array) -> pa.Array:
+        Z = _fourier(x.flatten().to_numpy(zero_copy_only=False).reshape(len(x), d), W, b)
+        return pa.ListArray.from_arrays(pa.array(np.arange(0, Z.size + 1, n_features, dtype=np.int32)), pa.array(Z.reshape(-1)))
 
     return df.withColumn(out_col, array_to_vector(rff(vector_to_array(F.col(in_col)))))
 

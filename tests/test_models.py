@@ -119,3 +119,22 @@ def test_three_regressions_on_the_feature_table(spark):
         one = QUERIES[single](spark, d).first()
         assert rows[model].n == one.n and rows[model].mse == pytest.approx(one.mse, rel=1e-6) and rows[model].r2 == pytest.approx(one.r2, rel=1e-6)
     assert rows["ols"].n == rows["pca_ols"].n and 0 < rows["ols"].mse < float("inf")
+
+
+def test_fourier_features_within_the_result(spark):
+    import tracemalloc
+
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    rng = np.random.default_rng(5)
+    x, w, b = rng.normal(size=(4000, 7)), rng.normal(size=(7, 128)), rng.uniform(size=128)
+    tracemalloc.start()
+    got = models._fourier(x, w, b)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1.2 * got.nbytes and np.allclose(got, np.sqrt(2 / 128) * np.cos(x @ w + b))
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x[:1500])], "id long, a array<double>").select("id", array_to_vector("a").alias("v"))
+    rows = models.random_fourier_features(df, "v", "z", 7, 16, gamma=0.1).select("id", vector_to_array("z").alias("z")).collect()
+    draws = np.random.default_rng(42)
+    w, b = draws.normal(0.0, np.sqrt(0.2), size=(7, 16)), draws.uniform(0, 2 * np.pi, size=16)
+    assert len(rows) == 1500 and all(np.allclose(r.z, np.sqrt(2 / 16) * np.cos(x[r.id] @ w + b)) for r in rows)
+    assert models.random_fourier_features(df.limit(0), "v", "z", 7, 16).count() == 0
