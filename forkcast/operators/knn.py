@@ -190,8 +190,14 @@ def search(receivers: np.ndarray, donors: np.ndarray, ids: np.ndarray, k: int, s
         squares = np.zeros((len(rows), len(inside)))
         for s in range(donors.shape[1]):  # column by column, as the sum is written in SQL
             squares += (receivers[rows, s, None] - donors[None, inside, s]) ** 2
-        dist = np.concatenate([best[rows], np.sqrt(scale * squares)], axis=1)
-        who = np.concatenate([place[rows], np.broadcast_to(inside, squares.shape)], axis=1)
+        new = np.sqrt(scale * squares)
+        near = new <= best[rows, k - 1, None]  # farther donors change nothing, so only these are sorted
+        better, used = near.any(1), near.any(0)
+        if not better.any():
+            return squares.size
+        rows, new = rows[better], new[better][:, used]
+        dist = np.concatenate([best[rows], new], axis=1)
+        who = np.concatenate([place[rows], np.broadcast_to(inside[used], new.shape)], axis=1)
         first = np.lexsort((np.where(who < 0, len(rank), rank[who]), dist), axis=1)[:, :k]
         best[rows], place[rows] = np.take_along_axis(dist, first, 1), np.take_along_axis(who, first, 1)
         limit[rows] = np.minimum(limit[rows], best[rows, k - 1] * _MARGIN)
@@ -274,10 +280,12 @@ def _in_blocks(rows: DataFrame, s_names: list[str], trees: dict) -> DataFrame:
     return rows.mapInArrow(run, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema) + ", _block long")
 
 
-def _searched(receivers: DataFrame, donors: DataFrame, s_names: list[str], D: int, k: int, leaf: int, most: int | None) -> DataFrame:
+def _searched(receivers: DataFrame, donors: DataFrame, s_names: list[str], D: int, k: int, leaf: int, most: int | None, tasks: int = 0) -> DataFrame:
     """(_rid, _did, _v, _dist) of each receiver's k nearest within ``_bound``
     in its (_pair, _block).  Blocks of more than ``most`` receivers are cut
-    into pieces, each with a copy of the donors (None: there are none)."""
+    into pieces, each with a copy of the donors (None: there are none).
+    ``tasks`` (0: as Spark joins them by bytes, which says little of a
+    search's time) deal the pieces out."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         column = lambda table, c: table.column(c).to_numpy()
         points = [np.stack([column(t, c) for c in s_names], axis=1).astype(float) for t in (left, right)]
@@ -296,6 +304,8 @@ def _searched(receivers: DataFrame, donors: DataFrame, s_names: list[str], D: in
         receivers = receivers.join(many, ["_pair", "_block"]).withColumn("_piece", F.pmod(F.xxhash64("_rid"), F.col("_n")).cast("long")).drop("_n")
         copies = donors.join(many, ["_pair", "_block"]).withColumn("_piece", F.explode(F.expr("sequence(0L, _n - 1)"))).drop("_n")
     keys = ["_pair", "_block", "_piece"]
+    if tasks:
+        receivers, copies = receivers.repartition(tasks, *keys), copies.repartition(tasks, *keys)
     return receivers.groupBy(*keys).cogroup(copies.groupBy(*keys)).applyInArrow(run, f"_rid long, _did {dict(donors.dtypes)['_did']}, _v double, _dist double")
 
 
@@ -339,7 +349,8 @@ def _search_and_weigh(plans: list[dict], D: int, k: int, block: int, leaf: int)
     r_pts = r_all.select("_pair", "_m", *s_names).distinct().withColumn("_rid", F.monotonically_increasing_id())
     r_pts = materialize(_in_blocks(r_pts, s_names, trees), "knn-receivers")
     most = block if max(rs for p in plans for rs in p["receivers"]) > block else None
-    found = _searched(r_pts.withColumn("_bound", F.lit(math.inf)), d_all, s_names, D, k, leaf, most)
+    tasks = min(MOST_BLOCKS, sum(large.values()))
+    found = _searched(r_pts.withColumn("_bound", F.lit(math.inf)), d_all, s_names, D, k, leaf, most, tasks)
     if trees:
         found = materialize(found, "knn-own")
         boxes = {}
@@ -367,7 +378,7 @@ def _search_and_weigh(plans: list[dict], D: int, k: int, block: int, leaf: int)
                         yield out.set_column(names.index("_block"), "_block", pa.array(block_ids[which].astype(np.int64)))
 
         wider = materialize(rows.mapInArrow(others, ", ".join(f"{c} {kinds[c]}" for c in names)), "knn-wider")
-        found = found.unionByName(_searched(wider, d_all, s_names, D, k, leaf, block))
+        found = found.unionByName(_searched(wider, d_all, s_names, D, k, leaf, block, tasks))
     # back to receivers, merge pairs, keep k nearest, weighted mean
     cand = r_all.join(r_pts.select("_rid", *key_cols), key_cols).select("_t", "_id", "_rid").join(found, "_rid")
     wid = Window.partitionBy("_t", "_id").orderBy("_dist", "_did")

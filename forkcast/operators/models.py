@@ -252,11 +252,12 @@ def pca_components_for(df: DataFrame, cols: list[str], variance: float = 0.95):
     cumulative explained variance is strictly above ``variance``.  Returns (k,
     ratios, fitted scaler+PCA pipeline)."""
     d = len(cols)
-    pipe = Pipeline(stages=[assembler(cols, "features_raw", "skip"),
-                            StandardScaler(inputCol="features_raw", outputCol="features_std", withMean=True,
-                                           withStd=True),
-                            PCA(k=d, inputCol="features_std", outputCol="pca_all")])
-    model = pipe.fit(df)
+    assemble = assembler(cols, "features_raw", "skip")
+    rows = assemble.transform(df).select("features_raw").persist(StorageLevel.MEMORY_AND_DISK)  # read by every fit; mostly sparse
+    fitted = Pipeline(stages=[StandardScaler(inputCol="features_raw", outputCol="features_std", withMean=True, withStd=True),
+                              PCA(k=d, inputCol="features_std", outputCol="pca_all")]).fit(rows)
+    rows.unpersist()
+    model = PipelineModel(stages=[assemble, *fitted.stages])
     ratios = [float(x) for x in model.stages[-1].explainedVariance.toArray()]
     cum, k = 0.0, d
     for i, r in enumerate(ratios):          # first count whose cumulative share is strictly above
@@ -288,7 +289,10 @@ def pca_ols(train: DataFrame, test: DataFrame, cols: list[str], label: str, vari
     The PCA is fitted once, with all components; its first k are sliced."""
     k, _, pre = pca_components_for(train, cols, variance)
     keep = VectorSlicer(inputCol="pca_all", outputCol="features", indices=list(range(k)))
-    fitted = Pipeline(stages=[keep, LinearRegression(featuresCol="features", labelCol=label, regParam=0.0)]).fit(pre.transform(train))
+    rows = pre.stages[0].transform(train).select("features_raw", label).persist(StorageLevel.MEMORY_AND_DISK)
+    pre_rows = PipelineModel(stages=pre.stages[1:]).transform(rows)
+    fitted = Pipeline(stages=[keep, LinearRegression(featuresCol="features", labelCol=label, regParam=0.0)]).fit(pre_rows)
+    rows.unpersist()
     model = PipelineModel(stages=[*pre.stages, *fitted.stages])
     return model, k, model.transform(test)
 

@@ -179,3 +179,16 @@ def test_text_ids(spark):
     df = spark.createDataFrame([("a", None, 1.0), ("b", 2.0, 1.0), ("c", 4.0, 1.5), ("d", 8.0, 9.0)], "id string, t double, p double")
     got = {r["id"]: r["t"] for r in knn_impute(df, targets=("t",), predictors=("p",), k=1).collect()}
     assert got == {"a": 2.0, "b": 2.0, "c": 4.0, "d": 8.0}
+
+
+def test_only_donors_that_may_be_nearest_are_sorted(monkeypatch):
+    rng = np.random.default_rng(6)
+    donors, receivers, ids = rng.integers(0, 60, (3000, 3)).astype(float), rng.integers(0, 60, (400, 3)).astype(float), rng.permutation(3000)
+    sorted_, plain = [], np.lexsort
+    monkeypatch.setattr(np, "lexsort", lambda keys, axis=-1: sorted_.append(np.size(keys[0])) or plain(keys, axis=axis))
+    dist, place, pairs = search(receivers, donors, ids, 5)
+    assert sum(sorted_) < 0.7 * pairs
+    every = np.sqrt(((receivers[:, None] - donors[None]) ** 2).sum(2))
+    for r in range(400):
+        want = plain((ids, every[r]))[:5]
+        assert place[r].tolist() == want.tolist() and np.allclose(dist[r], every[r][want])

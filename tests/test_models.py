@@ -138,3 +138,20 @@ def test_fourier_features_within_the_result(spark):
     w, b = draws.normal(0.0, np.sqrt(0.2), size=(7, 16)), draws.uniform(0, 2 * np.pi, size=16)
     assert len(rows) == 1500 and all(np.allclose(r.z, np.sqrt(2 / 16) * np.cos(x[r.id] @ w + b)) for r in rows)
     assert models.random_fourier_features(df.limit(0), "v", "z", 7, 16).count() == 0
+
+
+def test_pca_ols_reads_its_rows_twice(spark):
+    """Once for scaler and PCA, once for the regression."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(x):
+        seen.add(1)
+        return x
+
+    counted = F.udf(count, "double").asNondeterministic()
+    rows = [(i, float(i % 17), float(i % 5) - 0.1 * (i % 3), float(i % 17) - 2.0 * (i % 5)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, y double")
+    train = df.withColumn("a", counted("a"))
+    _, k, pred = models.pca_ols(train, df, ["a", "b"], "y")
+    assert seen.value == 600 and k == 2 and pred.count() == 300
+    assert evaluate.regression_metrics(pred, "y").first().r2 > 0.99
