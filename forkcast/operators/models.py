@@ -24,7 +24,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forkcast.operators import kernel, network
+from forkcast.operators import kernel, network, perceptron
 from forkcast.operators.evaluate import classification_metrics, regression_metrics, timed
 from forkcast.operators.profile import NUMERIC_TYPES
 from forkcast.operators.split import hash_split, stratified_split
@@ -393,7 +393,8 @@ def evaluate_classifier(kind: str, train: DataFrame, test: DataFrame, cols: list
 
     ``nystrom_svm`` is the RBF kernel machine (``kernel``), ``relu_network``
     the network with early stopping (``network``); ``rff_svm`` and ``mlp`` are
-    the ready-made approximations (random features; sigmoid units)."""
+    the ready-made approximations (random features; sigmoid units, fitted by
+    ``perceptron``)."""
     scaled = kind in ("rff_svm", "nystrom_svm", "mlp", "relu_network")
     stages = [assembler(cols, "features_raw" if scaled else "features", "skip")]
     if scaled:
@@ -414,6 +415,8 @@ def evaluate_classifier(kind: str, train: DataFrame, test: DataFrame, cols: list
         model, t_fit = timed(_kernel_machine, tr_f, n_train, seed)
     elif kind == "relu_network":
         model, t_fit = timed(_relu_network, tr_f, key, seed)
+    elif kind == "mlp":
+        model, t_fit = timed(perceptron.fit, classifier(kind, d, seed, n_train), tr_f)
     else:
         model, t_fit = timed(classifier(kind, d, seed, n_train).fit, tr_f)
     pred, t_inf = _score(model, te_f)
