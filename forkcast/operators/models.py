@@ -349,13 +349,15 @@ def random_fourier_features(df: DataFrame, in_col: str, out_col: str, d: int, n_
 
 def classifier(kind: str, n_features: int, seed: int = 42, n_train: int = 1000):
     """The four classifiers of the comparison, as Spark estimators on
-    ``features`` / ``label``."""
+    ``features`` / ``label``.  The forest keeps with every row the node it has
+    reached in each tree: a level then costs one comparison a row and tree
+    instead of a walk from the root, and the trees are the same."""
     if kind == "logistic":
         return LogisticRegression(featuresCol="features", labelCol="label", maxIter=500,
                                   regParam=1.0 / max(n_train, 1), standardization=False)
     if kind == "random_forest":
         return RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=400, maxDepth=12,
-                                      minInstancesPerNode=2, featureSubsetStrategy="sqrt", seed=seed)
+                                      minInstancesPerNode=2, featureSubsetStrategy="sqrt", seed=seed, cacheNodeIds=True)
     if kind == "rff_svm":
         return LinearSVC(featuresCol="rff", labelCol="label", regParam=1.0 / max(n_train, 1), maxIter=200)
     if kind == "mlp":
@@ -364,6 +366,20 @@ def classifier(kind: str, n_features: int, seed: int = 42, n_train: int = 1000):
     raise ValueError(kind)
 
 
+def _spread(rows: DataFrame, n: int, least: int = 5000) -> DataFrame:
+    """Held rows for a fit of many passes: ``rows`` (held, ``n`` of them) dealt
+    over all cores if they lie in fewer tasks and each core gets ``least``.  A
+    written table is small in bytes, so few tasks read it, and the other cores
+    would be idle in every pass."""
+    tasks = min(rows.sparkSession.sparkContext.defaultParallelism, n // least)
+    if rows.rdd.getNumPartitions() >= tasks:
+        return rows
+    dealt = rows.select("features", "label").repartition(tasks).persist(StorageLevel.MEMORY_AND_DISK)
+    dealt.count()
+    rows.unpersist()
+    return dealt
+
+
 class _Scorer:
     """A fitted model that is no Spark ML one: ``transform`` adds predictions."""
 
@@ -411,6 +427,8 @@ def evaluate_classifier(kind: str, train: DataFrame, test: DataFrame, cols: list
         te_f = random_fourier_features(te_f, "features", "rff", d, seed=seed)
     tr_f = tr_f.persist(StorageLevel.MEMORY_AND_DISK)
     n_train = tr_f.count()
+    if kind in ("random_forest", "mlp"):
+        tr_f = _spread(tr_f, n_train)
     if kind == "nystrom_svm":
         model, t_fit = timed(_kernel_machine, tr_f, n_train, seed)
     elif kind == "relu_network":

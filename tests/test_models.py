@@ -155,3 +155,30 @@ def test_pca_ols_reads_its_rows_twice(spark):
     _, k, pred = models.pca_ols(train, df, ["a", "b"], "y")
     assert seen.value == 600 and k == 2 and pred.count() == 300
     assert evaluate.regression_metrics(pred, "y").first().r2 > 0.99
+
+
+def test_forest_keeps_node_ids_and_its_trees(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(400, 5)).round(1)
+    rows = [([float(v) for v in r], float(r[0] * r[1] + r[2] > 0)) for r in x]
+    from pyspark.ml.functions import array_to_vector
+    df = spark.createDataFrame(rows, "a array<double>, label double").select(array_to_vector("a").alias("features"), "label").repartition(3).persist()
+    forest = models.classifier("random_forest", 5)
+    assert forest.getCacheNodeIds() and forest.getNumTrees() == 400 and forest.getMaxDepth() == 12
+    forest = forest.setNumTrees(12)
+    plain = forest.copy({forest.cacheNodeIds: False})
+    assert forest.fit(df).toDebugString.split("\n")[1:] == plain.fit(df).toDebugString.split("\n")[1:]
+
+
+def test_rows_of_a_fit_lie_on_all_cores(spark):
+    from pyspark.ml.functions import array_to_vector
+    cores = spark.sparkContext.defaultParallelism
+    df = spark.range(400).select(F.lit(None).cast("long").alias("id"), array_to_vector(F.array((F.col("id") % 90).cast("double"))).alias("features"),
+                                 (F.col("id") % 2).cast("double").alias("label")).coalesce(1).persist()
+    want = sorted((r.features[0], r.label) for r in df.collect())
+    few = models._spread(df, 400)
+    assert few is df and few.rdd.getNumPartitions() == 1
+    dealt = models._spread(df, 400, least=20)
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert cores > 1 and len(sizes) == cores and max(sizes) - min(sizes) <= cores
+    assert sorted((r.features[0], r.label) for r in dealt.collect()) == want
